@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.columns import Moment, moment
 from tidemark.schemas import METRIC_WINDOW
@@ -71,6 +71,12 @@ def hourly_metrics(
     so counting the ids is the distinct count and one copy less is made. `approx` uses sketches
     of fixed size instead and needs a single shuffle.
     """
+    if slide and not approx:
+        size, step = _seconds(window), _seconds(slide)
+        if size and step and size % step == 0:
+            return _sliding_metrics(trusted, size, step, unique_ids).withColumn(
+                "gold_processed_at", moment(now)
+            )
     calendar = () if slide else ("event_date", "event_hour")
     ids = F.count("event_id") if unique_ids else _distinct("event_id", approx)
     spans = F.window("event_timestamp", window, slide)
@@ -87,6 +93,76 @@ def hourly_metrics(
     return _window_bounds(metrics).withColumn("gold_processed_at", moment(now))
 
 
+def _seconds(duration: str) -> int | None:
+    """Length of a duration such as `15 minutes`; None for other forms."""
+    units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+    number, _, unit = duration.strip().partition(" ")
+    length = units.get(unit.strip().lower().removesuffix("s"))
+    return int(number) * length if length and number.isdigit() else None
+
+
+def _sliding_metrics(trusted: DataFrame, size: int, step: int, unique_ids: bool) -> DataFrame:
+    """Exact metrics of windows that are whole multiples of their slide.
+
+    Copying each event into every window it falls in, once per distinct count, would shuffle
+    windows x counts rows per event. Instead rows are added up per pane (one slide long), with a
+    line for the pane itself and one for each distinct value in it. A value counts in the windows
+    its pane belongs to, less those that the value's previous pane already counted in, so the
+    distinct counts of overlapping windows become plain sums that combine before the last shuffle.
+    """
+    back = F.expr(f"INTERVAL {size - step} SECONDS")
+    one = F.expr(f"INTERVAL {step} SECONDS")
+    counted = {"entity": "entity_id", "session": "session_id"}
+    if not unique_ids:
+        counted["id"] = "event_id"
+
+    def line(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+
+    lines = [line("pane", F.lit(None))] + [line(k, F.col(c)) for k, c in counted.items()]
+    of_pane = F.col("kind") == "pane"
+    amount = F.when(of_pane, F.col("amount_usd"))
+    seen = F.when(of_pane, F.col("event_timestamp"))
+    pane = F.window("event_timestamp", f"{step} seconds").start.alias("pane")
+    panes = (
+        trusted.select(
+            pane, *DIMENSIONS, "event_id", "event_timestamp", "amount_usd",
+            F.inline(F.array(*lines)),
+        )
+        .where(of_pane | F.col("value").isNotNull())
+        .groupBy("pane", "kind", "value", *DIMENSIONS)
+        .agg(
+            F.count("*").alias("events"),
+            F.count("event_id").alias("ids"),
+            F.sum(amount).alias("amount"),
+            F.count(amount).alias("amounts"),
+            F.min(seen).alias("first"),
+            F.max(seen).alias("last"),
+        )
+    )
+    previous = F.lag("pane").over(Window.partitionBy("kind", "value", *DIMENSIONS).orderBy("pane"))
+    earliest = F.greatest(F.col("pane") - back, F.col("counted_up_to") + one)
+    windows = panes.withColumn("counted_up_to", F.when(~of_pane, previous)).withColumn(
+        "window_start", F.explode(F.sequence(earliest, "pane", one))
+    )
+    ids = F.sum(F.when(of_pane, F.col("ids"))) if unique_ids else F.count_if(F.col("kind") == "id")
+    return (
+        windows.groupBy("window_start", *DIMENSIONS)
+        .agg(
+            F.sum(F.when(of_pane, F.col("events"))).alias("event_count"),
+            ids.alias("unique_events"),
+            F.count_if(F.col("kind") == "entity").alias("unique_entities"),
+            F.count_if(F.col("kind") == "session").alias("unique_sessions"),
+            F.sum("amount").alias("total_amount_usd"),
+            (F.sum("amount") / F.nullif(F.sum(F.when(of_pane, F.col("amounts"))), F.lit(0)))
+            .alias("avg_amount_usd"),
+            F.min("first").alias("first_event_at"),
+            F.max("last").alias("last_event_at"),
+        )
+        .withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {size} SECONDS"))
+    )
+
+
 def hourly_metrics_basic(trusted: DataFrame, window: str = METRIC_WINDOW) -> DataFrame:
     """Per window, type and source; start and end are the first and last event seen."""
     spans = F.window("event_timestamp", window).alias("window")
@@ -108,23 +184,12 @@ def type_source_metrics(events: DataFrame) -> DataFrame:
 
 
 def entity_daily(trusted: DataFrame, now: Moment = None) -> DataFrame:
-    """Daily activity per entity and source.
-
-    Rows are first added up per event type, an all-primitive hash aggregate, so the list of types
-    is built from one row per type and the amounts of a hot entity never meet in one task.
-    """
-    keys = ("entity_id", "entity_type", "event_date", "source_system")
-    per_type = trusted.groupBy(*keys, "event_type").agg(
-        F.count("*").alias("events"),
-        F.sum("amount_usd").alias("amount"),
-        F.min("event_timestamp").alias("first"),
-        F.max("event_timestamp").alias("last"),
-    )
-    daily = per_type.groupBy(*keys).agg(
-        F.sum("events").alias("total_events"),
+    """Daily activity per entity and source, with the sorted set of event types seen."""
+    daily = trusted.groupBy("entity_id", "entity_type", "event_date", "source_system").agg(
+        F.count("*").alias("total_events"),
         F.array_sort(F.collect_set("event_type")).alias("event_types_seen"),
-        F.sum("amount").alias("daily_amount_usd"),
-        F.min("first").alias("first_activity"),
-        F.max("last").alias("last_activity"),
+        F.sum("amount_usd").alias("daily_amount_usd"),
+        F.min("event_timestamp").alias("first_activity"),
+        F.max("event_timestamp").alias("last_activity"),
     )
     return daily.withColumn("summary_created_at", moment(now))

@@ -162,13 +162,17 @@ def amount_fx(spark, sf_dir):
 
 
 def amount_fx_table(spark, sf_dir):
-    """Rates as a table: here the mean purchase value of each day's type, by currency."""
+    """Rates as a table: a rate per currency out of the purchases themselves.
+
+    The rates are written first, so that the join is planned on the table's true size.
+    """
     parsed = _events_parsed(spark, sf_dir)
-    rates = parsed.where("amount > 0").groupBy("currency").agg(
+    rates = parsed.where("amount > 0 AND currency IS NOT NULL").groupBy("currency").agg(
         F.round(F.avg("amount") / 100, 2).alias("rate")
     )
-    unique = dedup.dedup_events(parsed)
-    fx = events.convert_amount(unique, rates.where("currency IS NOT NULL"))
+    path = run_dir(spark, "rates")
+    rates.write.parquet(path)
+    fx = events.convert_amount(dedup.dedup_events(parsed), spark.read.parquet(path))
     return fx.select("event_id", "currency", "amount", F.round("amount_usd", 6).alias("amount_usd"))
 
 
@@ -220,6 +224,11 @@ def sliding_event_metrics(spark, sf_dir):
     ))
 
 
+def sliding_event_metrics_general(spark, sf_dir):
+    derived = events.add_event_columns(_events_parsed(spark, sf_dir), NOW)
+    return _rounded(events.hourly_metrics(derived, "1 hour", slide="15 minutes", now=NOW))
+
+
 def hourly_metrics_basic(spark, sf_dir):
     parsed = envelope.parse_messages(feeds.event_feed(spark, sf_dir), EVENT_PAYLOAD)
     metrics = events.hourly_metrics_basic(flows.trusted_events_basic(parsed, NOW))
@@ -462,7 +471,7 @@ QUERIES = (
     events_dedup, trusted_events, trusted_events_basic, amount_fx, amount_fx_table,
     events_dedup_stream, events_dedup_unbounded_stream, trusted_events_stream,
     hourly_event_metrics, hourly_event_metrics_general, sliding_event_metrics,
-    hourly_metrics_basic, type_source_metrics, entity_daily_summary, hourly_counts_stream,
+    sliding_event_metrics_general, hourly_metrics_basic, type_source_metrics, entity_daily_summary, hourly_counts_stream,
     sliding_counts_stream, bp_latest, bp_latest_agg, bp_latest_string_offset, bp_trusted,
     bp_latest_stream, bp_unified, bp_unified_pivot, bp_unified_active, bp_entity_json,
     publish_messages, publish_changed_messages, events_upsert, events_upsert_stream, bp_upsert,

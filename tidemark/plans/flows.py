@@ -49,11 +49,10 @@ def trusted_events(
 
 def trusted_events_basic(parsed: DataFrame, now: Moment = None) -> DataFrame:
     """`parse_messages` rows without copies, with processing time and date; no watermark."""
-    position = ("partition", "offset")
+    position, order = ("partition", "offset"), ("offset", "kafka_timestamp", "partition")
     if parsed.isStreaming:
-        unique = dedup_stream(parsed, bounded=False, position=position)
+        unique = dedup_stream(parsed, bounded=False, position=position, spread=order)
     else:
-        order = ("offset", "kafka_timestamp", "partition")
         unique = dedup_events(parsed, order=order, position=position)
     return unique.withColumns({
         "processing_timestamp": moment(now),

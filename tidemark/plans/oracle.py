@@ -203,7 +203,8 @@ GROUP BY window_start, event_type, source_system, entity_type"""
 HOUR = "date_trunc('hour', event_timestamp)"
 CALENDAR = ", event_date, event_hour"
 # Four windows of an hour, a quarter apart, cover each event.
-SLIDING = "(SELECT * FROM uniq CROSS JOIN (VALUES (0), (15), (30), (45)) AS q(minutes))"
+QUARTERS = "CROSS JOIN (VALUES (0), (15), (30), (45)) AS q(minutes)"
+SLIDING = f"(SELECT * FROM uniq {QUARTERS})"
 SLIDE = "time_bucket(INTERVAL 15 MINUTES, event_timestamp) - to_minutes(minutes)"
 
 LOG = f"""{EVENTS},{PARTNERS},
@@ -248,6 +249,9 @@ _WATCHED = "unified_name, is_active, created_date_parsed, changed_date_parsed"
 _TRUSTED_EVENTS = (
     f"{EVENT_COLUMNS}, event_date, event_hour, {STAMP} AS trusted_at, amount_usd FROM uniq"
 )
+_DERIVED = f"""{EVENTS},
+derived AS (SELECT *, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date,
+  CAST(hour(event_timestamp) AS INTEGER) AS event_hour, amount AS amount_usd FROM ev)"""
 _HOURLY = f"WITH {UNIQUE_EVENTS} {_metrics(HOUR, CALENDAR, 'uniq')}"
 _BP_LATEST = f"WITH {PARTNERS} SELECT {_BP_COLUMNS} FROM ({_newest(KEYS)})"
 _BP_TRUSTED = (
@@ -293,11 +297,10 @@ FROM uniq LEFT JOIN rates ON uniq.currency = rates.currency""",
 SELECT {EVENT_COLUMNS}, {STAMP} AS processing_timestamp, event_date FROM uniq""",
         "trusted_events_stream": f"WITH {UNIQUE_EVENTS} SELECT {_TRUSTED_EVENTS}",
         "hourly_event_metrics": _HOURLY,
-        "hourly_event_metrics_general": f"""WITH {EVENTS},
-derived AS (SELECT *, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date,
-  CAST(hour(event_timestamp) AS INTEGER) AS event_hour, amount AS amount_usd FROM ev)
-{_metrics(HOUR, CALENDAR, 'derived')}""",
+        "hourly_event_metrics_general": f"WITH {_DERIVED} {_metrics(HOUR, CALENDAR, 'derived')}",
         "sliding_event_metrics": f"WITH {UNIQUE_EVENTS} {_metrics(SLIDE, '', SLIDING)}",
+        "sliding_event_metrics_general": f"""WITH {_DERIVED}
+{_metrics(SLIDE, '', f'(SELECT * FROM derived {QUARTERS})')}""",
         "hourly_metrics_basic": f"""WITH {UNIQUE_EVENTS}
 SELECT event_type, source_system, count(*) AS event_count,
   count(DISTINCT entity_id) AS unique_entities, min(event_timestamp) AS window_start,

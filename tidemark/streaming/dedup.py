@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.dedup import POSITION
+from tidemark.operators.dedup import EVENT_ORDER, POSITION
 from tidemark.schemas import LATE_DELAY
 
 BUCKETS = 16
@@ -24,6 +24,7 @@ def dedup_stream(
     id_column: str = "event_id",
     bounded: bool = True,
     position: Sequence[str] = POSITION,
+    spread: Sequence[str] = EVENT_ORDER,
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """One row per id; rows without an id are told apart by their position.
@@ -34,7 +35,8 @@ def dedup_stream(
 
     Streams have no partial step before the shuffle. So ids are first made unique inside
     `buckets` slices of each id, which spreads a hot id over that many tasks, and then over
-    all; `buckets=1` leaves the first step out where no id is hot.
+    all. The slice follows from the `spread` columns, which differ between copies. `buckets=1`
+    leaves the first step, and its state, out where no id is hot.
     """
 
     def unique(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -43,7 +45,7 @@ def dedup_stream(
     missing = F.when(F.col(id_column).isNull(), F.struct(*position))
     rows = df.withColumn("_position", missing)
     if buckets > 1:
-        slice_of = F.pmod(F.xxhash64(*position), F.lit(buckets)).cast("int")
+        slice_of = F.pmod(F.xxhash64(*spread), F.lit(buckets)).cast("int")
         rows = unique(rows.withColumn("_slice", slice_of), [id_column, "_position", "_slice"])
         rows = rows.drop("_slice")
     return unique(rows, [id_column, "_position"]).drop("_position")

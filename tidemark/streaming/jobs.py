@@ -82,14 +82,13 @@ def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
 
 
 def stream_stats(query: StreamingQuery) -> dict[str, int]:
-    """Input rows, state rows and rows dropped as late, over the retained progress reports."""
+    """Input rows, state changes and rows dropped as late, over the retained progress reports."""
     reports = query.recentProgress
     stateful = [s for report in reports for s in report["stateOperators"]]
-    last = reports[-1]["stateOperators"] if reports else []
     return {
         "batches": len(reports),
         "input_rows": sum(report["numInputRows"] for report in reports),
-        "state_rows": sum(s["numRowsTotal"] for s in last),
+        "state_rows_updated": sum(s["numRowsUpdated"] for s in stateful),
         "state_rows_removed": sum(s["numRowsRemoved"] for s in stateful),
         "late_rows_dropped": sum(s["numRowsDroppedByWatermark"] for s in stateful),
     }
