@@ -1,0 +1,80 @@
+import json
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tidemark.operators.publish import changed_messages, conform, publish, to_messages
+from tidemark.schemas import PARTNER_CONTRACT, avro_schema
+
+
+def entities(spark, *rows):
+    schema = "sap_client string, bp_number string, unified_name string, created date, at string"
+    df = spark.createDataFrame([(*r, None) if len(r) == 3 else r for r in rows], schema.replace(
+        "created date, ", ""))
+    return df.withColumns({
+        "created_date_parsed": F.lit("2024-01-31").cast("date"),
+        "gold_processed_at": F.coalesce("at", F.lit("2024-02-01 00:00:00.123")).cast("timestamp"),
+    }).drop("at")
+
+
+def test_contract_order_types_and_missing_optionals(spark):
+    df = conform(entities(spark, ("100", "1", "Ann")).withColumn("internal", F.lit(1)))
+    assert df.columns == PARTNER_CONTRACT.fieldNames()
+    row = df.first()
+    assert row.created_date_parsed == "2024-01-31"
+    assert row.bp_category is None and row.is_active is None
+
+
+def test_required_fields(spark):
+    with pytest.raises(ValueError, match="bp_number"):
+        conform(entities(spark, ("100", "1", "Ann")).drop("bp_number"))
+    with pytest.raises(PySparkException, match="bp_number"):
+        conform(entities(spark, ("100", None, "Ann"))).collect()
+
+
+def test_messages_are_keyed_and_carry_milliseconds(spark):
+    message = to_messages(entities(spark, ("100", "1", "Ann"))).first()
+    assert message.key == "1"
+    assert json.loads(message.value) == {
+        "sap_client": "100", "bp_number": "1", "unified_name": "Ann",
+        "created_date_parsed": "2024-01-31", "gold_processed_at": 1706745600123,
+    }
+
+
+def test_avro_contract(spark):
+    record = json.loads(avro_schema())
+    assert (record["name"], record["namespace"]) == ("BusinessPartner", "com.platform.masterdata.v1")
+    fields = {f["name"]: f for f in record["fields"]}
+    assert list(fields) == PARTNER_CONTRACT.fieldNames()
+    assert fields["sap_client"] == {"name": "sap_client", "type": "string"}
+    assert fields["is_active"] == {"name": "is_active", "type": ["null", "boolean"], "default": None}
+    assert fields["gold_processed_at"]["type"] == {"type": "long", "logicalType": "timestamp-millis"}
+
+
+def test_avro_without_its_package_says_so(spark):
+    with pytest.raises(PySparkException, match="(?i)avro"):
+        to_messages(entities(spark, ("100", "1", "Ann")), serializer="avro").collect()
+    with pytest.raises(ValueError):
+        to_messages(entities(spark, ("100", "1", "Ann")), serializer="xml")
+
+
+def test_only_changed_entities_are_published(spark):
+    old = entities(spark, ("100", "1", "Ann", "2024-01-01"), ("100", "2", "Bob", "2024-01-01"),
+                   ("100", "3", "Cid", "2024-01-01"))
+    new = entities(spark, ("100", "1", "Ann", "2024-02-01"), ("100", "2", "Rob", "2024-02-01"),
+                   ("100", "4", "Dee", "2024-02-01"))
+    sent = changed_messages(old, new, ["sap_client", "bp_number"], ["unified_name"])
+    assert {r.key: json.loads(r.value)["unified_name"] for r in sent.collect()} == {
+        "2": "Rob", "4": "Dee"}
+
+
+def test_batch_and_stream_sinks(spark, folder):
+    messages = to_messages(entities(spark, ("100", "1", "Ann"), ("100", "2", "Bob")))
+    assert publish(messages, "parquet", path=f"{folder}/out") is None
+    stream = spark.readStream.schema(messages.schema).parquet(f"{folder}/out")
+    with pytest.raises(ValueError):
+        publish(stream, "parquet", path=f"{folder}/copy")
+    for _ in range(2):  # the second run finds nothing new
+        publish(stream, "parquet", checkpoint=f"{folder}/c", path=f"{folder}/copy").awaitTermination()
+    assert sorted(r.key for r in spark.read.parquet(f"{folder}/copy").collect()) == ["1", "2"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -45,9 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    scratch = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    return scratch
+    return _local_scratch()
+
+
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

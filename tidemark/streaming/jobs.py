@@ -147,10 +147,7 @@ def write_layer(
         writer.save(path)
         return
     writer.option("path", path).saveAsTable(table)
-    tags = {"quality": quality} | ({"comment": comment} if comment else {})
-    listed = ", ".join(f"'{k}' = '{_quoted(v)}'" for k, v in tags.items())
-    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
-
-
-def _quoted(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")
+    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quality' = '{quality}')")
+    if comment:
+        text = comment.replace("\\", "\\\\").replace("'", "\\'")
+        df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{text}'")
