@@ -3,8 +3,7 @@ import random
 import pytest
 from pyspark.errors import PySparkException
 
-from tidemark.operators.changes import change_feed, merge_into, upsert
-from tidemark.operators.dedup import latest_by
+from tidemark.operators.changes import change_feed, merge_into, upsert, upsert_touched
 
 SNAPSHOT = "k string, n int, v string, at string"
 
@@ -40,8 +39,14 @@ def test_only_compared_columns_count(spark):
     ]
 
 
-@pytest.mark.parametrize("how", ["union", "touched"])
-def test_upsert_by_hand(spark, how):
+@pytest.fixture(params=["union", "touched"])
+def merge(request, folder):
+    if request.param == "union":
+        return upsert
+    return lambda *sides: upsert_touched(*sides, f"{folder}/newest")
+
+
+def test_upsert_by_hand(spark, merge):
     rng = random.Random(5)
     keys = [None, "hot", *map(str, range(30))]
     target = {k: (k, rng.randrange(100), f"old-{k}") for k in keys[:20]}
@@ -52,32 +57,37 @@ def test_upsert_by_hand(spark, how):
         if u[0] not in want or u[1] > want[u[0]][1]:
             want[u[0]] = u
     schema = "k string, o int, v string"
-    got = upsert(spark.createDataFrame(list(target.values()), schema),
-                 spark.createDataFrame(updates, schema), ["k"], ["o", "v"], how=how)
+    got = merge(spark.createDataFrame(list(target.values()), schema),
+                spark.createDataFrame(updates, schema), ["k"], ["o", "v"])
     rows = {r.k: (r.k, r.o) for r in got.collect()}
     assert got.count() == len(want)
     assert rows == {k: v[:2] for k, v in want.items()}
 
 
-def test_late_updates_lose(spark):
+def test_late_updates_lose(spark, merge):
     schema = "k string, o int, v string"
     target = spark.createDataFrame([("a", 10, "stored")], schema)
     late = spark.createDataFrame([("a", 9, "late"), ("b", 1, "new")], schema)
-    for how in ("union", "touched"):
-        kept = {r.k: r.v for r in upsert(target, late, ["k"], ["o"], how=how).collect()}
-        assert kept == {"a": "stored", "b": "new"}
+    kept = {r.k: r.v for r in merge(target, late, ["k"], ["o"]).collect()}
+    assert kept == {"a": "stored", "b": "new"}
 
 
 def test_few_updates_leave_the_target_unshuffled(spark, plan, folder):
     spark.range(1000).selectExpr("cast(id as string) k", "id o").write.parquet(f"{folder}/target")
     target = spark.read.parquet(f"{folder}/target")
     few = spark.createDataFrame([("7", 5000), ("new", 1)], "k string, o bigint")
-    latest_by(few, ["k"], ["o"]).write.parquet(f"{folder}/updates")
-    updates = spark.read.parquet(f"{folder}/updates")
-    merged = upsert(target, updates, ["k"], ["o"], how="touched")
-    rest = plan(merged).split("LeftAnti")[0]
-    assert "BroadcastHashJoin" in rest.splitlines()[-1]
+    merged = upsert_touched(target, few, ["k"], ["o"], f"{folder}/newest")
+    untouched = plan(merged).split("LeftAnti")[0]
+    assert "BroadcastHashJoin" in untouched and "Exchange" not in untouched
     assert merged.count() == 1001
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10b")
+    try:
+        beyond = upsert_touched(target, few, ["k"], ["o"], f"{folder}/newest2")
+        assert "Broadcast" not in plan(beyond)
+        assert beyond.count() == 1001
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_merge_needs_a_table_format_that_has_it(spark, folder):

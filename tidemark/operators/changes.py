@@ -15,28 +15,37 @@ def upsert(
     updates: DataFrame,
     keys: Sequence[str | Column],
     order: Sequence[str | Column],
-    how: str = "union",
 ) -> DataFrame:
     """Target and updates as one row per key, the newest by `order`; late updates lose.
 
-    `union` shuffles both sides once. `touched` is for few updates against a large target: only
-    target rows whose key occurs in the updates are compared, the others pass through an anti
-    join, which Spark runs without shuffling the target as long as the updates' keys are small
-    enough for it to broadcast. It needs plain key names and a target with one row per key.
+    Both sides are shuffled once, after each task has cut its rows to the newest per key.
     """
-    if how == "union":
-        return latest_by(target.unionByName(updates), keys, order)
-    if how != "touched":
-        raise ValueError(f"how must be 'union' or 'touched', not {how!r}")
-    newest = latest_by(updates, keys, order)
-    changed = newest.select(*keys)
-    hit = _matching(target, changed, keys, "left_semi")
-    rest = _matching(target, changed, keys, "left_anti")
-    return rest.unionByName(latest_by(hit.unionByName(newest), keys, order))
+    return latest_by(target.unionByName(updates), keys, order)
+
+
+def upsert_touched(
+    target: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    scratch: str,
+) -> DataFrame:
+    """The same for few updates against a large stored target with one row per key.
+
+    The newest update per key is written to `scratch` first, so that Spark plans with its true
+    size: while that is below the broadcast threshold the target is only scanned, not shuffled,
+    and beyond it the joins are ordinary shuffled ones. Only target rows whose key was updated
+    are compared; all others pass through.
+    """
+    latest_by(updates, keys, order).write.parquet(scratch)
+    newest = target.sparkSession.read.schema(updates.schema).parquet(scratch)
+    touched = _matching(target, newest, keys, "left_semi")
+    untouched = _matching(target, newest, keys, "left_anti")
+    return untouched.unionByName(upsert(touched, newest, keys, order))
 
 
 def _matching(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    other = other.toDF(*[f"_other_{key}" for key in keys])
+    other = other.select(*[F.col(key).alias(f"_other_{key}") for key in keys])
     same = [F.col(key).eqNullSafe(F.col(f"_other_{key}")) for key in keys]
     return rows.join(other, reduce(lambda a, b: a & b, same), how)
 

@@ -360,9 +360,13 @@ def bp_upsert(spark, sf_dir):
 
 
 def bp_upsert_touched(spark, sf_dir):
-    target, updates = _partner_sides(spark, sf_dir)
-    merged = changes.upsert(target, updates, SOURCE_KEYS, dedup.PARTNER_ORDER, how="touched")
-    return _plain(merged)
+    out = run_dir(spark, "bp_upsert")
+    stored, updates = _partner_sides(spark, sf_dir)
+    stored.write.parquet(f"{out}/target")
+    target = spark.read.parquet(f"{out}/target")
+    return _plain(changes.upsert_touched(
+        target, updates, SOURCE_KEYS, dedup.PARTNER_ORDER, f"{out}/newest"
+    ))
 
 
 def events_upsert_stream(spark, sf_dir):

@@ -74,6 +74,9 @@ def partner_messages(
     also a supplier, a vendor row. `orders` may be a stream."""
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     customers = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    # Both joins share the customer's key, hence one shuffle of the orders. Joining customers to
+    # suppliers first would leave their side without a shuffle of its own, and Spark splits a hot
+    # key only between two shuffled sides.
     changes = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
         supplier, F.col("s_suppkey") == F.col("o_custkey"), "left"
     )
