@@ -19,6 +19,16 @@ ENVELOPE = (
     "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
 )
 
+PARTNER_RAW = (
+    "kafka_offset BIGINT, kafka_partition INT, kafka_ingest_timestamp TIMESTAMP, "
+    "kafka_topic STRING, raw_payload STRING, message_key STRING, pipeline_ingested_at TIMESTAMP"
+)
+
+EVENT_RAW = (
+    "kafka_offset BIGINT, kafka_timestamp TIMESTAMP, kafka_partition INT, raw_payload STRING, "
+    "ingested_at TIMESTAMP"
+)
+
 PARTNER_PAYLOAD = (
     "bp_number STRING, bp_category STRING, full_name STRING, first_name STRING, last_name STRING, "
     "country_code STRING, region STRING, tax_number STRING, created_date STRING, "

@@ -62,11 +62,21 @@ def read_stream(
     return reader.load(path) if path else reader.load()
 
 
-def read_table_stream(spark: SparkSession, path: str, schema=None, **options: str) -> DataFrame:
-    """An upstream layer read as a stream; the schema comes from the files when not given."""
+def read_table_stream(
+    spark: SparkSession,
+    path: str | None = None,
+    schema=None,
+    table: str | None = None,
+    **options: str,
+) -> DataFrame:
+    """An upstream layer read as a stream, by table name or by folder; without a schema a folder
+    must already hold files to take it from."""
+    reader = spark.readStream.options(**options)
+    if table is not None:
+        return reader.table(table)
     if schema is None:
         schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).options(**options).parquet(path)
+    return reader.schema(schema).parquet(path)
 
 
 def replay(

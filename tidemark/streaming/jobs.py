@@ -131,23 +131,50 @@ def write_layer(
     comment: str | None = None,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    only_partitions: bool = False,
 ) -> None:
     """Materialize a raw, trusted or gold table, tagged with its quality when it has a name.
 
     Partitioned tables are rebalanced on the partition columns first: few files per partition,
-    and a partition holding much of the data is still written by many tasks.
+    and a partition holding much of the data is still written by many tasks. `only_partitions`
+    overwrites the partitions that occur in the rows and leaves the others as they are.
     """
     quality = QUALITY[layer]
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode).format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    writer = df.write.mode(mode).format("parquet").partitionBy(*partition_by)
+    if only_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if table is None:
         writer.save(path)
         return
     writer.option("path", path).saveAsTable(table)
-    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quality' = '{quality}')")
+    tag_table(df.sparkSession, table, quality, comment)
+
+
+def write_layer_stream(
+    df: DataFrame,
+    path: str,
+    layer: str,
+    table: str,
+    checkpoint: str,
+    comment: str | None = None,
+    trigger: str = AVAILABLE_NOW,
+    partition_by: Sequence[str] = (),
+) -> StreamingQuery:
+    """The same for a stream of new rows, which goes on from its checkpoint."""
+    quality = QUALITY[layer]
+    writer = df.writeStream.option("checkpointLocation", checkpoint).option("path", path)
+    writer = writer.trigger(**trigger_options(trigger))
+    query = writer.toTable(table, format="parquet", partitionBy=list(partition_by) or None)
+    tag_table(df.sparkSession, table, quality, comment)
+    if trigger == AVAILABLE_NOW:
+        query.awaitTermination()
+    return query
+
+
+def tag_table(spark: SparkSession, table: str, quality: str, comment: str | None = None) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quality' = '{quality}')")
     if comment:
         text = comment.replace("\\", "\\\\").replace("'", "\\'")
-        df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{text}'")
+        spark.sql(f"COMMENT ON TABLE {table} IS '{text}'")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,6 +49,7 @@ def measure_stream(
     checkpoint: str,
     trigger: str = AVAILABLE_NOW,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Write every row of the stream and one log row per micro-batch.
 
@@ -60,7 +61,8 @@ def measure_stream(
         rows = transform(batch) if transform else batch
         observation = Observation(f"{flow}-{batch_id}")
         observed = observe_rules(rows, rules, observation)
-        observed.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        writer = observed.write.mode("overwrite").partitionBy(*partition_by)
+        writer.parquet(batch_folder(path, batch_id))
         counts = observed_counts(observation, rules)
         entry = _log_row(df.sparkSession, flow, counts, observation.get["_rows"])
         entry.write.mode("overwrite").parquet(batch_folder(log_path, batch_id))
