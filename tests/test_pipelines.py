@@ -38,7 +38,7 @@ def messages(spark, inbox):
 def run_partners(spark, inbox, layers, version, previous, out):
     pipelines.ingest_partners(messages(spark, inbox), layers)
     pipelines.trust_partners(spark, layers)
-    gold = pipelines.unify_partners(spark, layers, version)
+    gold = pipelines.unify_partners(spark, layers, version, previous)
     pipelines.publish_partners(spark, layers, version, previous, "parquet", path=out)
     sent = spark.read.parquet(out).collect()
     return ({r.bp_number: r.unified_name for r in gold.collect()},

@@ -205,6 +205,31 @@ def test_stream_upserts_into_a_seeded_table_and_folds(spark, inbox, folder):
         latest.upsert_stream(one_file_each(spark, inbox, CHANGE), ["k"], ["o"], f"{folder}/c2")
 
 
+def test_folding_reads_only_the_batches_since(spark, inbox, folder, plan):
+    def start():
+        latest.latest_stream(one_file_each(spark, inbox, CHANGE), ["k"], ["o"],
+                             f"{folder}/table", f"{folder}/c")
+
+    def fold(out, previous=None):
+        rows = latest.fold(spark, f"{folder}/table", f"{folder}/{out}", ["k"], ["o"],
+                           previous and f"{folder}/{previous}")
+        return {r.k: (r.o, r.v) for r in rows.collect()}
+
+    inbox.put({"k": "a", "o": 5, "v": "x"}, {"k": "b", "o": 5, "v": "x"})
+    inbox.put({"k": "a", "o": 6, "v": "y"})
+    start()
+    assert fold("one") == table(spark, folder) == {"a": (6, "y"), "b": (5, "x")}
+    assert fold("same", "one") == fold("one")
+    inbox.put({"k": "a", "o": 1, "v": "late"}, {"k": "c", "o": 1, "v": "z"})
+    inbox.put({"k": "b", "o": 7, "v": "y"})
+    start()
+    want = {"a": (6, "y"), "b": (7, "y"), "c": (1, "z")}
+    assert fold("two", "one") == fold("all") == table(spark, folder) == want
+    assert fold("two", "one") == want  # a repeated fold replaces itself
+    done = spark.read.parquet(f"{folder}/two").first().folded_to
+    assert done == 2  # the newest batch, 3, is read again
+
+
 def test_counts_of_each_batch_reach_the_log(spark, inbox, folder):
     inbox.put(event("a", 0, entity_id="u"), event(None, 1))
     inbox.put(event("b", 2, amount_usd=1.0))

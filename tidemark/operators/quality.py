@@ -44,7 +44,11 @@ def measure(df: DataFrame, rules: Rules, by: Sequence[str] = ()) -> DataFrame:
 
 
 def observe_rules(df: DataFrame, rules: Rules, observation: Observation) -> DataFrame:
-    """The same rows; the counts are gathered by whatever action writes them."""
+    """The same rows; the counts are gathered by whatever action writes them.
+
+    Observe last, right before the write: rows of a stage before a shuffle are counted again
+    when a lost executor makes that stage run again.
+    """
     return df.observe(observation, *rule_counters(rules))
 
 

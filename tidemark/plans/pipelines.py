@@ -62,10 +62,17 @@ def ingest_partners(
 
 
 def trust_partners(
-    spark: SparkSession, layers: Layers, trigger: str = jobs.AVAILABLE_NOW, now: Moment = None
+    spark: SparkSession,
+    layers: Layers,
+    trigger: str = jobs.AVAILABLE_NOW,
+    now: Moment = None,
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
-    """The newest rows of every micro-batch, and their expectation counts in the log."""
-    raw = read_table_stream(spark, layers.raw, PARTNER_RAW)
+    """The newest rows of every micro-batch, and their expectation counts in the log.
+
+    `options` such as `maxFilesPerTrigger` bound a micro-batch.
+    """
+    raw = read_table_stream(spark, layers.raw, PARTNER_RAW, **(options or {}))
     return measure_stream(
         flows.parsed_partners(raw), PARTNER_RULES, "bp_trusted", layers.trusted, layers.log,
         layers.checkpoint("trusted"), trigger,
@@ -74,15 +81,31 @@ def trust_partners(
 
 
 def unify_partners(
-    spark: SparkSession, layers: Layers, version: str, now: Moment = None, **options
+    spark: SparkSession,
+    layers: Layers,
+    version: str,
+    previous: str | None = None,
+    now: Moment = None,
+    **options,
 ) -> DataFrame:
-    """Recompute the entity of every partner and keep it as one version of the gold table."""
-    trusted = latest.read_latest(spark, layers.trusted, flows.TRUSTED_KEYS, dedup.PARTNER_ORDER)
+    """Build the entity of every partner, kept as one version of the gold table.
+
+    The trusted rows are folded first; given the `previous` version only the changes since are
+    read besides it.
+    """
+    trusted = latest.fold(
+        spark, layers.trusted, folded_version(layers, version), flows.TRUSTED_KEYS,
+        dedup.PARTNER_ORDER, previous and folded_version(layers, previous),
+    )
     gold = partners.entity_json(partners.unify(trusted, now, **options))
     jobs.write_layer(gold, partner_version(layers, version), "gold")
     return spark.read.parquet(partner_version(layers, version))
 
 
+def folded_version(layers: Layers, version: str) -> str:
+    return f"{layers.root}/trusted_newest/{version}"
+
+
 def partner_version(layers: Layers, version: str) -> str:
     return f"{layers.gold('business_partner')}/{version}"
 
@@ -124,9 +147,10 @@ def trust_events(
     trigger: str = jobs.AVAILABLE_NOW,
     now: Moment = None,
     rates=None,
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Events without copies, in folders per day, and their expectation counts in the log."""
-    raw = read_table_stream(spark, layers.raw, EVENT_RAW)
+    raw = read_table_stream(spark, layers.raw, EVENT_RAW, **(options or {}))
     return measure_stream(
         flows.trusted_events(raw, now, rates), EVENT_RULES, "trusted_events", layers.trusted,
         layers.log, layers.checkpoint("trusted"), trigger, partition_by=["event_date"],

@@ -2,16 +2,16 @@
 
 Streams refuse row numbers, so each micro-batch is cut to its newest row per key and written as
 one folder of the table, overwritten if the batch is run again. A batch costs as much as its own
-rows, never the whole table; the newest row over all folders is picked on reading. `seed` starts
-a table from existing rows, and so also folds a table with many batches into a new one. Tables
-whose format supports MERGE are upserted in place instead.
+rows, never the whole table; the newest row over all folders is picked on reading. `fold` keeps
+that reading from growing with the history: it writes the newest rows from the fold before and the
+batches since. Tables whose format supports MERGE are upserted in place instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.changes import merge_into
@@ -59,6 +59,34 @@ def read_latest(
     return latest_by(spark.read.parquet(path), keys, order).drop("batch_id")
 
 
+def fold(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    keys: Sequence[str | Column],
+    order: Sequence[str | Column],
+    previous: str | None = None,
+) -> DataFrame:
+    """Write the table at `path` to `out` as one row per key, and give it.
+
+    With the folder of a `previous` fold only the batches since are read. The newest batch may
+    still be in the writing, so it is read again by the next fold; those before it are complete.
+    """
+    batches = spark.read.parquet(path)
+    last = batches.agg(F.max("batch_id")).first()[0]
+    rows = batches.drop("batch_id")
+    if previous is not None:
+        folded = spark.read.parquet(previous)
+        done = folded.agg(F.max("folded_to")).first()[0]
+        if done is not None:
+            rows = folded.drop("folded_to").unionByName(
+                batches.where(F.col("batch_id") > done).drop("batch_id")
+            )
+    newest = latest_by(rows, keys, order).withColumn("folded_to", F.lit(last - 1))
+    newest.write.mode("overwrite").partitionBy("folded_to").parquet(out)
+    return spark.read.parquet(out).drop("folded_to")
+
+
 def upsert_stream(
     updates: DataFrame,
     keys: Sequence[str],
