@@ -3,8 +3,8 @@
 Each layer is first written as a table, as a deployment would do, so that a query is timed on
 the layer it reads and not on making the messages. Batch results go to the `noop` sink, which
 computes every row. BENCH_SF_DIR, BENCH_CPUS and BENCH_RUNS set data, cores and repetitions; the
-median is reported. With BENCH_EVENT_LOG set to a folder, shuffle bytes are added from Spark's
-event log.
+median after one untimed run is reported. With BENCH_EVENT_LOG set to a folder, the shuffle bytes
+of a run are added from Spark's event log.
 """
 
 from __future__ import annotations
@@ -150,7 +150,7 @@ def stream_queries(spark, root):
 
 
 def shuffle_bytes(folder):
-    """Shuffle bytes written per query, from the event log; the mean over the runs."""
+    """Shuffle bytes written per run of a query, from the event log."""
     names, totals = {}, defaultdict(int)
     for path in glob.glob(f"{folder}/*"):
         with open(path) as lines:
@@ -163,7 +163,8 @@ def shuffle_bytes(folder):
                 elif event["Event"] == "SparkListenerTaskEnd":
                     written = (event.get("Task Metrics") or {}).get("Shuffle Write Metrics", {})
                     totals[names.get(event["Stage ID"], "")] += written.get("Shuffle Bytes Written", 0)
-    return {n.removeprefix("bench:"): b // RUNS for n, b in totals.items() if n.startswith("bench:")}
+    runs = RUNS + 1
+    return {n.removeprefix("bench:"): b // runs for n, b in totals.items() if n.startswith("bench:")}
 
 
 def main():
@@ -184,6 +185,7 @@ def main():
         if only and name not in only:
             continue
         spark.sparkContext.setJobDescription(f"bench:{name}")
+        run()
         times = []
         for _ in range(RUNS):
             started = time.perf_counter()

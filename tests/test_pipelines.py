@@ -86,9 +86,20 @@ def test_event_pipeline_refreshes_only_the_days_asked_for(spark, inbox, folder):
     step()
     pipelines.refresh_event_gold(spark, layers, since="2024-01-02", now="2024-02-05")
     assert totals() == ({1: 1, 2: 3, 3: 1}, {1: 1, 2: 5, 3: 5})
+    inbox.put(message(7, event_id="undated", event_type="BUY"))
+    step()
+    pipelines.refresh_event_gold(spark, layers, since="2024-01-03")
+    undated = spark.read.parquet(layers.gold("entity_daily")).where("event_date IS NULL")
+    assert [r.total_events for r in undated.collect()] == [1]
+    query = jobs.refresh(
+        spark, lambda: pipelines.trust_events(spark, layers),
+        [layers.trusted, layers.log, layers.checkpoint("trusted")], mode="full",
+    )
+    assert jobs.stream_stats(query)["input_rows"] == 7
     failed = {r.expectation_name: (r.passed_records, r.failed_records) for r in
               monitor.dq_summary(spark.read.parquet(layers.log)).collect()}
-    assert failed["amount_non_negative"] == (4, 1)
+    assert failed["amount_non_negative"] == (5, 1)
+    assert failed["timestamp_not_null"] == (5, 1)
 
 
 def test_always_on_streams(spark, inbox, folder):

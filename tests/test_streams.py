@@ -86,19 +86,21 @@ def test_restart_repeats_and_loses_nothing(spark, inbox, folder):
 
 def test_incremental_and_full_refresh(spark, inbox, folder):
     inbox.put(event("a", 0))
-    job = jobs.StreamJob(lambda s: one_file_each(s, inbox, EVENT), f"{folder}/out",
-                         f"{folder}/checkpoint")
-    first = jobs.refresh(spark, job)
-    again = jobs.refresh(spark, job)
-    assert jobs.stream_stats(first)["input_rows"] == 1
-    assert jobs.stream_stats(again)["input_rows"] == 0
+
+    def refreshed(mode="incremental"):
+        query = jobs.refresh(
+            spark, lambda: run(one_file_each(spark, inbox, EVENT), folder),
+            [f"{folder}/out", f"{folder}/checkpoint"], mode,
+        )
+        return jobs.stream_stats(query)["input_rows"]
+
+    assert (refreshed(), refreshed()) == (1, 0)
     inbox.put(event("b", 1))
-    assert jobs.stream_stats(jobs.refresh(spark, job))["input_rows"] == 1
-    full = jobs.refresh(spark, job, mode="full")
-    assert jobs.stream_stats(full)["input_rows"] == 2
+    assert refreshed() == 1
+    assert refreshed("full") == 2
     assert ids(spark, folder) == {"a": 1, "b": 1}
     with pytest.raises(ValueError):
-        jobs.refresh(spark, job, mode="some")
+        refreshed("some")
 
 
 def test_interval_trigger_keeps_running(spark, inbox, folder):

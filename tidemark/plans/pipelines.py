@@ -163,11 +163,12 @@ def refresh_event_gold(
     """Recompute the hourly and daily tables, or with `since` only the days from that date on.
 
     Days are partitions of both sides, so a refresh of the latest days reads and replaces only
-    those.
+    those. Rows without a date, from unreadable messages, are one partition more and always read.
     """
     trusted = spark.read.parquet(layers.trusted).drop("batch_id")
     if since is not None:
-        trusted = trusted.where(F.col("event_date") >= F.lit(since).cast("date"))
+        day = F.col("event_date")
+        trusted = trusted.where(day.isNull() | (day >= F.lit(since).cast("date")))
     tables = {
         "event_metrics": events.hourly_metrics(trusted, now=now, unique_ids=True),
         "entity_daily": events.entity_daily(trusted, now),

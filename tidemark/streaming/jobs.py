@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -94,16 +93,6 @@ def stream_stats(query: StreamingQuery) -> dict[str, int]:
     }
 
 
-@dataclass(frozen=True)
-class StreamJob:
-    """A stream and where its table and progress are kept."""
-
-    build: Callable[[SparkSession], DataFrame]
-    path: str
-    checkpoint: str
-    mode: str = "append"
-
-
 def _clear(spark: SparkSession, folder: str) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
@@ -111,16 +100,19 @@ def _clear(spark: SparkSession, folder: str) -> None:
 
 
 def refresh(
-    spark: SparkSession, job: StreamJob, mode: str = "incremental", trigger: str = AVAILABLE_NOW
+    spark: SparkSession,
+    run: Callable[[], StreamingQuery],
+    folders: Sequence[str],
+    mode: str = "incremental",
 ) -> StreamingQuery:
-    """Run a job: `incremental` goes on from its checkpoint, `full` clears table and checkpoint
-    and reads the source from the start."""
+    """Run a stream: `incremental` goes on from its checkpoint, `full` first clears its `folders`,
+    which are its checkpoint and its tables, and so reads the source from the start."""
     if mode not in ("incremental", "full"):
         raise ValueError(f"mode must be 'incremental' or 'full', not {mode!r}")
     if mode == "full":
-        _clear(spark, job.path)
-        _clear(spark, job.checkpoint)
-    return run_stream(job.build(spark), job.path, job.checkpoint, job.mode, trigger)
+        for folder in folders:
+            _clear(spark, folder)
+    return run()
 
 
 def write_layer(
