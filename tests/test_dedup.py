@@ -67,3 +67,10 @@ def test_hot_key_is_cut_before_the_shuffle(spark, plan):
 def test_unknown_strategy_is_refused(spark):
     with pytest.raises(ValueError):
         latest_by(spark.range(1), ["id"], ["id"], how="sort")
+
+
+def test_rows_with_maps_can_be_picked(spark):
+    df = spark.createDataFrame([("a", 1, {"k": "1"}), ("a", 2, {"k": "2"})],
+                               "k string, o int, m map<string,string>")
+    for how in ("window", "agg"):
+        assert latest_by(df, ["k"], ["o"], how=how).first().m == {"k": "2"}

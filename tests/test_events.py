@@ -147,8 +147,9 @@ def test_amounts_are_converted_by_mapping_or_table(spark):
     for r in mapped.collect():
         rate = rates.get(r.currency, 1.0)
         assert r.amount_usd == (None if r.amount is None else pytest.approx(r.amount * rate))
-    same = events.convert_amount(df).where(~F.col("amount_usd").eqNullSafe(F.col("amount")))
-    assert same.isEmpty()
+    for none in (None, {}):
+        same = events.convert_amount(df, none)
+        assert same.where(~F.col("amount_usd").eqNullSafe(F.col("amount"))).isEmpty()
 
 
 def test_derived_columns_have_real_types(spark):

@@ -5,6 +5,7 @@ import pytest
 
 from tidemark.operators import monitor, partners
 from tidemark.operators.envelope import event_envelope
+from tidemark.operators.dedup import latest_by
 from tidemark.plans import flows
 from tidemark.schemas import EVENT_RULES
 from tidemark.sources.readers import read_stream, read_table_stream
@@ -185,6 +186,15 @@ def test_newest_row_per_key_across_batches(spark, inbox, folder):
     assert stored.groupBy("batch_id").count().where("count > 2").isEmpty()
 
 
+def test_newest_row_as_a_streaming_aggregate(spark, inbox, folder):
+    inbox.put({"k": "a", "o": 5, "v": "y"}, {"k": "b", "o": 2})
+    inbox.put({"k": "a", "o": 3, "v": "late"}, {"k": "b", "o": 4, "v": "z"})
+    rows = latest_by(one_file_each(spark, inbox, CHANGE), ["k"], ["o"], how="agg")
+    run(rows, folder, mode="complete")
+    newest = jobs.read_snapshot(spark, f"{folder}/out").collect()
+    assert {r.k: (r.o, r.v) for r in newest} == {"a": (5, "y"), "b": (4, "z")}
+
+
 def test_a_repeated_batch_replaces_itself(spark, folder):
     rows = spark.createDataFrame([("a", 1, "x")], CHANGE)
     for _ in range(2):

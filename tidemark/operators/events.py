@@ -25,7 +25,7 @@ def convert_amount(
     at all. A (currency, rate) table is joined; its size decides whether Spark broadcasts it.
     A currency without a rate, or none, leaves the amount unchanged.
     """
-    if rates is None:
+    if rates is None or rates == {}:
         return df.withColumn(out, F.col(amount))
     if isinstance(rates, DataFrame):
         table = rates.toDF("_currency", "_rate")
@@ -51,7 +51,8 @@ def _distinct(column: str, approx: bool) -> Column:
     return F.approx_count_distinct(column) if approx else F.count_distinct(column)
 
 
-def _window_bounds(df: DataFrame) -> DataFrame:
+def window_bounds(df: DataFrame) -> DataFrame:
+    """The window's start and end as columns of their own."""
     bounds = {"window_start": F.col("_window.start"), "window_end": F.col("_window.end")}
     return df.withColumns(bounds).drop("_window")
 
@@ -90,7 +91,7 @@ def hourly_metrics(
         F.min("event_timestamp").alias("first_event_at"),
         F.max("event_timestamp").alias("last_event_at"),
     )
-    return _window_bounds(metrics).withColumn("gold_processed_at", moment(now))
+    return window_bounds(metrics).withColumn("gold_processed_at", moment(now))
 
 
 def _seconds(duration: str) -> int | None:

@@ -475,10 +475,11 @@ QUERIES = (
     events_dedup, trusted_events, trusted_events_basic, amount_fx, amount_fx_table,
     events_dedup_stream, events_dedup_unbounded_stream, trusted_events_stream,
     hourly_event_metrics, hourly_event_metrics_general, sliding_event_metrics,
-    sliding_event_metrics_general, hourly_metrics_basic, type_source_metrics, entity_daily_summary, hourly_counts_stream,
-    sliding_counts_stream, bp_latest, bp_latest_agg, bp_latest_string_offset, bp_trusted,
-    bp_latest_stream, bp_unified, bp_unified_pivot, bp_unified_active, bp_entity_json,
-    publish_messages, publish_changed_messages, events_upsert, events_upsert_stream, bp_upsert,
+    sliding_event_metrics_general, hourly_metrics_basic, type_source_metrics,
+    entity_daily_summary, hourly_counts_stream, sliding_counts_stream, bp_latest,
+    bp_latest_agg, bp_latest_string_offset, bp_trusted, bp_latest_stream, bp_unified,
+    bp_unified_pivot, bp_unified_active, bp_entity_json, publish_messages,
+    publish_changed_messages, events_upsert, events_upsert_stream, bp_upsert,
     bp_upsert_touched, bp_change_feed, dq_bp_counts, dq_bp_counts_strict, dq_bp_trusted_counts,
     dq_event_counts, dq_event_counts_change_types, dq_event_trusted_counts,
     dq_event_daily_counts, dq_tagged_rows, dq_valid_country, dq_valid_category,

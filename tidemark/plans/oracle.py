@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from tidemark.plans.catalog import (
-    EVENT_SPLIT, LOG_AS_OF, NOW, PARTNER_SPLIT, RATES, REPLAY,
-)
+from tidemark.plans.catalog import LOG_AS_OF, NOW, PARTNER_SPLIT, RATES, REPLAY
 from tidemark.schemas import (
     ALERT_THRESHOLD, EVENT_RULES, EVENT_RULES_CHANGE_TYPES, PARTNER_RULES, PARTNER_RULES_STRICT,
     THROUGHPUT_ROWS, TREND_HOURS,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.events import DIMENSIONS
+from tidemark.operators.events import DIMENSIONS, window_bounds
 from tidemark.schemas import METRIC_WINDOW
 
 
@@ -27,5 +27,4 @@ def hourly_metrics_stream(
         F.min("event_timestamp").alias("first_event_at"),
         F.max("event_timestamp").alias("last_event_at"),
     )
-    bounds = {"window_start": F.col("_window.start"), "window_end": F.col("_window.end")}
-    return metrics.withColumns(bounds).drop("_window")
+    return window_bounds(metrics)
