@@ -137,6 +137,8 @@ def test_tumbling_stream_in_every_mode(spark, inbox, folder):
     run(stream(), f"{folder}/complete", mode="complete")
     complete = jobs.read_snapshot(spark, f"{folder}/complete/out")
     assert counts(complete) == whole
+    earlier = jobs.read_snapshot(spark, f"{folder}/complete/out", running=True)
+    assert sum(counts(earlier).values()) in (4, 5)  # a last empty batch may repeat the result
     first = complete.orderBy("window_start").first()
     assert (first.unique_entities, first.unique_sessions, first.total_amount_usd) == (2, 1, 2.0)
     run(stream(), f"{folder}/update", mode="update")

@@ -164,6 +164,7 @@ def refresh_event_gold(
 
     Days are partitions of both sides, so a refresh of the latest days reads and replaces only
     those. Rows without a date, from unreadable messages, are one partition more and always read.
+    A micro-batch that is being written meanwhile is picked up by the next refresh.
     """
     trusted = spark.read.parquet(layers.trusted).drop("batch_id")
     if since is not None:

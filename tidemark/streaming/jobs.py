@@ -66,11 +66,13 @@ def run_stream(
     return start_stream(df, checkpoint, write, mode, trigger)
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete result: the rows of the last micro-batch."""
+def read_snapshot(spark: SparkSession, path: str, running: bool = False) -> DataFrame:
+    """The newest complete result: the rows of the last micro-batch, or of the one before while
+    the stream is `running` and the last may still be in the writing."""
     batches = spark.read.parquet(path)
     last = batches.agg(F.max("batch_id")).first()[0]
-    return batches.where(F.col("batch_id") == last).drop("batch_id")
+    settled = last - 1 if running and last else last
+    return batches.where(F.col("batch_id") == settled).drop("batch_id")
 
 
 def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
