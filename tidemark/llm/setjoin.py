@@ -109,7 +109,7 @@ def _post(words: int, percent: int, common: np.ndarray, counts: np.ndarray, long
     return run
 
 
-_FOUND = "kind int, gram long, n int, pos int, a long, m int, b long"
+_FOUND = "kind int, gram long, n int, pos int, a long, m int, b long, shared int"
 
 
 def _lists(percent: int, longest: int, block: int = 8):
@@ -125,7 +125,7 @@ def _lists(percent: int, longest: int, block: int = 8):
         long = (own > longest) | (spread > 0)
         if long.any():
             yield _batch(_FOUND, np.ones(long.sum(), np.int32), gram[long], n[long], pos[long], key[long],
-                         np.zeros(long.sum(), np.int32), np.zeros(long.sum(), np.int64))
+                         np.zeros(long.sum(), np.int32), np.zeros(long.sum(), np.int64), np.zeros(long.sum(), np.int32))
         use = ~long & (own > 1)
         if not use.any():
             return
@@ -157,11 +157,12 @@ def _lists(percent: int, longest: int, block: int = 8):
                 left, right = left[ok], right[ok]
                 swap = key[left] > key[right]
                 left, right = np.where(swap, right, left), np.where(swap, left, right)
-                pairs = np.unique(np.stack([key[left], key[right], n[left], n[right]]), axis=1)
+                rows = np.stack([key[left], key[right], n[left], n[right]])
+                pairs, shared = np.unique(rows, axis=1, return_counts=True)
                 if pairs.shape[1]:
                     zero = np.zeros(pairs.shape[1], np.int64)
                     yield _batch(_FOUND, zero.astype(np.int32), zero, pairs[2].astype(np.int32), zero.astype(np.int32),
-                                 pairs[0], pairs[3].astype(np.int32), pairs[1])
+                                 pairs[0], pairs[3].astype(np.int32), pairs[1], shared.astype(np.int32))
             k = k + 1
             go = (k < end[mine[probe]])
             probe, k = probe[go], k[go]
@@ -193,6 +194,17 @@ def _lists(percent: int, longest: int, block: int = 8):
     return run
 
 
+def _short(grams: np.ndarray) -> bytes:
+    """Five bytes of each hash: two sets are told apart by them, not a whole corpus."""
+    return (grams >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _long(grams: bytes) -> np.ndarray:
+    out = np.zeros((len(grams) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(grams, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
+
+
 def _fetch(words: int, bits: np.ndarray):
     schema = "set long, n int, doc_id long, grams binary"
 
@@ -204,8 +216,8 @@ def _fetch(words: int, bits: np.ndarray):
             ids, out, size = batch.column(0).take(rows), [], 0
             for i, grams in shingle_sets(batch.column(1).take(rows), words):
                 if len(grams):
-                    out.append((set_id(grams), len(grams), ids[i].as_py(), grams.tobytes()))
-                    size += 8 * len(grams)
+                    out.append((set_id(grams), len(grams), ids[i].as_py(), _short(grams)))
+                    size += 5 * len(grams)
                 if size > 8 << 20:
                     yield _batch(schema, *zip(*out, strict=True))
                     out, size = [], 0
@@ -222,7 +234,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         both = []
         for x, y in zip(batch.column("grams_a"), batch.column("grams_b"), strict=True):
-            all_ = np.concatenate([np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)])
+            all_ = np.concatenate([_long(v.as_buffer()) for v in (x, y)])
             all_.sort()
             both.append(int((all_[1:] == all_[:-1]).sum()))
         yield _batch(_COMPARED, *(batch.column(c) for c in ("a", "n", "b", "m")), both)
@@ -260,7 +272,7 @@ def jaccard_components(
     `common` bounds the n-grams whose counts are sent to every task (those found `often` times or more
     in one batch, most frequent first), and `bits` the map of wanted ids; both shift work only. Lists
     of more than `longest` entries are compared through a leader. Results are exact, up to collisions
-    of 64-bit hashes.
+    of 64-bit hashes (40 bits within a compared pair).
     """
     spark, folder = docs.sparkSession, run_dir(docs.sparkSession, "jaccard")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -284,11 +296,11 @@ def jaccard_components(
         .mapInArrow(_lists(percent, longest), _FOUND),
         f"{folder}/found",
     )
-    pairs = found.where("kind = 0").select("a", "n", "b", "m")
     entries = written(
         found.where("kind = 1").groupBy("gram", F.col("a").alias("set"), "n").agg(F.min("pos").alias("pos")),
         f"{folder}/entries",
     )
+    pairs = _likely(found.where("kind = 0"), entries, percent)
     # The leader of a list is its smallest set number: lists of one group of near copies share it.
     leaders = entries.groupBy("gram").agg(F.min(F.struct("set", "n")).alias("leader"))
     star = entries.join(leaders, "gram").where(
@@ -337,6 +349,26 @@ def jaccard_components(
     )
 
 
+def _likely(found: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
+    """The pairs that share enough of the indexed n-grams.
+
+    Of two sets, let x be the one whose indexed n-grams end first in the order. What they have in common
+    up to there is indexed in both, and x has fewer than its least overlap behind. So a pair over the
+    threshold shares more indexed n-grams than its overlap less the larger least overlap. N-grams of long
+    lists aren't counted, so as many are taken for shared as both sets have.
+    """
+    in_long = entries.groupBy("set", "n").agg(F.count("*").alias("long"))
+    least = lambda n: F.ceil(F.col(n) * percent / F.lit(100) - 1e-9)
+    need = F.ceil((F.col("n") + F.col("m")) * percent / F.lit(100 + percent) - 1e-9) - F.greatest(least("n"), least("m"))
+    return (
+        found.groupBy("a", "n", "b", "m").agg(F.sum("shared").alias("shared"))
+        .join(in_long.select(F.col("set").alias("a"), "n", F.col("long").alias("long_a")), ["a", "n"], "left")
+        .join(in_long.select(F.col("set").alias("b"), F.col("n").alias("m"), F.col("long").alias("long_b")), ["b", "m"], "left")
+        .where(F.col("shared") + F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0))) > need)
+        .select("a", "n", "b", "m")
+    )
+
+
 def _open_pairs(entries, leaders, compared, classes, groups, percent) -> DataFrame:
     """Pairs of long lists that neither a leader nor a common component has settled."""
     near = compared.select(
