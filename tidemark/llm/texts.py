@@ -19,6 +19,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Every ASCII byte but letters and digits, for words without the marks around them.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -53,9 +55,9 @@ def batch_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def _hash_block(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_block(raw: np.ndarray, cuts: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of a block of bytes and where the words start; no word reaches over a cut."""
-    word = ~_SPACE[raw]
+    word = ~gaps[raw]
     edge = np.empty(len(raw) + 1, bool)
     edge[0], edge[-1] = True, True
     edge[1:-1] = ~word[:-1]
@@ -97,16 +99,16 @@ def _blocks(raw: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, int, in
             row = last
 
 
-def word_hashes(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def word_hashes(column: pa.Array, gaps: np.ndarray = _SPACE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, hashes of the words, offsets of the rows in them) for runs of whole rows.
 
-    Words are the runs of bytes between white space (tab to carriage return, and space), with A-Z in
-    lower case. Every row comes in exactly one run.
+    Words are the runs of bytes between `gaps` (white space: tab to carriage return, and space), with A-Z
+    in lower case. Every row comes in exactly one run.
     """
     raw, at = batch_bytes(column)
     parts: list[np.ndarray] = []
     for row, last, low, high in _blocks(raw, at):
-        hashes, starts = _hash_block(raw[low:high], at[row : last + 1] - low)
+        hashes, starts = _hash_block(raw[low:high], at[row : last + 1] - low, gaps)
         if last == row + 1 and (low, high) != (at[row], at[last]):
             parts.append(hashes)
             if high == at[last]:
