@@ -4,25 +4,150 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import langid, secrets
+from tidemark.llm.chat import collapse_snapshots
+from tidemark.llm.decontam import find_leaks
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.setjoin import jaccard_components
+from tidemark.llm.shards import shard_documents
+from tidemark.llm.spotsigs import fingerprint_documents
+from tidemark.llm.tokencount import token_counts
+from tidemark.llm.urlfilter import judge_urls
+
+#: Fixed values of the queries: the url rules, the tokenizer and the number of shards.
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+TOKENIZER = "byte_bpe_50k.json"
+SHARDS = 24
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(doc_id: str = "doc_id"):
+    """A quarter of the documents, never learned from: crc32 of the id as text leaves 2 when divided by 4."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that aren't held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~F.coalesce(held_out(), F.lit(False))))
+    return langid.predict(docs, model).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
+def op2_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The maximal conversations, rendered."""
+    return collapse_snapshots(_table(spark, sf_dir, "conversations"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 5-word shingles, Jaccard of 0.8 or more."""
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards of near equal bytes."""
+    sharded = shard_documents(_table(spark, sf_dir, "documents"), SHARDS)
+    return sharded.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and of its edited text, and how alike they are."""
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of tokens of every document."""
+    counted = token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=512)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op7_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut into pieces of power-of-two length, a sequence each."""
+    packed = pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=2048)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
+
+
+def op8_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that documents hold, reworded ones too."""
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets in every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return secrets.scan_secrets(docs, secrets.fit(docs)).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_markov")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on the url of every page."""
+    judged = judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+OP10_SQL = """
+WITH parts AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path,
+         row_number() OVER () AS row
+  FROM pages
+), rules(verdict, h, p) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+         ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), fits AS (
+  SELECT row, verdict, h || p AS rule,
+         row_number() OVER (PARTITION BY row ORDER BY length(h || p) DESC, length(h) DESC) AS nth
+  FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fits WHERE nth = 1) USING (row)
+"""
+
+OP2_SQL = r"""
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations
+), numbered AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k,
+         '<|' || replace(replace(coalesce(role, ''), '<\', '<\\'), '<|', '<\|') || '|>' || chr(10)
+         || replace(replace(coalesce(text, ''), '<\', '<\\'), '<|', '<\|') || '<|end|>' || chr(10) AS piece
+  FROM turns
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(piece, '' ORDER BY k) AS body FROM numbered GROUP BY conv_id
+), kept AS (
+  SELECT min(conv_id) AS conv_id, n_turns, count(*) AS n_copies, body FROM whole GROUP BY n_turns, body
+)
+SELECT conv_id, (k - 1) // 256 AS part, n_turns, n_copies, string_agg(piece, '' ORDER BY k) AS rendered
+FROM kept JOIN numbered USING (conv_id)
+WHERE NOT EXISTS (
+  SELECT 1 FROM kept AS longer WHERE longer.n_turns > kept.n_turns AND starts_with(longer.body, kept.body)
+)
+GROUP BY conv_id, part, n_turns, n_copies
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+        f.__name__: f for f in (
+            op1_language_id, op2_chat_snapshots, op3_ngram_jaccard_join, op4_histogram_shards, op5_spot_signatures,
+            op6_token_counts, op7_binary_packing, op8_template_leaks, op9_secret_scan, op10_url_filter,
+        )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_chat_snapshots": OP2_SQL, "op10_url_filter": OP10_SQL}
