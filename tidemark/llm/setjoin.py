@@ -296,16 +296,19 @@ def jaccard_components(
         .mapInArrow(_lists(percent, longest), _FOUND),
         f"{folder}/found",
     )
-    entries = written(
-        found.where("kind = 1").groupBy("gram", F.col("a").alias("set"), "n").agg(F.min("pos").alias("pos")),
-        f"{folder}/entries",
+    listed = found.where("kind = 1").select("gram", F.col("a").alias("set"), "n", "pos").distinct()
+    in_long = written(listed.groupBy("set", "n").agg(F.count("*").alias("long")), f"{folder}/in-long")
+    entries = written(listed.join(in_long, ["set", "n"]), f"{folder}/entries")
+    pairs = _likely(found.where("kind = 0"), in_long, percent)
+    # The leader of a list is in most long lists: of a text and its edited copies it is the text, as
+    # what the copies have of their own fills up their places in the index.
+    leaders = entries.groupBy("gram").agg(F.max(F.struct("long", "set", "n")).alias("leader"))
+    led = entries.join(leaders, "gram").select(
+        "gram", "set", "n", "pos", "long", F.col("leader.set").alias("la"), F.col("leader.n").alias("ln")
+    )
+    star = led.where((F.col("set") != F.col("la")) | (F.col("n") != F.col("ln"))).select(
+        F.col("la").alias("a"), F.col("ln").alias("n"), F.col("set").alias("b"), F.col("n").alias("m")
     )
-    pairs = _likely(found.where("kind = 0"), entries, percent)
-    # The leader of a list is its smallest set number: lists of one group of near copies share it.
-    leaders = entries.groupBy("gram").agg(F.min(F.struct("set", "n")).alias("leader"))
-    star = entries.join(leaders, "gram").where(
-        (F.col("set") != F.col("leader.set")) | (F.col("n") != F.col("leader.n"))
-    ).select(F.col("leader.set").alias("a"), F.col("leader.n").alias("n"), F.col("set").alias("b"), F.col("n").alias("m"))
 
     def compare(pairs: DataFrame, step: str) -> DataFrame:
         pairs = written(pairs.distinct(), f"{folder}/pairs-{step}")
@@ -333,8 +336,7 @@ def jaccard_components(
 
     compared = compare(pairs.unionByName(star), "1")
     groups = components(spark, named(compared), f"{folder}/components-1")
-    open_ = _open_pairs(entries, leaders, compared, classes, groups, percent)
-    open_ = written(open_, f"{folder}/open")
+    open_ = written(_open_pairs(led, compared, classes, groups, percent), f"{folder}/open")
     if not open_.isEmpty():
         more = compare(open_, "2")
         links = named(more).unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))
@@ -349,48 +351,55 @@ def jaccard_components(
     )
 
 
-def _likely(found: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
-    """The pairs that share enough of the indexed n-grams.
+def _need(n: str, m: str, percent: int) -> Column:
+    """Pairs over the threshold share more than so many indexed n-grams.
 
     Of two sets, let x be the one whose indexed n-grams end first in the order. What they have in common
-    up to there is indexed in both, and x has fewer than its least overlap behind. So a pair over the
-    threshold shares more indexed n-grams than its overlap less the larger least overlap. N-grams of long
-    lists aren't counted, so as many are taken for shared as both sets have.
+    up to there is indexed in both, and x has fewer than its least overlap behind. So the overlap of a pair
+    over the threshold, less the larger least overlap, is below what is indexed in both.
     """
-    in_long = entries.groupBy("set", "n").agg(F.count("*").alias("long"))
-    least = lambda n: F.ceil(F.col(n) * percent / F.lit(100) - 1e-9)
-    need = F.ceil((F.col("n") + F.col("m")) * percent / F.lit(100 + percent) - 1e-9) - F.greatest(least("n"), least("m"))
+    least = lambda c: F.ceil(F.col(c) * percent / F.lit(100) - 1e-9)
+    return F.ceil((F.col(n) + F.col(m)) * percent / F.lit(100 + percent) - 1e-9) - F.greatest(least(n), least(m))
+
+
+def _likely(found: DataFrame, in_long: DataFrame, percent: int) -> DataFrame:
+    """The pairs of the short lists that can share enough; in long lists as much as both sets are in."""
     return (
         found.groupBy("a", "n", "b", "m").agg(F.sum("shared").alias("shared"))
         .join(in_long.select(F.col("set").alias("a"), "n", F.col("long").alias("long_a")), ["a", "n"], "left")
         .join(in_long.select(F.col("set").alias("b"), F.col("n").alias("m"), F.col("long").alias("long_b")), ["b", "m"], "left")
-        .where(F.col("shared") + F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0))) > need)
+        .where(F.col("shared") + F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0))) > _need("n", "m", percent))
         .select("a", "n", "b", "m")
     )
 
 
-def _open_pairs(entries, leaders, compared, classes, groups, percent) -> DataFrame:
-    """Pairs of long lists that neither a leader nor a common component has settled."""
+def _open_pairs(led: DataFrame, compared: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs of long lists that neither a leader nor a common component has settled.
+
+    A pair that shares an n-gram of a short list as well was judged there. Of the others, both must be in
+    enough long lists, and share enough of them; their distances to a leader of both must be near.
+    """
     near = compared.select(
         F.col("a").alias("la"), F.col("n").alias("ln"), F.col("b").alias("set"), F.col("m").alias("n"),
         (1 - F.col("overlap") / (F.col("n") + F.col("m") - F.col("overlap"))).alias("away"),
     )
     group = classes.join(groups, F.col("rep") == F.col("node"), "left").select("set", "n", F.coalesce("component", "rep").alias("group"))
     listed = (
-        entries.join(leaders, "gram").select("gram", "set", "n", "pos", F.col("leader.set").alias("la"), F.col("leader.n").alias("ln"))
-        .join(near, ["la", "ln", "set", "n"])  # the leader itself has been compared with all
-        .join(group, ["set", "n"])
+        led.join(near, ["la", "ln", "set", "n"])  # the leader itself has been compared with all
+        .join(group, ["set", "n"]).drop("la", "ln")
     )
     several = listed.groupBy("gram").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("gram")
-    listed = listed.join(several, "gram", "left_semi").drop("la", "ln")
-    x, y = (listed.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in ("set", "n", "pos", "away", "group"))) for s in "xy")
+    listed = listed.join(several, "gram", "left_semi")
+    x, y = (listed.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in ("set", "n", "pos", "long", "away", "group"))) for s in "xy")
     limit = (100 - percent) / 100 + 1e-9
-    least = F.ceil((F.col("n_x") + F.col("n_y")) * percent / F.lit(100 + percent) - 1e-9)
-    reach = F.least("pos_x", "pos_y") + 1 + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) - 1
+    overlap = F.ceil((F.col("n_x") + F.col("n_y")) * percent / F.lit(100 + percent) - 1e-9)
+    reach = F.least("pos_x", "pos_y") + F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y"))
+    need = _need("n_x", "n_y", percent)
     return (
         x.join(y, "gram")
         .where((F.col("group_x") < F.col("group_y")) & (F.abs(F.col("away_x") - F.col("away_y")) <= limit)
-               & (F.col("n_x") * percent <= F.col("n_y") * 100) & (F.col("n_y") * percent <= F.col("n_x") * 100) & (reach >= least))
+               & (F.col("n_x") * percent <= F.col("n_y") * 100) & (F.col("n_y") * percent <= F.col("n_x") * 100)
+               & (reach >= overlap) & (F.least("long_x", "long_y") > need))
+        .groupBy("set_x", "n_x", "set_y", "n_y").agg(F.count("*").alias("shared")).where(F.col("shared") > need)
         .select(F.col("set_x").alias("a"), F.col("n_x").alias("n"), F.col("set_y").alias("b"), F.col("n_y").alias("m"))
-        .distinct()
     )
