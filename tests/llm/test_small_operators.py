@@ -1,0 +1,299 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from itertools import groupby
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from tidemark.llm import chat, langid, packing, queries, secrets, shards, spotsigs, tokencount, urlfilter
+
+TOKENS = public_tokenizers.path("byte_bpe_50k.json")
+ODD = ["", " ", "a", "é" * 9, "x" * 3000, "  two  spaces ", "don't we'll 'sorry' 's", "12.5 km!!", "\n\n\t", "日本語のテキスト", "<|endoftext|> end",
+       "word " * 4000, "a1b2 " + "z" * 1500, "\x85\x1c ", "🙂🙂 ok"]
+
+
+@pytest.fixture(scope="module")
+def odd_docs(spark):
+    """Nulls, empty and long texts, repeated rows, and columns named like results."""
+    rows = [(i, t, "en", i) for i, t in enumerate(ODD)] + [(3, ODD[3], "en", 3), (None, "no id", None, 0), (99, None, None, 1)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, score long").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(TOKENS)
+
+
+def ids(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_token_counts_are_the_librarys(spark, odd_docs, tokenizer):
+    rnd = random.Random(4)
+    parts = ["'s", "'re", "'", "the", " of", "  ", "\n", "é", "9", "!", "==", " ", "<|endoftext|>", "中", "\u0301", "Wort"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 40))) for _ in range(600)] + ["ab" * 3000 + " c", "=" * 2000, "'" * 700]
+    assert tokencount.count_tokens(TOKENS, pa.array(texts)).tolist() == [len(ids(tokenizer, t)) for t in texts]
+    counted = tokencount.token_counts(odd_docs, TOKENS, limit=5).collect()
+    assert len(counted) == len(ODD) + 3
+    for row in counted:
+        assert (row.n_bytes, row.n_tokens) == (len((row.text or "").encode()), len(ids(tokenizer, row.text)))
+        assert row.over_limit == (row.n_tokens > 5)
+    assert tokencount.token_counts(odd_docs.limit(0), TOKENS).collect() == []
+
+
+def test_token_counts_survive_a_full_table(monkeypatch, tokenizer):
+    machine = tokencount.Transducer(TOKENS)
+    monkeypatch.setattr(tokencount, "TABLE", 13)
+    machine.clear()
+    texts = [f"word{k} number {k * 7919} x" for k in range(60)]
+    got = [int(machine.count([t])[0]) for t in texts]
+    assert got == [len(ids(tokenizer, t)) for t in texts]
+
+
+def test_packing_round_trip(spark, odd_docs, tokenizer):
+    pieces = packing.pack_documents(odd_docs, TOKENS, limit=64).collect()
+    assert len({p.sequence_id for p in pieces}) == len(pieces)
+    assert all(p.length == p.bucket == len(p.ids) // 4 and p.length & (p.length - 1) == 0 and p.length <= 64 and p.offset == 0 for p in pieces)
+    texts = {r.doc_id: r.text for r in odd_docs.collect()}
+    order = sorted(pieces, key=lambda p: (p.doc_id is None, p.doc_id or 0, p.start))
+    for doc, own in groupby(order, key=lambda p: p.doc_id):
+        own = list(own)
+        copies = 2 if doc == 3 else 1
+        want = ids(tokenizer, texts[doc]) + [1]
+        assert sum(p.length for p in own) == copies * len(want) and all(p.doc_tokens == len(want) for p in own)
+        for p in own:
+            assert np.frombuffer(p.ids, "<u4").tolist() == want[p.start : p.start + p.length]
+    assert packing.pack_documents(odd_docs.limit(0), TOKENS).collect() == []
+    with pytest.raises(ValueError):
+        packing.pack_documents(odd_docs, TOKENS, limit=100)
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 200, 4097])
+def test_binary_pieces_sum_up(n):
+    pieces = packing.binary_pieces(n, 64)
+    assert sum(pieces) == n and sorted(pieces, reverse=True) == pieces and len({p for p in pieces if p < 64}) == len([p for p in pieces if p < 64])
+
+
+def test_shards_are_gapless_and_near_equal(spark, odd_docs):
+    rnd = random.Random(1)
+    rows = [(i, "copy " * 30 if i % 3 == 0 else "x" * rnd.randint(0, 300)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = shards.shard_documents(docs, 8, ranges=64).collect()
+    check_shards(rows, out, 8)
+    sizes = [sum(r.size for r in out if r.shard == s) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 0.002 * sum(sizes) / 8 + 2 * 308
+    few = shards.shard_documents(odd_docs, 24).collect()
+    check_shards([(r.doc_id, r.text) for r in odd_docs.collect()], few, 24)
+    assert shards.shard_documents(odd_docs.limit(0), 4).collect() == []
+
+
+def check_shards(rows, out, n):
+    key = lambda i, t: (zlib.crc32((t or "").encode()), i is not None, i or 0)
+    assert sorted(key(r.doc_id, r.text) for r in out) == sorted(key(i, t) for i, t in rows)
+    assert all(r.size == len((r.text or "").encode()) + 8 and r.text_crc32 == zlib.crc32((r.text or "").encode()) for r in out)
+    ordered = sorted(out, key=lambda r: (r.shard, r.slot))
+    assert [key(r.doc_id, r.text) for r in ordered] == sorted(key(i, t) for i, t in rows)
+    for shard in range(n):
+        assert [r.slot for r in ordered if r.shard == shard] == list(range(sum(r.shard == shard for r in out)))
+
+
+def plain_spots(text):
+    words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", text.encode())
+    words = [bytes(b + 32 if 65 <= b <= 90 else b for b in w) for w in words]
+    common = {a.encode() for a in spotsigs.ANCHORS}
+    out = set()
+    for i, w in enumerate(words):
+        content = [v for v in words[i + 1 :] if v not in common][: spotsigs.CHAIN]
+        if w in common and len(content) == spotsigs.CHAIN:
+            out.add((w, *content))
+    if not out and words:
+        k = spotsigs.CHAIN + 1
+        out = {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} or {tuple(words)}
+    return out
+
+
+def jaccard(a, b):
+    return 1.0 if not a and not b else len(a & b) / len(a | b)
+
+
+def test_spot_signatures_equal_a_plain_version(spark, odd_docs):
+    rnd = random.Random(2)
+    vocabulary = ["the", "of", "and", "la", "der", *(f"w{k}" for k in range(50))]
+    rows = [(3 * i, " ".join(rnd.choices(vocabulary, k=rnd.choice([0, 2, 40, 200])))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    check_spots(rows, spotsigs.fingerprint_documents(docs).collect())
+    check_spots([(r.doc_id, r.text) for r in odd_docs.collect()], spotsigs.fingerprint_documents(odd_docs).collect())
+    assert spotsigs.fingerprint_documents(docs.limit(0)).collect() == []
+    only = spotsigs.fingerprint_documents(spark.createDataFrame([(5, "abcdefgh")], "doc_id long, text string")).collect()
+    assert only[0].edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and only[0].near_next == 1.0
+
+
+def check_spots(rows, out):
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    out = sorted(out, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.n_chars))
+    assert len(out) == len(rows)
+    prints = {}
+    for k, ((i, text), r) in enumerate(zip(rows, out, strict=True)):
+        following = rows[(k + 1) % len(rows)][1]
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + following[:cut]
+        assert (r.doc_id, r.n_chars, r.edited_sha256) == (i, len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert len(spotsigs.decode(r.fingerprint)) == len(plain_spots(text))
+        assert r.near_edited == pytest.approx(jaccard(plain_spots(text), plain_spots(edited)))
+        assert r.near_next == pytest.approx(jaccard(plain_spots(text), plain_spots(following)))
+        assert prints.setdefault(text, r.fingerprint) == r.fingerprint
+
+
+def test_length_bands_part_what_cant_match():
+    bands = spotsigs.length_bands(0.8, 100)
+    assert all(b * 0.8 > a - 1 for a, b in zip(bands, bands[1:], strict=False)) and bands[-1] > 100
+    a, b = np.arange(10, dtype=np.uint32), np.arange(20, dtype=np.uint32)
+    assert spotsigs.likeness(a, b, 0.8) == 0.0 and spotsigs.likeness(a, b) == 0.5
+
+
+def plain_base(text):
+    kinds = (
+        ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 6),
+        ("access", re.compile(r"AKIA[A-Z0-9]+"), 20), ("hex", re.compile(r"[0-9a-f]+"), 24),
+    )
+    spans = []
+    for n, (kind, pattern, least) in enumerate(kinds):
+        spans += [(m.start(), n, kind, m.end()) for m in pattern.finditer(text) if len(m.group(2) if n == 0 else m.group()) >= least]
+    return [(kind, a, b) for a, _, kind, b in sorted(spans)]
+
+
+SECRET = "Zq9xLk2vTb7RwY4sHn8PfJ3mD6gC"
+TEXTS = [f'é token = "{"ab12" * 10}" then AKIA{"Q7" * 10} and {"0f" * 15}!', "password: short1 secret=abc PASSWD='hunter22'", "nothing here, just words.",
+         f"key {SECRET} here", "api_key=a token=bcdefgh", "toKen=x" * 3, None, "", "deadbeef" * 400, f"x{'AKIA' * 6} ſecret=longenough"]
+
+
+def test_secret_spans_equal_a_plain_version(spark):
+    rows = [(i, t, "n") for i, t in enumerate(TEXTS)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string").repartition(3)
+    model = secrets.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    out = secrets.scan_secrets(docs, model).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        base = plain_base(r.text or "")
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == kind for k, _, _ in base) for kind in ("assign", "access", "hex")]
+        assert [s for s in r.spans.split(",") if s and not s.startswith("markov")] == [s for s in text.split(",") if s]
+    assert all(r.spans == "markov:4:32" and r.redacted == "key [SECRET] here" for r in out if r.doc_id == 3)
+    assert all(r.redacted is None and r.spans == "" for r in out if r.doc_id in (2, 6, 7))
+    assert secrets.scan_secrets(docs.limit(0), secrets.fit(docs.limit(0))).collect() == []
+    assert secrets.all_spans("an_internationalization_of_some_identifier_name", model) == []
+
+
+def test_suspects_miss_no_row():
+    texts = ["ab", "c" * 10, "d" * 25, "x", "", None, "f" * 19, "e" * 20, "api_key=1", "!" * 40]
+    assert secrets._suspects(pa.array(texts)).tolist() == [False, False, True, False, False, False, False, True, True, False]
+
+
+def test_url_rules(spark):
+    urls = ["http://a.com/x", "https://EXAMPLE.com/en/1?q", "http://www.example.com/en/", "http://x.net/es/9#t", "http://x.net/esx", None, "no url", "",
+            "http://com", "http://example.com/en", "://net/fr/", "http://notexample.com/en/", "http://u@www.Example.com/en/a/b/c?x://y/"]
+    docs = spark.createDataFrame([(i, u, "r") for i, u in enumerate(urls)] * 2, "page_id long, url string, rule string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge_urls(docs, queries.URL_RULES).collect()}
+    con = duckdb.connect()
+    pages = pa.table({"page_id": list(range(len(urls))), "url": pa.array(urls, pa.string())})  # noqa: F841
+    want = {r[0]: r[1:] for r in con.sql(queries.OP10_SQL).fetchall()}
+    assert got == want and got[1][3] == "block" and got[2][3] == "allow" and got[5] == ("", "", None, "allow")
+    assert urlfilter.judge_urls(docs.limit(0), queries.URL_RULES).collect() == []
+
+
+def test_trie_equals_a_scan_of_all_rules():
+    rnd = random.Random(5)
+    part = lambda: rnd.choice("abc")
+    rules = [(rnd.choice(["allow", "block"]), ".".join(part() for _ in range(rnd.randint(1, 3))),
+              "".join(f"/{part() * rnd.randint(0, 2)}" for _ in range(rnd.randint(0, 3)))) for _ in range(60)]
+    rules = list({(h, p): (v, h, p) for v, h, p in rules}.values())
+    trie = urlfilter.UrlTrie(rules)
+    for _ in range(2000):
+        host = ".".join(part() for _ in range(rnd.randint(1, 4)))
+        path = "".join(f"/{part() * rnd.randint(0, 2)}" for _ in range(rnd.randint(0, 4)))
+        fits = [r for r in rules if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
+        best = max(fits, key=lambda r: (len(r[1]) + len(r[2]), len(r[1])), default=None)
+        assert trie.match(host, path) == best
+    with pytest.raises(ValueError):
+        urlfilter.UrlTrie([("allow", "", "/")])
+
+
+def test_codewords_are_apart():
+    for n in (2, 3, 4, 7, 20):
+        code = langid.codewords(n).astype(int)
+        assert len({tuple(c) for c in code.T}) == code.shape[1] or n > 7
+        assert (np.abs(code.sum(0)) < n).all()
+        distance = (code.shape[1] - code @ code.T) / 2
+        assert distance[~np.eye(n, dtype=bool)].min() >= (2 ** (n - 2) if n <= 7 else 10)
+
+
+def test_language_id_on_held_out_rows(spark, odd_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs.where(~queries.held_out()))
+    out = langid.predict(docs.where(queries.held_out()), model).collect()
+    assert np.mean([r.lang == r.lang_pred for r in out]) > 0.98
+    assert all(0 <= r.score <= 1 and r.lang_pred in ("en", "de", "fr", "es") for r in out)
+    odd = langid.predict(odd_docs, model).collect()
+    assert len(odd) == len(ODD) + 3
+    for r in odd:
+        if r.text is None or not any(c.isalpha() for c in r.text):
+            assert (r.lang_pred, r.score, r.ambiguous) == ("und", 0.0, False)
+        else:
+            assert r.lang_pred != "und" and 0 <= r.score <= 1
+    assert {r.lang_pred for r in langid.predict(odd_docs, langid.fit(odd_docs.where("false"))).collect()} == {"und"}
+    one = langid.predict(odd_docs, langid.fit(odd_docs)).collect()
+    assert {r.lang_pred for r in one} == {"und", "en"}
+
+
+def plain_chat(rows):
+    logs = {}
+    for conv, turn, role, text in set(rows):
+        logs.setdefault(conv, []).append((turn is not None, turn or 0, role is not None, role or "", text is not None, text or ""))
+    logs = {c: tuple(t[2:] for t in sorted(v)) for c, v in logs.items()}
+    kept = {}
+    for conv, turns in logs.items():
+        if not any(len(o) > len(turns) and o[: len(turns)] == turns for o in logs.values()):
+            kept.setdefault(turns, []).append(conv)
+    esc = lambda s: s.replace("<\\", "<\\\\").replace("<|", "<\\|")
+    return {
+        min((c for c in convs if c is not None), default=None): (len(turns), len(convs), "".join(f"<|{esc(t[1])}|>\n{esc(t[3])}<|end|>\n" for t in turns))
+        for turns, convs in kept.items()
+    }
+
+
+def test_snapshots_collapse_like_a_plain_version(spark, monkeypatch):
+    rnd = random.Random(6)
+    rows = []
+    for conv in range(80):
+        for turn in range(rnd.randint(1, 6)):
+            rows.append((conv, turn + 5 * (conv % 2), rnd.choice(["user", None]) if turn == 3 else "user", rnd.choice(["hi", "<|end|>", None, ""]) if turn else "hi"))
+    rows += [(900, k, "user", "long") for k in range(700)] + [(901, k, "user", "long") for k in range(650)]
+    rows += rows[:20] + [(None, 0, "user", "x"), (902, None, None, None), (903, 0, "user", "x" * 100_000)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, part int").repartition(4)
+    for span in (1024, 3):
+        monkeypatch.setattr(chat, "SPAN", span)
+        parts = chat.collapse_snapshots(docs, turns_per_row=100).collect()
+        got = {}
+        for r in sorted(parts, key=lambda r: r.part):
+            old = got.get(r.conv_id, (0, 0, ""))
+            got[r.conv_id] = (r.n_turns, r.n_copies, old[2] + r.rendered)
+        assert got == plain_chat(rows)
+    assert chat.collapse_snapshots(docs.limit(0)).collect() == []
+
+
+def test_chat_sql_agrees(spark):
+    con = duckdb.connect()
+    rows = [(1, 0, "user", "a"), (1, 1, "user", "b<\\|"), (2, 0, "user", "a"), (3, 0, "user", "a"), (3, 1, "user", "b<\\|"), (4, 0, None, "a"), (4, 0, None, "a")]
+    conversations = pa.table({k: pa.array(v) for k, v in zip(("conv_id", "turn", "role", "text"), zip(*rows, strict=True), strict=True)})  # noqa: F841
+    want = {r[:5] for r in con.sql(queries.OP2_SQL).select("conv_id, part, n_turns, n_copies, rendered").fetchall()}
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert {tuple(r) for r in chat.collapse_snapshots(docs).collect()} == want and len(want) == 2

@@ -203,7 +203,7 @@ def fit(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", key_
         if all(s[0] for s in sides.values()):
             mean = {k: s[1] / s[0] for k, s in sides.items()}
             var = sum(max(s[2] - s[1] ** 2 / s[0], 0) for s in sides.values()) / sum(s[0] for s in sides.values())
-            scale[bit] = np.clip((mean[1] - mean[-1]) / max(var, 1e-6), 0.05, 20)
+            scale[bit] = np.clip((mean[1] - mean[-1]) / max(var, 1e-6), 1e-4, 20)
             wrong = sum((s[3] + 0.5) / (s[0] + 1) for s in sides.values()) / 2
             trust[bit] = max(np.log((1 - wrong) / wrong), 0.01) if wrong < 0.5 else 0.01
     return Model(languages, code, weights, scale, trust / trust.sum())

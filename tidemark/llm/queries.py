@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,13 @@ TOKENIZER = "byte_bpe_50k.json"
 SHARDS = 24
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let local Python workers import this package as the driver did; on a cluster it is installed or shipped."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

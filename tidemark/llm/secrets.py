@@ -27,6 +27,7 @@ KINDS = ("assign", "access", "hex", "markov")
 
 HINTS = ("password", "passwd", "secret", "token", "api")
 RUN = 20  # characters of the shortest run the models judge
+DIFFERENT = 8  # different characters in it at least: rulers and padding aren't secrets
 _RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{RUN},}}", re.A)
 _WORD = re.compile(r"[A-Za-z0-9_-]+", re.A)
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -94,7 +95,8 @@ def _train_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 rest.append(text[at:low] if low > at else "")
                 at = max(at, high)
             rest.append(text[at:])
-            for label, strings in ((1, held), (0, _WORD.findall(" ".join(rest)))):
+            words = [w for w in _WORD.findall(" ".join(rest)) if len(w) < RUN]  # a longer one has no label
+            for label, strings in ((1, held), (0, words)):
                 raw = np.frombuffer("\n".join(["", *strings]).encode("ascii", "replace"), np.uint8)
                 code = np.where(raw == 10, n - 1, _CODE[np.minimum(raw, 127)])
                 pair = (code[:-1] >= 0) & (code[1:] >= 0) & (code[1:] < n - 1)
@@ -105,10 +107,11 @@ def _train_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     )
 
 
-def fit(docs: DataFrame, *, text_col: str = "text", key_col: str = "doc_id", sample: int = 20_000, margin: float = 0.7) -> Model:
+def fit(docs: DataFrame, *, text_col: str = "text", key_col: str = "doc_id", sample: int = 20_000, margin: float = 1.5) -> Model:
     """Learn both models from about `sample` rows, chosen by a hash of `key_col` (all where there are fewer).
 
-    Labelled strings are those the known forms hold (random) and the words outside of them (ordinary).
+    Labelled strings are those the known forms hold (random) and the words of fewer than RUN characters
+    outside of them (ordinary).
     A thousand uniform characters are added to the random ones, so a corpus without secrets gives a model too.
     Counts are summed over tasks; the driver sees two tables of 68 by 68 numbers.
     """
@@ -137,7 +140,8 @@ def all_spans(text: str, model: Model | None) -> list[tuple[int, str, int]]:
         return spans
     more = [
         (m.start(), "markov", m.end()) for m in _RUN.finditer(text)
-        if not any(low < m.end() and m.start() < high for low, _, high in spans) and model.ratio(m.group()) >= model.margin
+        if len(set(m.group())) >= DIFFERENT and model.ratio(m.group()) >= model.margin
+        and not any(low < m.end() and m.start() < high for low, _, high in spans)
     ]
     return sorted(spans + more, key=lambda s: (s[0], KINDS.index(s[1])))
 
@@ -183,8 +187,8 @@ def scan_secrets(docs: DataFrame, model: Model | None, *, text_col: str = "text"
 
     Spans are kind:start:end in code points, end exclusive, by start and then kind (assign, access, hex,
     markov), joined by commas; base_sha256 is the SHA-256 of the first three kinds' spans. A markov span is a
-    run of RUN or more key characters that touches no base span and that `model` calls random; without a model
-    there are none. redacted is the text with all spans replaced by `mark`; null where nothing was found. A
+    run of RUN or more key characters, DIFFERENT ones among them, that touches no base span and that `model`
+    calls random; without a model there are none. redacted is the text with all spans replaced by `mark`; null where nothing was found. A
     null text counts as empty. Texts are scanned whole; repeated rows are each scanned, other columns
     stay, an empty table stays empty.
     """
