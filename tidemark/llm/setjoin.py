@@ -71,7 +71,7 @@ def _describe(words: int, often: int):
     return run
 
 
-_POSTINGS = "gram long, spread int, n int, pos int, set long"
+_POSTINGS = "gram long, n int, place long, set long"  # place: spread << 32 | position
 
 
 def _post(words: int, percent: int, common: np.ndarray, counts: np.ndarray, longest: int):
@@ -97,9 +97,8 @@ def _post(words: int, percent: int, common: np.ndarray, counts: np.ndarray, long
                         order = np.lexsort((grams, shared))
                         grams, shared = grams[order], shared[order]
                 head = n - int(least_overlap(np.int64(n), percent)) + 1
-                spread = np.where(shared[:head] > longest, 1 + key % SPREAD, 0).astype(np.int32)
-                out.append((grams[:head].view(np.int64), spread, np.full(head, n, np.int32),
-                            np.arange(head, dtype=np.int32), np.full(head, key, np.int64)))
+                place = np.where(shared[:head] > longest, 1 + key % SPREAD, 0) << 32 | np.arange(head)
+                out.append((grams[:head].view(np.int64), np.full(head, n, np.int32), place, np.full(head, key, np.int64)))
                 if sum(map(len, (c[0] for c in out[-1:]))) > 200_000 or len(out) >= 2_000:
                     yield rows()
                     out.clear()
@@ -109,7 +108,7 @@ def _post(words: int, percent: int, common: np.ndarray, counts: np.ndarray, long
     return run
 
 
-_FOUND = "kind int, gram long, n int, pos int, a long, m int, b long, shared int"
+_FOUND = "kind int, gram long, n int, pos int, a long, m int, b long, shared int, rest int"
 
 
 def _lists(percent: int, longest: int, block: int = 8):
@@ -125,7 +124,7 @@ def _lists(percent: int, longest: int, block: int = 8):
         long = (own > longest) | (spread > 0)
         if long.any():
             yield _batch(_FOUND, np.ones(long.sum(), np.int32), gram[long], n[long], pos[long], key[long],
-                         np.zeros(long.sum(), np.int32), np.zeros(long.sum(), np.int64), np.zeros(long.sum(), np.int32))
+                         np.zeros(long.sum(), np.int32), np.zeros(long.sum(), np.int64), *[np.zeros(long.sum(), np.int32)] * 2)
         use = ~long & (own > 1)
         if not use.any():
             return
@@ -153,16 +152,19 @@ def _lists(percent: int, longest: int, block: int = 8):
                 ok = right > left
                 left, right = left[ok], right[ok]
                 x, y, p, q = n[left], n[right], pos[left], pos[right]
-                ok = np.minimum(p, q) + 1 + np.minimum(x - p - 1, y - q - 1) >= pair_overlap(x, y, percent)
-                left, right = left[ok], right[ok]
+                rest = np.minimum(x - p - 1, y - q - 1)
+                ok = np.minimum(p, q) + 1 + rest >= pair_overlap(x, y, percent)
+                left, right, rest = left[ok], right[ok], rest[ok]
                 swap = key[left] > key[right]
                 left, right = np.where(swap, right, left), np.where(swap, left, right)
                 rows = np.stack([key[left], key[right], n[left], n[right]])
-                pairs, shared = np.unique(rows, axis=1, return_counts=True)
+                pairs, which, shared = np.unique(rows, axis=1, return_inverse=True, return_counts=True)
                 if pairs.shape[1]:
+                    least = np.full(pairs.shape[1], 1 << 30)
+                    np.minimum.at(least, which.ravel(), rest)
                     zero = np.zeros(pairs.shape[1], np.int64)
                     yield _batch(_FOUND, zero.astype(np.int32), zero, pairs[2].astype(np.int32), zero.astype(np.int32),
-                                 pairs[0], pairs[3].astype(np.int32), pairs[1], shared.astype(np.int32))
+                                 pairs[0], pairs[3].astype(np.int32), pairs[1], shared.astype(np.int32), least.astype(np.int32))
             k = k + 1
             go = (k < end[mine[probe]])
             probe, k = probe[go], k[go]
@@ -173,7 +175,8 @@ def _lists(percent: int, longest: int, block: int = 8):
         kept: list[np.ndarray] = []
         gone = None  # a list too long to wait for its end: all of its entries go on as they come
         for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            grams, n, place, key = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            columns = [grams, (place >> 32).astype(np.int32), n, (place & 0xFFFFFFFF).astype(np.int32), key]
             if kept:
                 columns = [np.concatenate(c) for c in zip(kept, columns, strict=True)]
             if not len(columns[0]):
@@ -292,7 +295,7 @@ def jaccard_components(
 
     postings = source.mapInArrow(_post(words, percent, grams, counts, longest), _POSTINGS)
     found = written(
-        postings.repartition("gram", "spread").sortWithinPartitions("gram", "spread", "n", "pos", "set")
+        postings.repartition("gram", F.shiftright("place", 32)).sortWithinPartitions("gram", "n", "place", "set")
         .mapInArrow(_lists(percent, longest), _FOUND),
         f"{folder}/found",
     )
@@ -363,12 +366,18 @@ def _need(n: str, m: str, percent: int) -> Column:
 
 
 def _likely(found: DataFrame, in_long: DataFrame, percent: int) -> DataFrame:
-    """The pairs of the short lists that can share enough; in long lists as much as both sets are in."""
+    """The pairs of the short lists that can share enough; in long lists as much as both sets are in.
+
+    Besides, up to the last n-gram seen to be shared all that is shared was seen, so what the shorter
+    rest of the two has to offer must make up for what lacks.
+    """
+    shared = F.col("shared") + F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0)))
+    overlap = F.ceil((F.col("n") + F.col("m")) * percent / F.lit(100 + percent) - 1e-9)
     return (
-        found.groupBy("a", "n", "b", "m").agg(F.sum("shared").alias("shared"))
+        found.groupBy("a", "n", "b", "m").agg(F.sum("shared").alias("shared"), F.min("rest").alias("rest"))
         .join(in_long.select(F.col("set").alias("a"), "n", F.col("long").alias("long_a")), ["a", "n"], "left")
         .join(in_long.select(F.col("set").alias("b"), F.col("n").alias("m"), F.col("long").alias("long_b")), ["b", "m"], "left")
-        .where(F.col("shared") + F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0))) > _need("n", "m", percent))
+        .where((shared > _need("n", "m", percent)) & (shared + F.col("rest") >= overlap))
         .select("a", "n", "b", "m")
     )
 
