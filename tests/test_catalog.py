@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import connect, differences
+from tidemark.plans import catalog, oracle
 
 SF_DIR = driver.SMALL
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), oracle.oracle_sql()
 
 NEVER = re.compile(
     r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|BatchEvalPython|ArrowEvalPython"
@@ -23,6 +24,7 @@ def con():
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= driver.queries().keys() and ORACLE.keys() <= driver.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.dedup import latest_by
+from tidemark.operators.dedup import latest_by, whole_keys
 
 
 def upsert(
@@ -15,12 +15,15 @@ def upsert(
     updates: DataFrame,
     keys: Sequence[str | Column],
     order: Sequence[str | Column],
+    position: Sequence[str] | None = None,
 ) -> DataFrame:
     """Target and updates as one row per key, the newest by `order`; late updates lose.
 
-    Both sides are shuffled once, after each task has cut its rows to the newest per key.
+    Rows with a NULL in their key are told apart by `position` (by default the `order` columns), so
+    each stays, and once only if it comes again. Both sides are shuffled once, after each task has
+    cut its rows to the newest per key.
     """
-    return latest_by(target.unionByName(updates), keys, order)
+    return latest_by(target.unionByName(updates), whole_keys(keys, position or order), order)
 
 
 def upsert_touched(
@@ -29,6 +32,7 @@ def upsert_touched(
     keys: Sequence[str],
     order: Sequence[str],
     scratch: str,
+    position: Sequence[str] | None = None,
 ) -> DataFrame:
     """The same for few updates against a large stored target with one row per key.
 
@@ -37,28 +41,47 @@ def upsert_touched(
     and beyond it the joins are ordinary shuffled ones. Only target rows whose key was updated
     are compared; all others pass through.
     """
-    latest_by(updates, keys, order).write.parquet(scratch)
+    position = position or order
+    latest_by(updates, whole_keys(keys, position), order).write.parquet(scratch)
     newest = target.sparkSession.read.schema(updates.schema).parquet(scratch)
-    touched = _matching(target, newest, keys, "left_semi")
-    untouched = _matching(target, newest, keys, "left_anti")
-    return untouched.unionByName(upsert(touched, newest, keys, order))
+    touched = _matching(target, newest, keys, position, "left_semi")
+    untouched = _matching(target, newest, keys, position, "left_anti")
+    return untouched.unionByName(upsert(touched, newest, keys, order, position))
 
 
-def _matching(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    other = other.select(*[F.col(key).alias(f"_other_{key}") for key in keys])
+def _matching(
+    rows: DataFrame, other: DataFrame, keys: Sequence[str], position: Sequence[str], how: str
+) -> DataFrame:
+    columns = dict.fromkeys((*keys, *position))
+    other = other.select(*[F.col(c).alias(f"_other_{c}") for c in columns])
     same = [F.col(key).eqNullSafe(F.col(f"_other_{key}")) for key in keys]
-    return rows.join(other, reduce(lambda a, b: a & b, same), how)
+    return rows.join(other, reduce(lambda a, b: a & b, same) & _if_incomplete(
+        keys, [F.col(c).eqNullSafe(F.col(f"_other_{c}")) for c in position]), how)
+
+
+def _if_incomplete(keys: Sequence[str], conditions: Sequence[Column], table: str = "") -> Column:
+    """True for rows with a whole key, else only where all conditions hold."""
+    whole = reduce(lambda a, b: a & b, [F.col(f"{table}{key}").isNotNull() for key in keys])
+    return whole | reduce(lambda a, b: a & b, conditions)
 
 
 def merge_into(
-    table: str, updates: DataFrame, keys: Sequence[str], order: Sequence[str]
+    table: str,
+    updates: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    position: Sequence[str] | None = None,
 ) -> None:
     """Upsert in place, for tables whose format supports MERGE.
 
-    A stored row is replaced only by an update that is newer by `order`.
+    A stored row is replaced only by an update that is newer by `order`; rows with an incomplete
+    key are told apart as in `upsert`.
     """
-    newest = latest_by(updates, keys, order).alias("u")
+    position = position or order
+    newest = latest_by(updates, whole_keys(keys, position), order).alias("u")
     same = [F.col(f"{table}.{key}").eqNullSafe(F.col(f"u.{key}")) for key in keys]
+    same.append(_if_incomplete(
+        keys, [F.col(f"{table}.{c}").eqNullSafe(F.col(f"u.{c}")) for c in position], "u."))
     now = F.struct(*[F.col(f"u.{c}") for c in order])
     stored = F.struct(*[F.col(f"{table}.{c}") for c in order])
     (

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Offsets order rows inside one partition only, so ingest time and partition break ties.
 PARTNER_ORDER = ("kafka_offset", "kafka_ingest_timestamp", "kafka_partition")
+# For tables that live on while a topic gets more partitions: a key that moves to a new partition
+# starts there with small offsets, so the time of ingest decides first.
+LIVING_ORDER = ("kafka_ingest_timestamp", "kafka_partition", "kafka_offset")
 EVENT_ORDER = ("kafka_offset", "kafka_timestamp", "kafka_partition")
 POSITION = ("kafka_partition", "kafka_offset")
 PARTNER_KEYS = ("sap_client", "bp_number", "event_type")
@@ -42,16 +46,23 @@ def latest_by(
     return df.withColumn("_number", number).where("_number = 1").drop("_number")
 
 
+def whole_keys(keys: Sequence[str | Column], position: Sequence[str] = POSITION) -> list[Column]:
+    """The key columns, and the message position where one of them is NULL.
+
+    What a NULL in a key means is decided here for all operators: a row with an incomplete key is
+    no copy or update of any other message, only of itself when it is read again. So no such row
+    is lost, and they do not pile up in one group.
+    """
+    columns = _columns(keys)
+    missing = reduce(lambda a, b: a | b, [c.isNull() for c in columns])
+    return [*columns, F.when(missing, F.struct(*position))]
+
+
 def identity_keys(
     id_column: str = "event_id", position: Sequence[str] = POSITION
 ) -> list[Column]:
-    """Key columns that equal the id, or the message position where the id is NULL.
-
-    Rows without an id cannot be copies of each other, so none is lost and they do not pile up
-    in one group.
-    """
-    missing = F.col(id_column).isNull()
-    return [F.col(id_column), F.when(missing, F.struct(*position))]
+    """Key columns that equal the id, or the message position where the id is NULL."""
+    return whole_keys([id_column], position)
 
 
 def dedup_events(

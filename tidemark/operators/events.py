@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -18,23 +18,31 @@ def convert_amount(
     amount: str = "amount",
     currency: str = "currency",
     out: str = "amount_usd",
+    order: Sequence[str | Column] = (),
+    missing: float | None = 1.0,
 ) -> DataFrame:
     """`out` is the amount times the rate of its currency.
 
     Without rates the amount is taken as it is. A mapping becomes a literal lookup, with no join
-    at all. A (currency, rate) table is joined; its size decides whether Spark broadcasts it.
-    A currency without a rate, or none, leaves the amount unchanged.
+    at all. A (currency, rate) table, with more columns if need be, is joined; its size decides
+    whether Spark broadcasts it. Of several rates for a currency the one highest by `order` counts,
+    or the largest rate without an order, so no event is ever multiplied. A currency without a
+    rate, or none, takes `missing`: by default the amount is unchanged, with None it is NULL.
     """
     if rates is None or rates == {}:
         return df.withColumn(out, F.col(amount))
     if isinstance(rates, DataFrame):
-        table = rates.toDF("_currency", "_rate")
+        code, rate, *_ = rates.columns
+        ranked = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order], F.col(rate))
+        table = rates.where(F.col(code).isNotNull()).groupBy(F.col(code).alias("_currency")).agg(
+            F.max_by(F.col(rate), ranked).alias("_rate")
+        )
         joined = df.join(table, F.col(currency) == F.col("_currency"), "left")
-        rate = F.coalesce("_rate", F.lit(1.0))
-        return joined.withColumn(out, F.col(amount) * rate).drop("_currency", "_rate")
+        factor = F.coalesce("_rate", F.lit(missing).cast("double"))
+        return joined.withColumn(out, F.col(amount) * factor).drop("_currency", "_rate")
     pairs = [F.lit(item) for code, rate in rates.items() for item in (code, float(rate))]
-    rate = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(currency)), F.lit(1.0))
-    return df.withColumn(out, F.col(amount) * rate)
+    found = F.try_element_at(F.create_map(*pairs), F.col(currency))
+    return df.withColumn(out, F.col(amount) * F.coalesce(found, F.lit(missing).cast("double")))
 
 
 def add_event_columns(df: DataFrame, now: Moment = None, rates=None) -> DataFrame:

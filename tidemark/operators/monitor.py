@@ -37,7 +37,7 @@ def dq_summary(log: DataFrame) -> DataFrame:
     total = F.col("passed_records") + F.col("failed_records")
     summary = sums.withColumn("total_records", total)
     rate = _pass_rate(F.col("passed_records"), F.col("total_records"))
-    return summary.withColumn("pass_rate_pct", rate).orderBy("pass_rate_pct")
+    return summary.withColumn("pass_rate_pct", rate).orderBy("pass_rate_pct", "expectation_name")
 
 
 def dq_failure_trend(log: DataFrame, as_of: Moment = None, hours: int = TREND_HOURS) -> DataFrame:
@@ -48,7 +48,7 @@ def dq_failure_trend(log: DataFrame, as_of: Moment = None, hours: int = TREND_HO
     trend = recent.groupBy(hour, F.col("name").alias("expectation_name")).agg(
         F.sum("failed_records").alias("failed_records")
     )
-    return trend.orderBy(F.desc("hour_bucket"), F.desc("failed_records"))
+    return trend.orderBy(F.desc("hour_bucket"), F.desc("failed_records"), "expectation_name")
 
 
 def flow_throughput(log: DataFrame, n: int = THROUGHPUT_ROWS) -> DataFrame:
@@ -60,7 +60,7 @@ def flow_throughput(log: DataFrame, n: int = THROUGHPUT_ROWS) -> DataFrame:
         F.col("metrics.num_output_rows").alias("output_rows"),
         F.col("metrics.num_input_rows").alias("input_rows"),
         "status",
-    ).orderBy(F.desc("timestamp")).limit(n)
+    ).orderBy(F.desc("timestamp"), "flow_name").limit(n)
 
 
 def alerts(summary: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:

@@ -34,6 +34,27 @@ def conform(df: DataFrame, contract: StructType = PARTNER_CONTRACT) -> DataFrame
     return df.select(*fields)
 
 
+def breaches(df: DataFrame, contract: StructType = PARTNER_CONTRACT) -> DataFrame:
+    """The rows that break the contract, with the required fields they lack in `missing_fields`."""
+    return _checked(df, contract).where(F.size("missing_fields") > 0)
+
+
+def publishable(df: DataFrame, contract: StructType = PARTNER_CONTRACT) -> DataFrame:
+    """The rows that keep the contract."""
+    return _checked(df, contract).where(F.size("missing_fields") == 0).drop("missing_fields")
+
+
+def missing_fields(contract: StructType = PARTNER_CONTRACT) -> Column:
+    """The required fields that are NULL."""
+    required = [f.name for f in contract if not f.nullable]
+    absent = [F.when(F.col(name).isNull(), F.lit(name)) for name in required]
+    return F.array_compact(F.array(*absent))
+
+
+def _checked(df: DataFrame, contract: StructType) -> DataFrame:
+    return df.withColumn("missing_fields", missing_fields(contract))
+
+
 def serialize(contract: StructType, serializer: str = "json") -> Column:
     """The contract's fields as one message value.
 
@@ -72,14 +93,28 @@ def changed_messages(
     contract: StructType = PARTNER_CONTRACT,
     serializer: str = "json",
     key: str = "bp_number",
+    tombstones: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """Messages of the entities that are new or changed since the last snapshot.
 
-    `compare` names the fields that matter, so a new processing time alone publishes nothing.
+    `compare` names the fields that matter, so a new processing time alone publishes nothing. With
+    `tombstones` an entity that is gone is told by its key and a NULL value, unless another entity
+    with that key is left. Records that break the contract stop the job, or are left out when not
+    `strict`: see `breaches`.
     """
     changes = change_feed(old, new, keys, compare)
     current = changes.where(F.col("change_type").isin("insert", "update_post"))
-    return to_messages(current, contract, serializer, key)
+    if not strict:
+        current = publishable(current, contract)
+    messages = to_messages(current, contract, serializer, key)
+    if not tombstones:
+        return messages
+    name = F.col(key).cast("string").alias("key")
+    gone = changes.where((F.col("change_type") == "delete") & F.col(key).isNotNull()).select(name)
+    gone = gone.distinct().join(new.select(name), "key", "left_anti")
+    empty = F.lit(None).cast(messages.schema["value"].dataType)
+    return messages.unionByName(gone.withColumn("value", empty))
 
 
 def publish(

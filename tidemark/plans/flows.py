@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from tidemark.functions.columns import Moment, moment
-from tidemark.operators.dedup import PARTNER_KEYS, PARTNER_ORDER, dedup_events, latest_by
+from tidemark.operators.dedup import (
+    PARTNER_KEYS, PARTNER_ORDER, dedup_events, latest_by, whole_keys,
+)
 from tidemark.operators.envelope import EVENT_KEEP, PARTNER_KEEP, parse_payload
 from tidemark.operators.events import add_event_columns
 from tidemark.operators.partners import add_bp_columns
@@ -31,10 +33,15 @@ def parsed_events(raw: DataFrame) -> DataFrame:
 
 
 def trusted_partners(
-    parsed: DataFrame, now: Moment = None, keys: Sequence[str] = TRUSTED_KEYS, how: str = "window"
+    parsed: DataFrame,
+    now: Moment = None,
+    keys: Sequence[str] = TRUSTED_KEYS,
+    how: str = "window",
+    order: Sequence[str] = PARTNER_ORDER,
 ) -> DataFrame:
-    """The newest parsed row per key, with derived columns."""
-    return add_bp_columns(latest_by(parsed, keys, PARTNER_ORDER, how=how), now)
+    """The newest parsed row per key, with derived columns. Unreadable messages, and others with
+    an incomplete key, stay one by one, so the rules count each."""
+    return add_bp_columns(latest_by(parsed, whole_keys(keys), order, how=how), now)
 
 
 def bp_trusted(

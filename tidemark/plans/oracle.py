@@ -371,7 +371,7 @@ SELECT logged_at AS "timestamp", 'trusted_events' AS flow_name,
 FROM evlog GROUP BY logged_at
 UNION ALL
 SELECT logged_at, 'bp_trusted', count(*), count(*), 'COMPLETED' FROM bplog GROUP BY logged_at
-ORDER BY 1 DESC LIMIT {THROUGHPUT_ROWS}""",
+ORDER BY 1 DESC, 2 LIMIT {THROUGHPUT_ROWS}""",
         "dq_alerts": f"""WITH {LOG}
 SELECT * FROM ({_summary('SELECT * FROM logged')})
 WHERE pass_rate_pct < {ALERT_THRESHOLD} OR pass_rate_pct IS NULL""",

@@ -16,6 +16,7 @@ from tidemark.functions.columns import Moment
 from tidemark.operators import dedup, envelope, events, partners, publish
 from tidemark.plans import flows
 from tidemark.schemas import EVENT_RAW, EVENT_RULES, PARTNER_RAW, PARTNER_RULES
+from tidemark.session import folders
 from tidemark.sources.readers import read_table_stream
 from tidemark.streaming import jobs, latest
 from tidemark.streaming.quality import measure_stream
@@ -27,11 +28,21 @@ PUBLISHED_WHEN_CHANGED = (
 )
 
 
+BUCKETS = 64
+INGEST_DAY = "ingest_date"
+
+
 @dataclass(frozen=True)
 class Layers:
-    """The folders of one pipeline."""
+    """The folders of one pipeline; with `names`, a prefix such as `lake.events_`, its tables are
+    also named, commented and tagged in the catalog."""
 
     root: str
+    names: str | None = None
+
+    def name(self, spark: SparkSession, table: str, path: str, layer: str, comment: str) -> None:
+        if self.names is not None and folders(spark, path):
+            jobs.name_table(spark, f"{self.names}{table}", path, layer, comment)
 
     @property
     def raw(self) -> str:
@@ -57,8 +68,14 @@ class Layers:
 def ingest_partners(
     messages: DataFrame, layers: Layers, trigger: str = jobs.AVAILABLE_NOW
 ) -> StreamingQuery:
+    """Raw rows as received, in folders by the day they came in."""
     raw = envelope.bp_envelope(messages)
-    return jobs.run_stream(raw, layers.raw, layers.checkpoint("raw"), trigger=trigger)
+    raw = raw.withColumn(INGEST_DAY, F.to_date("kafka_ingest_timestamp"))
+    query = jobs.run_stream(
+        raw, layers.raw, layers.checkpoint("raw"), trigger=trigger, partition_by=[INGEST_DAY]
+    )
+    layers.name(messages.sparkSession, "raw", layers.raw, "raw", "partner messages as received")
+    return query
 
 
 def trust_partners(
@@ -72,11 +89,12 @@ def trust_partners(
 
     `options` such as `maxFilesPerTrigger` bound a micro-batch.
     """
-    raw = read_table_stream(spark, layers.raw, PARTNER_RAW, **(options or {}))
+    schema = f"{PARTNER_RAW}, {INGEST_DAY} DATE"
+    raw = read_table_stream(spark, layers.raw, schema, **(options or {}))
     return measure_stream(
         flows.parsed_partners(raw), PARTNER_RULES, "bp_trusted", layers.trusted, layers.log,
         layers.checkpoint("trusted"), trigger,
-        transform=lambda batch: flows.trusted_partners(batch, now),
+        transform=lambda batch: flows.trusted_partners(batch, now, order=dedup.LIVING_ORDER),
     )
 
 
@@ -94,14 +112,49 @@ def unify_partners(
     read besides it.
     """
     trusted = latest.fold(
-        spark, layers.trusted, folded_version(layers, version), flows.TRUSTED_KEYS,
-        dedup.PARTNER_ORDER, previous and folded_version(layers, previous),
+        spark, layers.trusted, folded_version(layers, version), dedup.whole_keys(flows.TRUSTED_KEYS),
+        dedup.LIVING_ORDER, previous and folded_version(layers, previous),
     )
-    gold = partners.entity_json(partners.unify(trusted, now, **options))
+    gold = partners.entity_json(partners.unify(trusted, now, order=dedup.LIVING_ORDER, **options))
     jobs.write_layer(gold, partner_version(layers, version), "gold")
     return spark.read.parquet(partner_version(layers, version))
 
 
+def refresh_partners(
+    spark: SparkSession, layers: Layers, now: Moment = None, buckets: int = BUCKETS, **options
+) -> list[int]:
+    """Bring the newest trusted rows and the entities up to date, at the cost of what has changed.
+
+    Both tables lie in hash buckets of the partner. Trusted rows since the last call are merged into
+    the buckets they touch; only partners with new rows are unified again, the others of those
+    buckets are copied, and all other buckets stay as they are. Gives the buckets written.
+    """
+    newest, gold = f"{layers.root}/trusted_buckets", layers.gold("business_partner_current")
+    merged = latest.merge_batches(
+        spark, layers.trusted, newest, flows.TRUSTED_KEYS, dedup.LIVING_ORDER, partners.PARTNER, buckets
+    )
+    if merged is None or not merged[1]:
+        return []
+    changes, touched = merged
+    keys = changes.select(*[F.col(k).alias(f"_{k}") for k in partners.PARTNER]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in partners.PARTNER]
+    stored = latest.read_buckets(spark, newest, changes.schema, touched).drop("bucket")
+    again = stored.join(keys, same, "left_semi")
+    unified = partners.unify(again, now, order=dedup.LIVING_ORDER, **options)
+    unified = partners.entity_json(unified).withColumn(
+        "bucket", latest.bucket_of(partners.PARTNER, buckets)
+    )
+    others = latest.read_buckets(spark, gold, unified.schema, touched).join(keys, same, "left_anti")
+    latest.replace_buckets(others.unionByName(unified), gold)
+    layers.name(spark, "business_partner", gold, "gold", "one record per business partner")
+    return touched
+
+
+def read_partners(spark: SparkSession, layers: Layers) -> DataFrame:
+    """The entities as `refresh_partners` keeps them."""
+    return spark.read.parquet(layers.gold("business_partner_current")).drop("bucket")
+
+
 def folded_version(layers: Layers, version: str) -> str:
     return f"{layers.root}/trusted_newest/{version}"
 
@@ -119,17 +172,47 @@ def publish_partners(
     options: Mapping[str, str] | None = None,
     path: str | None = None,
     serializer: str = "json",
-) -> None:
-    """Send the entities that are new or changed since the version published before, or all."""
-    new = spark.read.parquet(partner_version(layers, version))
-    if previous is None:
-        messages = publish.to_messages(new, serializer=serializer)
-    else:
-        old = spark.read.parquet(partner_version(layers, previous))
-        messages = publish.changed_messages(
-            old, new, partners.PARTNER, PUBLISHED_WHEN_CHANGED, serializer=serializer
-        )
-    publish.publish(messages, fmt, options, path=path)
+    tombstones: bool = False,
+    most_broken: float = 0.01,
+) -> StreamingQuery:
+    """Send the entities that are new or changed since the version published before, or all.
+
+    The messages of a version are written to an outbox once, and a checkpointed stream sends what
+    is in the outbox: after a failure, or when called again, it goes on where it was, so nothing is
+    lost, and nothing sent twice by a sink that is exactly-once. Records that break the contract go
+    to a side table with their reasons; a share of them above `most_broken` stops the job first.
+    With `tombstones` entities that are gone are sent as a NULL value.
+    """
+    box = f"{outbox(layers)}/version={version}"
+    if f"version={version}" not in folders(spark, f"{outbox(layers)}.done"):
+        new = spark.read.parquet(partner_version(layers, version))
+        broken = publish.breaches(new)
+        share = F.count_if(F.size(publish.missing_fields()) > 0) / F.count(F.lit(1))
+        found = new.agg(share).first()[0] or 0.0
+        if found > most_broken:
+            raise ValueError(f"{found:.1%} of version {version} break the contract")
+        jobs.write_layer(broken, f"{layers.gold('business_partner_broken')}/{version}", "gold")
+        if previous is None:
+            messages = publish.to_messages(publish.publishable(new), serializer=serializer)
+        else:
+            old = spark.read.parquet(partner_version(layers, previous))
+            messages = publish.changed_messages(
+                old, new, partners.PARTNER, PUBLISHED_WHEN_CHANGED, serializer=serializer,
+                tombstones=tombstones, strict=False,
+            )
+        messages.write.mode("overwrite").parquet(box)
+        spark.range(1).write.mode("overwrite").parquet(f"{outbox(layers)}.done/version={version}")
+    schema = spark.read.parquet(box).schema
+    waiting = spark.readStream.schema(schema).parquet(f"{outbox(layers)}/version=*")
+    query = publish.publish(
+        waiting.select("key", "value"), fmt, options, layers.checkpoint("publish"), path
+    )
+    query.awaitTermination()
+    return query
+
+
+def outbox(layers: Layers) -> str:
+    return f"{layers.root}/outbox"
 
 
 # --- events: always on, or triggered --------------------------------------------------------
@@ -137,8 +220,13 @@ def publish_partners(
 def ingest_events(
     messages: DataFrame, layers: Layers, trigger: str = jobs.AVAILABLE_NOW
 ) -> StreamingQuery:
-    raw = envelope.event_envelope(messages)
-    return jobs.run_stream(raw, layers.raw, layers.checkpoint("raw"), trigger=trigger)
+    """Raw rows as received, in folders by the day they came in."""
+    raw = envelope.event_envelope(messages).withColumn(INGEST_DAY, F.to_date("kafka_timestamp"))
+    query = jobs.run_stream(
+        raw, layers.raw, layers.checkpoint("raw"), trigger=trigger, partition_by=[INGEST_DAY]
+    )
+    layers.name(messages.sparkSession, "raw", layers.raw, "raw", "event messages as received")
+    return query
 
 
 def trust_events(
@@ -150,11 +238,14 @@ def trust_events(
     options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Events without copies, in folders per day, and their expectation counts in the log."""
-    raw = read_table_stream(spark, layers.raw, EVENT_RAW, **(options or {}))
-    return measure_stream(
+    schema = f"{EVENT_RAW}, {INGEST_DAY} DATE"
+    raw = read_table_stream(spark, layers.raw, schema, **(options or {}))
+    query = measure_stream(
         flows.trusted_events(raw, now, rates), EVENT_RULES, "trusted_events", layers.trusted,
         layers.log, layers.checkpoint("trusted"), trigger, partition_by=["event_date"],
     )
+    layers.name(spark, "trusted", layers.trusted, "trusted", "events without copies")
+    return query
 
 
 def refresh_event_gold(
@@ -164,14 +255,15 @@ def refresh_event_gold(
 
     Days are partitions of both sides, so a refresh of the latest days reads and replaces only
     those. Rows without a date, from unreadable messages, are one partition more and always read.
-    A micro-batch that is being written meanwhile is picked up by the next refresh.
+    A micro-batch that is being written meanwhile is picked up by the next refresh. Copies that came
+    after the stream had forgotten their id are still among the rows, so ids are counted distinct.
     """
     trusted = spark.read.parquet(layers.trusted).drop("batch_id")
     if since is not None:
         day = F.col("event_date")
         trusted = trusted.where(day.isNull() | (day >= F.lit(since).cast("date")))
     tables = {
-        "event_metrics": events.hourly_metrics(trusted, now=now, unique_ids=True),
+        "event_metrics": events.hourly_metrics(trusted, now=now),
         "entity_daily": events.entity_daily(trusted, now),
     }
     for name, table in tables.items():
@@ -179,3 +271,4 @@ def refresh_event_gold(
             table, layers.gold(name), "gold", partition_by=["event_date"],
             only_partitions=since is not None,
         )
+        layers.name(spark, name, layers.gold(name), "gold", f"{name} by day")

@@ -12,7 +12,6 @@ from pyspark.sql.types import StructType
 # ---------------------------------------------------------------------------------------------
 
 PARTNER_TOPIC = "sap.masterdata.business_partner.raw"
-PARTNER_OUT_TOPIC = "masterdata.business_partner.v1"
 EVENT_TOPIC = "platform.events.v1"
 
 ENVELOPE = (

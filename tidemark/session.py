@@ -29,6 +29,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
+        if master.startswith("local") and "spark__checkpoint__dir" not in conf:
+            builder = builder.config("spark.checkpoint.dir", _local_scratch())
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return configure(builder.getOrCreate())
@@ -37,16 +39,11 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session.
 
-    On a cluster the number of shuffle partitions is left as it is set there: it also fixes the
-    number of state partitions of a new stream. In local mode it is held to the cores at hand,
-    as every state partition beyond them only adds start-up time to each micro-batch.
+    The number of shuffle partitions is left to the caller: it also fixes the number of state
+    partitions of a new stream, and adaptive execution merges what is too small.
     """
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
-    if _is_local(spark):
-        cores = spark.sparkContext.defaultParallelism
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set("spark.sql.shuffle.partitions", str(min(partitions, cores)))
     return spark
 
 
@@ -55,7 +52,8 @@ def _is_local(spark: SparkSession) -> bool:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: `spark.checkpoint.dir`, or a scratch folder in local mode."""
+    """Folder every executor can reach: `spark.checkpoint.dir`. Only a local session that was built
+    elsewhere and leaves it unset gets a scratch folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
@@ -69,6 +67,28 @@ def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="tidemark-")
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of this library's own making, wherever it is stored."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def rename(spark: SparkSession, folder: str, to: str) -> bool:
+    """Move a folder; False if there is none."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.exists(path) and store.rename(path, jvm.org.apache.hadoop.fs.Path(to))
+
+
+def folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders directly below one, from a listing alone; none if it doesn't exist."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = store.listStatus(path) if store.exists(path) else []
+    return sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run below the shared folder."""
     return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"

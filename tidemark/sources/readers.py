@@ -84,20 +84,43 @@ def replay(
     ranges: Iterable[tuple[int, int | None, int | None]] | DataFrame,
     partition: str = "kafka_partition",
     offset: str = "kafka_offset",
+    days: tuple[str | None, str | None] | None = None,
+    day: str = "ingest_date",
+    block: int = 1 << 20,
 ) -> DataFrame:
     """The rows of a raw layer inside (partition, from, to) ranges, both ends included.
 
     A list becomes one predicate that reaches the file scan, with None for an open end. A
-    DataFrame with those three columns is matched by a semi join, so overlaps repeat no row.
+    DataFrame with those three columns is matched by a semi join, so overlaps repeat no row: its
+    ranges are cut into blocks of offsets, which with the partition are the key, so the rows of a
+    partition are spread over as many tasks as it has blocks. `days` (first, last, either may be
+    None) reads only those folders of a layer that is partitioned by `day`.
     """
+    if days is not None:
+        first, last = days
+        if first is not None:
+            raw = raw.where(F.col(day) >= F.lit(first).cast("date"))
+        if last is not None:
+            raw = raw.where(F.col(day) <= F.lit(last).cast("date"))
     if isinstance(ranges, DataFrame):
         r = ranges.toDF("_partition", "_from", "_to")
+        ends = raw.groupBy(F.col(partition).alias("_partition")).agg(
+            F.min(offset).alias("_low"), F.max(offset).alias("_high")
+        )
+        known = r.join(ends, "_partition").select(
+            "_partition",
+            F.greatest(F.coalesce("_from", "_low"), "_low").alias("_from"),
+            F.least(F.coalesce("_to", "_high"), "_high").alias("_to"),
+        ).where("_from <= _to")
+        blocks = known.withColumn("_block", F.explode(F.sequence(
+            F.floor(F.col("_from") / block), F.floor(F.col("_to") / block)
+        )))
         within = (
             (F.col(partition) == F.col("_partition"))
-            & (F.col("_from").isNull() | (F.col(offset) >= F.col("_from")))
-            & (F.col("_to").isNull() | (F.col(offset) <= F.col("_to")))
+            & (F.floor(F.col(offset) / block) == F.col("_block"))
+            & F.col(offset).between(F.col("_from"), F.col("_to"))
         )
-        return raw.join(r, within, "left_semi")
+        return raw.join(blocks, within, "left_semi")
     clauses = []
     for part, first, last in ranges:
         clause = F.col(partition) == part

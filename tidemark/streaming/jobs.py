@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.session import folders, remove, rename
+
 AVAILABLE_NOW = "available_now"
 QUALITY = {"raw": "bronze", "trusted": "silver", "gold": "gold"}
 
@@ -37,6 +39,12 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """The micro-batches of a table, from a listing of its folders alone."""
+    names = (name.partition("=") for name in folders(spark, path))
+    return sorted(int(value) for key, _, value in names if key == "batch_id")
+
+
 def run_stream(
     df: DataFrame,
     path: str,
@@ -49,7 +57,7 @@ def run_stream(
 
     Append output goes to Spark's file sink, which commits each micro-batch once. Complete and
     update output is one folder per micro-batch, overwritten when the batch is run again; read it
-    with `read_snapshot` or `read_updates`.
+    with `read_snapshot` or `read_updates`. Of complete output the newest two folders are kept.
     """
     if mode == "append":
         writer = df.writeStream.format("parquet").option("checkpointLocation", checkpoint)
@@ -62,6 +70,10 @@ def run_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        if mode == "complete":
+            for old in batch_ids(df.sparkSession, path):
+                if old < batch_id - 1:
+                    remove(df.sparkSession, batch_folder(path, old))
 
     return start_stream(df, checkpoint, write, mode, trigger)
 
@@ -69,10 +81,36 @@ def run_stream(
 def read_snapshot(spark: SparkSession, path: str, running: bool = False) -> DataFrame:
     """The newest complete result: the rows of the last micro-batch, or of the one before while
     the stream is `running` and the last may still be in the writing."""
-    batches = spark.read.parquet(path)
-    last = batches.agg(F.max("batch_id")).first()[0]
-    settled = last - 1 if running and last else last
-    return batches.where(F.col("batch_id") == settled).drop("batch_id")
+    batches = batch_ids(spark, path)
+    if not batches:
+        raise ValueError(f"no micro-batch has been written to {path}")
+    settled = batches[-2] if running and len(batches) > 1 else batches[-1]
+    return spark.read.parquet(batch_folder(path, settled))
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    keep: int = 2,
+    partition_by: Sequence[str] = (),
+) -> int:
+    """Merge all micro-batches but the newest `keep` into one folder; gives the folders left.
+
+    The merged folder takes the place of the newest batch in it, so a stream that appends goes on
+    as before. Run it between reads: while the folders are switched a reader may miss one.
+    """
+    batches = batch_ids(spark, path)
+    old = batches[: len(batches) - keep] if keep else batches
+    if len(old) < 2:
+        return len(batches)
+    rows = spark.read.option("basePath", path).parquet(*[batch_folder(path, b) for b in old])
+    rows = rows.drop("batch_id").hint("rebalance", *partition_by)
+    merged = f"{path}/_merged-{old[-1]}"
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(merged)
+    for batch in reversed(old):
+        remove(spark, batch_folder(path, batch))
+    rename(spark, merged, batch_folder(path, old[-1]))
+    return len(batches) - len(old) + 1
 
 
 def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
@@ -95,26 +133,35 @@ def stream_stats(query: StreamingQuery) -> dict[str, int]:
     }
 
 
-def _clear(spark: SparkSession, folder: str) -> None:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def refresh(
     spark: SparkSession,
     run: Callable[[], StreamingQuery],
     folders: Sequence[str],
     mode: str = "incremental",
 ) -> StreamingQuery:
-    """Run a stream: `incremental` goes on from its checkpoint, `full` first clears its `folders`,
-    which are its checkpoint and its tables, and so reads the source from the start."""
+    """Run a stream: `incremental` goes on from its checkpoint, `full` reads the source from the start.
+
+    For that its `folders`, the checkpoint and the tables, are put aside first. They are deleted
+    once a triggered run has ended well, and put back if it fails.
+    """
     if mode not in ("incremental", "full"):
         raise ValueError(f"mode must be 'incremental' or 'full', not {mode!r}")
-    if mode == "full":
-        for folder in folders:
-            _clear(spark, folder)
-    return run()
+    if mode == "incremental":
+        return run()
+    aside = {folder: f"{folder}.before" for folder in folders}
+    for folder, before in aside.items():
+        remove(spark, before)
+        rename(spark, folder, before)
+    try:
+        query = run()
+    except Exception:
+        for folder, before in aside.items():
+            remove(spark, folder)
+            rename(spark, before, folder)
+        raise
+    for before in aside.values():
+        remove(spark, before)
+    return query
 
 
 def write_layer(
@@ -167,6 +214,19 @@ def write_layer_stream(
     return query
 
 
+def name_table(
+    spark: SparkSession, table: str, path: str, layer: str, comment: str | None = None
+) -> None:
+    """Give the files of a layer a name in the catalog, tagged with their quality. Naming a table
+    again finds the partitions that came since."""
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path, source="parquet")
+        tag_table(spark, table, QUALITY[layer], comment)
+    if any("=" in name for name in folders(spark, path)):
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
 def tag_table(spark: SparkSession, table: str, quality: str, comment: str | None = None) -> None:
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('quality' = '{quality}')")
     if comment:

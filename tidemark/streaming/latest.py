@@ -4,7 +4,9 @@ Streams refuse row numbers, so each micro-batch is cut to its newest row per key
 one folder of the table, overwritten if the batch is run again. A batch costs as much as its own
 rows, never the whole table; the newest row over all folders is picked on reading. `fold` keeps
 that reading from growing with the history: it writes the newest rows from the fold before and the
-batches since. Tables whose format supports MERGE are upserted in place instead.
+batches since. `merge_batches` costs less still: its table lies in hash buckets, and only those
+that the new batches touch are read and written. Tables whose format supports MERGE are upserted in
+place instead.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.changes import merge_into
-from tidemark.operators.dedup import latest_by
-from tidemark.streaming.jobs import AVAILABLE_NOW, batch_folder, start_stream
+from tidemark.operators.dedup import latest_by, whole_keys
+from tidemark.session import folders, remove, run_dir
+from tidemark.streaming.jobs import AVAILABLE_NOW, batch_folder, batch_ids, start_stream
 
 SEED = -1
 
@@ -72,19 +75,91 @@ def fold(
     With the folder of a `previous` fold only the batches since are read. The newest batch may
     still be in the writing, so it is read again by the next fold; those before it are complete.
     """
+    ids = batch_ids(spark, path)
+    if not ids:
+        raise ValueError(f"no micro-batch has been written to {path}")
     batches = spark.read.parquet(path)
-    last = batches.agg(F.max("batch_id")).first()[0]
     rows = batches.drop("batch_id")
-    if previous is not None:
+    done = folders(spark, previous) if previous is not None else []
+    if done:
         folded = spark.read.parquet(previous)
-        done = folded.agg(F.max("folded_to")).first()[0]
-        if done is not None:
-            rows = folded.drop("folded_to").unionByName(
-                batches.where(F.col("batch_id") > done).drop("batch_id")
-            )
-    newest = latest_by(rows, keys, order).withColumn("folded_to", F.lit(last - 1))
+        rows = folded.drop("folded_to").unionByName(
+            batches.where(F.col("batch_id") > int(done[-1].partition("=")[2])).drop("batch_id")
+        )
+    newest = latest_by(rows, keys, order).withColumn("folded_to", F.lit(ids[-1] - 1))
     newest.write.mode("overwrite").partitionBy("folded_to").parquet(out)
-    return spark.read.parquet(out).drop("folded_to")
+    return spark.read.schema(newest.schema).parquet(out).drop("folded_to")
+
+
+def bucket_of(columns: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+
+
+def replace_buckets(rows: DataFrame, path: str) -> None:
+    """Write rows with a `bucket` column over the buckets that occur in them, leaving the others.
+
+    They are written aside first, as they may come from the same table.
+    """
+    spark = rows.sparkSession
+    aside = run_dir(spark, "buckets")
+    rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(aside)
+    kept = spark.read.schema(rows.schema).parquet(aside)
+    writer = kept.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    remove(spark, aside)
+
+
+def read_buckets(spark: SparkSession, path: str, schema, buckets: Sequence[int]) -> DataFrame:
+    """Some buckets of a table that may not exist yet."""
+    if not folders(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).where(F.col("bucket").isin(list(buckets)))
+
+
+def merge_batches(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    bucket_by: Sequence[str],
+    buckets: int = 64,
+    keep: int = 2,
+) -> tuple[DataFrame, list[int]] | None:
+    """Merge the micro-batches since the last call into the table at `out`, which has one row per
+    key in hash buckets; gives the new rows and the buckets they touched, None if there are none.
+
+    Only touched buckets are read and written. The batches done are noted beside the table, and so is
+    the number of buckets, which can't be changed. The newest batch may still be in the writing, so it
+    is merged again next time. Merged batches but the newest `keep` are deleted.
+    """
+    ids = batch_ids(spark, path)
+    notes = [name.split("=") for name in folders(spark, f"{out}.done")]
+    dealt = {int(value) for key, value in notes if key == "buckets"}
+    if dealt - {buckets}:
+        raise ValueError(f"the table has {dealt.pop()} buckets, not {buckets}")
+    noted = [int(value) for key, value in notes if key == "batch"]
+    done = max(noted, default=None)
+    new = [b for b in ids if done is None or b > done]
+    if not new:
+        return None
+    changes = spark.read.parquet(*[batch_folder(path, b) for b in new]).withColumn(
+        "bucket", bucket_of(bucket_by, buckets)
+    )
+    if not dealt:
+        spark.range(1).write.mode("overwrite").parquet(f"{out}.done/buckets={buckets}")
+    touched = sorted(r.bucket for r in changes.select("bucket").distinct().collect())
+    if touched:
+        stored = read_buckets(spark, out, changes.schema, touched)
+        merged = latest_by(stored.unionByName(changes), whole_keys(keys), order)
+        replace_buckets(merged, out)
+    spark.range(1).write.mode("overwrite").parquet(f"{out}.done/batch={ids[-1] - 1}")
+    for old in noted:
+        if old != ids[-1] - 1:
+            remove(spark, f"{out}.done/batch={old}")
+    for batch in ids[: len(ids) - keep]:
+        remove(spark, batch_folder(path, batch))
+    return changes, touched
 
 
 def upsert_stream(

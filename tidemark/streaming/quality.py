@@ -59,6 +59,8 @@ def measure_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
+        if partition_by:  # few files per folder, and a full one written by many tasks
+            rows = rows.hint("rebalance", *partition_by)
         observation = Observation(f"{flow}-{batch_id}")
         observed = observe_rules(rows, rules, observation)
         writer = observed.write.mode("overwrite").partitionBy(*partition_by)
