@@ -8,13 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.graph import written
 from tidemark.llm.texts import MARKS, mix, word_hashes
-from tidemark.session import run_dir
 
 #: Common words of English, German, French and Spanish: they start chains and are never content.
 ANCHORS = (
@@ -100,78 +97,55 @@ def edit(text: str, following: str) -> str:
 
 
 _COLUMNS = pa.schema([
-    ("part", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-    ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
-    ("text", pa.string()),
+    ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
+    ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
 ])
-_SCHEMA = ("part int, kind int, doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-           "near_edited double, near_next double, text string")
-DONE, FIRST, LAST = 0, 1, 2
+_SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+           "near_edited double, near_next double")
 
 
-def _described(ids: list, texts: list[str], following: list[str], spots: list[np.ndarray], next_spots: list[np.ndarray], anchors, part: int) -> pa.RecordBatch:
+def _described(ids: list, texts: list[str], following: list[str], spots: list[np.ndarray], next_spots: list[np.ndarray], anchors) -> pa.RecordBatch:
     edited = [edit(t, f) for t, f in zip(texts, following, strict=True)]
     edits = [s for _, s in spot_sets(pa.array(edited, pa.large_string()), anchors)]
     return pa.RecordBatch.from_arrays([
-        pa.array([part] * len(ids), pa.int32()), pa.array([DONE] * len(ids), pa.int32()), pa.array(ids, pa.int64()),
-        pa.array([len(t) for t in texts], pa.int64()), pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited]),
+        pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
+        pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited]),
         pa.array([encode(s) for s in spots]), pa.array([encode(s) for s in edits]),
         pa.array([likeness(a, b) for a, b in zip(spots, edits, strict=True)], pa.float64()),
         pa.array([likeness(a, b) for a, b in zip(spots, next_spots, strict=True)], pa.float64()),
-        pa.nulls(len(ids), pa.string()),
     ], schema=_COLUMNS)
 
 
-def _end(kind: int, part: int, doc: int | None, text: str) -> pa.RecordBatch:
-    row = {"part": part, "kind": kind, "doc_id": doc, "text": text}
-    return pa.RecordBatch.from_pylist([row], schema=_COLUMNS)
-
-
 def _in_order(anchors: np.ndarray, most: int = 1 << 22):
-    """Rows come in order; the first and the last of a part are passed on, to meet over the border."""
+    """Rows come by range and in order; after a range comes, as border, the first row of the next one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
         ids: list = []
         texts: list[str] = []
         spots: list[np.ndarray] = []
-        size = 0
+        size, own, ended = 0, None, False
 
         def flush() -> pa.RecordBatch:
             """All but the newest row, which waits for the one after it."""
             nonlocal size
-            new = [s for _, s in spot_sets(pa.array(texts[len(spots) :], pa.large_string()), anchors)]
-            spots.extend(new)
-            out = _described(ids[:-1], texts[:-1], texts[1:], spots[:-1], spots[1:], anchors, part)
+            spots.extend(s for _, s in spot_sets(pa.array(texts[len(spots) :], pa.large_string()), anchors))
+            out = _described(ids[:-1], texts[:-1], texts[1:], spots[:-1], spots[1:], anchors)
             del ids[:-1], texts[:-1], spots[:-1]
             size = 0
             return out
 
         for batch in batches:
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = value.as_py() or ""
-                if not ids:
-                    yield _end(FIRST, part, doc, text)
+            for doc, value, part, border in zip(batch.column(0).to_pylist(), batch.column(1), *(batch.column(k).to_pylist() for k in (2, 3)), strict=True):
+                if part != own:
+                    ids, texts, spots, own, ended = [], [], [], part, False
+                if ended:
+                    continue  # another row with the id of the next range's first one
                 ids.append(doc)
-                texts.append(text)
-                size += len(text)
-                if size > most and len(ids) > 1:
+                texts.append(value.as_py())
+                size += len(texts[-1])
+                ended = bool(border)
+                if ended or size > most and len(ids) > 1:
                     yield flush()
-        if ids:
-            if len(ids) > 1:
-                yield flush()
-            yield _end(LAST, part, ids[0], texts[0])
-
-    return run
-
-
-def _over_borders(anchors: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, a, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                pair = [a.as_py(), b.as_py()]
-                spots, following = (s for _, s in spot_sets(pa.array(pair, pa.large_string()), anchors))
-                yield _described([doc], pair[:1], pair[1:], [spots], [following], anchors, 0)
 
     return run
 
@@ -190,20 +164,33 @@ def fingerprint_documents(
     empty ones are alike. A null text counts as empty. Repeated rows follow one another and are each
     returned; other columns are left out; an empty table gives an empty result.
 
-    Rows are range-partitioned by id, so the next row is the next in the task; only a part's first
-    and last row, one each, meet in a second step.
+    Rows are dealt by ranges of the id, about four for each shuffle partition, so the next row is the
+    next in the task. The first row of each range goes to the range before as well; which these are
+    is found from the ids alone. The texts are shuffled once and nothing is written.
     """
     spark, hashes = docs.sparkSession, _anchor_hashes(anchors)
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    parts = written(
-        source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(_in_order(hashes), _SCHEMA),
-        f"{run_dir(spark, 'spotsigs')}/parts",
+    number = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long"))
+    source = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), number.alias("number"),
+    )
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shares = [k / parts for k in range(1, parts)]
+    bounds = np.unique(np.array(source.agg(F.percentile_approx("number", shares, 20 * parts)).first()[0] or [], np.int64))
+
+    @F.arrow_udf("int")
+    def part_of(number: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(bounds, number.to_numpy(zero_copy_only=False), "right").astype(np.int32))
+
+    ranged = source.withColumn("part", part_of("number"))
+    firsts = sorted((r["part"], r["first"]) for r in ranged.groupBy("part").agg(F.min("number").alias("first")).collect())  # one for each range
+    borders = [(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)]
+    borders = spark.createDataFrame(borders, "first long, before int")
+    one = F.struct(F.col("part"), F.lit(0).alias("border"))
+    two = F.struct(F.col("before").alias("part"), F.lit(1).alias("border"))
+    return (
+        ranged.join(F.broadcast(borders), F.col("number") == F.col("first"), "left")
+        .withColumn("at", F.explode(F.when(F.col("before").isNull(), F.array(one)).otherwise(F.array(one, two))))
+        .select("doc_id", "text", "at.part", "at.border")
+        .repartition("part").sortWithinPartitions("part", "border", "doc_id", "text")
+        .mapInArrow(_in_order(hashes), _SCHEMA)
     )
-    ends = sorted(r["part"] for r in parts.where(F.col("kind") == FIRST).select("part").collect())  # a number for each task
-    if not ends:
-        return parts.drop("part", "kind", "text")
-    after = spark.createDataFrame(list(zip(ends, [*ends[1:], ends[0]], strict=True)), "part int, next int")
-    first = parts.where(F.col("kind") == FIRST).select(F.col("part").alias("next"), F.col("text").alias("following"))
-    last = parts.where(F.col("kind") == LAST).select("part", "doc_id", "text")
-    met = last.join(after, "part").join(first, "next").select("doc_id", "text", "following").mapInArrow(_over_borders(hashes), _SCHEMA)
-    return parts.where(F.col("kind") == DONE).unionByName(met).drop("part", "kind", "text")
