@@ -46,7 +46,9 @@ def latest_by(
     return df.withColumn("_number", number).where("_number = 1").drop("_number")
 
 
-def whole_keys(keys: Sequence[str | Column], position: Sequence[str] = POSITION) -> list[Column]:
+def whole_keys(
+    keys: Sequence[str | Column], position: Sequence[str | Column] = POSITION
+) -> list[Column]:
     """The key columns, and the message position where one of them is NULL.
 
     What a NULL in a key means is decided here for all operators: a row with an incomplete key is

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, TimestampType
 
 from tidemark.operators import changes, dedup, envelope, events, monitor, partners, publish, quality
-from tidemark.plans import flows
+from tidemark.plans import flows, pipelines
 from tidemark.schemas import (
     EVENT_PAYLOAD, EVENT_RULES, EVENT_RULES_CHANGE_TYPES, PARTNER_RULES, PARTNER_RULES_STRICT,
 )
@@ -32,6 +32,9 @@ PARTNER_SPLIT = "1999-01-01 00:00:00"
 RATES = {"USD": 1.0, "EUR": 1.09, "BRL": 0.2}
 REPLAY = [(0, None, 9999), (1, 4000, 15000), (2, 10000, None), (3, None, None)]
 
+REPLAY_TO = "2024-01-15"
+
+METRIC_KEYS = ("window_start", "event_type", "source_system", "entity_type")
 SOURCE_KEYS = ("sap_client", "bp_number", "source_table")
 ENTITY_COLUMNS = (
     "sap_client", "bp_number", "bp_category", "first_name", "last_name", "is_active",
@@ -47,10 +50,6 @@ def _events_raw(spark, sf_dir):
     return envelope.event_envelope(feeds.event_feed(spark, sf_dir), NOW)
 
 
-def _events_raw_stream(spark, sf_dir):
-    return envelope.event_envelope(feeds.event_feed_stream(spark, sf_dir), NOW)
-
-
 def _events_parsed(spark, sf_dir):
     return flows.parsed_events(_events_raw(spark, sf_dir))
 
@@ -63,8 +62,19 @@ def _partners_raw(spark, sf_dir):
     return envelope.bp_envelope(feeds.partner_feed(spark, sf_dir), NOW)
 
 
-def _partners_raw_stream(spark, sf_dir):
-    return envelope.bp_envelope(feeds.partner_feed_stream(spark, sf_dir), NOW)
+def _deliver_events(spark, sf_dir, out, step):
+    """The event feed part by part; `step` gets all raw rows so far as a stream."""
+    feeds.deliver(
+        feeds.event_feed_parts(spark, sf_dir), f"{out}/inbox",
+        lambda messages: step(envelope.event_envelope(messages, NOW)),
+    )
+
+
+def _deliver_partners(spark, sf_dir, out, step):
+    feeds.deliver(
+        feeds.partner_feed_parts(spark, sf_dir), f"{out}/inbox",
+        lambda messages: step(envelope.bp_envelope(messages, NOW)),
+    )
 
 
 def _partners_parsed(spark, sf_dir):
@@ -116,7 +126,8 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 def raw_events_stream(spark, sf_dir):
     out = run_dir(spark, "raw_events")
-    jobs.run_stream(_events_raw_stream(spark, sf_dir), f"{out}/table", f"{out}/checkpoint")
+    _deliver_events(spark, sf_dir, out, lambda raw: jobs.run_stream(
+        raw, f"{out}/table", f"{out}/checkpoint"))
     return _plain(spark.read.parquet(f"{out}/table"))
 
 
@@ -124,6 +135,18 @@ def raw_replay(spark, sf_dir):
     return _plain(replay(_events_raw(spark, sf_dir), REPLAY))
 
 
+def raw_replay_table(spark, sf_dir):
+    """The same ranges as a table, on a raw layer in folders by day; only the first days are read."""
+    layers = pipelines.Layers(run_dir(spark, "raw_replay"))
+    feeds.deliver(
+        feeds.event_feed_parts(spark, sf_dir), f"{layers.root}/inbox",
+        lambda messages: pipelines.ingest_events(messages, layers),
+    )
+    ranges = spark.createDataFrame(REPLAY, "p int, a bigint, b bigint")
+    raw = replay(spark.read.parquet(layers.raw), ranges, days=(None, REPLAY_TO), block=4096)
+    return _plain(raw.drop("ingest_date").withColumn("ingested_at", F.lit(NOW).cast("timestamp")))
+
+
 def raw_parse_flat(spark, sf_dir):
     return _flat(envelope.parse_messages(feeds.event_feed(spark, sf_dir), EVENT_PAYLOAD))
 
@@ -170,32 +193,41 @@ def amount_fx_table(spark, sf_dir):
     rates = parsed.where("amount > 0 AND currency IS NOT NULL").groupBy("currency").agg(
         F.round(F.avg("amount") / 100, 2).alias("rate")
     )
+    # Every currency has an older rate too, which must not count an event twice.
+    rates = rates.withColumn("day", F.lit("2024-01-31"))
+    older = rates.select("currency", F.col("rate") * 2, F.lit("2024-01-30").alias("day"))
     path = run_dir(spark, "rates")
-    rates.write.parquet(path)
-    fx = events.convert_amount(dedup.dedup_events(parsed), spark.read.parquet(path))
+    rates.unionByName(older.toDF("currency", "rate", "day")).write.parquet(path)
+    fx = events.convert_amount(
+        dedup.dedup_events(parsed), spark.read.parquet(path), order=["day"]
+    )
     return fx.select("event_id", "currency", "amount", F.round("amount_usd", 6).alias("amount_usd"))
 
 
 def _trusted_table(spark, sf_dir):
     """The trusted layer as a stream writes it; gives the folder of the run."""
     out = run_dir(spark, "trusted_events")
-    trusted = flows.trusted_events(_events_raw_stream(spark, sf_dir), NOW)
-    jobs.run_stream(trusted, f"{out}/table", f"{out}/checkpoint")
+    _deliver_events(spark, sf_dir, out, lambda raw: jobs.run_stream(
+        flows.trusted_events(raw, NOW), f"{out}/table", f"{out}/checkpoint"))
     return out
 
 
 def events_dedup_stream(spark, sf_dir):
     out = run_dir(spark, "events_dedup")
-    parsed = with_watermark(flows.parsed_events(_events_raw_stream(spark, sf_dir)))
-    jobs.run_stream(dedup_stream(parsed), f"{out}/table", f"{out}/checkpoint")
+    _deliver_events(spark, sf_dir, out, lambda raw: jobs.run_stream(
+        dedup_stream(with_watermark(flows.parsed_events(raw))), f"{out}/table", f"{out}/checkpoint"))
     return _payload(spark.read.parquet(f"{out}/table"))
 
 
 def events_dedup_unbounded_stream(spark, sf_dir):
     out = run_dir(spark, "events_dedup_unbounded")
-    parsed = envelope.parse_messages(feeds.event_feed_stream(spark, sf_dir), EVENT_PAYLOAD)
-    basic = flows.trusted_events_basic(parsed, NOW)
-    jobs.run_stream(basic, f"{out}/table", f"{out}/checkpoint")
+
+    def step(messages):
+        parsed = envelope.parse_messages(messages, EVENT_PAYLOAD)
+        basic = flows.trusted_events_basic(parsed, NOW)
+        jobs.run_stream(basic, f"{out}/table", f"{out}/checkpoint")
+
+    feeds.deliver(feeds.event_feed_parts(spark, sf_dir), f"{out}/inbox", step)
     return _payload(spark.read.parquet(f"{out}/table"))
 
 
@@ -229,6 +261,42 @@ def sliding_event_metrics_general(spark, sf_dir):
     return _rounded(events.hourly_metrics(derived, "1 hour", slide="15 minutes", now=NOW))
 
 
+def sliding_event_metrics_window(spark, sf_dir):
+    """Windows that are no multiple of their slide."""
+    trusted = _events_trusted(spark, sf_dir)
+    return _rounded(events.hourly_metrics(trusted, "50 minutes", slide="15 minutes", now=NOW))
+
+
+def _estimates_near(estimated, exact, keys):
+    """Estimated distinct counts as whether they lie within a tenth of the exact ones."""
+    names = ("unique_events", "unique_entities", "unique_sessions")
+    truth = exact.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(n).alias(f"_{n}") for n in names])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    near = {n: F.abs(F.col(n) - F.col(f"_{n}")) <= 0.1 * F.col(f"_{n}") + 1 for n in names}
+    joined = estimated.join(truth, same).withColumns(near)
+    return joined.select(*estimated.columns)
+
+
+def hourly_event_metrics_approx(spark, sf_dir):
+    trusted = _events_trusted(spark, sf_dir)
+    estimated = events.hourly_metrics(trusted, now=NOW, approx=True)
+    exact = events.hourly_metrics(trusted, now=NOW, unique_ids=True)
+    return _rounded(_estimates_near(estimated, exact, METRIC_KEYS))
+
+
+def event_gold_refresh(spark, sf_dir):
+    """The hourly gold table as the pipeline leaves it after three runs."""
+    layers = pipelines.Layers(run_dir(spark, "event_gold"))
+
+    def step(messages):
+        pipelines.ingest_events(messages, layers)
+        pipelines.trust_events(spark, layers, now=NOW)
+        pipelines.refresh_event_gold(spark, layers, now=NOW)
+
+    feeds.deliver(feeds.event_feed_parts(spark, sf_dir), f"{layers.root}/inbox", step)
+    return _rounded(spark.read.parquet(layers.gold("event_metrics")))
+
+
 def hourly_metrics_basic(spark, sf_dir):
     parsed = envelope.parse_messages(feeds.event_feed(spark, sf_dir), EVENT_PAYLOAD)
     metrics = events.hourly_metrics_basic(flows.trusted_events_basic(parsed, NOW))
@@ -246,12 +314,21 @@ def entity_daily_summary(spark, sf_dir):
 
 
 def _counts_stream(spark, sf_dir, slide=None):
-    out = _trusted_table(spark, sf_dir)
-    trusted = with_watermark(read_table_stream(spark, f"{out}/table"))
-    metrics = aggregates.hourly_metrics_stream(trusted, slide=slide)
-    jobs.run_stream(metrics, f"{out}/metrics", f"{out}/metrics_checkpoint", mode="complete")
-    estimates = ("unique_entities", "unique_sessions")
-    return _rounded(jobs.read_snapshot(spark, f"{out}/metrics").drop(*estimates))
+    """Metrics of the trusted table while it grows: each run goes on from the state of the one
+    before, and writes the windows that changed."""
+    out = run_dir(spark, "counts")
+
+    def step(raw):
+        trusted = flows.trusted_events(raw, NOW)
+        jobs.run_stream(trusted, f"{out}/table", f"{out}/checkpoint")
+        rows = with_watermark(read_table_stream(spark, f"{out}/table"))
+        metrics = aggregates.hourly_metrics_stream(rows, slide=slide)
+        jobs.run_stream(metrics, f"{out}/metrics", f"{out}/metrics_checkpoint", mode="update")
+
+    _deliver_events(spark, sf_dir, out, step)
+    newest = jobs.read_updates(spark, f"{out}/metrics", METRIC_KEYS)
+    exact = events.hourly_metrics(spark.read.parquet(f"{out}/table"), slide=slide)
+    return _rounded(_estimates_near(newest, exact, METRIC_KEYS))
 
 
 def hourly_counts_stream(spark, sf_dir):
@@ -278,7 +355,7 @@ def bp_latest_string_offset(spark, sf_dir):
     text = _partners_parsed(spark, sf_dir).withColumn(
         "kafka_offset", F.col("kafka_offset").cast("string")
     )
-    order = [F.col("kafka_offset").try_cast("bigint")]
+    order = [F.col("kafka_offset").try_cast("bigint"), *dedup.PARTNER_ORDER[1:]]
     return _plain(dedup.latest_by(text, dedup.PARTNER_KEYS, order))
 
 
@@ -288,15 +365,31 @@ def bp_trusted(spark, sf_dir):
 
 def bp_latest_stream(spark, sf_dir):
     out = run_dir(spark, "bp_latest")
-    parsed = flows.parsed_partners(_partners_raw_stream(spark, sf_dir))
     keys, order = flows.TRUSTED_KEYS, dedup.PARTNER_ORDER
-    latest.latest_stream(
-        parsed, keys, order, f"{out}/table", f"{out}/checkpoint",
+    _deliver_partners(spark, sf_dir, out, lambda raw: latest.latest_stream(
+        flows.parsed_partners(raw), keys, order, f"{out}/table", f"{out}/checkpoint",
         prepare=lambda rows: partners.add_bp_columns(rows, NOW),
-    )
+    ))
     return _plain(latest.read_latest(spark, f"{out}/table", keys, order))
 
 
+def bp_latest_folded(spark, sf_dir):
+    """The same table, folded after every part from the fold before."""
+    out, folds = run_dir(spark, "bp_folded"), []
+    keys, order = flows.TRUSTED_KEYS, dedup.PARTNER_ORDER
+
+    def step(raw):
+        latest.latest_stream(
+            flows.parsed_partners(raw), keys, order, f"{out}/table", f"{out}/checkpoint",
+            prepare=lambda rows: partners.add_bp_columns(rows, NOW),
+        )
+        folds.append(f"{out}/fold-{len(folds)}")
+        latest.fold(spark, f"{out}/table", folds[-1], keys, order, folds[-2] if folds[1:] else None)
+
+    _deliver_partners(spark, sf_dir, out, step)
+    return _plain(spark.read.parquet(folds[-1]).drop("folded_to"))
+
+
 def bp_unified(spark, sf_dir):
     unified = partners.unify(_partners_trusted(spark, sf_dir), NOW, how="join")
     return _plain(unified.select(*ENTITY_COLUMNS))
@@ -313,22 +406,44 @@ def bp_unified_active(spark, sf_dir):
     return _plain(unified.select(*ENTITY_COLUMNS))
 
 
+def bp_gold_incremental(spark, sf_dir):
+    """The entities as the pipeline keeps them: three runs, each of which rewrites what it touches."""
+    layers = pipelines.Layers(run_dir(spark, "bp_gold"))
+
+    def step(messages):
+        pipelines.ingest_partners(messages, layers)
+        pipelines.trust_partners(spark, layers, now=NOW)
+        pipelines.refresh_partners(spark, layers, NOW, buckets=16)
+
+    feeds.deliver(feeds.partner_feed_parts(spark, sf_dir), f"{layers.root}/inbox", step)
+    return _plain(pipelines.read_partners(spark, layers).select(*ENTITY_COLUMNS))
+
+
 def bp_entity_json(spark, sf_dir):
     unified = partners.unify(_partners_trusted(spark, sf_dir), NOW)
     return partners.entity_json(unified).select("sap_client", "bp_number", "entity_json")
 
 
 def publish_messages(spark, sf_dir):
-    return publish.to_messages(partners.unify(_partners_trusted(spark, sf_dir), NOW))
+    unified = partners.unify(_partners_trusted(spark, sf_dir), NOW)
+    return publish.to_messages(publish.publishable(unified))
+
+
+def publish_breaches(spark, sf_dir):
+    """The records that can't be published, and why."""
+    broken = publish.breaches(partners.unify(_partners_trusted(spark, sf_dir), NOW))
+    return broken.select("sap_client", "bp_number", F.array_join("missing_fields", ",").alias("missing_fields"))
 
 
 def publish_changed_messages(spark, sf_dir):
     raw = _partners_raw(spark, sf_dir)
     before = raw.where(F.col("kafka_ingest_timestamp") < F.lit(PARTNER_SPLIT).cast("timestamp"))
-    old = partners.unify(flows.bp_trusted(before, NOW), NOW)
-    new = partners.unify(flows.bp_trusted(raw, NOW), NOW)
+    old = partners.unify(flows.bp_trusted(before, NOW), NOW, drop_deleted=True)
+    new = partners.unify(flows.bp_trusted(raw, NOW), NOW, drop_deleted=True)
     watched = ("unified_name", "is_active", "created_date_parsed", "changed_date_parsed")
-    return publish.changed_messages(old, new, partners.PARTNER, watched)
+    return publish.changed_messages(
+        old, new, partners.PARTNER, watched, tombstones=True, strict=False
+    )
 
 
 # --- upserts and changes --------------------------------------------------------------------
@@ -336,7 +451,7 @@ def publish_changed_messages(spark, sf_dir):
 def _event_sides(spark, sf_dir):
     """First deliveries up to a day as the target; copies and later events as updates."""
     parsed = _events_parsed(spark, sf_dir)
-    first = (F.col("kafka_offset") % 2 == 0) & (
+    first = (F.col("kafka_offset") % 4 == 0) & (
         F.col("kafka_timestamp") < F.lit(EVENT_SPLIT).cast("timestamp")
     )
     return parsed.where(first), parsed.where(~first)
@@ -345,7 +460,8 @@ def _event_sides(spark, sf_dir):
 def _partner_sides(spark, sf_dir):
     parsed = _partners_parsed(spark, sf_dir)
     early = F.col("kafka_ingest_timestamp") < F.lit(PARTNER_SPLIT).cast("timestamp")
-    stored = dedup.latest_by(parsed.where(early), SOURCE_KEYS, dedup.PARTNER_ORDER)
+    keys = dedup.whole_keys(SOURCE_KEYS, dedup.PARTNER_ORDER)
+    stored = dedup.latest_by(parsed.where(early), keys, dedup.PARTNER_ORDER)
     return stored, parsed.where(~early)
 
 
@@ -373,9 +489,9 @@ def events_upsert_stream(spark, sf_dir):
     out = run_dir(spark, "events_upsert")
     target, _ = _event_sides(spark, sf_dir)
     latest.seed(target, f"{out}/table")
-    parsed = flows.parsed_events(_events_raw_stream(spark, sf_dir))
     keys = ["event_id"]
-    latest.upsert_stream(parsed, keys, dedup.EVENT_ORDER, f"{out}/checkpoint", f"{out}/table")
+    _deliver_events(spark, sf_dir, out, lambda raw: latest.upsert_stream(
+        flows.parsed_events(raw), keys, dedup.EVENT_ORDER, f"{out}/checkpoint", f"{out}/table"))
     return _flat(latest.read_latest(spark, f"{out}/table", keys, dedup.EVENT_ORDER))
 
 
@@ -445,10 +561,10 @@ def dq_valid_category(spark, sf_dir):
 def dq_event_counts_stream(spark, sf_dir):
     """Rules measured while a stream is written, then reported from the log it left."""
     out = run_dir(spark, "dq_events")
-    measure_stream(
-        flows.parsed_events(_events_raw_stream(spark, sf_dir)), EVENT_RULES, "events_parsed",
+    _deliver_events(spark, sf_dir, out, lambda raw: measure_stream(
+        flows.parsed_events(raw), EVENT_RULES, "events_parsed",
         f"{out}/table", f"{out}/log", f"{out}/checkpoint",
-    )
+    ))
     return monitor.dq_summary(spark.read.parquet(f"{out}/log"))
 
 
@@ -471,15 +587,16 @@ def dq_alerts(spark, sf_dir):
 
 
 QUERIES = (
-    raw_events_stream, raw_replay, raw_parse_flat, events_parsed, bp_raw_envelope, bp_parsed,
+    raw_events_stream, raw_replay, raw_replay_table, raw_parse_flat, events_parsed, bp_raw_envelope, bp_parsed,
     events_dedup, trusted_events, trusted_events_basic, amount_fx, amount_fx_table,
     events_dedup_stream, events_dedup_unbounded_stream, trusted_events_stream,
     hourly_event_metrics, hourly_event_metrics_general, sliding_event_metrics,
-    sliding_event_metrics_general, hourly_metrics_basic, type_source_metrics,
+    sliding_event_metrics_general, sliding_event_metrics_window, hourly_event_metrics_approx,
+    event_gold_refresh, hourly_metrics_basic, type_source_metrics,
     entity_daily_summary, hourly_counts_stream, sliding_counts_stream, bp_latest,
-    bp_latest_agg, bp_latest_string_offset, bp_trusted, bp_latest_stream, bp_unified,
+    bp_latest_agg, bp_latest_string_offset, bp_trusted, bp_latest_stream, bp_latest_folded, bp_gold_incremental, bp_unified,
     bp_unified_pivot, bp_unified_active, bp_entity_json, publish_messages,
-    publish_changed_messages, events_upsert, events_upsert_stream, bp_upsert,
+    publish_breaches, publish_changed_messages, events_upsert, events_upsert_stream, bp_upsert,
     bp_upsert_touched, bp_change_feed, dq_bp_counts, dq_bp_counts_strict, dq_bp_trusted_counts,
     dq_event_counts, dq_event_counts_change_types, dq_event_trusted_counts,
     dq_event_daily_counts, dq_tagged_rows, dq_valid_country, dq_valid_category,

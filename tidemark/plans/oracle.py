@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from tidemark.plans.catalog import LOG_AS_OF, NOW, PARTNER_SPLIT, RATES, REPLAY
+from tidemark.plans.catalog import LOG_AS_OF, NOW, PARTNER_SPLIT, RATES, REPLAY, REPLAY_TO
 from tidemark.schemas import (
     ALERT_THRESHOLD, EVENT_RULES, EVENT_RULES_CHANGE_TYPES, PARTNER_RULES, PARTNER_RULES_STRICT,
     THROUGHPUT_ROWS, TREND_HOURS,
@@ -12,23 +12,32 @@ from tidemark.schemas import (
 
 STAMP = f"TIMESTAMP '{NOW}'"
 
+# Deliveries: 0 the event, 1 a copy, 2 a copy ten minutes later, 3 an unreadable message.
 EVENTS = """
 ev AS (
-  SELECT e.event_id * 2 + o.k AS kafka_offset,
+  SELECT e.event_id * 4 + o.k AS kafka_offset,
          CAST(e.user_id % 4 AS INTEGER) AS kafka_partition,
-         e.ts AS kafka_timestamp,
-         'e' || CAST(e.event_id AS VARCHAR) AS event_id,
-         CASE WHEN e.event_type = 'view' THEN 'PAGE_VIEW' ELSE upper(e.event_type) END AS event_type,
-         CASE WHEN e.event_id % 89 <> 0 THEN 'u' || CAST(e.user_id AS VARCHAR) END AS entity_id,
-         'USER' AS entity_type,
-         CASE WHEN e.event_id % 2 = 0 THEN 'web' ELSE 'app' END AS source_system,
-         e.ts AS event_timestamp,
-         's' || CAST(e.user_id AS VARCHAR) || '-' || CAST(CAST(e.ts AS DATE) AS VARCHAR) AS session_id,
-         CASE WHEN e.event_type <> 'purchase' THEN NULL
+         e.ts AS kafka_timestamp, o.k AS delivery,
+         CASE WHEN k < 3 THEN e.event_id % 53 = 9 AND e.ts < TIMESTAMP '2024-01-11' ELSE false END AS late,
+         CASE WHEN k < 3 AND e.event_id % 101 <> 7 THEN 'e' || CAST(e.event_id AS VARCHAR) END AS event_id,
+         CASE WHEN k = 3 THEN NULL WHEN e.event_type = 'view' THEN 'PAGE_VIEW'
+              ELSE upper(e.event_type) END AS event_type,
+         CASE WHEN k < 3 AND e.event_id % 89 <> 0 THEN 'u' || CAST(e.user_id AS VARCHAR) END AS entity_id,
+         CASE WHEN k < 3 THEN 'USER' END AS entity_type,
+         CASE WHEN k = 3 THEN NULL WHEN e.event_id % 2 = 0 THEN 'web' ELSE 'app' END AS source_system,
+         CASE k WHEN 3 THEN NULL WHEN 2 THEN e.ts + INTERVAL 10 MINUTE ELSE e.ts END AS event_timestamp,
+         CASE WHEN k < 3 THEN 's' || CAST(e.user_id AS VARCHAR) || '-'
+              || CAST(CAST(e.ts AS DATE) AS VARCHAR) END AS session_id,
+         CASE WHEN k = 3 OR e.event_type <> 'purchase' THEN NULL
               WHEN e.event_id % 97 = 0 THEN -e.value ELSE e.value END AS amount,
-         CASE e.event_id % 3 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' END AS currency,
-         '{"k":"' || json_extract_string(e.props, '$.k') || '"}' AS properties
-  FROM events e JOIN (VALUES (0), (1)) AS o(k) ON o.k = 0 OR e.event_id % 10 = 0
+         CASE WHEN k = 3 THEN NULL WHEN e.event_id % 3 = 0 THEN 'USD'
+              WHEN e.event_id % 3 = 1 THEN 'EUR' END AS currency,
+         CASE WHEN k < 3 THEN '{"k":"' || json_extract_string(e.props, '$.k') || '"}' END AS properties,
+         e.event_id % 101 = 7 AS nameless
+  FROM events e JOIN (VALUES (0), (1), (2), (3)) AS o(k)
+    ON o.k = 0 OR (o.k = 1 AND e.event_id % 10 = 0) OR (o.k = 3 AND e.event_id % 103 = 5)
+    OR (o.k = 2 AND e.event_id % 7 = 0 AND e.event_id % 53 <> 9 AND e.event_id % 101 <> 7
+        AND minute(e.ts) < 50 AND hour(e.ts) <> 23 AND e.ts < TIMESTAMP '2024-01-21')
 )"""
 
 EVENT_COLUMNS = (
@@ -37,53 +46,72 @@ EVENT_COLUMNS = (
 )
 EVENT_POSITION = f"kafka_offset, kafka_partition, kafka_timestamp, {STAMP} AS ingested_at"
 
-UNIQUE_EVENTS = f"""{EVENTS},
+def _unique(where: str = "true") -> str:
+    return f"""{EVENTS},
 uniq AS (
   SELECT *, CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS event_date,
          CAST(hour(event_timestamp) AS INTEGER) AS event_hour, amount AS amount_usd
-  FROM ev QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY kafka_offset) = 1
+  FROM ev WHERE {where} QUALIFY row_number() OVER (
+    PARTITION BY event_id, CASE WHEN event_id IS NULL THEN kafka_offset END ORDER BY kafka_offset) = 1
 )"""
 
-EVENT_TEXT = """'{"event_id":"' || event_id || '","event_type":"' || event_type || '"'
+
+UNIQUE_EVENTS = _unique()
+# What a stream with a watermark takes: events two parts late are dropped.
+STREAM_EVENTS = _unique("NOT late")
+# Without one the late events are taken as well.
+
+EVENT_TEXT = """CASE WHEN delivery = 3 THEN
+  CASE WHEN nameless THEN '{"event_type' ELSE '{"event_id":' END ELSE '{'
+  || coalesce('"event_id":"' || event_id || '",', '') || '"event_type":"' || event_type || '"'
   || coalesce(',"entity_id":"' || entity_id || '"', '')
   || ',"entity_type":"USER","source_system":"' || source_system
   || '","event_timestamp":"' || strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'
   || '","session_id":"' || session_id || '"'
   || coalesce(',"amount":' || CAST(amount AS VARCHAR), '')
   || coalesce(',"currency":"' || currency || '"', '')
-  || ',"properties":' || properties || '}'"""
+  || ',"properties":' || properties || '}' END"""
 
+# Messages: 0 to 2 of the source tables, 3 unreadable, 4 a customer row again on another partition.
 PARTNERS = f"""
 bp AS (
-  SELECT '100' AS sap_client, lpad(CAST(o.o_custkey AS VARCHAR), 10, '0') AS bp_number,
-         CASE o.o_orderstatus WHEN 'O' THEN 'INSERT' WHEN 'F' THEN 'UPDATE' ELSE 'DELETE' END AS event_type,
-         t.st AS source_table, o.o_orderkey * 4 + t.k AS kafka_offset,
-         CAST(o.o_custkey % 4 AS INTEGER) AS kafka_partition,
-         o.o_orderdate AS kafka_ingest_timestamp, {STAMP} AS pipeline_ingested_at,
-         CASE o.o_custkey % 5 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '3' WHEN 3 THEN '4' END AS bp_category,
-         CASE WHEN t.st = 'KNA1' AND o.o_custkey % 11 <> 0 THEN c.c_name
-              WHEN t.st = 'LFA1' THEN s.s_name END AS full_name,
-         CASE WHEN t.st = 'BUT000' AND o.o_custkey % 7 <> 0
+  SELECT CASE WHEN k = 3 OR k = 0 AND o.o_orderkey % 211 = 3 THEN NULL ELSE '100' END AS sap_client,
+         CASE WHEN k <> 3 THEN lpad(CAST(o.o_custkey AS VARCHAR), 10, '0') END AS bp_number,
+         CASE WHEN k = 3 THEN NULL WHEN o.o_orderstatus = 'O' THEN 'INSERT'
+              WHEN o.o_orderstatus = 'F' THEN 'UPDATE' ELSE 'DELETE' END AS event_type,
+         CASE WHEN k <> 3 THEN t.st END AS source_table, t.k AS message,
+         o.o_orderkey * 4 + CASE k WHEN 4 THEN 1 ELSE k END AS kafka_offset,
+         CAST((o.o_custkey + CASE k WHEN 4 THEN 1 ELSE 0 END) % 4 AS INTEGER) AS kafka_partition,
+         o.o_orderdate + CASE k WHEN 4 THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END AS kafka_ingest_timestamp,
+         {STAMP} AS pipeline_ingested_at, lpad(CAST(o.o_custkey AS VARCHAR), 10, '0') AS message_key,
+         CASE WHEN k = 3 THEN NULL WHEN o.o_custkey % 5 < 4
+              THEN CAST(o.o_custkey % 5 + 1 AS VARCHAR) END AS bp_category,
+         CASE WHEN k = 1 AND o.o_custkey % 11 <> 0 THEN c.c_name
+              WHEN k = 4 AND o.o_custkey % 11 <> 0 THEN c.c_name || ' II'
+              WHEN k = 2 THEN s.s_name END AS full_name,
+         CASE WHEN k = 0 AND o.o_custkey % 7 <> 0
               THEN 'First' || CAST(o.o_custkey AS VARCHAR) END AS first_name,
-         CASE WHEN t.st = 'BUT000' AND o.o_custkey % 7 <> 0
+         CASE WHEN k = 0 AND o.o_custkey % 7 <> 0
               THEN 'Last' || CAST(o.o_custkey AS VARCHAR) END AS last_name,
-         CASE WHEN c.c_nationkey % 10 = 0 THEN 'N' || lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0')
+         CASE WHEN k = 3 THEN NULL
+              WHEN c.c_nationkey % 10 = 0 THEN 'N' || lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0')
               WHEN c.c_nationkey % 10 = 1 THEN NULL
               ELSE lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') END AS country_code,
-         r.r_name AS region,
-         CASE WHEN t.st = 'LFA1' THEN 'T' || CAST(s.s_suppkey AS VARCHAR) END AS tax_number,
-         CASE WHEN o.o_orderkey % 50 = 0 THEN '00000000'
+         CASE WHEN k <> 3 THEN r.r_name END AS region,
+         CASE WHEN k = 2 THEN 'T' || CAST(s.s_suppkey AS VARCHAR) END AS tax_number,
+         CASE WHEN k = 3 THEN NULL WHEN o.o_orderkey % 50 = 0 THEN '00000000'
               ELSE strftime(o.o_orderdate, '%Y%m%d') END AS created_date,
-         strftime(o.o_orderdate, '%Y%m%d') AS changed_date,
-         o.o_orderstatus <> 'P' AS is_active
+         CASE WHEN k <> 3 THEN strftime(o.o_orderdate, '%Y%m%d') END AS changed_date,
+         CASE WHEN k <> 3 THEN o.o_orderstatus <> 'P' END AS is_active
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
   LEFT JOIN supplier s ON s.s_suppkey = o.o_custkey
-  JOIN (VALUES ('BUT000', 0), ('KNA1', 1), ('LFA1', 2)) AS t(st, k)
-    ON t.st <> 'LFA1' OR s.s_suppkey IS NOT NULL
+  JOIN (VALUES ('BUT000', 0), ('KNA1', 1), ('LFA1', 2), ('BUT000', 3), ('KNA1', 4)) AS t(st, k)
+    ON k < 2 OR (k = 2 AND s.s_suppkey IS NOT NULL) OR (k = 3 AND o.o_orderkey % 107 = 11)
+    OR (k = 4 AND o.o_orderkey % 97 = 5)
 )"""
 
-PARTNER_TEXT = """'{"bp_number":"' || bp_number || '"'
+PARTNER_TEXT = """CASE WHEN message = 3 THEN '{"bp_number"' ELSE '{"bp_number":"' || bp_number || '"'
   || coalesce(',"bp_category":"' || bp_category || '"', '')
   || coalesce(',"full_name":"' || full_name || '"', '')
   || coalesce(',"first_name":"' || first_name || '"', '')
@@ -93,13 +121,26 @@ PARTNER_TEXT = """'{"bp_number":"' || bp_number || '"'
   || coalesce(',"tax_number":"' || tax_number || '"', '')
   || ',"created_date":"' || created_date || '","changed_date":"' || changed_date
   || '","is_active":' || CAST(is_active AS VARCHAR) || ',"source_table":"' || source_table
-  || '","sap_client":"100","event_type":"' || event_type || '"}'"""
+  || '"' || coalesce(',"sap_client":"' || sap_client || '"', '')
+  || ',"event_type":"' || event_type || '"}' END"""
+
 
+OFFSETS = "kafka_offset DESC, kafka_ingest_timestamp DESC, kafka_partition DESC"
+TIMES = "kafka_ingest_timestamp DESC, kafka_partition DESC, kafka_offset DESC"
+# Rows with a NULL in their key are told apart by their place in the topic.
+PLACE = "kafka_partition * 1e15 + kafka_offset"
 
-def _newest(keys: str, source: str = "bp", where: str = "true") -> str:
+
+def _newest(
+    keys: str, source: str = "bp", where: str = "true", order: str = OFFSETS, apart: bool = False
+) -> str:
+    place = ""
+    if apart:
+        missing = " OR ".join(f"{key.strip()} IS NULL" for key in keys.split(","))
+        place = f", CASE WHEN {missing} THEN {PLACE} END"
     return (
         f"SELECT * FROM {source} WHERE {where} QUALIFY row_number() OVER "
-        f"(PARTITION BY {keys} ORDER BY kafka_offset DESC) = 1"
+        f"(PARTITION BY {keys}{place} ORDER BY {order}) = 1"
     )
 
 
@@ -107,19 +148,19 @@ KEYS = "sap_client, bp_number, event_type"
 SOURCE_KEYS = "sap_client, bp_number, source_table"
 
 
-def _trusted(name: str, where: str = "true") -> str:
+def _trusted(name: str, where: str = "true", order: str = OFFSETS) -> str:
     return f"""{name} AS (
   SELECT *, {STAMP} AS trusted_processed_at,
          CAST(CAST(try_strptime(created_date, '%Y%m%d') AS DATE) AS VARCHAR) AS created_date_parsed,
          CAST(CAST(try_strptime(changed_date, '%Y%m%d') AS DATE) AS VARCHAR) AS changed_date_parsed
-  FROM ({_newest(KEYS + ', source_table', where=where)})
+  FROM ({_newest(KEYS + ', source_table', where=where, order=order, apart=True)})
 )"""
 
 
-def _unified(name: str, trusted: str, active_only: bool = False) -> str:
-    keep = "WHERE b.event_type <> 'DELETE'" if active_only else ""
+def _unified(name: str, trusted: str, active_only: bool = False, order: str = OFFSETS) -> str:
+    keep = "WHERE NOT coalesce(b.event_type = 'DELETE', false)" if active_only else ""
     return f"""{name} AS (
-  WITH newest AS ({_newest(SOURCE_KEYS, trusted)})
+  WITH newest AS ({_newest(SOURCE_KEYS, trusted, order=order)})
   SELECT b.sap_client, b.bp_number, b.bp_category, b.first_name, b.last_name, b.is_active,
          b.created_date_parsed, b.changed_date_parsed, b.trusted_processed_at,
          c.full_name AS customer_name, c.country_code AS customer_country,
@@ -139,7 +180,7 @@ UNIFIED = f"{TRUSTED},\n{_unified('unified', 'trusted')}"
 
 
 def _entity_text(stamp: str) -> str:
-    return f"""'{{"sap_client":"' || sap_client || '","bp_number":"' || bp_number || '"'
+    return f"""'{{' || coalesce('"sap_client":"' || sap_client || '",', '') || '"bp_number":"' || bp_number || '"'
   || coalesce(',"bp_category":"' || bp_category || '"', '')
   || coalesce(',"unified_name":"' || unified_name || '"', '')
   || coalesce(',"customer_country":"' || customer_country || '"', '')
@@ -186,16 +227,19 @@ def _metrics(span: str, calendar: str, source: str) -> str:
   round(sum(amount_usd), 4) AS total_amount_usd, round(avg(amount_usd), 6) AS avg_amount_usd,
   min(event_timestamp) AS first_event_at, max(event_timestamp) AS last_event_at,
   window_start, window_start + INTERVAL 1 HOUR AS window_end, {STAMP} AS gold_processed_at
-FROM (SELECT *, {span} AS window_start FROM {source}) GROUP BY {keys}"""
+FROM (SELECT *, {span} AS window_start FROM {source}) WHERE event_timestamp IS NOT NULL
+GROUP BY {keys}"""
 
 
-def _stream_metrics(span: str, source: str) -> str:
-    return f"""SELECT event_type, source_system, entity_type, count(*) AS event_count,
-  round(sum(amount_usd), 4) AS total_amount_usd, round(avg(amount_usd), 6) AS avg_amount_usd,
-  min(event_timestamp) AS first_event_at, max(event_timestamp) AS last_event_at,
-  window_start, window_start + INTERVAL 1 HOUR AS window_end
-FROM (SELECT *, {span} AS window_start FROM {source})
-GROUP BY window_start, event_type, source_system, entity_type"""
+def _estimated(metrics: str) -> str:
+    """Distinct counts that are only compared as lying near the exact ones."""
+    near = ", ".join(f"true AS {name}" for name in ("unique_events", "unique_entities", "unique_sessions"))
+    return f"SELECT * REPLACE ({near}) FROM ({metrics})"
+
+
+def _stream_metrics(span: str, calendar: str, source: str) -> str:
+    metrics = _metrics(span, calendar, source)
+    return f"SELECT * EXCLUDE (gold_processed_at) FROM ({_estimated(metrics)})"
 
 
 HOUR = "date_trunc('hour', event_timestamp)"
@@ -203,6 +247,8 @@ CALENDAR = ", event_date, event_hour"
 # Four windows of an hour, a quarter apart, cover each event.
 QUARTERS = "CROSS JOIN (VALUES (0), (15), (30), (45)) AS q(minutes)"
 SLIDING = f"(SELECT * FROM uniq {QUARTERS})"
+# Windows of 50 minutes: four may begin early enough, the last event of the first decides.
+SHORT = f"(SELECT * FROM uniq {QUARTERS} WHERE event_timestamp < time_bucket(INTERVAL 15 MINUTES, event_timestamp) - to_minutes(minutes) + INTERVAL 50 MINUTE)"
 SLIDE = "time_bucket(INTERVAL 15 MINUTES, event_timestamp) - to_minutes(minutes)"
 
 LOG = f"""{EVENTS},{PARTNERS},
@@ -236,10 +282,14 @@ a AS ({_SNAPSHOT} ({_newest(SOURCE_KEYS, where=_OLD)}) WHERE event_type <> 'DELE
 b AS ({_SNAPSHOT} ({_newest(SOURCE_KEYS)}) WHERE event_type <> 'DELETE'),
 gone AS (SELECT * FROM a EXCEPT SELECT * FROM b),
 came AS (SELECT * FROM b EXCEPT SELECT * FROM a)
-SELECT CASE WHEN bp_number IN (SELECT bp_number FROM b WHERE b.source_table = gone.source_table)
+SELECT CASE WHEN EXISTS (SELECT 1 FROM b WHERE b.source_table IS NOT DISTINCT FROM gone.source_table
+                         AND b.bp_number IS NOT DISTINCT FROM gone.bp_number
+                         AND b.sap_client IS NOT DISTINCT FROM gone.sap_client)
             THEN 'update_pre' ELSE 'delete' END AS change_type, * FROM gone
 UNION ALL
-SELECT CASE WHEN bp_number IN (SELECT bp_number FROM a WHERE a.source_table = came.source_table)
+SELECT CASE WHEN EXISTS (SELECT 1 FROM a WHERE a.source_table IS NOT DISTINCT FROM came.source_table
+                         AND a.bp_number IS NOT DISTINCT FROM came.bp_number
+                         AND a.sap_client IS NOT DISTINCT FROM came.sap_client)
             THEN 'update_post' ELSE 'insert' END AS change_type, * FROM came"""
 
 _WATCHED = "unified_name, is_active, created_date_parsed, changed_date_parsed"
@@ -257,8 +307,9 @@ _BP_TRUSTED = (
     "changed_date_parsed FROM trusted"
 )
 _EVENTS_UPSERT = f"""WITH {EVENTS} SELECT {EVENT_POSITION}, {EVENT_COLUMNS} FROM ev
-QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY kafka_offset DESC) = 1"""
-_BP_UPSERT = f"WITH {PARTNERS} SELECT {_BP_COLUMNS} FROM ({_newest(SOURCE_KEYS)})"
+QUALIFY row_number() OVER (PARTITION BY event_id, CASE WHEN event_id IS NULL THEN kafka_offset END
+                           ORDER BY kafka_offset DESC) = 1"""
+_BP_UPSERT = f"WITH {PARTNERS} SELECT {_BP_COLUMNS} FROM ({_newest(SOURCE_KEYS, apart=True)})"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -267,6 +318,9 @@ def oracle_sql() -> dict[str, str]:
 SELECT {EVENT_POSITION}, {EVENT_TEXT} AS raw_payload FROM ev""",
         "raw_replay": f"""WITH {EVENTS}
 SELECT {EVENT_POSITION}, {EVENT_TEXT} AS raw_payload FROM ev WHERE {_REPLAYED}""",
+        "raw_replay_table": f"""WITH {EVENTS}
+SELECT {EVENT_POSITION}, {EVENT_TEXT} AS raw_payload FROM ev
+WHERE ({_REPLAYED}) AND kafka_timestamp < DATE '{REPLAY_TO}' + INTERVAL 1 DAY""",
         "raw_parse_flat": f"""WITH {EVENTS}
 SELECT kafka_offset AS "offset", kafka_timestamp, kafka_partition AS "partition", {EVENT_COLUMNS}
 FROM ev""",
@@ -274,7 +328,7 @@ FROM ev""",
         "bp_raw_envelope": f"""WITH {PARTNERS}
 SELECT kafka_offset, kafka_partition, kafka_ingest_timestamp,
   'sap.masterdata.business_partner.raw' AS kafka_topic, {PARTNER_TEXT} AS raw_payload,
-  bp_number AS message_key, pipeline_ingested_at FROM bp""",
+  message_key, pipeline_ingested_at FROM bp""",
         "bp_parsed": f"WITH {PARTNERS} SELECT {_BP_COLUMNS} FROM bp",
         "events_dedup": f"WITH {UNIQUE_EVENTS} SELECT {EVENT_POSITION}, {EVENT_COLUMNS} FROM uniq",
         "trusted_events": f"WITH {UNIQUE_EVENTS} SELECT {EVENT_POSITION}, {_TRUSTED_EVENTS}",
@@ -290,38 +344,45 @@ rates AS (SELECT currency, round(avg(amount) / 100, 2) AS rate FROM ev
 SELECT event_id, uniq.currency, amount,
   round(amount * coalesce(rate, 1.0), 6) AS amount_usd
 FROM uniq LEFT JOIN rates ON uniq.currency = rates.currency""",
-        "events_dedup_stream": f"WITH {UNIQUE_EVENTS} SELECT {EVENT_COLUMNS} FROM uniq",
+        "events_dedup_stream": f"WITH {STREAM_EVENTS} SELECT {EVENT_COLUMNS} FROM uniq",
         "events_dedup_unbounded_stream": f"""WITH {UNIQUE_EVENTS}
 SELECT {EVENT_COLUMNS}, {STAMP} AS processing_timestamp, event_date FROM uniq""",
-        "trusted_events_stream": f"WITH {UNIQUE_EVENTS} SELECT {_TRUSTED_EVENTS}",
+        "trusted_events_stream": f"WITH {STREAM_EVENTS} SELECT {_TRUSTED_EVENTS}",
         "hourly_event_metrics": _HOURLY,
         "hourly_event_metrics_general": f"WITH {_DERIVED} {_metrics(HOUR, CALENDAR, 'derived')}",
         "sliding_event_metrics": f"WITH {UNIQUE_EVENTS} {_metrics(SLIDE, '', SLIDING)}",
         "sliding_event_metrics_general": f"""WITH {_DERIVED}
 {_metrics(SLIDE, '', f'(SELECT * FROM derived {QUARTERS})')}""",
+        "sliding_event_metrics_window": f"""WITH {UNIQUE_EVENTS}
+SELECT * REPLACE (window_start + INTERVAL 50 MINUTE AS window_end) FROM ({_metrics(SLIDE, '', SHORT)})""",
+        "hourly_event_metrics_approx": f"WITH {UNIQUE_EVENTS} {_estimated(_metrics(HOUR, CALENDAR, 'uniq'))}",
+        "event_gold_refresh": f"WITH {STREAM_EVENTS} {_metrics(HOUR, CALENDAR, 'uniq')}",
         "hourly_metrics_basic": f"""WITH {UNIQUE_EVENTS}
 SELECT event_type, source_system, count(*) AS event_count,
   count(DISTINCT entity_id) AS unique_entities, min(event_timestamp) AS window_start,
   max(event_timestamp) AS window_end, {HOUR} AS hour_start
-FROM uniq GROUP BY {HOUR}, event_type, source_system""",
+FROM uniq WHERE event_timestamp IS NOT NULL GROUP BY {HOUR}, event_type, source_system""",
         "type_source_metrics": f"""WITH {UNIQUE_EVENTS}
 SELECT event_type, source_system, count(*) AS event_count,
   count(DISTINCT entity_id) AS unique_entities, round(sum(amount_usd), 4) AS total_amount_usd
 FROM uniq GROUP BY event_type, source_system""",
         "entity_daily_summary": f"""WITH {UNIQUE_EVENTS}
 SELECT entity_id, entity_type, event_date, source_system, count(*) AS total_events,
-  string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types_seen,
+  coalesce(string_agg(DISTINCT event_type, ',' ORDER BY event_type), '') AS event_types_seen,
   round(sum(amount_usd), 4) AS daily_amount_usd, min(event_timestamp) AS first_activity,
   max(event_timestamp) AS last_activity, {STAMP} AS summary_created_at
 FROM uniq GROUP BY entity_id, entity_type, event_date, source_system""",
-        "hourly_counts_stream": f"WITH {UNIQUE_EVENTS} {_stream_metrics(HOUR, 'uniq')}",
-        "sliding_counts_stream": f"WITH {UNIQUE_EVENTS} {_stream_metrics(SLIDE, SLIDING)}",
+        "hourly_counts_stream": f"WITH {STREAM_EVENTS} {_stream_metrics(HOUR, CALENDAR, 'uniq')}",
+        "sliding_counts_stream": f"WITH {STREAM_EVENTS} {_stream_metrics(SLIDE, '', SLIDING)}",
         "bp_latest": _BP_LATEST,
         "bp_latest_agg": _BP_LATEST,
         "bp_latest_string_offset": f"""WITH latest AS ({_BP_LATEST})
 SELECT * REPLACE (CAST(kafka_offset AS VARCHAR) AS kafka_offset) FROM latest""",
         "bp_trusted": _BP_TRUSTED,
         "bp_latest_stream": _BP_TRUSTED,
+        "bp_latest_folded": _BP_TRUSTED,
+        "bp_gold_incremental": f"""WITH {PARTNERS}, {_trusted('trusted', order=TIMES)},
+{_unified('unified', 'trusted', order=TIMES)} SELECT * FROM unified""",
         "bp_unified": f"WITH {UNIFIED} SELECT * FROM unified",
         "bp_unified_pivot": f"WITH {UNIFIED} SELECT * FROM unified",
         "bp_unified_active": f"""WITH {TRUSTED}, {_unified('unified', 'trusted', True)}
@@ -329,13 +390,18 @@ SELECT * FROM unified""",
         "bp_entity_json": f"""WITH {UNIFIED}
 SELECT sap_client, bp_number, {_entity_text(ISO_STAMP)} AS entity_json FROM unified""",
         "publish_messages": f"""WITH {UNIFIED}
-SELECT bp_number AS key, {_entity_text(MILLIS_STAMP)} AS value FROM unified""",
-        "publish_changed_messages": f"""WITH {UNIFIED}, {_trusted('early', _OLD)},
-{_unified('before', 'early')},
+SELECT bp_number AS key, {_entity_text(MILLIS_STAMP)} AS value FROM unified WHERE sap_client IS NOT NULL""",
+        "publish_breaches": f"""WITH {UNIFIED}
+SELECT sap_client, bp_number, 'sap_client' AS missing_fields FROM unified WHERE sap_client IS NULL""",
+        "publish_changed_messages": f"""WITH {TRUSTED}, {_unified('unified', 'trusted', True)},
+{_trusted('early', _OLD)}, {_unified('before', 'early', True)},
 changed AS (SELECT sap_client, bp_number, {_WATCHED} FROM unified
             EXCEPT SELECT sap_client, bp_number, {_WATCHED} FROM before)
 SELECT bp_number AS key, {_entity_text(MILLIS_STAMP)} AS value
-FROM unified SEMI JOIN changed USING (sap_client, bp_number)""",
+FROM unified SEMI JOIN changed USING (sap_client, bp_number)
+UNION ALL
+SELECT DISTINCT bp_number, NULL FROM before
+WHERE bp_number NOT IN (SELECT bp_number FROM unified)""",
         "events_upsert": _EVENTS_UPSERT,
         "events_upsert_stream": _EVENTS_UPSERT,
         "bp_upsert": _BP_UPSERT,

@@ -68,9 +68,9 @@ class Layers:
 def ingest_partners(
     messages: DataFrame, layers: Layers, trigger: str = jobs.AVAILABLE_NOW
 ) -> StreamingQuery:
-    """Raw rows as received, in folders by the day they came in."""
+    """Raw rows as received, in folders by the month they came in, named by its first day."""
     raw = envelope.bp_envelope(messages)
-    raw = raw.withColumn(INGEST_DAY, F.to_date("kafka_ingest_timestamp"))
+    raw = raw.withColumn(INGEST_DAY, F.trunc("kafka_ingest_timestamp", "month"))
     query = jobs.run_stream(
         raw, layers.raw, layers.checkpoint("raw"), trigger=trigger, partition_by=[INGEST_DAY]
     )
@@ -112,7 +112,7 @@ def unify_partners(
     read besides it.
     """
     trusted = latest.fold(
-        spark, layers.trusted, folded_version(layers, version), dedup.whole_keys(flows.TRUSTED_KEYS),
+        spark, layers.trusted, folded_version(layers, version), flows.TRUSTED_KEYS,
         dedup.LIVING_ORDER, previous and folded_version(layers, previous),
     )
     gold = partners.entity_json(partners.unify(trusted, now, order=dedup.LIVING_ORDER, **options))

@@ -24,6 +24,10 @@ from tidemark.streaming.jobs import AVAILABLE_NOW, batch_folder, batch_ids, star
 SEED = -1
 
 
+def _told_apart(keys: Sequence[str | Column], order: Sequence[str | Column]) -> list[Column]:
+    return whole_keys(keys, order) if all(isinstance(key, str) for key in keys) else list(keys)
+
+
 def seed(rows: DataFrame, path: str) -> None:
     """Existing rows as the start of a table, older than every batch."""
     rows.write.mode("overwrite").parquet(batch_folder(path, SEED))
@@ -40,11 +44,12 @@ def latest_stream(
 ) -> StreamingQuery:
     """Keep a table of the newest row per key up to date from a stream of changes.
 
+    Rows with a NULL in their key are told apart by the order columns, as in `changes.upsert`.
     `prepare` derives columns on the rows that are left after the cut.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_by(batch, keys, order)
+        newest = latest_by(batch, _told_apart(keys, order), order)
         if prepare is not None:
             newest = prepare(newest)
         newest.write.mode("overwrite").parquet(batch_folder(path, batch_id))
@@ -59,7 +64,8 @@ def read_latest(
     order: Sequence[str | Column],
 ) -> DataFrame:
     """The table: one row per key, the newest by `order` over seed and batches."""
-    return latest_by(spark.read.parquet(path), keys, order).drop("batch_id")
+    rows = spark.read.parquet(path)
+    return latest_by(rows, _told_apart(keys, order), order).drop("batch_id")
 
 
 def fold(
@@ -86,7 +92,7 @@ def fold(
         rows = folded.drop("folded_to").unionByName(
             batches.where(F.col("batch_id") > int(done[-1].partition("=")[2])).drop("batch_id")
         )
-    newest = latest_by(rows, keys, order).withColumn("folded_to", F.lit(ids[-1] - 1))
+    newest = latest_by(rows, _told_apart(keys, order), order).withColumn("folded_to", F.lit(ids[-1] - 1))
     newest.write.mode("overwrite").partitionBy("folded_to").parquet(out)
     return spark.read.schema(newest.schema).parquet(out).drop("folded_to")
 
@@ -151,7 +157,7 @@ def merge_batches(
     touched = sorted(r.bucket for r in changes.select("bucket").distinct().collect())
     if touched:
         stored = read_buckets(spark, out, changes.schema, touched)
-        merged = latest_by(stored.unionByName(changes), whole_keys(keys), order)
+        merged = latest_by(stored.unionByName(changes), _told_apart(keys, order), order)
         replace_buckets(merged, out)
     spark.range(1).write.mode("overwrite").parquet(f"{out}.done/batch={ids[-1] - 1}")
     for old in noted:
