@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import small_batches
 from tidemark.llm.texts import batch_bytes, mix
 
 UNKNOWN = "und"
@@ -157,7 +158,7 @@ def fit(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", key_
     the n-grams, the rest for the scale and trust of the bits. Counts are summed over tasks, so the
     driver sees at most 2**HASH_BITS numbers a language, and a dozen a bit.
     """
-    rows = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = small_batches(rows).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     found = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGUAGES + 1).collect()
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} labels")
@@ -234,7 +235,7 @@ def predict(docs: DataFrame, model: Model | None, *, text_col: str = "text") ->
 
     text = F.col(text_col).cast("string")
     lettered = text.isNotNull() & F.regexp_like(text, F.lit(r"\p{L}"))
-    judged = docs.withColumn("_judged", judge(F.when(lettered, text)))
+    judged = small_batches(docs).withColumn("_judged", judge(F.when(lettered, text)))
     return judged.withColumns({
         "lang_pred": F.when(lettered, F.col("_judged.lang_pred")).otherwise(UNKNOWN),
         "score": F.when(lettered, F.col("_judged.score")).otherwise(0.0),

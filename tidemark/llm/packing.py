@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import small_batches
+
 #: Fixed values of the public byte-level tokenizers: the pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -110,7 +112,7 @@ def pack_documents(
     """
     if limit < 1 or limit & (limit - 1):
         raise ValueError("limit must be a power of two")
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    source = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, start long, length long, ids binary, doc_tokens long"
     return source.mapInArrow(_cut(tokenizer, limit, end_id), schema).withColumns({
         "bucket": F.col("length"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"),

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import small_batches
 from tidemark.llm.texts import BLOCK, batch_bytes
 
 #: Fixed values of the result's contract: patterns and least lengths of the known forms, in their order.
@@ -115,7 +116,7 @@ def fit(docs: DataFrame, *, text_col: str = "text", key_col: str = "doc_id", sam
     A thousand uniform characters are added to the random ones, so a corpus without secrets gives a model too.
     Counts are summed over tasks; the driver sees two tables of 68 by 68 numbers.
     """
-    rows = docs.where(F.col(text_col).isNotNull())
+    rows = small_batches(docs).where(F.col(text_col).isNotNull())
     share = min(1.0, sample / max(1, rows.count()))
     chosen = rows.where(F.pmod(F.xxhash64(F.lit(21), F.col(key_col)), F.lit(1_000_000)) < int(np.ceil(share * 1_000_000)))
     found = (
@@ -209,5 +210,5 @@ def scan_secrets(docs: DataFrame, model: Model | None, *, text_col: str = "text"
         return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], fields=list(_FOUND))
 
     names = [f.name for f in _FOUND]
-    scanned = docs.withColumn("_found", scan(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    scanned = small_batches(docs).withColumn("_found", scan(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     return scanned.withColumns({name: F.col(f"_found.{name}") for name in names}).drop("_found")

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import small_batches
 from tidemark.llm.graph import components, written
 from tidemark.llm.texts import set_id, shingle_sets
 from tidemark.session import run_dir
@@ -51,22 +52,33 @@ def pair_overlap(n: object, m: object, percent: int) -> object:
 _SETS = "kind int, doc_id long, n int, set long"
 
 
-def _describe(words: int, often: int):
+def _describe(words: int, often: int, most: int = 2_000_000):
+    """A row for each text, and one for n-grams that `often` sets have of those that hold `most` n-grams."""
+
+    def common(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
+        grams, count = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+        many = count >= often
+        grams, count = grams[many].view(np.int64), count[many]
+        return _batch(_SETS, np.ones(len(grams), np.int32), pa.nulls(len(grams), pa.int64()), count, grams)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        distinct: dict[int, np.ndarray] = {}
+        total = 0
         for batch in batches:
-            ids, sizes, keys, distinct = batch.column(0), [], [], {}
+            sizes, keys = [], []
             for _, grams in shingle_sets(batch.column(1), words):
                 key = set_id(grams) if len(grams) else 0
                 sizes.append(len(grams))
                 keys.append(key)
-                if len(grams):
+                if len(grams) and key not in distinct:
                     distinct[key] = grams
-            yield _batch(_SETS, np.zeros(len(sizes), np.int32), ids, sizes, keys)
-            if distinct:
-                grams, count = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
-                many = count >= often
-                grams, count = grams[many].view(np.int64), count[many]
-                yield _batch(_SETS, np.ones(len(grams), np.int32), pa.nulls(len(grams), pa.int64()), count, grams)
+                    total += len(grams)
+                    if total > most:
+                        yield common(distinct)
+                        distinct, total = {}, 0
+            yield _batch(_SETS, np.zeros(len(sizes), np.int32), batch.column(0), sizes, keys)
+        if distinct:
+            yield common(distinct)
 
     return run
 
@@ -76,9 +88,12 @@ _POSTINGS = "gram long, n int, place long, set long"  # place: spread << 32 | po
 
 def _post(words: int, percent: int, common: np.ndarray, counts: np.ndarray, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            seen: set[int] = set()
+            if len(seen) > 100_000:
+                seen.clear()  # copies met again are dropped in the lists
             out: list[tuple[np.ndarray, ...]] = []
+            size = 0
 
             def rows() -> pa.RecordBatch:
                 return _batch(_POSTINGS, *(np.concatenate(c) for c in zip(*out, strict=True)))
@@ -99,9 +114,11 @@ def _post(words: int, percent: int, common: np.ndarray, counts: np.ndarray, long
                 head = n - int(least_overlap(np.int64(n), percent)) + 1
                 place = np.where(shared[:head] > longest, 1 + key % SPREAD, 0) << 32 | np.arange(head)
                 out.append((grams[:head].view(np.int64), np.full(head, n, np.int32), place, np.full(head, key, np.int64)))
-                if sum(map(len, (c[0] for c in out[-1:]))) > 200_000 or len(out) >= 2_000:
+                size += head
+                if size > 200_000:
                     yield rows()
                     out.clear()
+                    size = 0
             if out:
                 yield rows()
 
@@ -272,13 +289,13 @@ def jaccard_components(
     node. A row with a null id takes the component of the rows with an equal set, if any, and links
     nothing by itself. An empty table gives an empty result; other columns don't matter.
 
-    `common` bounds the n-grams whose counts are sent to every task (those found `often` times or more
-    in one batch, most frequent first), and `bits` the map of wanted ids; both shift work only. Lists
+    `common` bounds the n-grams whose counts are sent to every task (those of `often` sets or more among
+    some thousands of a task, most frequent first), and `bits` the map of wanted ids; both shift work only. Lists
     of more than `longest` entries are compared through a leader. Results are exact, up to collisions
     of 64-bit hashes (40 bits within a compared pair).
     """
     spark, folder = docs.sparkSession, run_dir(docs.sparkSession, "jaccard")
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    source = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     described = written(source.mapInArrow(_describe(words, often), _SETS), f"{folder}/sets")
     sets = described.where("kind = 0").drop("kind")
     classes = written(
@@ -327,6 +344,7 @@ def jaccard_components(
             .select("set", "n", "grams").dropDuplicates(["set", "n"]),
             f"{folder}/grams-{step}",
         )
+        own = own.hint("merge")  # pairs may be few, but one plan for every size is easier to foresee
         a = own.select(F.col("set").alias("a"), "n", F.col("grams").alias("grams_a"))
         b = own.select(F.col("set").alias("b"), F.col("n").alias("m"), F.col("grams").alias("grams_b"))
         return written(pairs.join(b, ["b", "m"]).join(a, ["a", "n"]).mapInArrow(_compare, _COMPARED), f"{folder}/compared-{step}")
@@ -371,6 +389,7 @@ def _likely(found: DataFrame, in_long: DataFrame, percent: int) -> DataFrame:
     Besides, up to the last n-gram seen to be shared all that is shared was seen, so what the shorter
     rest of the two has to offer must make up for what lacks.
     """
+    in_long = in_long.hint("merge")  # joined alike at every size
     shared = F.col("shared") + F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0)))
     overlap = F.ceil((F.col("n") + F.col("m")) * percent / F.lit(100 + percent) - 1e-9)
     return (

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import small_batches
 from tidemark.llm.texts import MARKS, mix, word_hashes
 
 #: Common words of English, German, French and Spanish: they start chains and are never content.
@@ -170,7 +171,7 @@ def fingerprint_documents(
     """
     spark, hashes = docs.sparkSession, _anchor_hashes(anchors)
     number = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)).cast("long"))
-    source = docs.select(
+    source = small_batches(docs).select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), number.alias("number"),
     )
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

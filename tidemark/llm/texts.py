@@ -1,6 +1,6 @@
 """Texts inside a task: Arrow batches as bytes, words and word n-grams as 64-bit hashes.
 
-Nothing here knows Spark. A batch is cut into blocks of about a megabyte, so the arrays made on the
+Nothing here knows Spark. A batch is cut into blocks of about half a megabyte, so the arrays made on the
 way stay small however long a text is; a text longer than a block is hashed piece by piece.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _P = 0x9E3779B97F4A7C15

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import small_batches
 from tidemark.llm.packing import STRIDE, byte_alphabet
 
 CHUNK = 512
@@ -284,6 +285,6 @@ def token_counts(docs: DataFrame, tokenizer: str, *, limit: int = 512, text_col:
         return pa.array(count_tokens(tokenizer, text))
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.withColumns({"n_bytes": F.octet_length(text).cast("long"), "n_tokens": counted(text)}).withColumn(
+    return small_batches(docs).withColumns({"n_bytes": F.octet_length(text).cast("long"), "n_tokens": counted(text)}).withColumn(
         "over_limit", F.col("n_tokens") > limit
     )
