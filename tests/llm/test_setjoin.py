@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tidemark.llm import setjoin
@@ -90,3 +91,12 @@ def test_a_hot_group_is_compared_through_leaders(spark):
 
 def test_least_overlaps_are_exact():
     assert setjoin.least_overlap(5, 80) == 4 and setjoin.pair_overlap(9, 9, 80) == 8
+
+
+def test_parities_never_differ_more_than_their_sets():
+    rnd = np.random.default_rng(3)
+    for n, m, same in ((1, 1, 0), (64, 65, 60), (100, 120, 90), (1000, 1200, 1000), (5, 4000, 5), (700, 700, 700)):
+        both = rnd.integers(0, 1 << 63, n + m, dtype=np.uint64)
+        x, y = both[:n], np.concatenate((both[:same], both[n : n + m - same]))
+        apart = setjoin.parity_distance(setjoin.parity(x), setjoin.parity(y))
+        assert apart <= n + m - 2 * same and (apart == 0) == (n + m == 2 * same)

@@ -49,7 +49,28 @@ def pair_overlap(n: object, m: object, percent: int) -> object:
     return -(-(n + m) * percent // (100 + percent))
 
 
-_SETS = "kind int, doc_id long, n int, set long"
+_SETS = "kind int, doc_id long, n int, set long, parity binary"
+
+
+def parity(grams: np.ndarray) -> bytes:
+    """A bit for each of at least as many places as there are hashes: whether an odd number falls there.
+
+    Two of them differ in no more bits than their sets differ in hashes. The upper half folded onto the
+    lower by exclusive or gives the bits of half as many places.
+    """
+    places = 1 << max(6, int(len(grams) - 1).bit_length())
+    odd = np.bincount((grams >> np.uint64(11)).astype(np.int64) & (places - 1), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def parity_distance(x: bytes, y: bytes) -> int:
+    """The bits in which two sets' parities differ, on as many places as the smaller one has."""
+    a, b = (np.frombuffer(v, np.uint8) for v in (x, y))
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def _describe(words: int, often: int, most: int = 2_000_000):
@@ -59,24 +80,25 @@ def _describe(words: int, often: int, most: int = 2_000_000):
         grams, count = np.unique(np.concatenate(list(sets.values())), return_counts=True)
         many = count >= often
         grams, count = grams[many].view(np.int64), count[many]
-        return _batch(_SETS, np.ones(len(grams), np.int32), pa.nulls(len(grams), pa.int64()), count, grams)
+        return _batch(_SETS, np.ones(len(grams), np.int32), pa.nulls(len(grams), pa.int64()), count, grams, pa.nulls(len(grams), pa.binary()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct: dict[int, np.ndarray] = {}
         total = 0
         for batch in batches:
-            sizes, keys = [], []
+            sizes, keys, bits = [], [], []
             for _, grams in shingle_sets(batch.column(1), words):
                 key = set_id(grams) if len(grams) else 0
                 sizes.append(len(grams))
                 keys.append(key)
+                bits.append(parity(grams) if len(grams) else None)
                 if len(grams) and key not in distinct:
                     distinct[key] = grams
                     total += len(grams)
                     if total > most:
                         yield common(distinct)
                         distinct, total = {}, 0
-            yield _batch(_SETS, np.zeros(len(sizes), np.int32), batch.column(0), sizes, keys)
+            yield _batch(_SETS, np.zeros(len(sizes), np.int32), batch.column(0), sizes, keys, bits)
         if distinct:
             yield common(distinct)
 
@@ -247,6 +269,22 @@ def _fetch(words: int, bits: np.ndarray):
     return run, schema
 
 
+_PAIRS = "a long, n int, b long, m int"
+
+
+def _plausible(percent: int):
+    """The pairs whose parities don't show that the sets differ too much."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
+            apart = [parity_distance(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("bits_a"), batch.column("bits_b"), strict=True)]
+            near = pa.array(np.array(apart, np.int64) <= n + m - 2 * pair_overlap(n, m, percent))
+            yield _batch(_PAIRS, *(batch.column(c).filter(near) for c in ("a", "n", "b", "m")))
+
+    return run
+
+
 _COMPARED = "a long, n int, b long, m int, overlap int"
 
 
@@ -261,7 +299,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _wanted(nodes: DataFrame, bits: int) -> np.ndarray:
-    """A bit map of fixed size over hashed ids, to leave out most texts nobody asks for."""
+    """A bit map of `bits` bits over hashed ids, to leave out most texts nobody asks for."""
     bit = F.pmod(F.xxhash64("rep"), F.lit(bits))
     words = (
         nodes.select((bit / 32).cast("int").alias("at"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(rep), {bits}) % 32 as int))").alias("bit"))
@@ -278,7 +316,7 @@ def _linked(both: Column, n: Column, m: Column, percent: int) -> Column:
 
 def jaccard_components(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80,
-    common: int = 100_000, often: int = 4, longest: int = 32, bits: int = 1 << 23,
+    common: int = 200_000, often: int = 3, longest: int = 32, most_bits: int = 1 << 28,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of `docs`.
 
@@ -290,14 +328,15 @@ def jaccard_components(
     nothing by itself. An empty table gives an empty result; other columns don't matter.
 
     `common` bounds the n-grams whose counts are sent to every task (those of `often` sets or more among
-    some thousands of a task, most frequent first), and `bits` the map of wanted ids; both shift work only. Lists
+    some thousands of a task, most frequent first), and `most_bits` the map of wanted ids; both shift work only. Lists
     of more than `longest` entries are compared through a leader. Results are exact, up to collisions
     of 64-bit hashes (40 bits within a compared pair).
     """
     spark, folder = docs.sparkSession, run_dir(docs.sparkSession, "jaccard")
     source = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     described = written(source.mapInArrow(_describe(words, often), _SETS), f"{folder}/sets")
-    sets = described.where("kind = 0").drop("kind")
+    parities = described.where("kind = 0 and n > 0").select("set", "n", "doc_id", "parity")
+    sets = described.where("kind = 0").drop("kind", "parity")
     classes = written(
         sets.where("n > 0").groupBy("set", "n").agg(F.min("doc_id").alias("rep")).where("rep is not null"),
         f"{folder}/classes",
@@ -330,24 +369,30 @@ def jaccard_components(
         F.col("la").alias("a"), F.col("ln").alias("n"), F.col("set").alias("b"), F.col("n").alias("m")
     )
 
+    def nodes_of(pairs: DataFrame, path: str) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("set"), "n").unionByName(pairs.select(F.col("b").alias("set"), F.col("m").alias("n")))
+        return written(ends.distinct().join(classes, ["set", "n"]), path)
+
+    def with_both(pairs: DataFrame, own: DataFrame, name: str) -> DataFrame:
+        own = own.hint("merge")  # pairs may be few, but one plan for every size is easier to foresee
+        a = own.select(F.col("set").alias("a"), "n", F.col(name).alias(f"{name}_a"))
+        b = own.select(F.col("set").alias("b"), F.col("n").alias("m"), F.col(name).alias(f"{name}_b"))
+        return pairs.join(b, ["b", "m"]).join(a, ["a", "n"])
+
     def compare(pairs: DataFrame, step: str) -> DataFrame:
-        pairs = written(pairs.distinct(), f"{folder}/pairs-{step}")
-        nodes = written(
-            pairs.select(F.col("a").alias("set"), "n").unionByName(pairs.select(F.col("b").alias("set"), F.col("m").alias("n")))
-            .distinct().join(classes, ["set", "n"]),
-            f"{folder}/nodes-{step}",
-        )
+        """The overlap of every pair; a set may come more than once, then its pairs do too."""
+        nodes = nodes_of(pairs, f"{folder}/nodes-{step}")
+        bits = min(most_bits, 1 << max(16, (16 * nodes.count()).bit_length()))
         fetch, schema = _fetch(words, _wanted(nodes, bits))
         marked = source.withColumn("bit", F.pmod(F.xxhash64("doc_id"), F.lit(bits)))
-        own = written(
-            marked.mapInArrow(fetch, schema).join(nodes.withColumnRenamed("rep", "doc_id"), ["set", "n", "doc_id"], "left_semi")
-            .select("set", "n", "grams").dropDuplicates(["set", "n"]),
-            f"{folder}/grams-{step}",
-        )
-        own = own.hint("merge")  # pairs may be few, but one plan for every size is easier to foresee
-        a = own.select(F.col("set").alias("a"), "n", F.col("grams").alias("grams_a"))
-        b = own.select(F.col("set").alias("b"), F.col("n").alias("m"), F.col("grams").alias("grams_b"))
-        return written(pairs.join(b, ["b", "m"]).join(a, ["a", "n"]).mapInArrow(_compare, _COMPARED), f"{folder}/compared-{step}")
+        own = written(marked.mapInArrow(fetch, schema), f"{folder}/grams-{step}")
+        return written(with_both(pairs, own, "grams").mapInArrow(_compare, _COMPARED), f"{folder}/compared-{step}")
+
+    def plausible(pairs: DataFrame, step: str) -> DataFrame:
+        pairs = written(pairs.distinct(), f"{folder}/pairs-{step}")
+        nodes = nodes_of(pairs, f"{folder}/ends-{step}").withColumnRenamed("rep", "doc_id")
+        own = parities.join(nodes, ["set", "n", "doc_id"], "left_semi").select("set", "n", F.col("parity").alias("bits"))
+        return written(with_both(pairs, own, "bits").mapInArrow(_plausible(percent), _PAIRS), f"{folder}/plausible-{step}")
 
     def named(compared: DataFrame) -> DataFrame:
         a = classes.select(F.col("set").alias("a"), "n", F.col("rep").alias("rep_a"))
@@ -355,11 +400,12 @@ def jaccard_components(
         linked = compared.where(_linked(F.col("overlap"), F.col("n"), F.col("m"), percent))
         return linked.join(a, ["a", "n"]).join(b, ["b", "m"]).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
 
-    compared = compare(pairs.unionByName(star), "1")
+    # Distances to leaders are needed in any case; other pairs only if they can link.
+    compared = compare(plausible(pairs, "1").unionByName(written(star.distinct(), f"{folder}/star")).distinct(), "1")
     groups = components(spark, named(compared), f"{folder}/components-1")
     open_ = written(_open_pairs(led, compared, classes, groups, percent), f"{folder}/open")
     if not open_.isEmpty():
-        more = compare(open_, "2")
+        more = compare(plausible(open_, "2"), "2")
         links = named(more).unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))
         groups = components(spark, links, f"{folder}/components-2")
 
