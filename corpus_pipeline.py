@@ -20,11 +20,12 @@ from tidemark.session import run_dir
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without any letter (null and empty ones too) go, as do all of them
-    when no row is labelled. Learned from the labelled rows that aren't held out. Other rows stay as they
-    are, repeated ones and ambiguous ones too."""
+    when no row is labelled. Learned from the labelled rows that aren't held out. Rows without a label
+    get the predicted one; other rows stay as they are, repeated ones and ambiguous ones too."""
     model = langid.fit(docs.where(~F.coalesce(queries.held_out(), F.lit(False))))
     judged = langid.predict(docs.withColumns({f"_{c}": F.col(c) for c in docs.columns}), model)
-    return judged.where(F.col("lang_pred") != langid.UNKNOWN).select(*(F.col(f"_{c}").alias(c) for c in docs.columns))
+    kept = judged.where(F.col("lang_pred") != langid.UNKNOWN).withColumn("_lang", F.coalesce("_lang", "lang_pred"))
+    return kept.select(*(F.col(f"_{c}").alias(c) for c in docs.columns))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
