@@ -380,18 +380,20 @@ def jaccard_components(
         return pairs.join(b, ["b", "m"]).join(a, ["a", "n"])
 
     def compare(pairs: DataFrame, step: str) -> DataFrame:
-        """The overlap of every pair; a set may come more than once, then its pairs do too."""
+        """The overlap of every pair."""
         nodes = nodes_of(pairs, f"{folder}/nodes-{step}")
-        bits = min(most_bits, 1 << max(16, (16 * nodes.count()).bit_length()))
+        bits = min(most_bits, 1 << max(16, (64 * nodes.count()).bit_length()))
         fetch, schema = _fetch(words, _wanted(nodes, bits))
         marked = source.withColumn("bit", F.pmod(F.xxhash64("doc_id"), F.lit(bits)))
-        own = written(marked.mapInArrow(fetch, schema), f"{folder}/grams-{step}")
+        # Copies of a set that the map lets through must not multiply its pairs.
+        own = written(marked.mapInArrow(fetch, schema).drop("doc_id").dropDuplicates(["set", "n"]), f"{folder}/grams-{step}")
         return written(with_both(pairs, own, "grams").mapInArrow(_compare, _COMPARED), f"{folder}/compared-{step}")
 
     def plausible(pairs: DataFrame, step: str) -> DataFrame:
         pairs = written(pairs.distinct(), f"{folder}/pairs-{step}")
         nodes = nodes_of(pairs, f"{folder}/ends-{step}").withColumnRenamed("rep", "doc_id")
         own = parities.join(nodes, ["set", "n", "doc_id"], "left_semi").select("set", "n", F.col("parity").alias("bits"))
+        own = own.dropDuplicates(["set", "n"])
         return written(with_both(pairs, own, "bits").mapInArrow(_plausible(percent), _PAIRS), f"{folder}/plausible-{step}")
 
     def named(compared: DataFrame) -> DataFrame:
