@@ -16,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import small_batches
+from tidemark.llm.batches import small_batches, tidy
 from tidemark.llm.texts import batch_bytes, mix
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)  # lengths of the n-grams in bytes
 HASH_BITS = 16
-PIECE = 1 << 18
+PIECE = 1 << 16
 MAX_LANGUAGES = 400
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -53,9 +53,9 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     return best
 
 
-def _grams(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place, bucket) of every n-gram of folded bytes; runs of gaps count as one."""
-    out, at = [], []
+def _grams(raw: np.ndarray) -> np.ndarray:
+    """The bucket of every n-gram of folded bytes."""
+    out = []
     value = np.zeros(len(raw), np.uint64)
     for order in range(1, max(ORDERS) + 1):
         if len(raw) < order:
@@ -64,8 +64,7 @@ def _grams(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if order in ORDERS:
             bucket = mix(value + np.uint64(order << 40)) >> np.uint64(64 - HASH_BITS)
             out.append(bucket.astype(np.int32))
-            at.append(np.arange(len(bucket)))
-    return (np.concatenate(at), np.concatenate(out)) if out else (np.empty(0, np.int64), np.empty(0, np.int32))
+    return np.concatenate(out) if out else np.empty(0, np.int32)
 
 
 def _pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -88,7 +87,7 @@ def _count(languages: list[str]):
             names = batch.column(1).to_pylist()
             for row, raw in _pieces(batch.column(0)):
                 if (raw != 32).any():
-                    counts[known[names[row]]] += np.bincount(_grams(raw)[1], minlength=1 << HASH_BITS)
+                    counts[known[names[row]]] += np.bincount(_grams(raw), minlength=1 << HASH_BITS)
         lang, bucket = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(lang.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(counts[lang, bucket])],
@@ -103,7 +102,7 @@ def _margins(column: pa.Array, weights: np.ndarray) -> np.ndarray:
     total, n = np.zeros((len(column), weights.shape[1])), np.zeros(len(column))
     for row, raw in _pieces(column):
         if (raw != 32).any():
-            grams = _grams(raw)[1]
+            grams = _grams(raw)
             total[row] += weights[grams].sum(0, dtype=np.float64)
             n[row] += len(grams)
     with np.errstate(invalid="ignore", divide="ignore"):
@@ -173,7 +172,7 @@ def fit(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", key_
         F.pmod(F.xxhash64(F.lit(12), F.col(key_col)), F.lit(5)).alias("part"),
     )
     counted = (
-        chosen.where("part > 0").drop("part").mapInArrow(_count(languages), "lang int, bucket int, n long")
+        chosen.where("part > 0").drop("part").mapInArrow(tidy(_count(languages)), "lang int, bucket int, n long")
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     )
     counts = np.zeros((len(languages), 1 << HASH_BITS))
@@ -187,7 +186,7 @@ def fit(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", key_
         one, zero = freq[code[:, bit] > 0].mean(0), freq[code[:, bit] < 0].mean(0)
         weights[:, bit] = np.log(one / zero)
     graded = (
-        chosen.where("part = 0").drop("part").mapInArrow(_grade(languages, weights), "lang int, bit int, margin double")
+        chosen.where("part = 0").drop("part").mapInArrow(tidy(_grade(languages, weights)), "lang int, bit int, margin double")
         .groupBy("lang", "bit").agg(F.count("*").alias("n"), F.avg("margin").alias("mean"), F.var_pop("margin").alias("var"),
                                     F.sum((F.col("margin") > 0).cast("int")).alias("ones")).toArrow().to_pylist()
     )

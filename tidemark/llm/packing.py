@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import small_batches
+from tidemark.llm.batches import small_batches, tidy
 
 #: Fixed values of the public byte-level tokenizers: the pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -70,7 +70,7 @@ def binary_pieces(n: int, limit: int) -> list[int]:
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64())])
 
 
-def _cut(path: str, limit: int, end_id: int, most: int = 4 << 20):
+def _cut(path: str, limit: int, end_id: int, most: int = 1 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
@@ -114,6 +114,6 @@ def pack_documents(
         raise ValueError("limit must be a power of two")
     source = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, start long, length long, ids binary, doc_tokens long"
-    return source.mapInArrow(_cut(tokenizer, limit, end_id), schema).withColumns({
+    return source.mapInArrow(tidy(_cut(tokenizer, limit, end_id)), schema).withColumns({
         "bucket": F.col("length"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"),
     })

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import small_batches
+from tidemark.llm.batches import small_batches, tidy
 from tidemark.llm.texts import BLOCK, batch_bytes
 
 #: Fixed values of the result's contract: patterns and least lengths of the known forms, in their order.
@@ -120,7 +120,7 @@ def fit(docs: DataFrame, *, text_col: str = "text", key_col: str = "doc_id", sam
     share = min(1.0, sample / max(1, rows.count()))
     chosen = rows.where(F.pmod(F.xxhash64(F.lit(21), F.col(key_col)), F.lit(1_000_000)) < int(np.ceil(share * 1_000_000)))
     found = (
-        chosen.select(F.col(text_col).cast("string")).mapInArrow(_train_counts, "label int, a int, b int, n long")
+        chosen.select(F.col(text_col).cast("string")).mapInArrow(tidy(_train_counts), "label int, a int, b int, n long")
         .groupBy("label", "a", "b").agg(F.sum("n").alias("n")).toArrow()
     )
     n = len(ALPHABET)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import small_batches
+from tidemark.llm.batches import small_batches, tidy
 from tidemark.llm.graph import components, written
 from tidemark.llm.texts import set_id, shingle_sets
 from tidemark.session import run_dir
@@ -73,7 +73,7 @@ def parity_distance(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
-def _describe(words: int, often: int, most: int = 2_000_000):
+def _describe(words: int, often: int, most: int = 1_000_000):
     """A row for each text, and one for n-grams that `often` sets have of those that hold `most` n-grams."""
 
     def common(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
@@ -260,7 +260,7 @@ def _fetch(words: int, bits: np.ndarray):
                 if len(grams):
                     out.append((set_id(grams), len(grams), ids[i].as_py(), _short(grams)))
                     size += 5 * len(grams)
-                if size > 8 << 20:
+                if size > 2 << 20:
                     yield _batch(schema, *zip(*out, strict=True))
                     out, size = [], 0
             if out:
@@ -334,7 +334,7 @@ def jaccard_components(
     """
     spark, folder = docs.sparkSession, run_dir(docs.sparkSession, "jaccard")
     source = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    described = written(source.mapInArrow(_describe(words, often), _SETS), f"{folder}/sets")
+    described = written(source.mapInArrow(tidy(_describe(words, often)), _SETS), f"{folder}/sets")
     parities = described.where("kind = 0 and n > 0").select("set", "n", "doc_id", "parity")
     sets = described.where("kind = 0").drop("kind", "parity")
     classes = written(
@@ -349,10 +349,10 @@ def jaccard_components(
     order = np.argsort(grams)
     grams, counts = grams[order], top["count"].to_numpy()[order]
 
-    postings = source.mapInArrow(_post(words, percent, grams, counts, longest), _POSTINGS)
+    postings = source.mapInArrow(tidy(_post(words, percent, grams, counts, longest)), _POSTINGS)
     found = written(
         postings.repartition("gram", F.shiftright("place", 32)).sortWithinPartitions("gram", "n", "place", "set")
-        .mapInArrow(_lists(percent, longest), _FOUND),
+        .mapInArrow(tidy(_lists(percent, longest)), _FOUND),
         f"{folder}/found",
     )
     listed = found.where("kind = 1").select("gram", F.col("a").alias("set"), "n", "pos").distinct()
@@ -386,8 +386,8 @@ def jaccard_components(
         fetch, schema = _fetch(words, _wanted(nodes, bits))
         marked = source.withColumn("bit", F.pmod(F.xxhash64("doc_id"), F.lit(bits)))
         # Copies of a set that the map lets through must not multiply its pairs.
-        own = written(marked.mapInArrow(fetch, schema).drop("doc_id").dropDuplicates(["set", "n"]), f"{folder}/grams-{step}")
-        return written(with_both(pairs, own, "grams").mapInArrow(_compare, _COMPARED), f"{folder}/compared-{step}")
+        own = written(marked.mapInArrow(tidy(fetch), schema).drop("doc_id").dropDuplicates(["set", "n"]), f"{folder}/grams-{step}")
+        return written(with_both(pairs, own, "grams").mapInArrow(tidy(_compare), _COMPARED), f"{folder}/compared-{step}")
 
     def plausible(pairs: DataFrame, step: str) -> DataFrame:
         pairs = written(pairs.distinct(), f"{folder}/pairs-{step}")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import small_batches
+from tidemark.llm.batches import small_batches, tidy
 from tidemark.llm.texts import MARKS, mix, word_hashes
 
 #: Common words of English, German, French and Spanish: they start chains and are never content.
@@ -117,7 +117,7 @@ def _described(ids: list, texts: list[str], following: list[str], spots: list[np
     ], schema=_COLUMNS)
 
 
-def _in_order(anchors: np.ndarray, most: int = 1 << 22):
+def _in_order(anchors: np.ndarray, most: int = 1 << 20):
     """Rows come by range and in order; after a range comes, as border, the first row of the next one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,5 +193,5 @@ def fingerprint_documents(
         .withColumn("at", F.explode(F.when(F.col("before").isNull(), F.array(one)).otherwise(F.array(one, two))))
         .select("doc_id", "text", "at.part", "at.border")
         .repartition("part").sortWithinPartitions("part", "border", "doc_id", "text")
-        .mapInArrow(_in_order(hashes), _SCHEMA)
+        .mapInArrow(tidy(_in_order(hashes)), _SCHEMA)
     )
