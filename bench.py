@@ -21,13 +21,14 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 from tidemark.operators import changes, dedup, envelope, events, monitor, partners, publish, quality
-from tidemark.plans import catalog, flows
+from tidemark.plans import catalog, flows, pipelines
 from tidemark.schemas import EVENT_RULES, PARTNER_RULES
 from tidemark.session import build_session, run_dir
 from tidemark.sources import feeds
-from tidemark.sources.readers import read_table_stream
+from tidemark.sources.readers import read_table_stream, replay
 from tidemark.streaming import aggregates, jobs, latest
 from tidemark.streaming.dedup import dedup_stream, with_watermark
+from tidemark.streaming.quality import measure_stream
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
@@ -105,6 +106,11 @@ def batch_queries(spark, t):
         "publish_messages": lambda: publish.to_messages(partners.unify(t["partners_trusted"], NOW)),
         "bp_upsert": lambda: changes.upsert(
             t["snapshot_old"], t["late_changes"], source_keys, order),
+        "bp_upsert_touched": lambda: changes.upsert_touched(
+            t["snapshot_old"], t["late_changes"], source_keys, order, run_dir(spark, "bench-newest")),
+        "raw_replay": lambda: replay(t["events_raw"], catalog.REPLAY),
+        "raw_replay_table": lambda: replay(
+            t["events_raw"], spark.createDataFrame(catalog.REPLAY, "p int, a bigint, b bigint")),
         "bp_change_feed": lambda: changes.change_feed(
             t["snapshot_old"], t["snapshot_new"], source_keys),
         "dq_event_counts": lambda: quality.measure(t["events_parsed"], EVENT_RULES),
@@ -132,7 +138,7 @@ def stream_queries(spark, root):
         path = out("counts")
         rows = with_watermark(read_table_stream(spark, f"{root}/events_trusted"))
         metrics = aggregates.hourly_metrics_stream(rows)
-        jobs.run_stream(metrics, f"{path}/table", f"{path}/checkpoint", mode="complete")
+        jobs.run_stream(metrics, f"{path}/table", f"{path}/checkpoint", mode="update")
 
     def newest():
         path = out("latest")
@@ -141,7 +147,34 @@ def stream_queries(spark, root):
             parsed, flows.TRUSTED_KEYS, dedup.PARTNER_ORDER, f"{path}/table", f"{path}/checkpoint"
         )
 
+    def folded():
+        path = out("fold")
+        parsed = read_table_stream(spark, f"{root}/partners_parsed")
+        keys, order = flows.TRUSTED_KEYS, dedup.PARTNER_ORDER
+        latest.latest_stream(parsed, keys, order, f"{path}/table", f"{path}/checkpoint")
+        latest.fold(spark, f"{path}/table", f"{path}/folded", keys, order)
+
+    def upserted():
+        path = out("upsert")
+        parsed = read_table_stream(spark, f"{root}/events_parsed")
+        latest.upsert_stream(
+            parsed, ["event_id"], dedup.EVENT_ORDER, f"{path}/checkpoint", f"{path}/table"
+        )
+
+    def gold():
+        layers = pipelines.Layers(out("gold"))
+        raw = read_table_stream(spark, f"{root}/events_raw").withColumn(
+            pipelines.INGEST_DAY, F.to_date("kafka_timestamp"))
+        measure_stream(
+            flows.trusted_events(raw, NOW), EVENT_RULES, "trusted_events", layers.trusted, layers.log,
+            layers.checkpoint("trusted"), partition_by=["event_date"],
+        )
+        pipelines.refresh_event_gold(spark, layers, now=NOW)
+
     return {
+        "bp_latest_folded": folded,
+        "events_upsert_stream": upserted,
+        "event_gold_refresh": gold,
         "trusted_events_stream": trusted,
         "events_dedup_stream": plain_dedup,
         "hourly_counts_stream": counts,
