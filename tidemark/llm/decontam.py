@@ -39,14 +39,16 @@ def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
 
 
-def _template(tokens: Column) -> Column:
-    number = lambda x: F.ascii(x).between(48, 57)  # noqa: E731  begins with a digit
+def _number(token: Column) -> Column:
+    return F.ascii(token).between(48, 57)  # begins with a digit
+
 
+def _template(tokens: Column) -> Column:
     def slot(x: Column, i: Column) -> Column:
         before = F.when(i > 0, F.element_at(tokens, i)).otherwise("")  # element_at counts from 1
         return (
-            F.when(number(x), NUMBER).when(x.startswith(NAME), NAME)
-            .when(x.isin(UNITS) & number(before), UNIT).otherwise(x)
+            F.when(_number(x), NUMBER).when(x.startswith(NAME), NAME)
+            .when(x.isin(UNITS) & _number(before), UNIT).otherwise(x)
         )
 
     return F.transform(tokens, slot)
@@ -56,18 +58,23 @@ def _windows(df: DataFrame, lengths: list[int]) -> DataFrame:
     """`df` with columns tokens and slotted: a row (pos, length, hash, slots) for every window of its template.
 
     slots is null without placeholders, else the values at all places of the window, empty for words.
+    A window of mostly slots is hashed with its values, number for number, and has null slots: only
+    an exact copy meets it.
     """
     df = df.withColumn("template", F.when(F.col("slotted"), _template(F.col("tokens"))).otherwise(F.col("tokens")))
     df = df.withColumns({
         "hashes": F.transform("template", lambda x: F.xxhash64(x)),
         "values": F.when(F.col("slotted"), F.zip_with("template", "tokens", lambda t, x: F.when(t == x, "").otherwise(x))),
-    })
+    }).withColumn("marks", F.transform("values", lambda v: F.when(v == "", "").otherwise("#")))
 
     def of(length: int) -> Column:
         def window(i: Column) -> Column:
+            heavy = F.col("slotted") & (F.length(F.array_join(F.slice("marks", i, length), "")) * 2 > length)
             return F.struct(
-                i.alias("pos"), F.lit(length).alias("length"), F.xxhash64(F.slice("hashes", i, length)).alias("hash"),
-                F.when(F.col("slotted"), F.array_join(F.slice("values", i, length), _SEP)).alias("slots"),
+                i.alias("pos"), F.lit(length).alias("length"),
+                F.when(heavy, F.xxhash64(F.slice("tokens", i, length), F.lit(_SEP)))
+                .otherwise(F.xxhash64(F.slice("hashes", i, length))).alias("hash"),
+                F.when(F.col("slotted") & ~heavy, F.array_join(F.slice("values", i, length), _SEP)).alias("slots"),
             )
 
         some = F.size("hashes") >= length
@@ -76,31 +83,27 @@ def _windows(df: DataFrame, lengths: list[int]) -> DataFrame:
     all_ = [of(length) for length in lengths]
     one = all_[0] if len(all_) == 1 else F.concat(*(F.coalesce(a, F.array().cast(
         "array<struct<pos:int,length:int,hash:bigint,slots:string>>")) for a in all_))
-    keep = [c for c in df.columns if c not in ("tokens", "slotted", "template", "hashes", "values")]
+    keep = [c for c in df.columns if c not in ("tokens", "slotted", "template", "hashes", "values", "marks")]
     return df.select(*keep, F.explode(one).alias("w")).select(*keep, "w.*")
 
 
 def _benchmark_windows(items: DataFrame, width: int) -> DataFrame | None:
     """(item_id, pos, length, hash, slots, n_windows): an item of fewer words than `width` is one window.
 
-    Items are read with names as slots and once more with names as words, for copies in one case. Windows
-    of mostly slots are left out.
+    Items are read with names as slots and once more with names as words, for copies in one case. Items
+    of numbers alone are left out: any count or table would hold them.
     """
     variants = []
     for names in (True, False):
         marked = items.withColumn("marked", _marked(F.col("text"), names))
         variants.append(marked.select("item_id", _tokens(F.col("marked")).alias("tokens"), F.lit(True).alias("slotted")))
-    both = reduce(DataFrame.unionByName, variants).where(F.size("tokens") > 0)
+    both = reduce(DataFrame.unionByName, variants).where(F.exists("tokens", lambda x: ~_number(x)))
     both = both.withColumn("n", F.size("tokens"))
     lengths = [r[0] for r in both.select(F.least("n", F.lit(width)).alias("n")).distinct().orderBy("n").collect()]  # at most `width`
     if not lengths:
         return None
     found = _windows(both, lengths).where(F.col("length") == F.least("n", F.lit(width)))
-    literal = F.size(F.filter(F.split("slots", _SEP), lambda v: v == ""))
-    return (
-        found.where(literal * 2 >= F.col("length")).withColumn("n_windows", F.col("n") - F.col("length") + 1)
-        .drop("n").distinct()
-    )
+    return found.withColumn("n_windows", F.col("n") - F.col("length") + 1).drop("n").distinct()
 
 
 def find_leaks(
@@ -113,7 +116,8 @@ def find_leaks(
     them don't count. Numbers, units after a number, and words with a capital within a sentence are slots.
     An item is held when at least `least` of its windows of `width` words (all, if it has fewer; an item
     shorter than `width` is one window) occur in the document, counting those places where each value of
-    the item's slots stands for one value only; reworded says that some value differs. Null or
+    the item's slots stands for one value only; reworded says that some value differs. Windows of
+    more slots than words must occur value for value; items of numbers alone are held by none. Null or
     empty texts hold nothing and are held by none; rows of equal ids are judged as one document, a null
     id as any other. Repeated items are judged each by id. Empty tables give an empty result; other
     columns don't matter.
