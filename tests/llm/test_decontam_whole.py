@@ -22,3 +22,10 @@ def test_exact_copies_of_items_full_of_numbers(spark):
     copies = [f"they asked: {i} and went on." for i in items]
     other = ["they asked: What is 3 + 4 * 12 - 8? and went on.", copies[2].replace("45", "46").replace("2004", "2014").replace("99", "98")]
     assert set(held(spark, copies + other, items)) == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_an_item_copied_within_a_sentence(spark):
+    items = ["What is the capital of France", "Which gas do plants take in from the air"]
+    docs = ["as they asked, What is the capital of France and left", "question 7 Which gas do plants take in from the air",
+            "as they asked, What is the capital of nowhere", "as they asked, Why is the capital of France"]
+    assert set(held(spark, docs, items)) == {(0, 0), (1, 1)}

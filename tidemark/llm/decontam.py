@@ -54,8 +54,23 @@ def _template(tokens: Column) -> Column:
     return F.transform(tokens, slot)
 
 
+def _readings(tokens: Column, marked: Column) -> Column:
+    """A document with marked names, and if it has any, its windows of names once more with names as words.
+
+    Whether a word counts as a name depends on what stands before it, which a copy may change.
+    """
+    words = F.transform(tokens, lambda x: F.translate(x, NAME, ""))
+    names = F.transform(tokens, lambda x: F.when(x.startswith(NAME), "#").otherwise(""))
+    slotted = lambda signs: F.regexp_like(marked, F.lit(f"[{signs}]"))
+    first = F.struct(tokens.alias("tokens"), slotted(rf"{NAME}\d").alias("slotted"), F.lit(None).cast("array<string>").alias("only"))
+    second = F.struct(words.alias("tokens"), slotted(r"\d").alias("slotted"), names.alias("only"))
+    return F.when(marked.contains(NAME), F.array(first, second)).otherwise(F.array(first))
+
+
 def _windows(df: DataFrame, lengths: list[int]) -> DataFrame:
-    """`df` with columns tokens and slotted: a row (pos, length, hash, slots) for every window of its template.
+    """`df` with columns tokens, slotted and only: a row (pos, length, hash, slots) for every window of its template.
+
+    Where only isn't null, windows without a mark in it are left out.
 
     slots is null without placeholders, else the values at all places of the window, empty for words.
     A window of mostly slots is hashed with its values, number for number, and has null slots: only
@@ -78,12 +93,14 @@ def _windows(df: DataFrame, lengths: list[int]) -> DataFrame:
             )
 
         some = F.size("hashes") >= length
-        return F.when(some, F.transform(F.sequence(F.lit(1), F.when(some, F.size("hashes") - length + 1).otherwise(1)), window))
+        places = F.sequence(F.lit(1), F.when(some, F.size("hashes") - length + 1).otherwise(1))
+        marked = F.filter(places, lambda i: F.array_join(F.slice("only", i, length), "") != "")
+        return F.when(some, F.transform(F.when(F.col("only").isNull(), places).otherwise(marked), window))
 
     all_ = [of(length) for length in lengths]
     one = all_[0] if len(all_) == 1 else F.concat(*(F.coalesce(a, F.array().cast(
         "array<struct<pos:int,length:int,hash:bigint,slots:string>>")) for a in all_))
-    keep = [c for c in df.columns if c not in ("tokens", "slotted", "template", "hashes", "values", "marks")]
+    keep = [c for c in df.columns if c not in ("tokens", "slotted", "only", "template", "hashes", "values", "marks")]
     return df.select(*keep, F.explode(one).alias("w")).select(*keep, "w.*")
 
 
@@ -96,7 +113,7 @@ def _benchmark_windows(items: DataFrame, width: int) -> DataFrame | None:
     variants = []
     for names in (True, False):
         marked = items.withColumn("marked", _marked(F.col("text"), names))
-        variants.append(marked.select("item_id", _tokens(F.col("marked")).alias("tokens"), F.lit(True).alias("slotted")))
+        variants.append(marked.select("item_id", _tokens(F.col("marked")).alias("tokens"), F.lit(True).alias("slotted"), F.lit(None).cast("array<string>").alias("only")))
     both = reduce(DataFrame.unionByName, variants).where(F.exists("tokens", lambda x: ~_number(x)))
     both = both.withColumn("n", F.size("tokens"))
     lengths = [r[0] for r in both.select(F.least("n", F.lit(width)).alias("n")).distinct().orderBy("n").collect()]  # at most `width`
@@ -113,7 +130,8 @@ def find_leaks(
     """(doc_id, item_id, windows, n_windows, reworded) for every document and benchmark item it holds.
 
     Words are letters with what follows of letters and digits, in lower case, or numbers; marks between
-    them don't count. Numbers, units after a number, and words with a capital within a sentence are slots.
+    them don't count. Numbers, units after a number, and words with a capital within a sentence are slots;
+    the latter are tried as words too.
     An item is held when at least `least` of its windows of `width` words (all, if it has fewer; an item
     shorter than `width` is one window) occur in the document, counting those places where each value of
     the item's slots stands for one value only; reworded says that some value differs. Windows of
@@ -140,7 +158,8 @@ def find_leaks(
     if not size:
         return empty
     texts = docs.select(F.col(id_col).alias("doc_id"), _marked(F.col(text_col).cast("string"), True).alias("marked"))
-    texts = texts.select("doc_id", _tokens(F.col("marked")).alias("tokens"), F.regexp_like("marked", F.lit(rf"[{NAME}\d]")).alias("slotted"))
+    texts = texts.select("doc_id", "marked", _tokens(F.col("marked")).alias("tokens"))
+    texts = texts.select("doc_id", F.explode(_readings(F.col("tokens"), F.col("marked"))).alias("r")).select("doc_id", "r.*")
     bench = bench.select("item_id", F.col("pos").alias("item_pos"), "length", "hash", F.col("slots").alias("item_slots"), "n_windows")
     met = _windows(texts, lengths).join(F.broadcast(bench) if size <= broadcast_rows else bench, ["hash", "length"])
     pairs = F.filter(
