@@ -29,3 +29,12 @@ def test_an_item_copied_within_a_sentence(spark):
     docs = ["as they asked, What is the capital of France and left", "question 7 Which gas do plants take in from the air",
             "as they asked, What is the capital of nowhere", "as they asked, Why is the capital of France"]
     assert set(held(spark, docs, items)) == {(0, 0), (1, 1)}
+
+
+def test_one_value_with_two_counterparts_leaves_the_other_windows(spark):
+    plain = " ".join(f"w{i}x plain" for i in range(20))
+    items = [f"He picked 3 apples and then he waited 3 hours by the old gate {plain}"]
+    docs = [items[0].replace("3 apples", "5 apples"), items[0].replace("3 apples", "5 apples").replace("3 hours", "7 hours"),
+            "He picked 5 apples and then he waited 7 hours by the old gate"]
+    found = held(spark, docs, items)
+    assert set(found) == {(0, 0), (1, 0)} and found[0, 0].windows < found[0, 0].n_windows

@@ -133,10 +133,10 @@ def find_leaks(
     them don't count. Numbers, units after a number, and words with a capital within a sentence are slots;
     the latter are tried as words too.
     An item is held when at least `least` of its windows of `width` words (all, if it has fewer; an item
-    shorter than `width` is one window) occur in the document, counting those places where each value of
-    the item's slots stands for one value only; reworded says that some value differs. Windows of
-    more slots than words must occur value for value; items of numbers alone are held by none. Null or
-    empty texts hold nothing and are held by none; rows of equal ids are judged as one document, a null
+    shorter than `width` is one window) occur in the document. Those with equal values always count; of
+    those with other values, the ones whose slot values stand for one value only at that place of the
+    document; reworded says that there are such. Windows of more slots than words must occur value for
+    value; items of numbers alone are held by none. Null or empty texts hold nothing and are held by none; rows of equal ids are judged as one document, a null
     id as any other. Repeated items are judged each by id. Empty tables give an empty result; other
     columns don't matter.
 
@@ -162,22 +162,27 @@ def find_leaks(
     texts = texts.select("doc_id", F.explode(_readings(F.col("tokens"), F.col("marked"))).alias("r")).select("doc_id", "r.*")
     bench = bench.select("item_id", F.col("pos").alias("item_pos"), "length", "hash", F.col("slots").alias("item_slots"), "n_windows")
     met = _windows(texts, lengths).join(F.broadcast(bench) if size <= broadcast_rows else bench, ["hash", "length"])
-    pairs = F.filter(
+    pairs = F.array_distinct(F.filter(
         F.zip_with(F.split("item_slots", _SEP), F.split("slots", _SEP), lambda i, d: F.struct(i.alias("i"), d.alias("d"))),
         lambda p: p["i"] != "",
-    )
+    ))
     met = written(met.select(
         "doc_id", "item_id", "n_windows", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"),
-        F.when(F.col("slots").isNotNull(), pairs).alias("pairs"),
+        F.when(F.col("slots") != F.col("item_slots"), pairs).alias("pairs"),  # null if all values are equal
     ), f"{folder}/met")
-    placed = met.groupBy("doc_id", "item_id", "n_windows", "shift").agg(
-        F.count_distinct("item_pos").alias("windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
-    )
-    known = F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"])))
+    placed = met.groupBy("doc_id", "item_id", "n_windows", "shift").agg(F.collect_set(F.struct("item_pos", "pairs")).alias("found"))
+    moved = F.transform(F.filter("found", lambda w: w["pairs"].isNotNull()), lambda w: w["pairs"])
+    placed = placed.withColumn("moved", F.array_sort(F.array_distinct(F.flatten(moved))))
+    next_ = F.slice("moved", 2, F.greatest(F.size("moved"), F.lit(1)))
+    twice = F.filter(F.zip_with("moved", next_, lambda a, b: F.when(a["i"] == b["i"], a["i"])), lambda i: i.isNotNull())
+    placed = placed.withColumn("twice", F.array_distinct(twice))  # values with two counterparts
+    fits = lambda w: w["pairs"].isNull() | ~F.arrays_overlap(F.transform(w["pairs"], lambda p: p["i"]), "twice")
+    counted = placed.select("doc_id", "item_id", "n_windows", F.filter("found", fits).alias("found"))
+    windows = F.size(F.array_distinct(F.transform("found", lambda w: w["item_pos"])))
     return (
-        placed.where((F.size("pairs") == 0) | (known == F.size("pairs")))
+        counted.where(F.size("found") > 0)
         .groupBy("doc_id", "item_id", "n_windows")
-        .agg(F.sum("windows").alias("windows"), F.bool_or(F.exists("pairs", lambda p: p["i"] != p["d"])).alias("reworded"))
+        .agg(F.sum(windows).alias("windows"), F.bool_or(F.exists("found", lambda w: w["pairs"].isNotNull())).alias("reworded"))
         .where(F.col("windows") >= F.least(F.col("n_windows"), F.lit(least)))
         .select("doc_id", "item_id", "windows", "n_windows", "reworded")
     )
