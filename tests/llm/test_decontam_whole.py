@@ -38,3 +38,11 @@ def test_one_value_with_two_counterparts_leaves_the_other_windows(spark):
             "He picked 5 apples and then he waited 7 hours by the old gate"]
     found = held(spark, docs, items)
     assert set(found) == {(0, 0), (1, 0)} and found[0, 0].windows < found[0, 0].n_windows
+
+
+def test_a_repeated_window_counts_once(spark):
+    phrase = "which of the following is the correct answer"
+    items = [f"{phrase} when water boils at high places and cools down again on the way"]
+    docs = [". ".join(f"{phrase} to question w{i}x" for i in range(9)), f"so {items[0]} now", f"{items[0]}. {items[0]}"]
+    found = held(spark, docs, items)
+    assert set(found) == {(1, 0), (2, 0)} and found[2, 0].windows == found[2, 0].n_windows

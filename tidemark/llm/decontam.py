@@ -131,14 +131,14 @@ def find_leaks(
 
     Words are letters with what follows of letters and digits, in lower case, or numbers; marks between
     them don't count. Numbers, units after a number, and words with a capital within a sentence are slots;
-    the latter are tried as words too.
-    An item is held when at least `least` of its windows of `width` words (all, if it has fewer; an item
-    shorter than `width` is one window) occur in the document. Those with equal values always count; of
-    those with other values, the ones whose slot values stand for one value only at that place of the
-    document; reworded says that there are such. Windows of more slots than words must occur value for
-    value; items of numbers alone are held by none. Null or empty texts hold nothing and are held by none; rows of equal ids are judged as one document, a null
-    id as any other. Repeated items are judged each by id. Empty tables give an empty result; other
-    columns don't matter.
+    the latter are tried as words too. An item is held when at least `least` of its different windows of
+    `width` words (all, if it has fewer; an item shorter than `width` is one window) occur in the document.
+    Those with equal values always count; of those with other values, the ones whose slot values stand for
+    one value only at that place of the document; reworded says that there are such. Windows of more slots
+    than words must occur value for value; items of numbers alone are held by none. Null or empty texts
+    hold nothing and are held by none; rows of equal ids are judged as one document, a null id as any
+    other. Repeated items are judged each by id. Empty tables give an empty result; other columns don't
+    matter.
 
     No window of a document is moved to meet the benchmark while that has at most `broadcast_rows`
     windows, which are counted first; beyond, Spark joins them as it finds best.
@@ -178,11 +178,10 @@ def find_leaks(
     placed = placed.withColumn("twice", F.array_distinct(twice))  # values with two counterparts
     fits = lambda w: w["pairs"].isNull() | ~F.arrays_overlap(F.transform(w["pairs"], lambda p: p["i"]), "twice")
     counted = placed.select("doc_id", "item_id", "n_windows", F.filter("found", fits).alias("found"))
-    windows = F.size(F.array_distinct(F.transform("found", lambda w: w["item_pos"])))
+    counted = counted.select("doc_id", "item_id", "n_windows", F.explode("found").alias("w"))
     return (
-        counted.where(F.size("found") > 0)
-        .groupBy("doc_id", "item_id", "n_windows")
-        .agg(F.sum(windows).alias("windows"), F.bool_or(F.exists("found", lambda w: w["pairs"].isNotNull())).alias("reworded"))
+        counted.groupBy("doc_id", "item_id", "n_windows")  # a window counts once, however often the document repeats it
+        .agg(F.count_distinct("w.item_pos").alias("windows"), F.bool_or(F.col("w.pairs").isNotNull()).alias("reworded"))
         .where(F.col("windows") >= F.least(F.col("n_windows"), F.lit(least)))
         .select("doc_id", "item_id", "windows", "n_windows", "reworded")
     )
