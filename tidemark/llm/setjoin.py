@@ -349,7 +349,8 @@ def jaccard_components(
     order = np.argsort(grams)
     grams, counts = grams[order], top["count"].to_numpy()[order]
 
-    postings = source.mapInArrow(tidy(_post(words, percent, grams, counts, longest)), _POSTINGS)
+    # A set without an id links nothing; leading a list, it would take the list's pairs with it.
+    postings = source.where("doc_id is not null").mapInArrow(tidy(_post(words, percent, grams, counts, longest)), _POSTINGS)
     found = written(
         postings.repartition("gram", F.shiftright("place", 32)).sortWithinPartitions("gram", "n", "place", "set")
         .mapInArrow(tidy(_lists(percent, longest)), _FOUND),
