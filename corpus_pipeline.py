@@ -30,18 +30,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id, once if it is repeated.
-    Rows with a null id can't be told apart and stay."""
-    groups = jaccard_components(docs)
-    first = groups.where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    Different texts that share an id are judged apart. Rows with a null id can't be told apart and stay."""
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn("_key", F.xxhash64("doc_id", "text"))
+    groups = jaccard_components(named, id_col="_key").select(F.col("doc_id").alias("_key"), "component_id")
+    ids = named.select("_key", "doc_id").distinct()
+    first = groups.join(ids, "_key").groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("first"))
+    kept = named.join(first.select("first._key"), "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
     return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item; rows that share an id go together."""
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    found = leaks.select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    """Documents that hold no benchmark item. Each text is judged by itself, whatever its id, as ids may lack
+    or be shared."""
+    keyed = docs.withColumn("_key", F.sha2(F.col("text"), 256))
+    leaks = find_leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_key")
+    found = leaks.select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(found, "_key", "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
