@@ -72,7 +72,7 @@ def _windows(df: DataFrame, lengths: list[int]) -> DataFrame:
 
     Where only isn't null, windows without a mark in it are left out.
 
-    slots is null without placeholders, else the values at all places of the window, empty for words.
+    slots is null for windows of words, else the values at all places of the window, empty for words.
     A window of mostly slots is hashed with its values, number for number, and has null slots: only
     an exact copy meets it.
     """
@@ -83,19 +83,24 @@ def _windows(df: DataFrame, lengths: list[int]) -> DataFrame:
     }).withColumn("marks", F.transform("values", lambda v: F.when(v == "", "").otherwise("#")))
 
     def of(length: int) -> Column:
-        def window(i: Column) -> Column:
-            heavy = F.col("slotted") & (F.length(F.array_join(F.slice("marks", i, length), "")) * 2 > length)
+        def place(i: Column) -> Column:
+            n_slots = F.when(F.col("slotted"), F.length(F.array_join(F.slice("marks", i, length), ""))).otherwise(0)
+            return F.struct(i.alias("pos"), n_slots.alias("n"))
+
+        def window(p: Column) -> Column:
+            i, heavy = p["pos"], p["n"] * 2 > length
             return F.struct(
                 i.alias("pos"), F.lit(length).alias("length"),
                 F.when(heavy, F.xxhash64(F.slice("tokens", i, length), F.lit(_SEP)))
                 .otherwise(F.xxhash64(F.slice("hashes", i, length))).alias("hash"),
-                F.when(F.col("slotted") & ~heavy, F.array_join(F.slice("values", i, length), _SEP)).alias("slots"),
+                F.when((p["n"] > 0) & ~heavy, F.array_join(F.slice("values", i, length), _SEP)).alias("slots"),
             )
 
         some = F.size("hashes") >= length
         places = F.sequence(F.lit(1), F.when(some, F.size("hashes") - length + 1).otherwise(1))
         marked = F.filter(places, lambda i: F.array_join(F.slice("only", i, length), "") != "")
-        return F.when(some, F.transform(F.when(F.col("only").isNull(), places).otherwise(marked), window))
+        places = F.when(F.col("only").isNull(), places).otherwise(marked)
+        return F.when(some, F.transform(F.transform(places, place), window))
 
     all_ = [of(length) for length in lengths]
     one = all_[0] if len(all_) == 1 else F.concat(*(F.coalesce(a, F.array().cast(
