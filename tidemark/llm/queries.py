@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import langid, secrets
 from tidemark.llm.chat import collapse_snapshots
 from tidemark.llm.decontam import find_leaks
+from tidemark.llm.merkle import LOWER, UPPER, merkle_manifest
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.setjoin import jaccard_components
 from tidemark.llm.shards import shard_documents
@@ -105,6 +106,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, and whether the rows with a tampered text still fold to its root."""
+    lowered = {"text": F.translate("text", UPPER, LOWER)}
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle_manifest(_table(spark, sf_dir, "documents"), changed=lowered, tampered=tampered)
+
+
 OP10_SQL = """
 WITH parts AS (
   SELECT page_id,
@@ -147,14 +155,71 @@ GROUP BY conv_id, part, n_turns, n_copies
 """
 
 
+OP11_SQL = """
+WITH RECURSIVE changed AS (
+  SELECT row_number() OVER () AS row, doc_id, source, lang, n_chars, text,
+         xor(4294967295, list_reduce(
+           [4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT),
+           lambda c, d: list_reduce([xor(c, d), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))
+         )) % 3 = 0 AS tampered,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents
+), coded AS (
+  SELECT row, doc_id, lang, coalesce(tampered, false) AS tampered, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+         || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS body, coalesce(strlen(low) || ':' || low, '-') AS low
+  FROM changed
+), leaves AS (
+  SELECT row, doc_id, lang, sha256(head || body) AS leaf, CASE WHEN tampered THEN sha256(head || low) ELSE sha256(head || body) END AS value
+  FROM coded
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+), nodes AS (
+  SELECT lang, 0 AS step, pos, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT lang, step + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY lang, step, pos // 8
+), subroots AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS step, pos, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT step + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY step, pos // 8
+), walk AS (
+  SELECT row, lang, 0 AS step, pos, value, '' AS proof FROM placed
+  UNION ALL
+  SELECT row, w.lang, w.step + 1, w.pos // 8, sha256(string_agg(CASE WHEN s.pos = w.pos THEN value ELSE h END, '' ORDER BY s.pos)),
+         proof || coalesce(string_agg(h, '' ORDER BY s.pos) FILTER (s.pos <> w.pos), '')
+  FROM walk AS w JOIN nodes AS s ON s.lang IS NOT DISTINCT FROM w.lang AND s.step = w.step AND s.pos // 8 = w.pos // 8
+  WHERE n > 1 GROUP BY row, w.lang, w.step, w.pos, value, proof
+), ends AS (
+  SELECT row, lang, arg_max(value, step) AS value, arg_max(proof, step) AS proof FROM walk GROUP BY row, lang
+), climb AS (
+  SELECT row, 0 AS step, pos, value, proof FROM ends JOIN subroots ON subroots.lang IS NOT DISTINCT FROM ends.lang
+  UNION ALL
+  SELECT row, w.step + 1, w.pos // 8, sha256(string_agg(CASE WHEN s.pos = w.pos THEN value ELSE h END, '' ORDER BY s.pos)),
+         proof || coalesce(string_agg(h, '' ORDER BY s.pos) FILTER (s.pos <> w.pos), '')
+  FROM climb AS w JOIN tops AS s ON s.step = w.step AND s.pos // 8 = w.pos // 8
+  WHERE n > 1 GROUP BY row, w.step, w.pos, value, proof
+), done AS (
+  SELECT row, arg_max(value, step) AS folded_root, sha256(arg_max(proof, step)) AS proof_sha256 FROM climb GROUP BY row
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN done USING (row) JOIN subroots ON subroots.lang IS NOT DISTINCT FROM leaves.lang
+CROSS JOIN (SELECT h AS root FROM tops WHERE n = 1)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f for f in (
             op1_language_id, op2_chat_snapshots, op3_ngram_jaccard_join, op4_histogram_shards, op5_spot_signatures,
             op6_token_counts, op7_binary_packing, op8_template_leaks, op9_secret_scan, op10_url_filter,
+            op11_merkle_manifest,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_snapshots": OP2_SQL, "op10_url_filter": OP10_SQL}
+    return {"op2_chat_snapshots": OP2_SQL, "op10_url_filter": OP10_SQL, "op11_merkle_manifest": OP11_SQL}
