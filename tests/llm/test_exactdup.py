@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import defaultdict
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import exactdup
+from tidemark.llm.exactdup import CHUNK, Polynomial, exact_duplicates, fingerprints
+
+#: So weak that texts of one length meet all the time.
+WEAK = ((7, 3),)
+
+
+def plain(rows) -> list[tuple]:
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups[text or ""].append(doc_id)
+    out = []
+    for text, ids in groups.items():
+        ids.sort(key=lambda i: (i is not None, i or 0), reverse=True)
+        sha = hashlib.sha256(text.encode()).hexdigest()
+        out += [(i, ids[0], len(ids), k == 0, sha) for k, i in enumerate(ids)]
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, **kwargs):
+    found = exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), **kwargs)
+    return sorted((tuple(r)[:5] for r in found.collect()), key=repr)
+
+
+def direct(raw: bytes, prime: int, base: int) -> int:
+    total = 0
+    for b in raw:
+        total = (total * base + b + 1) % prime
+    return total
+
+
+@pytest.mark.parametrize("size", [1, 5, CHUNK - 1, CHUNK, CHUNK + 1, 3 * CHUNK + 17, 20 * CHUNK])
+def test_chunks_combine_to_the_hash_of_the_whole(size):
+    raw = random.Random(size).randbytes(size // 2).hex().ljust(size, "x")
+    (a, b) = (direct(raw.encode(), *m) for m in exactdup.MODULI)
+    assert fingerprints(pa.array(["", raw, None, raw + "y"]))[:3].tolist() == [0, a << 31 | b, 0]
+
+
+def test_pieces_of_any_length_combine():
+    poly, raw = Polynomial(*exactdup.MODULI[0]), random.Random(1).randbytes(300)
+    parts = [raw[:10], raw[10:11], raw[11:], b""]
+    total = 0
+    for part in parts:
+        total = poly.join(total, direct(part, poly.prime, poly.base), len(part))
+    assert total == direct(raw, poly.prime, poly.base)
+
+
+@pytest.mark.parametrize("moduli", [exactdup.MODULI, WEAK])
+def test_equals_a_plain_version(spark, moduli):
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, rnd.randint(0, 50)]), rnd.choice([None, "", "ab", "ba", "ä", "aa", rnd.choice("abcd") * 3])) for _ in range(300)]
+    rows += [(rnd.randint(0, 99), rnd.choice("xy") * CHUNK + rnd.choice("xy") * CHUNK + rnd.choice("pq")) for _ in range(60)]
+    assert run(spark, rows, moduli=moduli) == plain(rows)
+
+
+def test_texts_that_differ_only_in_a_late_chunk(spark):
+    a = "same " * CHUNK
+    rows = [(1, a + "x"), (2, a + "x"), (3, a + "y"), (4, a), (5, "y" + a)]
+    assert run(spark, rows, moduli=WEAK) == plain(rows) == run(spark, rows)
+
+
+def test_a_hot_group_is_dealt_to_many_tasks(spark):
+    rows = [(k % 7, "copy") for k in range(400)] + [(k, f"text {k // 2}") for k in range(800)] + [(None, None)] * 200
+    assert run(spark, rows) == plain(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None)], [(3, "")], [(3, None), (3, ""), (3, None)]])
+def test_small_tables(spark, rows):
+    assert run(spark, rows) == plain(rows)
+
+
+def test_clashing_columns(spark):
+    names = ["size", "fingerprint", "raw", "at", "salt", "class", "best", "no", "chunk", "n", "_hot", "kept"]
+    docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string")
+    found = exact_duplicates(docs.select("*", *(F.lit("x").alias(n) for n in names)))
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in found.collect()) == [(1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True)]

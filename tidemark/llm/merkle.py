@@ -319,6 +319,7 @@ def merkle_manifest(
     if tampered is not None:
         replaced = F.when(tampered, leaf_digest(list((named | (changed or {})).values())))
     leaves = docs.select(F.col(tree_col).cast("string").alias("tree"), F.col(id_col).alias("id"), leaf.alias("digest"), replaced.alias("changed"))
+    leaves = written(leaves, f"{folder}/leaves/hashed")  # as finding the ranges reads them once more
     tables, subroots = _climb(placed(leaves, "tree", ["id", "digest"], f"{folder}/leaves"), levels, f"{folder}/trees")
     remove(spark, f"{folder}/leaves")
     named_roots = subroots.select(F.lit(0).alias("tree"), F.col("tree").alias("name"), "digest")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import langid, secrets
 from tidemark.llm.chat import collapse_snapshots
 from tidemark.llm.decontam import find_leaks
+from tidemark.llm.exactdup import exact_duplicates
 from tidemark.llm.merkle import LOWER, UPPER, merkle_manifest
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.setjoin import jaccard_components
@@ -113,6 +114,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(_table(spark, sf_dir, "documents"), changed=lowered, tampered=tampered)
 
 
+def op13_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts among all documents, and the row of each that stays."""
+    return exact_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 OP10_SQL = """
 WITH parts AS (
   SELECT page_id,
@@ -211,15 +217,23 @@ CROSS JOIN (SELECT h AS root FROM tops WHERE n = 1)
 """
 
 
+OP13_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f for f in (
             op1_language_id, op2_chat_snapshots, op3_ngram_jaccard_join, op4_histogram_shards, op5_spot_signatures,
             op6_token_counts, op7_binary_packing, op8_template_leaks, op9_secret_scan, op10_url_filter,
-            op11_merkle_manifest,
+            op11_merkle_manifest, op13_exact_duplicates,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_snapshots": OP2_SQL, "op10_url_filter": OP10_SQL, "op11_merkle_manifest": OP11_SQL}
+    return {"op2_chat_snapshots": OP2_SQL, "op10_url_filter": OP10_SQL, "op11_merkle_manifest": OP11_SQL, "op13_exact_duplicates": OP13_SQL}
