@@ -20,6 +20,7 @@ from tidemark.llm.shards import shard_documents
 from tidemark.llm.spotsigs import fingerprint_documents
 from tidemark.llm.tokencount import token_counts
 from tidemark.llm.urlfilter import judge_urls
+from tidemark.llm.variants import spelling_variants
 
 #: Fixed values of the queries: the url rules, the tokenizer and the number of shards.
 URL_RULES = (
@@ -114,6 +115,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest(_table(spark, sf_dir, "documents"), changed=lowered, tampered=tampered)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents, and the more frequent spelling that each may stand for."""
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts among all documents, and the row of each that stays."""
     return exact_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -217,6 +223,42 @@ CROSS JOIN (SELECT h AS root FROM tops WHERE n = 1)
 """
 
 
+OP12_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), counted AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS doc, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM runs GROUP BY ALL
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+           [4294967295] || list_concat(list_transform(string_split(doc || ':', ''), lambda d: ascii(d)::BIGINT), flatten(list_transform(string_split(run, ''), lambda d:
+             CASE WHEN unicode(d) < 128 THEN [unicode(d)::BIGINT] ELSE [192 + (unicode(d) >> 6)::BIGINT, 128 + (unicode(d) & 63)::BIGINT] END))),
+           lambda c, d: list_reduce([xor(c, d), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))
+         )) AS h
+  FROM counted
+), spelled AS (
+  SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM spelled WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cuts AS (
+  SELECT word, n, place, substr(word, 1, place) || substr(word, place + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS place FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cuts AS a JOIN cuts AS b ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word
+  UNION SELECT cuts.word, words.word, words.n FROM cuts JOIN words ON cuts.rest = words.word
+  UNION SELECT words.word, cuts.word, cuts.n FROM cuts JOIN words ON cuts.rest = words.word
+), near AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS best, max(near_n) AS best_n FROM pairs GROUP BY word
+), judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * n THEN best END AS form, CASE WHEN best_n >= 5 * n THEN best_n END AS form_n
+  FROM words LEFT JOIN near USING (word)
+), chain AS (
+  SELECT word, word AS root, 0 AS step FROM judged
+  UNION ALL SELECT chain.word, form, step + 1 FROM chain JOIN judged ON judged.word = chain.root WHERE form IS NOT NULL
+)
+SELECT word, form, arg_max(root, step) AS root, n, n_near, form_n FROM judged JOIN chain USING (word) GROUP BY ALL
+"""
+
 OP13_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
@@ -230,10 +272,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f for f in (
             op1_language_id, op2_chat_snapshots, op3_ngram_jaccard_join, op4_histogram_shards, op5_spot_signatures,
             op6_token_counts, op7_binary_packing, op8_template_leaks, op9_secret_scan, op10_url_filter,
-            op11_merkle_manifest, op13_exact_duplicates,
+            op11_merkle_manifest, op12_spelling_variants, op13_exact_duplicates,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_snapshots": OP2_SQL, "op10_url_filter": OP10_SQL, "op11_merkle_manifest": OP11_SQL, "op13_exact_duplicates": OP13_SQL}
+    return {"op2_chat_snapshots": OP2_SQL, "op10_url_filter": OP10_SQL, "op11_merkle_manifest": OP11_SQL, "op12_spelling_variants": OP12_SQL, "op13_exact_duplicates": OP13_SQL}
