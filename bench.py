@@ -103,7 +103,8 @@ def batch_queries(spark, t):
         "bp_latest_agg": lambda: dedup.latest_by(t["partners_parsed"], keys, order, how="agg"),
         "bp_unified": lambda: partners.unify(t["partners_trusted"], NOW, how="join"),
         "bp_unified_pivot": lambda: partners.unify(t["partners_trusted"], NOW, how="pivot"),
-        "publish_messages": lambda: publish.to_messages(partners.unify(t["partners_trusted"], NOW)),
+        "publish_messages": lambda: publish.to_messages(
+            publish.publishable(partners.unify(t["partners_trusted"], NOW))),
         "bp_upsert": lambda: changes.upsert(
             t["snapshot_old"], t["late_changes"], source_keys, order),
         "bp_upsert_touched": lambda: changes.upsert_touched(
@@ -213,17 +214,21 @@ def main():
     work = {n: (lambda b=b: run_batch(b)) for n, b in batch_queries(spark, tables).items()}
     work |= stream_queries(spark, root)
     only = sys.argv[1:]
-    seconds = {}
+    seconds, failed = {}, {}
     for name, run in work.items():
         if only and name not in only:
             continue
         spark.sparkContext.setJobDescription(f"bench:{name}")
-        run()
         times = []
-        for _ in range(RUNS):
-            started = time.perf_counter()
+        try:
             run()
-            times.append(time.perf_counter() - started)
+            for _ in range(RUNS):
+                started = time.perf_counter()
+                run()
+                times.append(time.perf_counter() - started)
+        except Exception as error:  # one query's failure is reported beside the figures of the others
+            failed[name] = str(error).partition("\n")[0][:300]
+            continue
         seconds[name] = round(statistics.median(times), 3)
     scale = re.search(r"sf([0-9.]+)", SF_DIR)
     report = {
@@ -236,6 +241,8 @@ def main():
         "runs": RUNS,
         "setup_sec": round(setup, 3),
     }
+    if failed:
+        report["failed"] = failed
     spark.stop()
     if EVENT_LOG:
         report["shuffle_bytes"] = shuffle_bytes(EVENT_LOG)
