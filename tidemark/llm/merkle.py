@@ -12,12 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import midstate
 from tidemark.llm.batches import small_batches, tidy
 from tidemark.llm.graph import written
+from tidemark.llm.order import placed
 from tidemark.session import remove, run_dir
 
 FAN = 8  # children of a parent
@@ -218,33 +219,6 @@ def leaf_digest(columns: Sequence[Column]) -> Column:
     return F.unhex(F.sha2(F.concat(*map(encoded, columns)).cast("binary"), 256))
 
 
-def placed(rows: DataFrame, tree: str, order: Sequence[str], folder: str) -> DataFrame:
-    """`rows` with `place` (0, 1, … by `order` within the tree) and `size` (rows of the tree) added.
-
-    The rows are dealt by ranges of (tree, order) and written in order, with their number in the range.
-    One row for each tree and range then says where the range begins within the tree. Equal rows are told apart by
-    where they came from, so a run of them can be cut between tasks too.
-    """
-    ranged = (
-        rows.withColumn("_from", F.monotonically_increasing_id())
-        .repartitionByRange(*(F.col(c).asc_nulls_first() for c in (tree, *order, "_from")))
-        .sortWithinPartitions(*(F.col(c).asc_nulls_first() for c in (tree, *order, "_from"))).drop("_from")
-        .withColumn("_at", F.monotonically_increasing_id())
-    )
-    ranged = written(ranged, f"{folder}/ranged").withColumn("_range", F.shiftright("_at", 33))
-    parts = ranged.groupBy(F.col(tree).alias("_tree"), F.col("_range").alias("_part")).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
-    own = Window.partitionBy("_tree")
-    parts = written(parts.select(
-        "_tree", "_part", "_first", F.sum("_rows").over(own).alias("size"),
-        (F.sum("_rows").over(own.orderBy("_part")) - F.col("_rows")).alias("_before"),
-    ), f"{folder}/parts")
-    same = F.col(tree).eqNullSafe(F.col("_tree")) & (F.col("_range") == F.col("_part"))
-    return (
-        ranged.join(parts, same).withColumn("place", F.col("_before") + F.col("_at") - F.col("_first"))
-        .drop("_at", "_range", "_tree", "_part", "_first", "_before")
-    )
-
-
 def _stretches(nodes: DataFrame, levels: int) -> DataFrame:
     """Nodes (tree, place, size, digest, …) as rows of FAN ** levels consecutive ones, in order, with their height."""
     wide = FAN**levels

@@ -13,12 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import small_batches, tidy
+from tidemark.llm.graph import written
+from tidemark.llm.order import placed
+from tidemark.session import remove, run_dir
 
 #: Fixed values of the public byte-level tokenizers: the pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 STRIDE = 1 << 18
-_GAP = re.compile(r"(?<=\S)(?=\s)")
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # white space to the pattern
+#: Between white space and what is before it, and between a letter and a number, no token spans.
+GAP = re.compile(rf"(?<=[^{SPACE}])(?=[{SPACE}])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
+LONG = 1 << 16  # white space beyond this is too long for the pattern's way back
+_LONG = re.compile(rf"[{SPACE}]{{{LONG},}}")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -51,14 +58,35 @@ def _encoder(path: str):
 def token_ids(path: str, text: str) -> np.ndarray:
     """The ids of a text by the tokenizer file, special strings read as its library does by default.
 
-    Long texts are cut before white space that follows something else: no token spans such a place.
+    Long texts are cut where no token spans. Long white space is one word by the pattern but for its last
+    character, which belongs to what follows, if anything does; it is merged without the pattern.
     """
-    encoder, low, out = _encoder(path), 0, []
-    while low < len(text):
-        gap = _GAP.search(text, low + STRIDE) if len(text) - low > STRIDE else None
-        high = gap.start() if gap else len(text)
-        out.append(encoder.encode_to_numpy(text[low:high], allowed_special="all", disallowed_special=()))
-        low = high
+    encoder, out = _encoder(path), []
+    special = re.compile("|".join(map(re.escape, encoder.special_tokens_set)) or r"(?!)")
+
+    def plain(part: str) -> None:
+        low = 0
+        while low < len(part):
+            gap = GAP.search(part, low + STRIDE) if len(part) - low > STRIDE else None
+            high = gap.start() if gap else len(part)
+            out.append(encoder.encode_to_numpy(part[low:high], allowed_special=set(), disallowed_special=()))
+            low = high
+
+    def ordinary(part: str) -> None:
+        low = 0
+        for blank in _LONG.finditer(part):
+            end = blank.end() if blank.end() == len(part) else blank.end() - 1
+            plain(part[low : blank.start()])
+            out.append(np.array(encoder._core_bpe.encode_single_piece(part[blank.start() : end].encode()), np.uint32))
+            low = end
+        plain(part[low:])
+
+    low = 0
+    for found in special.finditer(text):
+        ordinary(text[low : found.start()])
+        out.append(np.array([encoder.encode_single_token(found.group())], np.uint32))
+        low = found.end()
+    ordinary(text[low:])
     return np.concatenate(out) if out else np.empty(0, np.uint32)
 
 
@@ -104,16 +132,30 @@ def pack_documents(
     A document is the ids of its text by the `tokenizer` file (a byte-level BPE) and then `end_id`; a null
     or empty text is `end_id` alone. It is cut into pieces of `limit` ids (a power of two) and one piece
     for each binary digit of the rest. Every piece is a sequence of its own whose length is a power of
-    two, so nothing is padded and no sequence holds two documents; `bucket` is that length, to batch
-    or write equal lengths together. `ids` holds little-endian unsigned 32-bit numbers, `start` the ids
-    of the document before the piece. `sequence_id` is unique, not gapless: the number of the input
-    partition and the place in it. Repeated rows are packed each; rows may have a null id; other columns
-    are left out; an empty table gives an empty result. One document's ids are held in memory at a time.
+    two, so nothing is padded and no sequence holds two documents. `ids` holds little-endian unsigned 32-bit
+    numbers, `start` the ids of the document before the piece. Repeated rows are packed each; rows may have a
+    null id; other columns are left out; an empty table gives an empty result. One document's ids are held in
+    memory at a time.
+
+    Sequences of one length are bucketed: rows come by `bucket`, longest first, then document (null first) and start, so
+    neighbours can be batched as they lie, and `sequence_id` counts 0, 1, 2 … in that order, whatever the
+    partitions of the input were. Repeated rows are interchangeable. Pieces are written, then exchanged once by
+    range, so neither a bucket nor a document has to fit one task.
     """
     if limit < 1 or limit & (limit - 1):
         raise ValueError("limit must be a power of two")
+    spark, folder = docs.sparkSession, run_dir(docs.sparkSession, "packing")
     source = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id long, start long, length long, ids binary, doc_tokens long"
-    return source.mapInArrow(tidy(_cut(tokenizer, limit, end_id)), schema).withColumns({
-        "bucket": F.col("length"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"),
-    })
+    pieces = source.mapInArrow(tidy(_cut(tokenizer, limit, end_id)), schema).withColumn("rank", -F.col("length"))
+    pieces = written(pieces, f"{folder}/pieces")  # as finding the ranges reads their keys once more
+    many = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # one for each power of two
+    before = F.lit(0)
+    for length, count in many.items():
+        before = before + F.when(F.col("length") < length, count).otherwise(0)
+    bucketed = placed(pieces, "rank", ["doc_id", "start", "ids"], f"{folder}/bucketed")
+    remove(spark, f"{folder}/pieces")
+    return bucketed.select(
+        "doc_id", "start", "length", "ids", "doc_tokens", F.col("length").alias("bucket"),
+        (before + F.col("place")).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+    )

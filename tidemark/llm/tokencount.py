@@ -7,7 +7,10 @@ and transitions are made when first met; their number is finite, and the table i
 
 A text is cut into chunks anywhere. The map of a chunk takes the state before it to the state and
 count after it: its head, up to the first word start, depends on the state before, the rest doesn't.
-All chunks run in step, first the rests, then the heads from the states the maps before them give.
+All chunks run in step, first the rests, then the heads, each from the state it is likely entered in: that
+after the rest before it, or after the whole chunk before it when that holds no word start. The maps, known at
+that state each, are then composed by a parallel prefix scan. Where one is entered in another state,
+its map is worked out there too and the scan is run again; merges forget what is far behind, so that is rare.
 """
 
 from __future__ import annotations
@@ -23,12 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import small_batches
-from tidemark.llm.packing import STRIDE, byte_alphabet
+from tidemark.llm.packing import GAP, STRIDE, byte_alphabet
 
 CHUNK = 512
 BLOCK = 2 << 20
 TABLE = 21  # the transition table has 2**TABLE places
-_GAP = re.compile(r"(?<=\S)(?=\s)")
 _EMPTY = np.int64(-1)
 
 
@@ -72,6 +74,26 @@ def word_starts(points: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return start
 
 
+class TableFull(Exception):
+    """More transitions were needed at once than the table holds."""
+
+
+def scan(first: np.ndarray, enter: np.ndarray, leave: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefixes of maps composed in a logarithmic number of rounds: (the count up to and with each chunk, and
+    whether all maps from the one marked `first` on met: each was entered in the state the one before it left)."""
+    total, whole = count.copy(), np.ones(len(count), bool)
+    whole[1:] = first[1:] | (enter[1:] == leave[:-1])
+    done, step = first.copy(), 1  # done: the prefix reaches back to its first chunk
+    while step < len(count) and not done.all():
+        on = np.flatnonzero(~done[step:]) + step
+        add, ok, end = total[on - step], whole[on - step], done[on - step]
+        total[on] += add
+        whole[on] &= ok
+        done[on] = end
+        step *= 2
+    return total, whole
+
+
 class Transducer:
     """The merges of one tokenizer file as transitions between numbered states; 0 is a word's start."""
 
@@ -154,11 +176,7 @@ class Transducer:
             if self.inner[node]:
                 live.append((node, before, tokens))
         state = (*(node << 32 | before + 1 << 12 | tokens - count + 2048 for node, before, tokens in live), token + 1 << 12 | 2048)
-        number = self.numbers.get(state)
-        if number is None:
-            number = self.numbers[state] = len(self.states)
-            self.states.append(state)
-        return number, count
+        return self.number(state), count
 
     def places(self, keys: np.ndarray) -> np.ndarray:
         """Where the transitions of state << 8 | byte stand in the table; missing ones are made."""
@@ -177,7 +195,7 @@ class Transducer:
                         self.to[place], self.emits[place] = self.step(key >> 8, key & 255)
                         self.used += 1
                         if self.used > (1 << TABLE) * 0.8:
-                            raise MemoryError("one block needs more transitions than the table holds")
+                            raise TableFull
             open_ = open_[self.keys[at[open_]] != keys[open_]]
             at[open_] = (at[open_] + 1) & mask
             open_ = open_[self.keys[at[open_]] != keys[open_]]
@@ -218,20 +236,49 @@ class Transducer:
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
         low = at[owner] + nth * CHUNK
         high = np.minimum(low + CHUNK, at[owner + 1])
+        counts, spans, carried = np.zeros(len(low), np.int64), [(0, len(low))], self.states[0]
+        while spans:
+            a, b = spans.pop()
+            try:
+                counts[a:b], carried = self.span(raw, new, low[a:b], high[a:b], nth[a:b] == 0, carried)
+            except TableFull:  # empty it, and take fewer chunks at a time
+                self.clear()
+                spans += [((a + b) // 2, b), (a, (a + b) // 2)] if b - a > 1 else [(a, b)]
+        return np.bincount(owner, counts, len(pieces)).astype(np.int64)
+
+    def span(
+        self, raw: np.ndarray, new: np.ndarray, low: np.ndarray, high: np.ndarray, first: np.ndarray, carried: tuple,
+    ) -> tuple[np.ndarray, tuple]:
+        """The tokens of consecutive chunks, of which the `first` ones begin a piece, and the state after the
+        last one; the chunk before them left the state `carried`. States go in and out spelled out, as the table may be emptied between."""
+        if not len(low):
+            return np.zeros(0, np.int64), carried
         starts = np.flatnonzero(new)
         word = np.searchsorted(starts, low)  # the first word start in each chunk, or behind it
         middle = np.minimum(np.append(starts, len(raw))[word], high)
-        leaves, counts = self.run(raw, new, middle, high, np.zeros(len(low), np.int64))
-        for i in np.flatnonzero(middle == high).tolist():  # no word starts here: the map is of all states
-            state, memo = int(leaves[i - 1]), {}
-            for b in raw[low[i] : high[i]].tolist():
-                state, more = memo.get(state << 8 | b) or memo.setdefault(state << 8 | b, self.step(state, b))
-                counts[i] += more
-            leaves[i] = state
-        head = np.flatnonzero((middle > low) & (middle < high))
-        _, more = self.run(raw, new, low[head], middle[head], leaves[head - 1])
-        counts[head] += more
-        return np.bincount(owner, counts, len(pieces)).astype(np.int64)
+        open_ = middle == high  # without a word start: the head is all of it
+        zero = np.zeros(len(low), np.int64)
+        leaves, counts = self.run(raw, new, middle, high, zero)
+        guess = leaves.copy()
+        guess[open_], _ = self.run(raw, new, low[open_], high[open_], zero[open_])
+        enter = np.concatenate(([self.number(carried)], guess[:-1]))
+        enter[first] = 0
+        heads, todo = np.zeros(len(low), np.int64), np.flatnonzero(middle > low)
+        while len(todo):
+            ends, heads[todo] = self.run(raw, new, low[todo], middle[todo], enter[todo])
+            leaves[todo] = np.where(open_[todo], ends, leaves[todo])
+            _, whole = scan(first | (np.arange(len(low)) == 0), enter, leaves, counts + heads)
+            todo = np.flatnonzero(~whole)
+            todo = todo[enter[todo] != leaves[todo - 1]]
+            enter[todo] = leaves[todo - 1]
+        return counts + heads, self.states[int(leaves[-1])]
+
+    def number(self, state: tuple) -> int:
+        """The number of a state that is spelled out."""
+        if state not in self.numbers:
+            self.numbers[state] = len(self.states)
+            self.states.append(state)
+        return self.numbers[state]
 
 
 @cache
@@ -244,7 +291,7 @@ def _pieces(special: re.Pattern, text: str) -> Iterator[str]:
     for part in special.split(text):
         low = 0
         while low < len(part):
-            gap = _GAP.search(part, low + STRIDE) if len(part) - low > STRIDE else None
+            gap = GAP.search(part, low + STRIDE) if len(part) - low > STRIDE else None
             high = gap.start() if gap else len(part)
             yield part[low:high]
             low = high
