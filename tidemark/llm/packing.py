@@ -9,13 +9,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import small_batches, tidy
 from tidemark.llm.graph import written
-from tidemark.llm.order import placed
-from tidemark.session import remove, run_dir
+from tidemark.llm.order import cells
+from tidemark.session import run_dir
 
 #: Fixed values of the public byte-level tokenizers: the pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -95,7 +95,11 @@ def binary_pieces(n: int, limit: int) -> list[int]:
     return [limit] * (n // limit) + [1 << b for b in reversed(range(limit.bit_length() - 1)) if n % limit >> b & 1]
 
 
-_PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64())])
+_PIECES = pa.schema([
+    ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
+    ("tie", pa.int64()), ("cell", pa.int32()),
+])
+_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, tie long, cell int"
 
 
 def _cut(path: str, limit: int, end_id: int, most: int = 1 << 20):
@@ -103,11 +107,11 @@ def _cut(path: str, limit: int, end_id: int, most: int = 1 << 20):
         rows: list[tuple] = []
         size = 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc, text, tie, cell in zip(batch.column(0).to_pylist(), batch.column(1), *(batch.column(k).to_pylist() for k in (2, 3)), strict=True):
                 ids = np.append(token_ids(path, text.as_py() or ""), np.uint32(end_id)).astype("<u4")
                 raw, at = memoryview(ids.tobytes()), 0
                 for length in binary_pieces(len(ids), limit):
-                    rows.append((doc, at, length, bytes(raw[4 * at : 4 * (at + length)]), len(ids)))
+                    rows.append((doc, at, length, bytes(raw[4 * at : 4 * (at + length)]), len(ids), tie, cell))
                     at += length
                     size += 4 * length
                     if size > most:
@@ -137,25 +141,34 @@ def pack_documents(
     null id; other columns are left out; an empty table gives an empty result. One document's ids are held in
     memory at a time.
 
-    Sequences of one length are bucketed: rows come by `bucket`, longest first, then document (null first) and start, so
+    Sequences of one length are bucketed: in the order of `bucket`, longest first, document (null first) and start,
     neighbours can be batched as they lie, and `sequence_id` counts 0, 1, 2 … in that order, whatever the
-    partitions of the input were. Repeated rows are interchangeable. Pieces are written, then exchanged once by
-    range, so neither a bucket nor a document has to fit one task.
+    partitions of the input were (of documents that share an id, by a hash of the text; repeated rows are
+    interchangeable). Pieces are exchanged once, by length and range of (document, hash), and written in their
+    buckets; what is joined to number them is a row for each length and range.
     """
     if limit < 1 or limit & (limit - 1):
         raise ValueError("limit must be a power of two")
     spark, folder = docs.sparkSession, run_dir(docs.sparkSession, "packing")
-    source = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, start long, length long, ids binary, doc_tokens long"
-    pieces = source.mapInArrow(tidy(_cut(tokenizer, limit, end_id)), schema).withColumn("rank", -F.col("length"))
-    pieces = written(pieces, f"{folder}/pieces")  # as finding the ranges reads their keys once more
-    many = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # one for each power of two
-    before = F.lit(0)
+    text = F.col(text_col).cast("string")
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
+    number = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
+    cell = cells(keyed, number, F.col("tie"), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    source = small_batches(keyed).select("doc_id", "text", "tie", cell.alias("cell"))
+    own = Window.partitionBy("length", "cell").orderBy("doc_id", "tie", "start")
+    pieces = source.mapInArrow(tidy(_cut(tokenizer, limit, end_id)), _SCHEMA).withColumn("place", F.row_number().over(own) - 1)
+    path = f"{folder}/bucketed"
+    pieces.write.option("compression", "zstd").parquet(path)
+    pieces = spark.read.schema(pieces.schema).parquet(path)
+    counts = pieces.groupBy("length", "cell").agg(F.count("*").alias("rows"))
+    longer = F.sum("rows").over(Window.partitionBy("length").orderBy("cell")) - F.col("rows")
+    counts = written(counts.withColumn("before", longer), f"{folder}/counts")
+    many = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("rows").alias("n")).collect()}  # one for each power of two
+    base = F.col("before")
     for length, count in many.items():
-        before = before + F.when(F.col("length") < length, count).otherwise(0)
-    bucketed = placed(pieces, "rank", ["doc_id", "start", "ids"], f"{folder}/bucketed")
-    remove(spark, f"{folder}/pieces")
-    return bucketed.select(
+        base = base + F.when(F.col("length") < length, count).otherwise(0)
+    counts = counts.select("length", "cell", base.alias("base"))
+    return pieces.join(counts, ["length", "cell"]).select(
         "doc_id", "start", "length", "ids", "doc_tokens", F.col("length").alias("bucket"),
-        (before + F.col("place")).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
+        (F.col("base") + F.col("place")).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
     )
