@@ -26,33 +26,66 @@ def template(text, names):
     return tokens, forms
 
 
+def windows_of(text, names, size, only_names=False):
+    """(place, key, values) of every window; values is None for words alone and for mostly slots, which are taken as they are."""
+    tokens, forms = template(text, names)
+    marked = template(text, True)[0]
+    for p in range(len(tokens) - size + 1):
+        own, form = tokens[p : p + size], forms[p : p + size]
+        if only_names and not any(t[0] == "\ue003" for t in marked[p : p + size]):
+            continue
+        slots = sum(f != t for f, t in zip(form, own, strict=True))
+        if 2 * slots > size:
+            yield p, ("as it is", *own), None
+        else:
+            yield p, ("form", *form), tuple("" if f == t else t for f, t in zip(form, own, strict=True)) if slots else None
+
+
+def number_runs(text):
+    runs = [[]]
+    for t in template(text, False)[0]:
+        if "0" <= t[0] <= "9":
+            runs[-1].append(t)
+        else:
+            runs.append([])
+    return {" ".join(r) for r in runs if len(r) >= 4}
+
+
 def plain_leaks(docs, items, width=8, least=6):
-    index = defaultdict(set)
+    """By the rules of find_leaks: documents and items in two readings, mostly-slot windows as they are, a
+    counterpart for each value only where values differ, different places of the item counted."""
+    index, counts = defaultdict(set), defaultdict(set)
     for item, text in items:
+        tokens = template(text, False)[0]
+        if all("0" <= t[0] <= "9" for t in tokens):
+            for run in number_runs(text):
+                counts[run].add(item)
+            continue
+        size = min(width, len(tokens))
         for names in (True, False):
-            tokens, forms = template(text, names)
-            size = min(width, len(tokens))
-            for p in range(len(tokens) - size + 1 if tokens else 0):
-                window = tuple(forms[p : p + size])
-                if 2 * sum(f == t for f, t in zip(window, tokens[p:], strict=False)) >= size:
-                    values = tuple("" if f == t else t for f, t in zip(window, tokens[p : p + size], strict=True))
-                    index[window].add((item, p, len(tokens) - size + 1, values))
-    sizes = {len(w) for w in index}
-    placed = defaultdict(lambda: (set(), set()))
+            for p, key, values in windows_of(text, names, size):
+                index[key].add((item, p, len(tokens) - size + 1, values))
+    sizes = {len(k) - 1 for k in index}
+    out, placed = set(), defaultdict(set)
     for doc, text in docs:
-        tokens, forms = template(text, True)
-        for size in sizes:
-            for p in range(len(tokens) - size + 1):
-                for item, q, n, values in index.get(tuple(forms[p : p + size]), ()):
-                    found, pairs = placed[doc, item, n, p - q]
-                    found.add(q)
-                    pairs |= {(v, tokens[p + k]) for k, v in enumerate(values) if v}
-    held = defaultdict(lambda: [0, False])
-    for (doc, item, n, _), (found, pairs) in placed.items():
-        if len({i for i, _ in pairs}) == len(pairs):
-            held[doc, item, n][0] += len(found)
-            held[doc, item, n][1] |= any(i != d for i, d in pairs)
-    return {(d, i, w, n, r) for (d, i, n), (w, r) in held.items() if w >= min(n, least)}
+        out |= {(doc, item, 1, 1, False) for run in number_runs(text) for item in counts.get(run, ())}
+        for names in (True, False):
+            for size in sizes:
+                for p, key, values in windows_of(text, names, size, only_names=not names):
+                    for item, q, n, own in index.get(key, ()):
+                        pairs = None
+                        if own is not None and own != values:
+                            pairs = frozenset((i, d) for i, d in zip(own, values, strict=True) if i)
+                        placed[doc, item, n, p - q].add((q, pairs))
+    held = defaultdict(lambda: (set(), set()))
+    for (doc, item, n, _), found in placed.items():
+        moved = {pair for _, pairs in found if pairs is not None for pair in pairs}
+        twice = {i for i, _ in moved if sum(i == j for j, _ in moved) > 1}
+        for q, pairs in found:
+            if pairs is None or not twice & {i for i, _ in pairs}:
+                held[doc, item, n][0].add(q)
+                held[doc, item, n][1].add(pairs is not None)
+    return out | {(d, i, len(w), n, True in r) for (d, i, n), (w, r) in held.items() if len(w) >= min(n, least)}
 
 
 ITEMS = [
@@ -85,7 +118,7 @@ def test_reworded_questions_and_slots(spark):
     assert find_leaks(docs, items.limit(0)).collect() == [] == find_leaks(docs, items.where("item_id in (4, 5)")).collect()
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", range(1, 11))
 def test_equals_a_plain_version(spark, seed):
     rnd = random.Random(seed)
     words = ["the", "cost", "of", "apples", "is", "km", "Anna", "Ben", "river", "goes", "kg", *map(str, range(5))]

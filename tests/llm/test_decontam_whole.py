@@ -46,3 +46,21 @@ def test_a_repeated_window_counts_once(spark):
     docs = [". ".join(f"{phrase} to question w{i}x" for i in range(9)), f"so {items[0]} now", f"{items[0]}. {items[0]}"]
     found = held(spark, docs, items)
     assert set(found) == {(1, 0), (2, 0)} and found[2, 0].windows == found[2, 0].n_windows
+
+
+def test_an_item_of_numbers_alone_is_found_in_its_copy_and_no_other_table(spark):
+    items = ["3 4 5 6 7 8 9 10 11", "12, 7; 19 - 4", "1999", "2.5 2.5 2.5 2.5"]
+    docs = ["so: 3 4 5 6 7 8 9 10 11. That was it", "the row 12 7 19 4 was", "1 2 3 4 5 6 7 8 9 10 11 12", "3 4 5 6 7 8 9 10 12",
+            "in 1999 it was 12 7 19", "12 7 19 4 5", "2.5 2.5 2.5 2.5", "2.5 2.5 2.5 2.5 2.5"]
+    assert set(held(spark, docs, items)) == {(0, 0), (1, 1), (6, 3)}
+    assert held(spark, docs, ["3 4 5 6 7 8 9 10 11"]).keys() == {(0, 0)}
+
+
+def test_windows_are_found_with_and_without_looking_up_their_inside_first(spark, monkeypatch):
+    from tidemark.llm import decontam
+
+    items = ["He walked 3 km to the old mill with Anna and back", "Short one here", "a b c", "7 m is the width of 9 m or 5 m"]
+    docs = [f"Then km {i} ." for i in items] + ["He walked 4 km to the old mill with Maria and back", "a b d", "3 m is the width of 9 m or 5 m"]
+    first = held(spark, docs, items)
+    monkeypatch.setattr(decontam, "STARTS", 0)
+    assert held(spark, docs, items) == first and {(0, 0), (1, 1), (2, 2), (3, 3), (4, 0)} <= set(first)
