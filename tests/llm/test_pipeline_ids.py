@@ -27,3 +27,21 @@ def test_different_texts_of_one_id_are_judged_apart(spark):
     other = " ".join(f"c{k}" for k in range(60))
     rows = [(5, " ".join(base)), (9, " ".join([*base, "end"])), (9, other), (9, other), (None, other)]
     assert left(spark, corpus_pipeline.ngram_jaccard_join, rows) == sorted([rows[0], (9, other), (None, other)], key=str)
+
+
+def test_a_corpus_without_labels_stays(spark, plan):
+    rows = [(1, "some text", None, "s", 9), (2, "12 34", None, "s", 5), (3, None, None, None, None), (4, "ein Text", None, None, 8)]
+    out = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, SCHEMA), SF)
+    assert sorted(map(tuple, out.collect())) == [rows[0], rows[3]]
+
+
+def test_texts_are_classified_once(spark, plan):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert plan(corpus_pipeline.language_id(spark, docs, SF)).count("ArrowEvalPython") == 1
+
+
+def test_of_rows_with_one_id_and_text_the_first_by_the_other_columns_stays(spark):
+    rows = [(1, "the same text", lang, source, 13) for lang in ("fr", "en", None) for source in ("b", "a")]
+    for seed in range(3):
+        docs = spark.createDataFrame(rows, SCHEMA).repartition(3 + seed)
+        assert [tuple(r) for r in corpus_pipeline.ngram_jaccard_join(spark, docs, SF).collect()] == [(1, "the same text", None, "a", 13)]

@@ -20,6 +20,7 @@ from tidemark.llm.batches import small_batches, tidy
 from tidemark.llm.texts import batch_bytes, mix
 
 UNKNOWN = "und"
+LETTER = r"\p{L}"
 ORDERS = (1, 2, 3, 4)  # lengths of the n-grams in bytes
 HASH_BITS = 16
 PIECE = 1 << 16
@@ -233,7 +234,7 @@ def predict(docs: DataFrame, model: Model | None, *, text_col: str = "text") ->
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score), pa.array(near)], names=["lang_pred", "score", "ambiguous"])
 
     text = F.col(text_col).cast("string")
-    lettered = text.isNotNull() & F.regexp_like(text, F.lit(r"\p{L}"))
+    lettered = text.isNotNull() & F.regexp_like(text, F.lit(LETTER))
     judged = small_batches(docs).withColumn("_judged", judge(F.when(lettered, text)))
     return judged.withColumns({
         "lang_pred": F.when(lettered, F.col("_judged.lang_pred")).otherwise(UNKNOWN),
