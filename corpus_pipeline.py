@@ -19,24 +19,27 @@ from tidemark.session import run_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those without any letter (null and empty ones too) go, as do all of them
-    when no row is labelled. Learned from the labelled rows that aren't held out. Rows without a label
-    get the predicted one; other rows stay as they are, repeated ones and ambiguous ones too."""
+    """Documents with a language: those without any letter go, null and empty ones too. Learned from the
+    labelled rows that aren't held out. Rows without a label get the predicted one, or stay as they are when no
+    row is labelled; other rows stay as they are, repeated ones and ambiguous ones too."""
     model = langid.fit(docs.where(~F.coalesce(queries.held_out(), F.lit(False))))
-    judged = langid.predict(docs.withColumns({f"_{c}": F.col(c) for c in docs.columns}), model)
-    kept = judged.where(F.col("lang_pred") != langid.UNKNOWN).withColumn("_lang", F.coalesce("_lang", "lang_pred"))
-    return kept.select(*(F.col(f"_{c}").alias(c) for c in docs.columns))
+    lettered = docs.where(F.regexp_like("text", F.lit(langid.LETTER)))  # all others are rejected by prediction
+    judged = langid.predict(lettered.withColumns({f"_{c}": F.col(c) for c in docs.columns}), model)
+    named = F.when(F.col("lang_pred") != langid.UNKNOWN, F.col("lang_pred"))
+    return judged.withColumn("_lang", F.coalesce("_lang", named)).select(*(F.col(f"_{c}").alias(c) for c in docs.columns))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id, once if it is repeated.
-    Different texts that share an id are judged apart. Rows with a null id can't be told apart and stay."""
+    """One document of each group of near duplicates: the one with the smallest id. Of rows that share id and
+    text the one whose other columns come first (null before all) stays. Different texts that share an id are
+    judged apart. Rows with a null id can't be told apart and stay."""
     named = docs.where(F.col("doc_id").isNotNull()).withColumn("_key", F.xxhash64("doc_id", "text"))
     groups = jaccard_components(named, id_col="_key").select(F.col("doc_id").alias("_key"), "component_id")
     ids = named.select("_key", "doc_id").distinct()
     first = groups.join(ids, "_key").groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("first"))
-    kept = named.join(first.select("first._key"), "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    kept = named.join(first.select("first._key"), "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*others, "doc_id", "text")).alias("row"))
+    return kept.select("row.*").select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
