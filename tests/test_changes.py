@@ -1,6 +1,8 @@
 import random
 import uuid
 
+import re
+
 import pytest
 from pyspark.errors import PySparkException
 
@@ -76,13 +78,16 @@ def test_late_updates_lose(spark, merge):
 
 
 def test_few_updates_leave_the_target_unshuffled(spark, plan, folder):
-    spark.range(1000).selectExpr("cast(id as string) k", "id o").write.parquet(f"{folder}/target")
+    spark.range(1000).selectExpr("cast(id as string) k", "id o", "id v").write.parquet(f"{folder}/target")
     target = spark.read.parquet(f"{folder}/target")
-    few = spark.createDataFrame([("7", 5000), ("new", 1)], "k string, o bigint")
+    few = spark.createDataFrame([("7", 5000, -1), ("new", 1, -2), ("8", 0, -3)], "k string, o bigint, v bigint")
     merged = upsert_touched(target, few, ["k"], ["o"], f"{folder}/newest")
-    untouched = plan(merged).split("LeftAnti")[0]
-    assert "BroadcastHashJoin" in untouched and "Exchange" not in untouched
+    text = plan(merged, "formatted")
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text and "SinglePartition" not in text
+    whole = [at for at in re.findall(r"Location: [^\n]*?/(target|newest)[^\n]*\n(?:[^\n]+\n)*?ReadSchema: [^\n]*v:bigint", text) if at == "target"]
+    assert len(whole) <= 1  # whole rows of the target are read once, its keys once more
     assert merged.count() == 1001
+    assert {(r.k, r.v) for r in merged.where("v < 0").collect()} == {("7", -1), ("new", -2)}
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10b")
     try:

@@ -14,7 +14,7 @@ from tidemark.operators.quality import observed_counts
 from tidemark.plans import flows, pipelines
 from tidemark.schemas import EVENT_RAW, EVENT_RULES, PARTNER_RAW, PARTNER_RULES
 from tidemark.sources.readers import read_stream, replay
-from tidemark.streaming import jobs
+from tidemark.streaming import jobs, versions
 from tidemark.streaming.quality import measure_stream
 
 MESSAGE = ("key string, value string, topic string, partition int, offset bigint, "
@@ -121,9 +121,9 @@ def test_untouched_buckets_keep_their_files(spark, inbox, folder):
         written = pipelines.refresh_partners(spark, layers, now, buckets=8)
         files = {}
         for table in ("trusted_buckets", "gold/business_partner_current"):
-            for path in glob.glob(f"{layers.root}/{table}/bucket=*/*.parquet"):
-                bucket = int(re.search(r"bucket=(\d+)", path)[1])
-                files.setdefault(bucket, set()).add(path)
+            for bucket, number in versions.version(spark, f"{layers.root}/{table}").files.items():
+                for path in glob.glob(f"{layers.root}/{table}/data/version={number}/bucket={bucket}/*.parquet"):
+                    files.setdefault(bucket, set()).add(path)
         return set(written), files
 
     inbox.put(*[partner(i, str(i)) for i in range(1, 40)])

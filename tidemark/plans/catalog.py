@@ -19,7 +19,7 @@ from tidemark.schemas import (
 from tidemark.session import configure, run_dir
 from tidemark.sources import feeds
 from tidemark.sources.readers import read_table_stream, replay
-from tidemark.streaming import aggregates, jobs, latest
+from tidemark.streaming import aggregates, jobs, latest, versions
 from tidemark.streaming.dedup import dedup_stream, with_watermark
 from tidemark.streaming.quality import measure_stream
 
@@ -509,6 +509,23 @@ def bp_change_feed(spark, sf_dir):
     return changes.change_feed(snapshot(parsed.where(early)), snapshot(parsed), SOURCE_KEYS)
 
 
+def bp_changes_versions(spark, sf_dir):
+    """What changed in the trusted partners after the first of three deliveries, out of the change rows that
+    the merges of the later ones have written."""
+    layers = pipelines.Layers(run_dir(spark, "bp_changes"))
+    newest, seen = pipelines.trusted_newest(layers), []
+
+    def step(messages):
+        pipelines.ingest_partners(messages, layers)
+        pipelines.trust_partners(spark, layers, now=NOW)
+        pipelines.refresh_partners(spark, layers, NOW, buckets=16)
+        seen.append(versions.version(spark, newest).number)
+
+    feeds.deliver(feeds.partner_feed_parts(spark, sf_dir), f"{layers.root}/inbox", step)
+    fed = versions.changes_between(spark, newest, flows.TRUSTED_KEYS, seen[0], place=dedup.LIVING_ORDER)
+    return fed.select("change_type", *flows.TRUSTED_KEYS, "kafka_partition", "kafka_offset", "full_name", "changed_date")
+
+
 # --- data quality ---------------------------------------------------------------------------
 
 def dq_bp_counts(spark, sf_dir):
@@ -597,7 +614,7 @@ QUERIES = (
     bp_latest_agg, bp_latest_string_offset, bp_trusted, bp_latest_stream, bp_latest_folded, bp_gold_incremental, bp_unified,
     bp_unified_pivot, bp_unified_active, bp_entity_json, publish_messages,
     publish_breaches, publish_changed_messages, events_upsert, events_upsert_stream, bp_upsert,
-    bp_upsert_touched, bp_change_feed, dq_bp_counts, dq_bp_counts_strict, dq_bp_trusted_counts,
+    bp_upsert_touched, bp_change_feed, bp_changes_versions, dq_bp_counts, dq_bp_counts_strict, dq_bp_trusted_counts,
     dq_event_counts, dq_event_counts_change_types, dq_event_trusted_counts,
     dq_event_daily_counts, dq_tagged_rows, dq_valid_country, dq_valid_category,
     dq_event_counts_stream, dq_summary, dq_failure_trend, flow_throughput, dq_alerts,

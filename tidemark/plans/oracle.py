@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from tidemark.plans.catalog import LOG_AS_OF, NOW, PARTNER_SPLIT, RATES, REPLAY, REPLAY_TO
+from tidemark.sources.feeds import PARTNER_PARTS
 from tidemark.schemas import (
     ALERT_THRESHOLD, EVENT_RULES, EVENT_RULES_CHANGE_TYPES, PARTNER_RULES, PARTNER_RULES_STRICT,
     THROUGHPUT_ROWS, TREND_HOURS,
@@ -292,6 +293,22 @@ SELECT CASE WHEN EXISTS (SELECT 1 FROM a WHERE a.source_table IS NOT DISTINCT FR
                          AND a.sap_client IS NOT DISTINCT FROM came.sap_client)
             THEN 'update_post' ELSE 'insert' END AS change_type, * FROM came"""
 
+_FED = f"SELECT {KEYS}, source_table, kafka_partition, kafka_offset, full_name, changed_date FROM"
+_FIRST = f"kafka_ingest_timestamp < TIMESTAMP '{PARTNER_PARTS[0]}'"
+_FED_KEYS = f"{KEYS}, source_table".split(", ")
+# Rows with a NULL in their key are never an update of one another.
+_PLACED = f"CASE WHEN {' OR '.join(f'{key} IS NULL' for key in _FED_KEYS)} THEN {PLACE} END"
+_SAME = " AND ".join(f"a.{key} IS NOT DISTINCT FROM b.{key}" for key in (*_FED_KEYS, "place"))
+_DIFFERS = "a.kafka_offset <> b.kafka_offset OR a.kafka_partition <> b.kafka_partition"
+_CHANGES_VERSIONS = f"""WITH {PARTNERS},
+a AS (SELECT *, {_PLACED} AS place FROM ({_FED} ({_newest(", ".join(_FED_KEYS), where=_FIRST, order=TIMES, apart=True)}))),
+b AS (SELECT *, {_PLACED} AS place FROM ({_FED} ({_newest(", ".join(_FED_KEYS), order=TIMES, apart=True)})))
+SELECT CASE WHEN b.kafka_offset IS NULL THEN 'delete' ELSE 'update_pre' END AS change_type, a.* EXCLUDE (place)
+FROM a LEFT JOIN b ON {_SAME} WHERE b.kafka_offset IS NULL OR {_DIFFERS}
+UNION ALL
+SELECT CASE WHEN a.kafka_offset IS NULL THEN 'insert' ELSE 'update_post' END, b.* EXCLUDE (place)
+FROM b LEFT JOIN a ON {_SAME} WHERE a.kafka_offset IS NULL OR {_DIFFERS}"""
+
 _WATCHED = "unified_name, is_active, created_date_parsed, changed_date_parsed"
 
 _TRUSTED_EVENTS = (
@@ -407,6 +424,7 @@ WHERE bp_number NOT IN (SELECT bp_number FROM unified)""",
         "bp_upsert": _BP_UPSERT,
         "bp_upsert_touched": _BP_UPSERT,
         "bp_change_feed": _CHANGES,
+        "bp_changes_versions": _CHANGES_VERSIONS,
         "dq_bp_counts": f"WITH {PARTNERS} {_measured(PARTNER_RULES, 'bp')}",
         "dq_bp_counts_strict": f"WITH {PARTNERS} {_measured(PARTNER_RULES_STRICT, 'bp')}",
         "dq_bp_trusted_counts": f"WITH {TRUSTED} {_measured(PARTNER_RULES, 'trusted')}",

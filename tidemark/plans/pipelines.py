@@ -18,7 +18,7 @@ from tidemark.plans import flows
 from tidemark.schemas import EVENT_RAW, EVENT_RULES, PARTNER_RAW, PARTNER_RULES
 from tidemark.session import folders
 from tidemark.sources.readers import read_table_stream
-from tidemark.streaming import jobs, latest
+from tidemark.streaming import jobs, latest, versions
 from tidemark.streaming.quality import measure_stream
 
 # A new time of processing alone is no reason to publish an entity again.
@@ -125,34 +125,50 @@ def refresh_partners(
 ) -> list[int]:
     """Bring the newest trusted rows and the entities up to date, at the cost of what has changed.
 
-    Both tables lie in hash buckets of the partner. Trusted rows since the last call are merged into
-    the buckets they touch; only partners with new rows are unified again, the others of those
-    buckets are copied, and all other buckets stay as they are. Gives the buckets written.
+    Both tables lie in hash buckets of the partner and have versions. Trusted rows since the last call are
+    merged into the buckets they touch; only partners with changed rows are unified again, the others of
+    those buckets are copied, and all other buckets stay as they are. The version of the entities notes which
+    version of the trusted rows it shows, so a run that ended between the two is caught up with by the
+    next one. Gives the buckets written.
     """
-    newest, gold = f"{layers.root}/trusted_buckets", layers.gold("business_partner_current")
-    merged = latest.merge_batches(
-        spark, layers.trusted, newest, flows.TRUSTED_KEYS, dedup.LIVING_ORDER, partners.PARTNER, buckets
+    newest, gold = trusted_newest(layers), current_partners(layers)
+    latest.merge_batches(
+        spark, layers.trusted, newest, flows.TRUSTED_KEYS, dedup.LIVING_ORDER, partners.PARTNER, buckets, keep=3
     )
-    if merged is None or not merged[1]:
+    trusted, shown = versions.version(spark, newest), versions.version(spark, gold)
+    if trusted is None or shown and shown.note["trusted"] == trusted.number:
         return []
-    changes, touched = merged
-    keys = changes.select(*[F.col(k).alias(f"_{k}") for k in partners.PARTNER]).distinct()
+    since = shown.note["trusted"] if shown else 0
+    before = versions.version(spark, newest, since)
+    touched = sorted(b for b in trusted.files if before is None or before.files.get(b) != trusted.files[b])
+    stored = versions.read(spark, newest, trusted, touched).drop("bucket")
+    changed = versions.read_changes(spark, newest, since, trusted.number)
+    keys = changed.select(*[F.col(k).alias(f"_{k}") for k in partners.PARTNER]).distinct()
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in partners.PARTNER]
-    stored = latest.read_buckets(spark, newest, changes.schema, touched).drop("bucket")
-    again = stored.join(keys, same, "left_semi")
-    unified = partners.unify(again, now, order=dedup.LIVING_ORDER, **options)
+    unified = partners.unify(stored.join(keys, same, "left_semi"), now, order=dedup.LIVING_ORDER, **options)
     unified = partners.entity_json(unified).withColumn(
-        "bucket", latest.bucket_of(partners.PARTNER, buckets)
+        "bucket", versions.bucket_of(partners.PARTNER, buckets)
     )
-    others = latest.read_buckets(spark, gold, unified.schema, touched).join(keys, same, "left_anti")
-    latest.replace_buckets(others.unionByName(unified), gold)
-    layers.name(spark, "business_partner", gold, "gold", "one record per business partner")
+    others = versions.read(spark, gold, shown, touched, unified.schema).join(keys, same, "left_anti")
+    at = versions.commit(others.unionByName(unified), gold, shown, buckets, touched, {"trusted": trusted.number})
+    versions.vacuum(spark, gold)
+    if layers.names is not None:
+        versions.name_version(spark, f"{layers.names}business_partner", gold, at)
     return touched
 
 
+def trusted_newest(layers: Layers) -> str:
+    return f"{layers.root}/trusted_buckets"
+
+
+def current_partners(layers: Layers) -> str:
+    return layers.gold("business_partner_current")
+
+
 def read_partners(spark: SparkSession, layers: Layers) -> DataFrame:
     """The entities as `refresh_partners` keeps them."""
-    return spark.read.parquet(layers.gold("business_partner_current")).drop("bucket")
+    at = versions.version(spark, current_partners(layers))
+    return versions.read(spark, current_partners(layers), at).drop("bucket")
 
 
 def folded_version(layers: Layers, version: str) -> str:

@@ -67,26 +67,66 @@ def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="tidemark-")
 
 
-def remove(spark: SparkSession, folder: str) -> None:
-    """Delete a folder of this library's own making, wherever it is stored."""
+def _store(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    store, path = _store(spark, folder)
+    return store.exists(path)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder or file of this library's own making, wherever it is stored."""
+    store, path = _store(spark, folder)
+    store.delete(path, True)
 
 
 def rename(spark: SparkSession, folder: str, to: str) -> bool:
-    """Move a folder; False if there is none."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return store.exists(path) and store.rename(path, jvm.org.apache.hadoop.fs.Path(to))
+    """Move a folder; False if there is none. Raises if it is there and can't be moved, as when `to` exists."""
+    store, path = _store(spark, folder)
+    if not store.exists(path):
+        return False
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    if store.exists(target) or not store.rename(path, target):
+        raise OSError(f"{folder} could not be moved to {to}")
+    return True
+
+
+def _listed(spark: SparkSession, folder: str):
+    store, path = _store(spark, folder)
+    return store.listStatus(path) if store.exists(path) else []
 
 
 def folders(spark: SparkSession, folder: str) -> list[str]:
     """Names of the folders directly below one, from a listing alone; none if it doesn't exist."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = store.listStatus(path) if store.exists(path) else []
-    return sorted(f.getPath().getName() for f in found if f.isDirectory())
+    return sorted(f.getPath().getName() for f in _listed(spark, folder) if f.isDirectory())
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files directly below a folder."""
+    return sorted(f.getPath().getName() for f in _listed(spark, folder) if f.isFile())
+
+
+def write_text(spark: SparkSession, file: str, text: str) -> None:
+    """A small file that is there whole or not at all; raises if it already is."""
+    store, path = _store(spark, f"{file}.{uuid.uuid4().hex}.part")
+    out = store.create(path)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    rename(spark, path.toString(), file)
+
+
+def read_text(spark: SparkSession, file: str) -> str:
+    store, path = _store(spark, file)
+    source = store.open(path)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

@@ -79,6 +79,9 @@ def read_table_stream(
     return reader.schema(schema).parquet(path)
 
 
+WIDE = 4096  # blocks; a range beyond that is cut to the offsets there are, like an open one
+
+
 def replay(
     raw: DataFrame,
     ranges: Iterable[tuple[int, int | None, int | None]] | DataFrame,
@@ -104,14 +107,18 @@ def replay(
             raw = raw.where(F.col(day) <= F.lit(last).cast("date"))
     if isinstance(ranges, DataFrame):
         r = ranges.toDF("_partition", "_from", "_to")
-        ends = raw.groupBy(F.col(partition).alias("_partition")).agg(
-            F.min(offset).alias("_low"), F.max(offset).alias("_high")
-        )
-        known = r.join(ends, "_partition").select(
-            "_partition",
-            F.greatest(F.coalesce("_from", "_low"), "_low").alias("_from"),
-            F.least(F.coalesce("_to", "_high"), "_high").alias("_to"),
-        ).where("_from <= _to")
+        closed = F.coalesce(F.col("_to") - F.col("_from") < WIDE * block, F.lit(False))
+        known, opened = r.where(closed), r.where(~closed)
+        if not opened.isEmpty():  # the ends are looked up for those alone, in the partitions they name
+            named = opened.select("_partition").distinct()
+            ends = raw.select(F.col(partition).alias("_partition"), F.col(offset).alias("_offset"))
+            ends = ends.join(named, "_partition", "left_semi").groupBy("_partition").agg(
+                F.min("_offset").alias("_low"), F.max("_offset").alias("_high")
+            )
+            known = known.unionByName(opened.join(ends, "_partition").select(
+                "_partition", F.greatest("_from", "_low").alias("_from"), F.least("_to", "_high").alias("_to")
+            ))
+        known = known.where("_from <= _to")
         blocks = known.withColumn("_block", F.explode(F.sequence(
             F.floor(F.col("_from") / block), F.floor(F.col("_to") / block)
         )))

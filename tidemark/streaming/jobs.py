@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.session import folders, remove, rename
+from tidemark.session import exists, folders, remove, rename, write_text
 
 AVAILABLE_NOW = "available_now"
 QUALITY = {"raw": "bronze", "trusted": "silver", "gold": "gold"}
@@ -97,22 +97,40 @@ def compact(
     """Merge all micro-batches but the newest `keep` into one folder; gives the folders left.
 
     The merged folder takes the place of the newest batch in it, so a stream that appends goes on
-    as before. Run it between reads: while the folders are switched a reader may miss one.
+    as before. It is written whole beside the table first; a run that ended while the folders were
+    switched is finished by the next call. Run it between reads: while they are switched a reader
+    may miss one.
     """
+    _finish_compaction(spark, path)
     batches = batch_ids(spark, path)
     old = batches[: len(batches) - keep] if keep else batches
     if len(old) < 2:
         return len(batches)
     rows = spark.read.option("basePath", path).parquet(*[batch_folder(path, b) for b in old])
     rows = rows.drop("batch_id").hint("rebalance", *partition_by)
-    merged = f"{path}/_merged-{old[-1]}"
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(merged)
-    for batch in reversed(old):
-        remove(spark, batch_folder(path, batch))
-    rename(spark, merged, batch_folder(path, old[-1]))
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{_MERGED}{old[-1]}")
+    _finish_compaction(spark, path)
     return len(batches) - len(old) + 1
 
 
+_MERGED = "_merged-"
+
+
+def _finish_compaction(spark: SparkSession, path: str) -> None:
+    """Put a merged folder that is whole in the place of its batches; one that isn't is deleted."""
+    for name in folders(spark, path):
+        if not name.startswith(_MERGED):
+            continue
+        merged, newest = f"{path}/{name}", int(name.removeprefix(_MERGED))
+        if not exists(spark, f"{merged}/_SUCCESS"):
+            remove(spark, merged)
+            continue
+        for batch in batch_ids(spark, path):
+            if batch <= newest:
+                remove(spark, batch_folder(path, batch))
+        rename(spark, merged, batch_folder(path, newest))
+
+
 def read_updates(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """The newest result of each key out of update output."""
     from tidemark.operators.dedup import latest_by
@@ -142,28 +160,40 @@ def refresh(
     """Run a stream: `incremental` goes on from its checkpoint, `full` reads the source from the start.
 
     For that its `folders`, the checkpoint and the tables, are put aside first. They are deleted
-    once a triggered run has ended well, and put back if it fails.
+    once a triggered run has ended well, and put back if it fails. If the driver was killed meanwhile, the
+    next call of either mode puts back what still lies aside before it runs.
     """
     if mode not in ("incremental", "full"):
         raise ValueError(f"mode must be 'incremental' or 'full', not {mode!r}")
+    done = f"{folders[0]}.refreshed"
+    if exists(spark, done):  # it had ended well, and only the copies are left
+        for folder in folders:
+            remove(spark, f"{folder}.before")
+        remove(spark, done)
+    _put_back(spark, folders)
     if mode == "incremental":
         return run()
-    aside = {folder: f"{folder}.before" for folder in folders}
-    for folder, before in aside.items():
-        remove(spark, before)
-        rename(spark, folder, before)
     try:
+        for folder in folders:
+            rename(spark, folder, f"{folder}.before")
         query = run()
     except Exception:
-        for folder, before in aside.items():
-            remove(spark, folder)
-            rename(spark, before, folder)
+        _put_back(spark, folders)
         raise
-    for before in aside.values():
-        remove(spark, before)
+    write_text(spark, done, "")
+    for folder in folders:
+        remove(spark, f"{folder}.before")
+    remove(spark, done)
     return query
 
 
+def _put_back(spark: SparkSession, folders: Sequence[str]) -> None:
+    for folder in folders:
+        if exists(spark, f"{folder}.before"):
+            remove(spark, folder)
+            rename(spark, f"{folder}.before", folder)
+
+
 def write_layer(
     df: DataFrame,
     path: str,

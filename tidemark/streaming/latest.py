@@ -5,8 +5,8 @@ one folder of the table, overwritten if the batch is run again. A batch costs as
 rows, never the whole table; the newest row over all folders is picked on reading. `fold` keeps
 that reading from growing with the history: it writes the newest rows from the fold before and the
 batches since. `merge_batches` costs less still: its table lies in hash buckets, and only those
-that the new batches touch are read and written. Tables whose format supports MERGE are upserted in
-place instead.
+that the new batches touch are read and written, as a new version that comes into force at once. Tables
+whose format supports MERGE are upserted in place instead.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.changes import merge_into
 from tidemark.operators.dedup import latest_by, whole_keys
-from tidemark.session import folders, remove, run_dir
+from tidemark.session import folders, remove
+from tidemark.streaming import versions
 from tidemark.streaming.jobs import AVAILABLE_NOW, batch_folder, batch_ids, start_stream
 
 SEED = -1
@@ -97,31 +98,6 @@ def fold(
     return spark.read.schema(newest.schema).parquet(out).drop("folded_to")
 
 
-def bucket_of(columns: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
-
-
-def replace_buckets(rows: DataFrame, path: str) -> None:
-    """Write rows with a `bucket` column over the buckets that occur in them, leaving the others.
-
-    They are written aside first, as they may come from the same table.
-    """
-    spark = rows.sparkSession
-    aside = run_dir(spark, "buckets")
-    rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(aside)
-    kept = spark.read.schema(rows.schema).parquet(aside)
-    writer = kept.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
-    remove(spark, aside)
-
-
-def read_buckets(spark: SparkSession, path: str, schema, buckets: Sequence[int]) -> DataFrame:
-    """Some buckets of a table that may not exist yet."""
-    if not folders(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).where(F.col("bucket").isin(list(buckets)))
-
-
 def merge_batches(
     spark: SparkSession,
     path: str,
@@ -131,41 +107,37 @@ def merge_batches(
     bucket_by: Sequence[str],
     buckets: int = 64,
     keep: int = 2,
-) -> tuple[DataFrame, list[int]] | None:
+    compare: Sequence[str] | None = None,
+) -> tuple[versions.Version, list[int]] | None:
     """Merge the micro-batches since the last call into the table at `out`, which has one row per
-    key in hash buckets; gives the new rows and the buckets they touched, None if there are none.
+    key in hash buckets; gives its new version and the buckets written, None if there was nothing.
 
-    Only touched buckets are read and written. The batches done are noted beside the table, and so is
-    the number of buckets, which can't be changed. The newest batch may still be in the writing, so it
-    is merged again next time. Merged batches but the newest `keep` are deleted.
+    Only touched buckets are read and written, and the rows that have changed are written beside them (see
+    `versions.changes_between`; `compare` leaves out columns such as maps). Rows, changes, and how far the batches
+    are merged come into force together. The number of buckets can't be changed. The newest batch
+    may still be in the writing, so it is merged again next time. Merged batches but the newest
+    `keep` are deleted, and so are versions but the newest `keep`.
     """
+    base = versions.version(spark, out)
+    if base and base.buckets != buckets:
+        raise ValueError(f"the table has {base.buckets} buckets, not {buckets}")
     ids = batch_ids(spark, path)
-    notes = [name.split("=") for name in folders(spark, f"{out}.done")]
-    dealt = {int(value) for key, value in notes if key == "buckets"}
-    if dealt - {buckets}:
-        raise ValueError(f"the table has {dealt.pop()} buckets, not {buckets}")
-    noted = [int(value) for key, value in notes if key == "batch"]
-    done = max(noted, default=None)
-    new = [b for b in ids if done is None or b > done]
+    new = [b for b in ids if base is None or b > base.note["batch"]]
     if not new:
         return None
     changes = spark.read.parquet(*[batch_folder(path, b) for b in new]).withColumn(
-        "bucket", bucket_of(bucket_by, buckets)
+        "bucket", versions.bucket_of(bucket_by, buckets)
     )
-    if not dealt:
-        spark.range(1).write.mode("overwrite").parquet(f"{out}.done/buckets={buckets}")
-    touched = sorted(r.bucket for r in changes.select("bucket").distinct().collect())
-    if touched:
-        stored = read_buckets(spark, out, changes.schema, touched)
-        merged = latest_by(stored.unionByName(changes), _told_apart(keys, order), order)
-        replace_buckets(merged, out)
-    spark.range(1).write.mode("overwrite").parquet(f"{out}.done/batch={ids[-1] - 1}")
-    for old in noted:
-        if old != ids[-1] - 1:
-            remove(spark, f"{out}.done/batch={old}")
+    touched = sorted(r.bucket for r in changes.select("bucket").distinct().collect())  # no more than buckets
+    stored = versions.read(spark, out, base, touched, changes.schema)
+    merged = latest_by(stored.unionByName(changes), _told_apart(keys, order), order)
+    at = versions.commit(
+        merged, out, base, buckets, touched, {"batch": ids[-1] - 1}, keys=keys, compare=compare, place=order)
+    versions.vacuum(spark, out, keep)
     for batch in ids[: len(ids) - keep]:
-        remove(spark, batch_folder(path, batch))
-    return changes, touched
+        if batch < ids[-1]:
+            remove(spark, batch_folder(path, batch))
+    return at, touched
 
 
 def upsert_stream(
