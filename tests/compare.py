@@ -41,8 +41,9 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     if len(mine) != len(theirs):
         found.append(f"rows: spark {len(mine)} sql {len(theirs)}")
     if mine != theirs:
-        extra = [r for r in mine if r not in set(theirs)][:2]
-        missing = [r for r in theirs if r not in set(mine)][:2]
+        ours, others = set(mine), set(theirs)
+        extra = [r for r in mine if r not in others][:2]
+        missing = [r for r in theirs if r not in ours][:2]
         found.append(f"values: only spark {extra} only sql {missing}")
     if not mine:
         found.append("no rows")

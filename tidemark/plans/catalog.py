@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, TimestampType
 
-from tidemark.operators import changes, dedup, envelope, events, monitor, partners, publish, quality
+from tidemark.operators import (
+    changes, dedup, envelope, events, monitor, partners, publish, quality, rollup,
+)
 from tidemark.plans import flows, pipelines
 from tidemark.schemas import (
     EVENT_PAYLOAD, EVENT_RULES, EVENT_RULES_CHANGE_TYPES, PARTNER_RULES, PARTNER_RULES_STRICT,
@@ -19,7 +21,7 @@ from tidemark.schemas import (
 from tidemark.session import configure, run_dir
 from tidemark.sources import feeds
 from tidemark.sources.readers import read_table_stream, replay
-from tidemark.streaming import aggregates, jobs, latest, versions
+from tidemark.streaming import aggregates, jobs, latest, rollup as deltas, versions
 from tidemark.streaming.dedup import dedup_stream, with_watermark
 from tidemark.streaming.quality import measure_stream
 
@@ -339,6 +341,69 @@ def sliding_counts_stream(spark, sf_dir):
     return _counts_stream(spark, sf_dir, slide="15 minutes")
 
 
+# --- gold by deltas -------------------------------------------------------------------------
+
+def _kept_states(spark, sf_dir, exact=False, fold=True):
+    """The folder of states that three deliveries leave, each of which reads its own trusted rows alone."""
+    out = run_dir(spark, "states")
+
+    def step(raw):
+        jobs.run_stream(flows.trusted_events(raw, NOW), f"{out}/table", f"{out}/checkpoint")
+        rows = read_table_stream(spark, f"{out}/table")
+        deltas.keep_states(rows, f"{out}/states", f"{out}/states_checkpoint", exact=exact)
+        for kind in (deltas.PANES, deltas.ENTITIES) if fold else ():
+            deltas.fold_states(spark, f"{out}/states", kind, keep=1)
+
+    _deliver_events(spark, sf_dir, out, step)
+    return out
+
+
+def _near(estimated, exact):
+    return _rounded(_estimates_near(estimated, exact, METRIC_KEYS))
+
+
+def hourly_gold_deltas(spark, sf_dir):
+    out = _kept_states(spark, sf_dir)
+    states = deltas.read_states(spark, f"{out}/states", deltas.PANES)
+    return _near(rollup.metrics(states, now=NOW), events.hourly_metrics(spark.read.parquet(f"{out}/table")))
+
+
+def sliding_gold_deltas(spark, sf_dir):
+    """Sliding windows out of the same states, not folded."""
+    out = _kept_states(spark, sf_dir, fold=False)
+    states = deltas.read_states(spark, f"{out}/states", deltas.PANES)
+    exact = events.hourly_metrics(spark.read.parquet(f"{out}/table"), slide="15 minutes")
+    return _near(rollup.metrics(states, slide=900, now=NOW), exact)
+
+
+def entity_gold_deltas(spark, sf_dir):
+    out = _kept_states(spark, sf_dir)
+    daily = rollup.entity_daily(deltas.read_states(spark, f"{out}/states", deltas.ENTITIES), NOW)
+    return _rounded(daily.withColumn("event_types_seen", F.array_join("event_types_seen", ",")))
+
+
+def metrics_by_grain(spark, sf_dir):
+    """Hours, sliding windows and days out of one table of states, which is made in one scan of the events."""
+    out = run_dir(spark, "grains")
+    trusted = _events_trusted(spark, sf_dir)
+    rollup.pane_states(trusted).write.parquet(f"{out}/panes")
+    states = spark.read.parquet(f"{out}/panes")
+    grains = {"day": (86400, 86400), "hour": (3600, 3600), "sliding": (3600, 900)}
+    found = []
+    for name, (seconds, slide) in grains.items():
+        exact = events.hourly_metrics(trusted, f"{seconds} seconds", f"{slide} seconds", unique_ids=True)
+        found.append(_near(rollup.metrics(states, seconds, slide, NOW), exact).withColumn("grain", F.lit(name)))
+    return found[0].unionByName(found[1]).unionByName(found[2]).drop("avg_amount_usd")
+
+
+def exact_distinct_rollup(spark, sf_dir):
+    """Exact distinct counts of hours and days out of the same bitmaps."""
+    out = _kept_states(spark, sf_dir, exact=True, fold=False)
+    hours = deltas.exact_counts(spark, f"{out}/states").withColumn("grain", F.lit("hour"))
+    days = deltas.exact_counts(spark, f"{out}/states", 86400).withColumn("grain", F.lit("day"))
+    return _plain(hours.unionByName(days))
+
+
 # --- business partners ----------------------------------------------------------------------
 
 def bp_latest(spark, sf_dir):
@@ -610,7 +675,8 @@ QUERIES = (
     hourly_event_metrics, hourly_event_metrics_general, sliding_event_metrics,
     sliding_event_metrics_general, sliding_event_metrics_window, hourly_event_metrics_approx,
     event_gold_refresh, hourly_metrics_basic, type_source_metrics,
-    entity_daily_summary, hourly_counts_stream, sliding_counts_stream, bp_latest,
+    entity_daily_summary, hourly_counts_stream, sliding_counts_stream, hourly_gold_deltas,
+    sliding_gold_deltas, entity_gold_deltas, metrics_by_grain, exact_distinct_rollup, bp_latest,
     bp_latest_agg, bp_latest_string_offset, bp_trusted, bp_latest_stream, bp_latest_folded, bp_gold_incremental, bp_unified,
     bp_unified_pivot, bp_unified_active, bp_entity_json, publish_messages,
     publish_breaches, publish_changed_messages, events_upsert, events_upsert_stream, bp_upsert,

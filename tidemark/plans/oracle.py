@@ -243,6 +243,23 @@ def _stream_metrics(span: str, calendar: str, source: str) -> str:
     return f"SELECT * EXCLUDE (gold_processed_at) FROM ({_estimated(metrics)})"
 
 
+def _entity_daily(source: str) -> str:
+    return f"""WITH {source}
+SELECT entity_id, entity_type, event_date, source_system, count(*) AS total_events,
+  coalesce(string_agg(DISTINCT event_type, ',' ORDER BY event_type), '') AS event_types_seen,
+  round(sum(amount_usd), 4) AS daily_amount_usd, min(event_timestamp) AS first_activity,
+  max(event_timestamp) AS last_activity, {STAMP} AS summary_created_at
+FROM uniq GROUP BY entity_id, entity_type, event_date, source_system"""
+
+
+def _exact(grain: str, span: str) -> str:
+    """Groups with neither an entity nor a session have no bitmap and no row."""
+    return f"""SELECT '{grain}' AS grain, {span} AS window_start, event_type, source_system, entity_type,
+  count(DISTINCT entity_id) AS unique_entities, count(DISTINCT session_id) AS unique_sessions
+FROM uniq WHERE event_timestamp IS NOT NULL GROUP BY ALL HAVING count(entity_id) + count(session_id) > 0"""
+
+
+DAY = "date_trunc('day', event_timestamp)"
 HOUR = "date_trunc('hour', event_timestamp)"
 CALENDAR = ", event_date, event_hour"
 # Four windows of an hour, a quarter apart, cover each event.
@@ -383,14 +400,17 @@ FROM uniq WHERE event_timestamp IS NOT NULL GROUP BY {HOUR}, event_type, source_
 SELECT event_type, source_system, count(*) AS event_count,
   count(DISTINCT entity_id) AS unique_entities, round(sum(amount_usd), 4) AS total_amount_usd
 FROM uniq GROUP BY event_type, source_system""",
-        "entity_daily_summary": f"""WITH {UNIQUE_EVENTS}
-SELECT entity_id, entity_type, event_date, source_system, count(*) AS total_events,
-  coalesce(string_agg(DISTINCT event_type, ',' ORDER BY event_type), '') AS event_types_seen,
-  round(sum(amount_usd), 4) AS daily_amount_usd, min(event_timestamp) AS first_activity,
-  max(event_timestamp) AS last_activity, {STAMP} AS summary_created_at
-FROM uniq GROUP BY entity_id, entity_type, event_date, source_system""",
+        "entity_daily_summary": _entity_daily(UNIQUE_EVENTS),
         "hourly_counts_stream": f"WITH {STREAM_EVENTS} {_stream_metrics(HOUR, CALENDAR, 'uniq')}",
         "sliding_counts_stream": f"WITH {STREAM_EVENTS} {_stream_metrics(SLIDE, '', SLIDING)}",
+        "hourly_gold_deltas": f"WITH {STREAM_EVENTS} {_estimated(_metrics(HOUR, CALENDAR, 'uniq'))}",
+        "sliding_gold_deltas": f"WITH {STREAM_EVENTS} {_estimated(_metrics(SLIDE, '', SLIDING))}",
+        "entity_gold_deltas": _entity_daily(STREAM_EVENTS),
+        "metrics_by_grain": f"""WITH {UNIQUE_EVENTS} SELECT * EXCLUDE (avg_amount_usd) FROM (
+SELECT * REPLACE (window_start + INTERVAL 1 DAY AS window_end), 'day' AS grain FROM ({_estimated(_metrics(DAY, '', 'uniq'))})
+UNION ALL SELECT *, 'hour' FROM ({_estimated(_metrics(HOUR, '', 'uniq'))})
+UNION ALL SELECT *, 'sliding' FROM ({_estimated(_metrics(SLIDE, '', SLIDING))}))""",
+        "exact_distinct_rollup": f"WITH {STREAM_EVENTS} {_exact('hour', HOUR)} UNION ALL {_exact('day', DAY)}",
         "bp_latest": _BP_LATEST,
         "bp_latest_agg": _BP_LATEST,
         "bp_latest_string_offset": f"""WITH latest AS ({_BP_LATEST})
