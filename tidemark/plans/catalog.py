@@ -6,22 +6,24 @@ maps as text, sums with fixed digits, and a fixed processing time. The operators
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, TimestampType
 
 from tidemark.operators import (
-    changes, dedup, envelope, events, monitor, partners, publish, quality, rollup,
+    changes, contracts, dedup, envelope, events, monitor, partners, publish, quality, rollup, shapes,
 )
 from tidemark.plans import flows, pipelines
 from tidemark.schemas import (
     EVENT_PAYLOAD, EVENT_RULES, EVENT_RULES_CHANGE_TYPES, PARTNER_RULES, PARTNER_RULES_STRICT,
+    avro_schema,
 )
 from tidemark.session import configure, run_dir
 from tidemark.sources import feeds
 from tidemark.sources.readers import read_table_stream, replay
-from tidemark.streaming import aggregates, jobs, latest, rollup as deltas, versions
+from tidemark.streaming import aggregates, jobs, late, latest, rollup as deltas, versions
 from tidemark.streaming.dedup import dedup_stream, with_watermark
 from tidemark.streaming.quality import measure_stream
 
@@ -153,6 +155,12 @@ def raw_parse_flat(spark, sf_dir):
     return _flat(envelope.parse_messages(feeds.event_feed(spark, sf_dir), EVENT_PAYLOAD))
 
 
+def raw_payload_paths(spark, sf_dir):
+    """Paths and kinds of values in the payloads as they came, unreadable ones included."""
+    raw = _events_raw(spark, sf_dir)
+    return shapes.paths(raw, "raw_payload", ["kafka_partition"])
+
+
 def events_parsed(spark, sf_dir):
     return _flat(_events_parsed(spark, sf_dir))
 
@@ -404,6 +412,35 @@ def exact_distinct_rollup(spark, sf_dir):
     return _plain(hours.unionByName(days))
 
 
+# --- late rows ------------------------------------------------------------------------------
+
+LATE_AFTER = "1 DAY"
+
+
+def _split_late(spark, sf_dir):
+    """Three deliveries split into rows in time and late ones, and gold refreshed after each."""
+    out = run_dir(spark, "late")
+
+    def step(raw):
+        late.keep_late(raw, f"{out}/events", f"{out}/checkpoint", LATE_AFTER, transform=lambda batch: (
+            events.add_event_columns(flows.parsed_events(batch), NOW)))
+        late.refresh_windows(spark, f"{out}/events", f"{out}/gold", lambda rows: events.hourly_metrics(rows, now=NOW))
+
+    _deliver_events(spark, sf_dir, out, step)
+    return out
+
+
+def late_rows_kept(spark, sf_dir):
+    out = _split_late(spark, sf_dir)
+    sides = [spark.read.parquet(f"{out}/events/{side}").withColumn("is_late", F.lit(side == "late")) for side in ("kept", "late")]
+    return sides[0].unionByName(sides[1]).select("kafka_offset", "event_id", F.col("event_timestamp").cast("timestamp_ntz"), "is_late")
+
+
+def late_windows_repaired(spark, sf_dir):
+    gold = f"{_split_late(spark, sf_dir)}/gold"
+    return _rounded(versions.read(spark, gold, versions.version(spark, gold)).drop("bucket"))
+
+
 # --- business partners ----------------------------------------------------------------------
 
 def bp_latest(spark, sf_dir):
@@ -494,6 +531,32 @@ def publish_messages(spark, sf_dir):
     return publish.to_messages(publish.publishable(unified))
 
 
+def _renamed(contract: str) -> str:
+    """The contract's next version: a name changed, one field less, an optional and a defaulted one more."""
+    record = json.loads(contract)
+    fields = {f["name"]: f for f in record["fields"]}
+    del fields["vendor_tax_id"]
+    fields["unified_name"] |= {"name": "display_name", "aliases": ["unified_name"]}
+    added = [{"name": "risk_class", "type": ["null", "int"], "default": None}, {"name": "origin", "type": "string", "default": "sap"}]
+    return json.dumps(record | {"fields": [*fields.values(), *added]})
+
+
+def publish_contract_versions(spark, sf_dir):
+    """Messages of one feed, half of them of the contract's next version, as a consumer of that one reads them."""
+    first = contracts.read_contract(avro_schema())
+    text = _renamed(avro_schema())
+    second = contracts.read_contract(text)
+    entities = publish.publishable(partners.unify(_partners_trusted(spark, sf_dir), NOW))
+    even = F.col("bp_number").cast("long") % 2 == 0
+    old = publish.to_messages(entities.where(even)).withColumn("version", F.lit(1))
+    newer = entities.where(~even).withColumnRenamed("unified_name", "display_name").withColumns({
+        "risk_class": F.col("bp_category").cast("int"), "origin": F.lit("crm")})
+    new = publish.to_messages(newer, second.fields).withColumn("version", F.lit(2))
+    feed = run_dir(spark, "contract_versions")
+    old.unionByName(new).write.parquet(feed)
+    return _plain(contracts.read_messages(spark.read.parquet(feed), {1: first, 2: second}, second))
+
+
 def publish_breaches(spark, sf_dir):
     """The records that can't be published, and why."""
     broken = publish.breaches(partners.unify(_partners_trusted(spark, sf_dir), NOW))
@@ -669,17 +732,18 @@ def dq_alerts(spark, sf_dir):
 
 
 QUERIES = (
-    raw_events_stream, raw_replay, raw_replay_table, raw_parse_flat, events_parsed, bp_raw_envelope, bp_parsed,
+    raw_events_stream, raw_replay, raw_replay_table, raw_parse_flat, raw_payload_paths, events_parsed, bp_raw_envelope, bp_parsed,
     events_dedup, trusted_events, trusted_events_basic, amount_fx, amount_fx_table,
     events_dedup_stream, events_dedup_unbounded_stream, trusted_events_stream,
     hourly_event_metrics, hourly_event_metrics_general, sliding_event_metrics,
     sliding_event_metrics_general, sliding_event_metrics_window, hourly_event_metrics_approx,
     event_gold_refresh, hourly_metrics_basic, type_source_metrics,
     entity_daily_summary, hourly_counts_stream, sliding_counts_stream, hourly_gold_deltas,
-    sliding_gold_deltas, entity_gold_deltas, metrics_by_grain, exact_distinct_rollup, bp_latest,
+    sliding_gold_deltas, entity_gold_deltas, metrics_by_grain, exact_distinct_rollup, late_rows_kept,
+    late_windows_repaired, bp_latest,
     bp_latest_agg, bp_latest_string_offset, bp_trusted, bp_latest_stream, bp_latest_folded, bp_gold_incremental, bp_unified,
     bp_unified_pivot, bp_unified_active, bp_entity_json, publish_messages,
-    publish_breaches, publish_changed_messages, events_upsert, events_upsert_stream, bp_upsert,
+    publish_contract_versions, publish_breaches, publish_changed_messages, events_upsert, events_upsert_stream, bp_upsert,
     bp_upsert_touched, bp_change_feed, bp_changes_versions, dq_bp_counts, dq_bp_counts_strict, dq_bp_trusted_counts,
     dq_event_counts, dq_event_counts_change_types, dq_event_trusted_counts,
     dq_event_daily_counts, dq_tagged_rows, dq_valid_country, dq_valid_category,

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from tidemark.plans.catalog import LOG_AS_OF, NOW, PARTNER_SPLIT, RATES, REPLAY, REPLAY_TO
-from tidemark.sources.feeds import PARTNER_PARTS
+from tidemark.plans.catalog import LATE_AFTER, LOG_AS_OF, NOW, PARTNER_SPLIT, RATES, REPLAY, REPLAY_TO
+from tidemark.sources.feeds import EVENT_PARTS, PARTNER_PARTS
 from tidemark.schemas import (
     ALERT_THRESHOLD, EVENT_RULES, EVENT_RULES_CHANGE_TYPES, PARTNER_RULES, PARTNER_RULES_STRICT,
     THROUGHPUT_ROWS, TREND_HOURS,
@@ -411,6 +411,20 @@ SELECT * REPLACE (window_start + INTERVAL 1 DAY AS window_end), 'day' AS grain F
 UNION ALL SELECT *, 'hour' FROM ({_estimated(_metrics(HOUR, '', 'uniq'))})
 UNION ALL SELECT *, 'sliding' FROM ({_estimated(_metrics(SLIDE, '', SLIDING))}))""",
         "exact_distinct_rollup": f"WITH {STREAM_EVENTS} {_exact('hour', HOUR)} UNION ALL {_exact('day', DAY)}",
+        "late_rows_kept": f"""WITH {EVENTS}, parts AS (
+  SELECT *, CASE WHEN late THEN 2 ELSE (kafka_timestamp >= DATE '{EVENT_PARTS[0]}')::INT + (kafka_timestamp >= DATE '{EVENT_PARTS[1]}')::INT
+         + (delivery = 2)::INT END AS part FROM ev
+), marks AS (SELECT p AS part, max(event_timestamp) AS mark FROM range(3) AS r(p) JOIN parts ON parts.part < p GROUP BY p)
+SELECT kafka_offset, event_id, event_timestamp, coalesce(event_timestamp < mark - INTERVAL {LATE_AFTER}, false) AS is_late
+FROM parts LEFT JOIN marks USING (part)""",
+        "late_windows_repaired": f"WITH {_DERIVED} {_metrics(HOUR, CALENDAR, 'derived')}",
+        "raw_payload_paths": f"""WITH {EVENTS}, raw AS (SELECT kafka_partition, {EVENT_TEXT} AS raw_payload FROM ev),
+nodes AS (
+  SELECT kafka_partition, regexp_replace(replace(t.fullkey, '"', ''), '\\[[0-9]+\\]', '[*]', 'g') AS path, t.type FROM raw, json_tree(raw_payload) AS t WHERE json_valid(raw_payload)
+  UNION ALL SELECT kafka_partition, '$', 'UNREADABLE' FROM raw WHERE NOT json_valid(raw_payload)
+)
+SELECT kafka_partition, path, CASE WHEN type IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN 'NUMBER' WHEN type = 'VARCHAR' THEN 'STRING' ELSE type END AS kind, count(*) AS n
+FROM nodes GROUP BY ALL""",
         "bp_latest": _BP_LATEST,
         "bp_latest_agg": _BP_LATEST,
         "bp_latest_string_offset": f"""WITH latest AS ({_BP_LATEST})
@@ -428,6 +442,12 @@ SELECT * FROM unified""",
 SELECT sap_client, bp_number, {_entity_text(ISO_STAMP)} AS entity_json FROM unified""",
         "publish_messages": f"""WITH {UNIFIED}
 SELECT bp_number AS key, {_entity_text(MILLIS_STAMP)} AS value FROM unified WHERE sap_client IS NOT NULL""",
+        "publish_contract_versions": f"""WITH {UNIFIED}
+SELECT sap_client, bp_number, bp_category, unified_name AS display_name, customer_country, customer_region, is_active,
+  created_date_parsed, changed_date_parsed, gold_processed_at,
+  CASE WHEN bp_number::BIGINT % 2 = 1 THEN bp_category::INT END AS risk_class,
+  CASE WHEN bp_number::BIGINT % 2 = 1 THEN 'crm' ELSE 'sap' END AS origin
+FROM unified WHERE sap_client IS NOT NULL""",
         "publish_breaches": f"""WITH {UNIFIED}
 SELECT sap_client, bp_number, 'sap_client' AS missing_fields FROM unified WHERE sap_client IS NULL""",
         "publish_changed_messages": f"""WITH {TRUSTED}, {_unified('unified', 'trusted', True)},

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from contextlib import suppress
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -129,6 +131,23 @@ def read_text(spark: SparkSession, file: str) -> str:
         source.close()
 
 
+_made: dict[str, object] = {}
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one run below the shared folder."""
-    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A fresh folder for one run below the shared folder. Results may read from it until the driver
+    ends; then it is deleted, unless the JVM is gone before."""
+    if not _made:
+        atexit.register(_clean)
+    folder = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    _made[folder] = spark.sparkContext._jsc.hadoopConfiguration()
+    return folder
+
+
+def _clean() -> None:
+    from pyspark import SparkContext
+
+    with suppress(Exception):  # at exit nothing can be done about a store that is out of reach
+        for folder, conf in _made.items():
+            path = SparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
