@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import small_batches, tidy
+from tidemark.llm.order import unused
 from tidemark.llm.texts import batch_bytes, mix
 
 UNKNOWN = "und"
@@ -235,9 +236,10 @@ def predict(docs: DataFrame, model: Model | None, *, text_col: str = "text") ->
 
     text = F.col(text_col).cast("string")
     lettered = text.isNotNull() & F.regexp_like(text, F.lit(LETTER))
-    judged = small_batches(docs).withColumn("_judged", judge(F.when(lettered, text)))
+    [own] = unused(docs, "_judged")
+    judged = small_batches(docs).withColumn(own, judge(F.when(lettered, text)))
     return judged.withColumns({
-        "lang_pred": F.when(lettered, F.col("_judged.lang_pred")).otherwise(UNKNOWN),
-        "score": F.when(lettered, F.col("_judged.score")).otherwise(0.0),
-        "ambiguous": lettered & F.col("_judged.ambiguous"),
-    }).drop("_judged")
+        "lang_pred": F.when(lettered, F.col(f"{own}.lang_pred")).otherwise(UNKNOWN),
+        "score": F.when(lettered, F.col(f"{own}.score")).otherwise(0.0),
+        "ambiguous": lettered & F.col(f"{own}.ambiguous"),
+    }).drop(own)

@@ -12,6 +12,18 @@ from pyspark.sql import functions as F
 from tidemark.llm.graph import written
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them until the frame has no column that is called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def placed(rows: DataFrame, group: str, order: Sequence[str], folder: str) -> DataFrame:
     """`rows` with `place` (0, 1, … by `order` within the group) and `size` (rows of the group) added.
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import small_batches, tidy
+from tidemark.llm.order import unused
 from tidemark.llm.texts import BLOCK, batch_bytes
 
 #: Fixed values of the result's contract: patterns and least lengths of the known forms, in their order.
@@ -210,5 +211,6 @@ def scan_secrets(docs: DataFrame, model: Model | None, *, text_col: str = "text"
         return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], fields=list(_FOUND))
 
     names = [f.name for f in _FOUND]
-    scanned = small_batches(docs).withColumn("_found", scan(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    return scanned.withColumns({name: F.col(f"_found.{name}") for name in names}).drop("_found")
+    [own] = unused(docs, "_found")
+    scanned = small_batches(docs).withColumn(own, scan(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    return scanned.withColumns({name: F.col(f"{own}.{name}") for name in names}).drop(own)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.graph import written
+from tidemark.llm.order import unused
 from tidemark.session import run_dir
 
 STEP = 3  # hexadecimal digits of the key that one round of probes resolves
@@ -86,15 +87,16 @@ def shard_documents(
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lowest = F.lit(-(1 << 63)).cast("long")
+    id_key, key, at = unused(docs.withColumns({c: F.lit(0) for c in ("size", "text_crc32", "law", "shard", "slot")}), "id_key", "key", "at")
     marked = docs.withColumns({
         "size": F.octet_length(text).cast("long") + overhead, "text_crc32": F.crc32(text.cast("binary")), "law": F.lit("bytes"),
-        "_id": F.coalesce(F.col(id_col).cast("long"), lowest).bitwiseXOR(lowest),
+        id_key: F.coalesce(F.col(id_col).cast("long"), lowest).bitwiseXOR(lowest),
     })
-    keyed = marked.withColumn("key", F.concat(F.lpad(F.hex("text_crc32"), 8, "0"), F.lpad(F.hex("_id"), 16, "0"))).drop("_id")
-    keys = written(keyed.select("key", "size"), f"{run_dir(spark, 'shards')}/keys")
+    keyed = marked.withColumn(key, F.concat(F.lpad(F.hex("text_crc32"), 8, "0"), F.lpad(F.hex(id_key), 16, "0"))).drop(id_key)
+    keys = written(keyed.select(F.col(key).alias("key"), "size"), f"{run_dir(spark, 'shards')}/keys")
     found = histogram(keys, shards, tolerance=tolerance, ranges=ranges)
     if not found.prefixes:
-        return keyed.drop("key").withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
+        return keyed.drop(key).withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
     shard = assign(found, shards)
     before = np.cumsum(found.rows) - found.rows
     base = before - before[np.searchsorted(shard, shard)]  # rows of the same shard in ranges before
@@ -105,8 +107,8 @@ def shard_documents(
         at = np.searchsorted(prefixes, key.to_numpy().astype(f"S{KEY}"), "right") - 1
         return pd.DataFrame({"range": at, "shard": shard[at], "base": base[at]})
 
-    order = F.row_number().over(Window.partitionBy("_at.range").orderBy("key"))
+    order = F.row_number().over(Window.partitionBy(f"{at}.range").orderBy(key))
     return (
-        keyed.withColumn("_at", place("key"))
-        .withColumns({"shard": F.col("_at.shard"), "slot": F.col("_at.base") + order - 1}).drop("_at", "key")
+        keyed.withColumn(at, place(key))
+        .withColumns({"shard": F.col(f"{at}.shard"), "slot": F.col(f"{at}.base") + order - 1}).drop(at, key)
     )

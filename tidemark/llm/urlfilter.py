@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.order import unused
+
 MAX_RULES = 100_000
 
 
@@ -127,8 +129,9 @@ def judge_urls(
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
     parts = r"^.*?://([^/?#]*)([^?#]*)"
     host = F.translate(F.regexp_extract(url, "(?s)" + parts, 1), string.ascii_uppercase, string.ascii_lowercase)
+    [judged] = unused(pages, "judged")
     return (
         pages.withColumns({"host": host, "path": F.regexp_extract(url, "(?s)" + parts, 2)})
-        .withColumn("judged", judge("host", "path"))
-        .withColumns({"rule": F.col("judged.rule"), "verdict": F.col("judged.verdict")}).drop("judged")
+        .withColumn(judged, judge("host", "path"))
+        .withColumns({"rule": F.col(f"{judged}.rule"), "verdict": F.col(f"{judged}.verdict")}).drop(judged)
     )
