@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, TimestampType
 
 from tidemark.operators import (
-    changes, contracts, dedup, envelope, events, monitor, partners, publish, quality, rollup, shapes,
+    changes, contracts, dedup, envelope, events, layout, monitor, partners, publish, quality, rollup, shapes,
 )
 from tidemark.plans import flows, pipelines
 from tidemark.schemas import (
@@ -93,6 +93,11 @@ def _log(spark, sf_dir):
     return feeds.quality_log(_events_parsed(spark, sf_dir), _partners_parsed(spark, sf_dir))
 
 
+def _table_name(folder: str) -> str:
+    """A name in the catalog for a table of one run."""
+    return folder.rsplit("/", 1)[-1].replace("-", "_")
+
+
 # --- result forms ---------------------------------------------------------------------------
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -151,6 +156,14 @@ def raw_replay_table(spark, sf_dir):
     return _plain(raw.drop("ingest_date").withColumn("ingested_at", F.lit(NOW).cast("timestamp")))
 
 
+def raw_replay_clustered(spark, sf_dir):
+    """The same ranges on a raw layer in files by partition and offset, of which few are opened."""
+    path = f"{run_dir(spark, 'raw_clustered')}/raw"
+    layout.write_clustered(_events_raw(spark, sf_dir), path, dedup.POSITION, files=64)
+    ranges = spark.createDataFrame(REPLAY, "p int, a bigint, b bigint")
+    return _plain(replay(layout.read_clustered(spark, path, layout.replay_ranges(ranges)), ranges, block=4096))
+
+
 def raw_parse_flat(spark, sf_dir):
     return _flat(envelope.parse_messages(feeds.event_feed(spark, sf_dir), EVENT_PAYLOAD))
 
@@ -521,6 +534,16 @@ def bp_gold_incremental(spark, sf_dir):
     return _plain(pipelines.read_partners(spark, layers).select(*ENTITY_COLUMNS))
 
 
+def bp_unified_buckets(spark, sf_dir):
+    """The entities out of a trusted table in buckets of the partner, whose branches join as they lie."""
+    out = run_dir(spark, "bp_buckets")
+    table = _table_name(out)
+    layout.write_buckets(
+        _partners_trusted(spark, sf_dir), table, f"{out}/trusted", partners.PARTNER, dedup.PARTNER_ORDER, 16, ["source_table"]
+    )
+    return _plain(layout.unify_buckets(spark, table, NOW).select(*ENTITY_COLUMNS))
+
+
 def bp_entity_json(spark, sf_dir):
     unified = partners.unify(_partners_trusted(spark, sf_dir), NOW)
     return partners.entity_json(unified).select("sap_client", "bp_number", "entity_json")
@@ -613,6 +636,26 @@ def bp_upsert_touched(spark, sf_dir):
     ))
 
 
+def bp_upsert_buckets(spark, sf_dir):
+    """The same on a table in buckets of the partner, which the updates are dealt to."""
+    out = run_dir(spark, "bp_upsert_buckets")
+    stored, updates = _partner_sides(spark, sf_dir)
+    table, order = _table_name(out), dedup.PARTNER_ORDER
+    layout.write_buckets(stored, table, f"{out}/target", partners.PARTNER, order, 16, SOURCE_KEYS[2:])
+    return _plain(layout.upsert_buckets(spark, table, updates, partners.PARTNER, SOURCE_KEYS, order, 16))
+
+
+def bp_upsert_clustered(spark, sf_dir):
+    """The same on a table in files by partner, of which those without an update stay as they are."""
+    out = run_dir(spark, "bp_upsert_clustered")
+    stored, updates = _partner_sides(spark, sf_dir)
+    layout.write_clustered(stored, f"{out}/target", ["bp_number"], 64, SOURCE_KEYS)
+    merged, others = layout.upsert_clustered(
+        spark, f"{out}/target", updates, ["bp_number"], SOURCE_KEYS, dedup.PARTNER_ORDER
+    )
+    return _plain(merged.unionByName(others))
+
+
 def events_upsert_stream(spark, sf_dir):
     out = run_dir(spark, "events_upsert")
     target, _ = _event_sides(spark, sf_dir)
@@ -744,7 +787,7 @@ QUERIES = (
     bp_latest_agg, bp_latest_string_offset, bp_trusted, bp_latest_stream, bp_latest_folded, bp_gold_incremental, bp_unified,
     bp_unified_pivot, bp_unified_active, bp_entity_json, publish_messages,
     publish_contract_versions, publish_breaches, publish_changed_messages, events_upsert, events_upsert_stream, bp_upsert,
-    bp_upsert_touched, bp_change_feed, bp_changes_versions, dq_bp_counts, dq_bp_counts_strict, dq_bp_trusted_counts,
+    bp_upsert_touched, bp_upsert_buckets, bp_upsert_clustered, bp_unified_buckets, raw_replay_clustered, bp_change_feed, bp_changes_versions, dq_bp_counts, dq_bp_counts_strict, dq_bp_trusted_counts,
     dq_event_counts, dq_event_counts_change_types, dq_event_trusted_counts,
     dq_event_daily_counts, dq_tagged_rows, dq_valid_country, dq_valid_category,
     dq_event_counts_stream, dq_summary, dq_failure_trend, flow_throughput, dq_alerts,

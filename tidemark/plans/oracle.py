@@ -351,6 +351,8 @@ def oracle_sql() -> dict[str, str]:
         "raw_events_stream": f"""WITH {EVENTS}
 SELECT {EVENT_POSITION}, {EVENT_TEXT} AS raw_payload FROM ev""",
         "raw_replay": f"""WITH {EVENTS}
+SELECT {EVENT_POSITION}, {EVENT_TEXT} AS raw_payload FROM ev WHERE {_REPLAYED}""",
+        "raw_replay_clustered": f"""WITH {EVENTS}
 SELECT {EVENT_POSITION}, {EVENT_TEXT} AS raw_payload FROM ev WHERE {_REPLAYED}""",
         "raw_replay_table": f"""WITH {EVENTS}
 SELECT {EVENT_POSITION}, {EVENT_TEXT} AS raw_payload FROM ev
@@ -436,6 +438,7 @@ SELECT * REPLACE (CAST(kafka_offset AS VARCHAR) AS kafka_offset) FROM latest""",
 {_unified('unified', 'trusted', order=TIMES)} SELECT * FROM unified""",
         "bp_unified": f"WITH {UNIFIED} SELECT * FROM unified",
         "bp_unified_pivot": f"WITH {UNIFIED} SELECT * FROM unified",
+        "bp_unified_buckets": f"WITH {UNIFIED} SELECT * FROM unified",
         "bp_unified_active": f"""WITH {TRUSTED}, {_unified('unified', 'trusted', True)}
 SELECT * FROM unified""",
         "bp_entity_json": f"""WITH {UNIFIED}
@@ -463,6 +466,8 @@ WHERE bp_number NOT IN (SELECT bp_number FROM unified)""",
         "events_upsert_stream": _EVENTS_UPSERT,
         "bp_upsert": _BP_UPSERT,
         "bp_upsert_touched": _BP_UPSERT,
+        "bp_upsert_buckets": _BP_UPSERT,
+        "bp_upsert_clustered": _BP_UPSERT,
         "bp_change_feed": _CHANGES,
         "bp_changes_versions": _CHANGES_VERSIONS,
         "dq_bp_counts": f"WITH {PARTNERS} {_measured(PARTNER_RULES, 'bp')}",
