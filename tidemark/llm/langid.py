@@ -55,8 +55,8 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     return best
 
 
-def _grams(raw: np.ndarray) -> np.ndarray:
-    """The bucket of every n-gram of folded bytes."""
+def _grams(raw: np.ndarray, known: int = 0) -> np.ndarray:
+    """The bucket of every n-gram of folded bytes that doesn't end among the first `known` ones."""
     out = []
     value = np.zeros(len(raw), np.uint64)
     for order in range(1, max(ORDERS) + 1):
@@ -64,20 +64,35 @@ def _grams(raw: np.ndarray) -> np.ndarray:
             break
         value = (value[: len(raw) - order + 1] << np.uint64(8)) | raw[order - 1 :]
         if order in ORDERS:
-            bucket = mix(value + np.uint64(order << 40)) >> np.uint64(64 - HASH_BITS)
+            fresh = value[max(known - order + 1, 0) :]
+            bucket = mix(fresh + np.uint64(order << 40)) >> np.uint64(64 - HASH_BITS)
             out.append(bucket.astype(np.int32))
     return np.concatenate(out) if out else np.empty(0, np.int32)
 
 
-def _pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, folded bytes): every row in pieces of at most PIECE bytes, single gaps between words."""
+def _pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, int]]:
+    """(row, folded bytes, how many of them are known): every row that isn't all gaps, with one gap between words,
+    before the first and after the last.
+
+    A long row comes in pieces of about PIECE bytes. Each begins with the last bytes of the one before, so
+    the n-grams of all pieces are those of the whole text, none lost and none made up at a cut.
+    """
     raw, at = batch_bytes(column)
+    gap = np.full(1, 32, np.uint8)
     for row in range(len(at) - 1):
-        for low in range(int(at[row]), int(at[row + 1]), PIECE):
-            folded = _FOLD[raw[low : min(low + PIECE, int(at[row + 1]))]]
-            folded = np.concatenate(([np.uint8(32)], folded, [np.uint8(32)]))
-            gap = folded == 32
-            yield row, folded[np.concatenate(([True], ~(gap[1:] & gap[:-1])))]
+        seen, waiting, end = gap[:0], gap, int(at[row + 1])
+        for low in range(int(at[row]), end, PIECE):
+            high = min(low + PIECE, end)
+            new = np.concatenate((waiting, _FOLD[raw[low:high]], gap if high == end else gap[:0]))
+            after = np.concatenate((seen[-1:] == 32, new[:-1] == 32)) if len(seen) else np.concatenate(([False], new[:-1] == 32))
+            new = new[~(after & (new == 32))]
+            if not len(seen) and len(new) == 1:
+                continue  # nothing but the first gap so far
+            waiting = gap[:0]
+            if len(new):
+                whole = np.concatenate((seen, new))
+                yield row, whole, len(seen)
+                seen = whole[1 - max(ORDERS) :]
 
 
 def _count(languages: list[str]):
@@ -87,9 +102,8 @@ def _count(languages: list[str]):
         counts = np.zeros((len(languages), 1 << HASH_BITS), np.int64)
         for batch in batches:
             names = batch.column(1).to_pylist()
-            for row, raw in _pieces(batch.column(0)):
-                if (raw != 32).any():
-                    counts[known[names[row]]] += np.bincount(_grams(raw), minlength=1 << HASH_BITS)
+            for row, raw, seen in _pieces(batch.column(0)):
+                counts[known[names[row]]] += np.bincount(_grams(raw, seen), minlength=1 << HASH_BITS)
         lang, bucket = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(lang.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(counts[lang, bucket])],
@@ -102,11 +116,10 @@ def _count(languages: list[str]):
 def _margins(column: pa.Array, weights: np.ndarray) -> np.ndarray:
     """Log-ratio sums per row and bit over the square root of the n-grams; nan where a row has no gram."""
     total, n = np.zeros((len(column), weights.shape[1])), np.zeros(len(column))
-    for row, raw in _pieces(column):
-        if (raw != 32).any():
-            grams = _grams(raw)
-            total[row] += weights[grams].sum(0, dtype=np.float64)
-            n[row] += len(grams)
+    for row, raw, seen in _pieces(column):
+        grams = _grams(raw, seen)
+        total[row] += weights[grams].sum(0, dtype=np.float64)
+        n[row] += len(grams)
     with np.errstate(invalid="ignore", divide="ignore"):
         return total / np.sqrt(n)[:, None]
 
@@ -157,7 +170,8 @@ def fit(rows: DataFrame, *, text_col: str = "text", lang_col: str = "lang", key_
 
     About `sample` rows, chosen by a hash of `key_col`, are read (all where there are fewer): four fifths for
     the n-grams, the rest for the scale and trust of the bits. Counts are summed over tasks, so the
-    driver sees at most 2**HASH_BITS numbers a language, and a dozen a bit.
+    driver sees at most 2**HASH_BITS numbers a language, and a dozen a bit. More than MAX_LANGUAGES labels raise
+    a ValueError, as that bounds the model that is broadcast to 2**HASH_BITS times 87 numbers of 4 bytes.
     """
     rows = small_batches(rows).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     found = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGUAGES + 1).collect()
@@ -219,7 +233,7 @@ def predict(docs: DataFrame, model: Model | None, *, text_col: str = "text") ->
     as near. Only the text counts, all of it, piece by piece. Repeated rows are each predicted, other
     columns stay as they are, an empty table stays empty.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGUAGES codewords
+    held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_LANGUAGES, see fit
 
     @F.arrow_udf("lang_pred string, score double, ambiguous boolean")
     def judge(text: pa.Array) -> pa.Array:
