@@ -29,6 +29,8 @@ KINDS = ("assign", "access", "hex", "markov")
 
 HINTS = ("password", "passwd", "secret", "token", "api")
 RUN = 20  # characters of the shortest run the models judge
+BACKOFF = 0.1  # share of the ordinary model that knows kinds of characters alone
+NAMED = 5  # words of an identifier that the ordinary model is trained on
 DIFFERENT = 8  # different characters in it at least: rulers and padding aren't secrets
 _RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{RUN},}}", re.A)
 _WORD = re.compile(r"[A-Za-z0-9_-]+", re.A)
@@ -79,6 +81,17 @@ class Model:
         return float(self.first[code[0]] + self.then[code[:-1], code[1:]].sum()) / len(code)
 
 
+def identifiers(words: list[str]) -> list[str]:
+    """Words as they stand in programs and paths: runs of NAMED of them in every style of joining."""
+    out = []
+    for at in range(0, len(words), NAMED):
+        run = [w.lower() for w in words[at : at + NAMED]]
+        high = [w[:1].upper() + w[1:] for w in run]
+        snake = "_".join(run)
+        out += ["".join(high), run[0] + "".join(high[1:]), snake, snake.upper(), "-".join(run), "/".join(run), "".join(run)]
+    return out
+
+
 def _train_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bigram counts of labelled strings: 1 what the known forms hold, 0 the words outside of them."""
     n = len(ALPHABET) + 1  # the last stands for a string's begin
@@ -98,7 +111,8 @@ def _train_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 at = max(at, high)
             rest.append(text[at:])
             words = [w for w in _WORD.findall(" ".join(rest)) if len(w) < RUN]  # a longer one has no label
-            for label, strings in ((1, held), (0, words)):
+            letters = [w for w in words if w.isalpha()]
+            for label, strings in ((1, held), (0, words + identifiers(letters))):
                 raw = np.frombuffer("\n".join(["", *strings]).encode("ascii", "replace"), np.uint8)
                 code = np.where(raw == 10, n - 1, _CODE[np.minimum(raw, 127)])
                 pair = (code[:-1] >= 0) & (code[1:] >= 0) & (code[1:] < n - 1)
@@ -109,11 +123,23 @@ def _train_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     )
 
 
-def fit(docs: DataFrame, *, text_col: str = "text", key_col: str = "doc_id", sample: int = 20_000, margin: float = 1.5) -> Model:
+def _backed_off(counts: np.ndarray) -> np.ndarray:
+    """Shares of the next character, which leave BACKOFF to any one of its kind as often as that kind comes after
+    this one's: letter pairs of names the sample lacks aren't taken for random."""
+    kind = np.array([0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit() else 3 for c in ALPHABET] + [4])
+    member = (kind[:, None] == np.arange(5)).astype(float)
+    kinds = member.T @ counts @ member[:-1, :4] + 1
+    like = member @ (kinds / kinds.sum(1, keepdims=True)) @ (member[:-1, :4] / member[:, :4].sum(0)).T
+    seen = counts + 0.05
+    return (1 - BACKOFF) * seen / seen.sum(1, keepdims=True) + BACKOFF * like
+
+
+def fit(docs: DataFrame, *, text_col: str = "text", key_col: str = "doc_id", sample: int = 20_000, margin: float = 0.75) -> Model:
     """Learn both models from about `sample` rows, chosen by a hash of `key_col` (all where there are fewer).
 
-    Labelled strings are those the known forms hold (random) and the words of fewer than RUN characters
-    outside of them (ordinary).
+    Labelled strings are those the known forms hold (random), and the words of fewer than RUN characters
+    outside of them, alone and joined to identifiers in every usual style (ordinary), backed off to kinds of
+    characters.
     A thousand uniform characters are added to the random ones, so a corpus without secrets gives a model too.
     Counts are summed over tasks; the driver sees two tables of 68 by 68 numbers.
     """
@@ -128,7 +154,7 @@ def fit(docs: DataFrame, *, text_col: str = "text", key_col: str = "doc_id", sam
     counts = np.zeros((2, n + 1, n + 1))
     counts[found["label"].to_numpy(), found["a"].to_numpy(), found["b"].to_numpy()] = found["n"].to_numpy()
     counts = counts[:, :, :n]
-    counts[0] += 0.05
+    counts[0] = _backed_off(counts[0])
     counts[1] = 0.5 * counts[1] / max(counts[1].sum(), 1) * 1000 + 0.5 * 1000 / (n + 1) / n  # half seen, half uniform
     logs = np.log(counts / counts.sum(2, keepdims=True))
     ratio = logs[1] - logs[0]
