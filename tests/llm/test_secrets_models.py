@@ -54,7 +54,7 @@ def test_random_strings_are_found(model, kind, length):
 
 def test_a_model_without_any_sample(spark):
     empty = secrets.fit(spark.createDataFrame([], "doc_id long, text string"))
-    assert empty.ratio("Zq9xLk2vTb7RwY4sHn8P") > empty.ratio("getuseraccountbalance")
+    assert not called("getUserAccountBalanceHistory", empty) and not called("Zq9xLk2vTb7RwY4sHn8P", empty)
 
 
 @pytest.mark.parametrize("shift", [-40, -20, -1, 0, 1, 20])

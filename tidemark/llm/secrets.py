@@ -140,7 +140,8 @@ def fit(docs: DataFrame, *, text_col: str = "text", key_col: str = "doc_id", sam
     Labelled strings are those the known forms hold (random), and the words of fewer than RUN characters
     outside of them, alone and joined to identifiers in every usual style (ordinary), backed off to kinds of
     characters.
-    A thousand uniform characters are added to the random ones, so a corpus without secrets gives a model too.
+    A thousand uniform characters are added to the random ones, so a corpus without secrets gives a model too;
+    without any text nothing is called random.
     Counts are summed over tasks; the driver sees two tables of 68 by 68 numbers.
     """
     rows = small_batches(docs).where(F.col(text_col).isNotNull())
