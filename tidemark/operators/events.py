@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -82,7 +83,7 @@ def hourly_metrics(
     """
     if slide and not approx:
         size, step = _seconds(window), _seconds(slide)
-        if size and step and size % step == 0:
+        if size and step and size >= step:
             return _sliding_metrics(trusted, size, step, unique_ids).withColumn(
                 "gold_processed_at", moment(now)
             )
@@ -111,16 +112,26 @@ def _seconds(duration: str) -> int | None:
 
 
 def _sliding_metrics(trusted: DataFrame, size: int, step: int, unique_ids: bool) -> DataFrame:
-    """Exact metrics of windows that are whole multiples of their slide.
+    """Exact metrics of windows at least as long as their slide.
 
     Copying each event into every window it falls in, once per distinct count, would shuffle
-    windows x counts rows per event. Instead rows are added up per pane (one slide long), with a
-    line for the pane itself and one for each distinct value in it. A value counts in the windows
-    its pane belongs to, less those that the value's previous pane already counted in, so the
-    distinct counts of overlapping windows become plain sums that combine before the last shuffle.
+    windows x counts rows per event. Instead rows are added up per pane (one slide long, or the
+    longest stretch that divides both window and slide), with a line for the pane itself and one
+    for each distinct value in it. A value counts in the windows its pane belongs to, less those
+    that the value's previous pane already counted in, so the distinct counts of overlapping
+    windows become plain sums that combine before the last shuffle.
     """
     back = F.expr(f"INTERVAL {size - step} SECONDS")
     one = F.expr(f"INTERVAL {step} SECONDS")
+    length = gcd(size, step)
+
+    def begin(time: Column) -> Column:
+        """The last begin of a window at or before a pane's time."""
+        if length == step:
+            return time
+        over = F.pmod(F.unix_seconds(time.cast("timestamp")), F.lit(step)).cast("decimal(18, 6)")
+        return time - F.make_dt_interval(secs=over)
+
     counted = {"entity": "entity_id", "session": "session_id"}
     if not unique_ids:
         counted["id"] = "event_id"
@@ -132,7 +143,7 @@ def _sliding_metrics(trusted: DataFrame, size: int, step: int, unique_ids: bool)
     of_pane = F.col("kind") == "pane"
     amount = F.when(of_pane, F.col("amount_usd"))
     seen = F.when(of_pane, F.col("event_timestamp"))
-    pane = F.window("event_timestamp", f"{step} seconds").start.alias("pane")
+    pane = F.window("event_timestamp", f"{length} seconds").start.alias("pane")
     panes = (
         trusted.select(
             pane, *DIMENSIONS, "event_id", "event_timestamp", "amount_usd",
@@ -149,26 +160,43 @@ def _sliding_metrics(trusted: DataFrame, size: int, step: int, unique_ids: bool)
             F.max(seen).alias("last"),
         )
     )
-    previous = F.lag("pane").over(Window.partitionBy("kind", "value", *DIMENSIONS).orderBy("pane"))
-    earliest = F.greatest(F.col("pane") - back, F.col("counted_up_to") + one)
-    windows = panes.withColumn("counted_up_to", F.when(~of_pane, previous)).withColumn(
-        "window_start", F.explode(F.sequence(earliest, "pane", one))
-    )
     ids = F.sum(F.when(of_pane, F.col("ids"))) if unique_ids else F.count_if(F.col("kind") == "id")
-    return (
-        windows.groupBy("window_start", *DIMENSIONS)
-        .agg(
-            F.sum(F.when(of_pane, F.col("events"))).alias("event_count"),
-            ids.alias("unique_events"),
-            F.count_if(F.col("kind") == "entity").alias("unique_entities"),
-            F.count_if(F.col("kind") == "session").alias("unique_sessions"),
-            F.sum("amount").alias("total_amount_usd"),
-            (F.sum("amount") / F.nullif(F.sum(F.when(of_pane, F.col("amounts"))), F.lit(0)))
-            .alias("avg_amount_usd"),
-            F.min("first").alias("first_event_at"),
-            F.max("last").alias("last_event_at"),
+    added = {
+        "event_count": F.sum(F.when(of_pane, F.col("events"))),
+        "unique_events": ids,
+        "unique_entities": F.count_if(F.col("kind") == "entity"),
+        "unique_sessions": F.count_if(F.col("kind") == "session"),
+        "total_amount_usd": F.sum("amount"),
+        "_amounts": F.sum(F.when(of_pane, F.col("amounts"))),
+        "first_event_at": F.min("first"),
+        "last_event_at": F.max("last"),
+    }
+    added = [total.alias(name) for name, total in added.items()]
+    if size == step:  # windows that don't overlap: each is one pane, and no value counts in two
+        windows = panes.groupBy(F.col("pane").alias("window_start"), *DIMENSIONS).agg(*added)
+    else:
+        previous = F.lag("pane").over(Window.partitionBy("kind", "value", *DIMENSIONS).orderBy("pane"))
+        spans = panes.withColumn("counted_up_to", begin(F.when(~of_pane, previous))).withColumns({
+            "earliest": F.greatest(begin(F.col("pane") - back), F.col("counted_up_to") + one),
+            "latest": begin(F.col("pane")),
+        })
+        # Lines of the same stretch of windows are added up before they are copied into each window.
+        stretches = spans.where("earliest <= latest").groupBy("earliest", "latest", *DIMENSIONS).agg(*added)
+        windows = (
+            stretches.withColumn("window_start", F.explode(F.sequence("earliest", "latest", one)))
+            .groupBy("window_start", *DIMENSIONS)
+            .agg(
+                *[F.sum(c).alias(c) for c in (
+                    "event_count", "unique_events", "unique_entities", "unique_sessions", "total_amount_usd", "_amounts")],
+                F.min("first_event_at").alias("first_event_at"),
+                F.max("last_event_at").alias("last_event_at"),
+            )
         )
-        .withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {size} SECONDS"))
+    average = F.col("total_amount_usd") / F.nullif(F.col("_amounts"), F.lit(0))
+    return windows.select(
+        "window_start", *DIMENSIONS, "event_count", "unique_events", "unique_entities", "unique_sessions",
+        "total_amount_usd", average.alias("avg_amount_usd"), "first_event_at", "last_event_at",
+        (F.col("window_start") + F.expr(f"INTERVAL {size} SECONDS")).alias("window_end"),
     )
 
 
