@@ -18,6 +18,19 @@ from tidemark.streaming import jobs, latest, versions
 SMALL = driver.SMALL
 
 
+def test_conditions_on_a_payload_do_not_parse_it_again(spark, plan):
+    raw = spark.createDataFrame([(1, '{"bp_number": "7", "source_table": "KNA1"}'), (2, None), (3, "{bad")], "k int, raw_payload string")
+    parsed = envelope.parse_payload(raw, PARTNER_PAYLOAD, ("k",))
+    some = parsed.where("source_table = 'KNA1' AND bp_number IS NOT NULL AND full_name IS NULL")
+    assert plan(some).count("from_json") == 1
+    assert [r.k for r in some.collect()] == [1] and parsed.where("bp_number IS NULL").count() == 2
+
+
+@pytest.mark.parametrize("name", ["bp_unified"])
+def test_branches_read_a_table_that_is_made_once(spark, plan, name):
+    assert "from_json" not in plan(catalog.queries()[name](spark, SMALL))
+
+
 @pytest.mark.parametrize("minutes, slide", [(50, 15), (7, 3), (60, 15), (20, 20), (45, 30)])
 def test_windows_of_any_length_are_made_of_panes(spark, plan, minutes, slide):
     rnd = random.Random(minutes)

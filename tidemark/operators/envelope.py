@@ -41,11 +41,11 @@ def parse_payload(
 ) -> DataFrame:
     """The JSON payload as typed columns after the kept ones.
 
-    The text is parsed once per row. Malformed text gives a row of NULLs, which stays in the
-    data and is counted by the rules.
+    The text is parsed once per row: conditions on its columns stay above the generator, where as
+    conditions on a struct they would move below it and parse the text again, each for itself.
+    Malformed text gives a row of NULLs, which stays in the data and is counted by the rules.
     """
-    parsed = raw.select(*keep, F.from_json(payload, schema).alias("_payload"))
-    return parsed.select(*keep, "_payload.*")
+    return raw.select(*keep, F.inline(F.array(F.from_json(payload, schema))))
 
 
 def parse_messages(messages: DataFrame, schema: str) -> DataFrame:

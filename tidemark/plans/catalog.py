@@ -506,7 +506,10 @@ def bp_latest_folded(spark, sf_dir):
 
 
 def bp_unified(spark, sf_dir):
-    unified = partners.unify(_partners_trusted(spark, sf_dir), NOW, how="join")
+    """By joins: each source is a branch of its own over the trusted table, which is written once."""
+    path = f"{run_dir(spark, 'bp_unified')}/trusted"
+    _partners_trusted(spark, sf_dir).write.parquet(path)
+    unified = partners.unify(spark.read.parquet(path), NOW, how="join")
     return _plain(unified.select(*ENTITY_COLUMNS))
 
 
