@@ -406,7 +406,8 @@ def entity_gold_deltas(spark, sf_dir):
 def metrics_by_grain(spark, sf_dir):
     """Hours, sliding windows and days out of one table of states, which is made in one scan of the events."""
     out = run_dir(spark, "grains")
-    trusted = _events_trusted(spark, sf_dir)
+    _events_trusted(spark, sf_dir).write.parquet(f"{out}/trusted")
+    trusted = spark.read.parquet(f"{out}/trusted")
     rollup.pane_states(trusted).write.parquet(f"{out}/panes")
     states = spark.read.parquet(f"{out}/panes")
     grains = {"day": (86400, 86400), "hour": (3600, 3600), "sliding": (3600, 900)}
