@@ -26,6 +26,11 @@ def test_conditions_on_a_payload_do_not_parse_it_again(spark, plan):
     assert [r.k for r in some.collect()] == [1] and parsed.where("bp_number IS NULL").count() == 2
 
 
+def test_event_messages_are_made_after_the_rows_are_dealt_out(spark, plan):
+    text = plan(feeds.event_feed(spark, SMALL))
+    assert text.index("StructsToJson") < text.index("REPARTITION_BY_COL") < text.index("Scan parquet")  # the last step comes first
+
+
 @pytest.mark.parametrize("name", ["bp_unified", "metrics_by_grain"])
 def test_branches_read_a_table_that_is_made_once(spark, plan, name):
     assert "from_json" not in plan(catalog.queries()[name](spark, SMALL))

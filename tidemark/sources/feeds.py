@@ -71,6 +71,9 @@ def event_messages(events: DataFrame) -> DataFrame:
     delivered = events.withColumn("part", _part("ts", EVENT_PARTS)).withColumn(
         "delivery", F.explode(deliveries)
     )
+    # Compressed files hold many events a megabyte in few row groups, so the tasks that read them are too few for
+    # the JSON of their events; the narrow rows are dealt out before it is made.
+    delivered = delivered.repartition("event_id", "delivery", "ts")
     again = F.col("delivery") == RESTAMPED
     delivered = delivered.withColumns({
         "partition": (F.col("user_id") % 4).cast("int"),

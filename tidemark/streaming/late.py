@@ -87,17 +87,21 @@ def refresh_windows(
         return None
     fresh = _windows(_both(spark, path, new), time, window)
     bucket = lambda c: F.pmod(F.xxhash64(F.to_date(c)), F.lit(BUCKETS)).cast("int")
-    windows = fresh.where("_window IS NOT NULL").select("_window").distinct()
-    days = [r[0] for r in windows.select(F.to_date("_window")).distinct().collect()]  # as many as the days touched
-    touched = sorted(r[0] for r in windows.select(bucket("_window")).distinct().collect())
-    rows = _both(spark, path)
-    if days:
-        # Time bounds that reach the scan; the exact windows follow by the join.
-        rows = rows.where((F.col(time) >= F.lit(min(days))) & (F.col(time) < F.date_add(F.lit(max(days)), 2)))
-    again = _windows(rows, time, window).join(windows, "_window", "left_semi").drop("_window")
-    made = metrics(again).withColumn("bucket", bucket(start))
-    kept = versions.read(spark, gold, base, touched, made.schema).join(
-        windows.select(F.col("_window").alias(start)), start, "left_anti")
-    at = versions.commit(kept.select(*made.columns).unionByName(made), gold, base, BUCKETS, touched, {"batch": new[-1]})
+    # Used four times; kept, they are found in one scan, and the joins know how few they are.
+    windows = fresh.where("_window IS NOT NULL").select("_window").distinct().persist()
+    try:
+        found = windows.select(F.to_date("_window").alias("day"), bucket("_window").alias("bucket")).distinct().collect()
+        days, touched = [r.day for r in found], sorted({r.bucket for r in found})  # as many as the days touched
+        rows = _both(spark, path)
+        if days:
+            # Time bounds that reach the scan; the exact windows follow by the join.
+            rows = rows.where((F.col(time) >= F.lit(min(days))) & (F.col(time) < F.date_add(F.lit(max(days)), 2)))
+        again = _windows(rows, time, window).join(windows, "_window", "left_semi").drop("_window")
+        made = metrics(again).withColumn("bucket", bucket(start))
+        kept = versions.read(spark, gold, base, touched, made.schema).join(
+            windows.select(F.col("_window").alias(start)), start, "left_anti")
+        at = versions.commit(kept.select(*made.columns).unionByName(made), gold, base, BUCKETS, touched, {"batch": new[-1]})
+    finally:
+        windows.unpersist()
     versions.vacuum(spark, gold)
     return at
