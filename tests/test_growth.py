@@ -57,3 +57,26 @@ def test_windows_of_any_length_are_made_of_panes(spark, plan, minutes, slide):
         F.max("event_timestamp").alias("last_event_at"),
     ).withColumns({"window_start": F.col("w.start"), "window_end": F.col("w.end")})
     assert sorted(map(tuple, got.select(names).collect()), key=str) == sorted(map(tuple, want.select(names).collect()), key=str)
+
+
+def test_a_merge_knows_its_changes_without_comparing_versions(spark, folder, monkeypatch):
+    def put(batch, rows):
+        spark.createDataFrame(rows, "k int, t int, v string").write.parquet(jobs.batch_folder(f"{folder}/in", batch))
+
+    def merge():
+        return latest.merge_batches(spark, f"{folder}/in", f"{folder}/out", ["k"], ["t"], ["k"], buckets=2)
+
+    def compared(*_, **__):
+        raise AssertionError("versions were compared")
+
+    monkeypatch.setattr(versions, "change_feed", compared)
+    put(0, [(1, 1, "a"), (2, 1, "a"), (3, 5, "a"), (None, 1, "n")])
+    merge()
+    put(1, [(1, 2, "b"), (2, 1, "a"), (3, 4, "late"), (4, 1, "c"), (None, 1, "n"), (None, 2, "m")])
+    merge()
+    fed = versions.read_changes(spark, f"{folder}/out", 1).drop(versions.VERSION)
+    assert sorted(map(tuple, fed.collect()), key=str) == sorted([
+        ("update_pre", 1, 1, "a"), ("update_post", 1, 2, "b"), ("insert", 4, 1, "c"), ("insert", None, 2, "m")], key=str)
+    newest = versions.read(spark, f"{folder}/out", versions.version(spark, f"{folder}/out")).drop("bucket")
+    assert sorted(map(tuple, newest.collect()), key=str) == sorted([
+        (1, 2, "b"), (2, 1, "a"), (3, 5, "a"), (4, 1, "c"), (None, 1, "n"), (None, 2, "m")], key=str)

@@ -103,8 +103,11 @@ def _told_apart(df: DataFrame, keys: Sequence[str], place: Sequence[str]) -> tup
     return df.withColumn("_place", whole_keys(keys, place)[-1]), [*keys, "_place"]
 
 
-def _change_rows(pairs: DataFrame, same: Column) -> DataFrame:
-    """Change rows out of pairs of structs `_old` and `_new`, where a missing side is null."""
+def pair_changes(pairs: DataFrame, compare: Sequence[str]) -> DataFrame:
+    """Change rows out of pairs of structs `_old` and `_new`, where a missing side is null, that differ in some of
+    the columns in `compare`."""
+    old, new = (F.struct(*[F.col(f"{side}.{c}") for c in compare]) for side in ("_old", "_new"))
+    same = old.eqNullSafe(new)
     added, removed = F.col("_old").isNull(), F.col("_new").isNull()
     changed = pairs.where((added != removed) | (~added & ~removed & ~same))
 
@@ -136,14 +139,13 @@ def change_feed(
 
     def side(df: DataFrame, name: str) -> DataFrame:
         row = F.struct(*keys, *columns).alias(f"_{name}")
-        seen = F.struct(*watched).alias(f"_{name}_seen")
-        return df.select(*[F.col(k).alias(f"_{name}_{k}") for k in known], row, seen)
+        return df.select(*[F.col(k).alias(f"_{name}_{k}") for k in known], row)
 
     same = [F.col(f"_old_{k}").eqNullSafe(F.col(f"_new_{k}")) for k in known]
     pairs = side(old, "old").join(
         side(new, "new"), reduce(lambda a, b: a & b, same), "full_outer"
     )
-    return _change_rows(pairs, F.col("_old_seen").eqNullSafe(F.col("_new_seen")))
+    return pair_changes(pairs, watched)
 
 
 def net_changes(
@@ -165,6 +167,4 @@ def net_changes(
         F.when(F.col("first.before"), F.col("first.row")).alias("_old"),
         F.when(~F.col("last.before"), F.col("last.row")).alias("_new"),
     )
-    watched = list(compare or columns)
-    same = F.struct(*[F.col(f"_old.{c}") for c in watched]).eqNullSafe(F.struct(*[F.col(f"_new.{c}") for c in watched]))
-    return _change_rows(pairs, same)
+    return pair_changes(pairs, compare or columns)

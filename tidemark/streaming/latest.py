@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.changes import merge_into
+from tidemark.operators.changes import merge_into, pair_changes
 from tidemark.operators.dedup import latest_by, whole_keys
 from tidemark.session import folders, remove
 from tidemark.streaming import versions
@@ -130,9 +130,13 @@ def merge_batches(
     )
     touched = sorted(r.bucket for r in changes.select("bucket").distinct().collect())  # no more than buckets
     stored = versions.read(spark, out, base, touched, changes.schema)
-    merged = latest_by(stored.unionByName(changes), _told_apart(keys, order), order)
-    at = versions.commit(
-        merged, out, base, buckets, touched, {"batch": ids[-1] - 1}, keys=keys, compare=compare, place=order)
+    merged, fed = _merge(stored, changes, keys, order, buckets, compare)
+    merged = merged.persist()
+    try:
+        at = versions.commit(
+            merged.select(*stored.columns), out, base, buckets, touched, {"batch": ids[-1] - 1}, fed=fed(merged), dealt=True)
+    finally:
+        merged.unpersist()
     versions.vacuum(spark, out, keep)
     for batch in ids[: len(ids) - keep]:
         if batch < ids[-1]:
@@ -140,6 +144,31 @@ def merge_batches(
     return at, touched
 
 
+def _merge(
+    stored: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str], buckets: int,
+    compare: Sequence[str] | None,
+) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The newest row of each key with the stored row it replaces, and how change rows are read off them.
+
+    One shuffle finds the newest rows, puts each bucket into few files and brings a row together with the one
+    it replaces; only a row that isn't stored can be a change.
+    """
+    told = _told_apart(keys, order)
+    others = [c for c in stored.columns if c not in (*keys, "bucket")]
+    row = F.struct(*keys, *others)
+    rows = stored.withColumn("_fresh", F.lit(False)).unionByName(changes.withColumn("_fresh", F.lit(True)))
+    group = Window.partitionBy("bucket", versions.SLICE, *told).orderBy(*[F.col(c).desc() for c in order])
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = F.first(F.when(~F.col("_fresh"), row), ignorenulls=True).over(whole)
+    numbered = versions.deal(rows, told, buckets).withColumns({"_number": F.row_number().over(group), "_old": before})
+    merged = numbered.where("_number = 1").withColumn("_old", F.when(F.col("_fresh"), F.col("_old")))
+
+    def fed(newest: DataFrame) -> DataFrame:
+        return pair_changes(newest.where("_fresh").select("_old", row.alias("_new")), compare or others)
+
+    return merged.drop("_number", versions.SLICE), fed
+
+
 def upsert_stream(
     updates: DataFrame,
     keys: Sequence[str],

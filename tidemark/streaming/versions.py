@@ -20,6 +20,7 @@ from tidemark.operators.changes import change_feed, net_changes
 from tidemark.session import folders, names, read_text, remove, write_text
 
 VERSION = "change_version"
+SLICE = "_slice"
 
 
 @dataclass(frozen=True)
@@ -38,6 +39,14 @@ def bucket_of(columns: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
 
 
+def deal(rows: DataFrame, keys: Sequence[Column], buckets: int) -> DataFrame:
+    """The rows shuffled by their `bucket` and, within it, a slice of the keys (a column more), so that all
+    tasks have work however few buckets there are, and a bucket lies in as many tasks as it has slices."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = F.pmod(F.xxhash64(*keys), F.lit(-(-tasks // buckets))).cast("int")
+    return rows.withColumn(SLICE, slices).repartition("bucket", SLICE)
+
+
 def numbers(spark: SparkSession, path: str) -> list[int]:
     """The versions there are pointers of, ascending."""
     found = (name.partition(".") for name in names(spark, f"{path}/pointers"))
@@ -77,23 +86,29 @@ def commit(
     keys: Sequence[str] | None = None,
     compare: Sequence[str] | None = None,
     place: Sequence[str] = (),
+    dealt: bool = False,
+    fed: DataFrame | None = None,
 ) -> Version:
     """The next version: `rows`, with a column `bucket`, in place of all rows of the `touched` buckets.
 
+    They are shuffled to their buckets first, unless `dealt` says that they come from `deal`. A writer that knows
+    which rows have changed gives them as `fed`, and no versions are compared.
     Given `keys`, which rows have changed is written beside them, see `read_changes`; only touched buckets
     are compared. Rows with a NULL in their key are told apart by the columns of `place`.
     """
     spark = rows.sparkSession
     number = base.number + 1 if base else 1
     folder = f"{path}/data/version={number}"
-    rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
+    placed = rows if dealt else rows.hint("rebalance", "bucket")
+    placed.write.mode("overwrite").partitionBy("bucket").parquet(folder)
     touched = set(touched)
     files = {b: v for b, v in (base.files if base else {}).items() if b not in touched}
     files |= {int(name.partition("=")[2]): number for name in folders(spark, folder) if name.startswith("bucket=")}
     new = Version(number, buckets, rows.schema.json(), files, dict(note or {}))
-    if keys is not None:
+    if fed is None and keys is not None:
         old = read(spark, path, base, touched, rows.schema)
         fed = change_feed(old.drop("bucket"), read(spark, path, new, touched).drop("bucket"), keys, compare, place)
+    if fed is not None:
         fed.write.mode("overwrite").parquet(f"{path}/changes/{VERSION}={number}")
     write_text(spark, f"{path}/pointers/{number}.json", json.dumps(asdict(new)))
     return new
