@@ -76,6 +76,17 @@ def test_packing_round_trip(spark, odd_docs, tokenizer):
         packing.pack_documents(odd_docs, TOKENS, limit=100)
 
 
+def test_packing_takes_one_python_worker_a_task(spark, odd_docs, monkeypatch):
+    def second(*_, **__):
+        raise AssertionError("a function of columns needs a worker of its own beside the one that cuts")
+
+    monkeypatch.setattr("pyspark.sql.functions.arrow_udf", second)
+    rows = [(r.bucket, -1 if r.doc_id is None else r.doc_id, r.start, r.sequence_id) for r in packing.pack_documents(odd_docs, TOKENS, limit=64).collect()]
+    rows.sort(key=lambda r: r[3])
+    assert [r[3] for r in rows] == list(range(len(rows)))
+    assert [r[:2] for r in rows] == sorted((r[:2] for r in rows), key=lambda r: (-r[0], r[1]))
+
+
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 200, 4097])
 def test_binary_pieces_sum_up(n):
     pieces = packing.binary_pieces(n, 64)

@@ -57,10 +57,10 @@ def _pairs(number: np.ndarray, tie: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(both.astype(">u8")).view("S16").ravel()
 
 
-def cells(keys: DataFrame, number: Column, tie: Column, parts: int) -> Column:
-    """The range, of about `parts` near equal ones, that a row's (number, tie) lies in; both are longs.
+def borders(keys: DataFrame, number: Column, tie: Column, parts: int) -> np.ndarray:
+    """The borders of about `parts` near equal ranges of (number, tie), two longs, for `range_of`.
 
-    The borders come from a sample of at most about 100 keys a range. Any borders give right results; the
+    They come from a sample of at most about 100 keys a range. Any borders give right results; the
     sample only decides how even the ranges are. Unlike Spark's own ranges they don't cost a second run of
     what is computed between the keys and the exchange.
     """
@@ -68,11 +68,11 @@ def cells(keys: DataFrame, number: Column, tie: Column, parts: int) -> Column:
     share = 100 * parts / max(keys.count(), 1)
     taken = (keys.sample(share, seed=11) if share < 1 else keys).toArrow()
     found = np.sort(_pairs(*(taken.column(c).to_numpy() for c in ("number", "tie"))))
-    borders = np.unique(found[:: max(len(found) // parts, 1)][1:])
+    return np.unique(found[:: max(len(found) // parts, 1)][1:])
 
-    @F.arrow_udf("int")
-    def cell(number: pa.Array, tie: pa.Array) -> pa.Array:
-        own = _pairs(number.to_numpy(zero_copy_only=False), tie.to_numpy(zero_copy_only=False))
-        return pa.array(np.searchsorted(borders, own, "right").astype(np.int32))
 
-    return cell(number, tie)
+def range_of(borders: np.ndarray, number: pa.Array, tie: pa.Array) -> np.ndarray:
+    """The range that each (number, tie) lies in: a plain function, for the Python task that makes what is
+    exchanged, as a function of columns beside it would need a second worker for every task."""
+    own = _pairs(number.to_numpy(zero_copy_only=False), tie.to_numpy(zero_copy_only=False))
+    return np.searchsorted(borders, own, "right").astype(np.int32)

@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.batches import small_batches, tidy
 from tidemark.llm.graph import written
-from tidemark.llm.order import cells
+from tidemark.llm.order import borders, range_of
 from tidemark.session import run_dir
 
 #: Fixed values of the public byte-level tokenizers: the pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 STRIDE = 1 << 18
+NO_ID = -(1 << 63)  # rows without an id come first
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # white space to the pattern
 #: Between white space and what is before it, and between a letter and a number, no token spans.
 GAP = re.compile(rf"(?<=[^{SPACE}])(?=[{SPACE}])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
@@ -102,12 +103,14 @@ _PIECES = pa.schema([
 _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, tie long, cell int"
 
 
-def _cut(path: str, limit: int, end_id: int, most: int = 1 << 20):
+def _cut(path: str, limit: int, end_id: int, bounds: np.ndarray, most: int = 1 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
         for batch in batches:
-            for doc, text, tie, cell in zip(batch.column(0).to_pylist(), batch.column(1), *(batch.column(k).to_pylist() for k in (2, 3)), strict=True):
+            docs, texts, ties = batch.columns
+            cells = range_of(bounds, docs.fill_null(NO_ID), ties).tolist()
+            for doc, text, tie, cell in zip(docs.to_pylist(), texts, ties.to_pylist(), cells, strict=True):
                 ids = np.append(token_ids(path, text.as_py() or ""), np.uint32(end_id)).astype("<u4")
                 raw, at = memoryview(ids.tobytes()), 0
                 for length in binary_pieces(len(ids), limit):
@@ -145,18 +148,18 @@ def pack_documents(
     neighbours can be batched as they lie, and `sequence_id` counts 0, 1, 2 … in that order, whatever the
     partitions of the input were (of documents that share an id, by a hash of the text; repeated rows are
     interchangeable). Pieces are exchanged once, by length and range of (document, hash), and written in their
-    buckets; what is joined to number them is a row for each length and range.
+    buckets; what is joined to number them is a row for each length and range. One Python worker a task cuts documents and
+    finds their range, so no more workers hold the tokenizer than there are tasks.
     """
     if limit < 1 or limit & (limit - 1):
         raise ValueError("limit must be a power of two")
     spark, folder = docs.sparkSession, run_dir(docs.sparkSession, "packing")
     text = F.col(text_col).cast("string")
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
-    number = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
-    cell = cells(keyed, number, F.col("tie"), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    source = small_batches(keyed).select("doc_id", "text", "tie", cell.alias("cell"))
+    number = F.coalesce("doc_id", F.lit(NO_ID).cast("long"))
+    bounds = borders(keyed, number, F.col("tie"), 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     own = Window.partitionBy("length", "cell").orderBy("doc_id", "tie", "start")
-    pieces = source.mapInArrow(tidy(_cut(tokenizer, limit, end_id)), _SCHEMA).withColumn("place", F.row_number().over(own) - 1)
+    pieces = small_batches(keyed).mapInArrow(tidy(_cut(tokenizer, limit, end_id, bounds)), _SCHEMA).withColumn("place", F.row_number().over(own) - 1)
     path = f"{folder}/bucketed"
     pieces.write.option("compression", "zstd").parquet(path)
     pieces = spark.read.schema(pieces.schema).parquet(path)
