@@ -80,3 +80,22 @@ def test_a_merge_knows_its_changes_without_comparing_versions(spark, folder, mon
     newest = versions.read(spark, f"{folder}/out", versions.version(spark, f"{folder}/out")).drop("bucket")
     assert sorted(map(tuple, newest.collect()), key=str) == sorted([
         (1, 2, "b"), (2, 1, "a"), (3, 5, "a"), (4, 1, "c"), (None, 1, "n"), (None, 2, "m")], key=str)
+
+
+def test_a_fold_after_an_ended_stream_reads_the_new_batches_alone(spark, folder):
+    def put(batch, rows):
+        spark.createDataFrame(rows, "k string, o int, v string").write.parquet(jobs.batch_folder(f"{folder}/in", batch))
+
+    def fold(out, previous=None):
+        return latest.fold(spark, f"{folder}/in", f"{folder}/{out}", ["k"], ["o"], previous and f"{folder}/{previous}", running=False)
+
+    def found(out, previous=None):
+        return sorted(map(tuple, fold(out, previous).collect()), key=str)
+
+    put(0, [("a", 1, "x"), ("b", 5, "x"), (None, 1, "n")])
+    assert found("one") == sorted([("a", 1, "x"), ("b", 5, "x"), (None, 1, "n")], key=str)
+    put(1, [("a", 2, "y"), ("b", 4, "late"), ("c", 1, "z"), (None, 2, "m")])
+    spark.createDataFrame([("a", 9, "read again")], "k string, o int, v string").write.mode("overwrite").parquet(jobs.batch_folder(f"{folder}/in", 0))
+    want = sorted([("a", 2, "y"), ("b", 5, "x"), ("c", 1, "z"), (None, 1, "n"), (None, 2, "m")], key=str)
+    assert found("two", "one") == want
+    assert found("same", "two") == want

@@ -500,7 +500,7 @@ def bp_latest_folded(spark, sf_dir):
             prepare=lambda rows: partners.add_bp_columns(rows, NOW),
         )
         folds.append(f"{out}/fold-{len(folds)}")
-        latest.fold(spark, f"{out}/table", folds[-1], keys, order, folds[-2] if folds[1:] else None)
+        latest.fold(spark, f"{out}/table", folds[-1], keys, order, folds[-2] if folds[1:] else None, running=False)
 
     _deliver_partners(spark, sf_dir, out, step)
     return _plain(spark.read.parquet(folds[-1]).drop("folded_to"))

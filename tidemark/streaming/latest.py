@@ -76,11 +76,13 @@ def fold(
     keys: Sequence[str | Column],
     order: Sequence[str | Column],
     previous: str | None = None,
+    running: bool = True,
 ) -> DataFrame:
     """Write the table at `path` to `out` as one row per key, and give it.
 
-    With the folder of a `previous` fold only the batches since are read. The newest batch may
-    still be in the writing, so it is read again by the next fold; those before it are complete.
+    With the folder of a `previous` fold only the batches since are read. While the stream is `running` the
+    newest batch may still be in the writing, so it is read again by the next fold; those before it are
+    complete. After a triggered run has ended all are, and each is read by one fold only.
     """
     ids = batch_ids(spark, path)
     if not ids:
@@ -93,7 +95,7 @@ def fold(
         rows = folded.drop("folded_to").unionByName(
             batches.where(F.col("batch_id") > int(done[-1].partition("=")[2])).drop("batch_id")
         )
-    newest = latest_by(rows, _told_apart(keys, order), order).withColumn("folded_to", F.lit(ids[-1] - 1))
+    newest = latest_by(rows, _told_apart(keys, order), order).withColumn("folded_to", F.lit(ids[-1] - int(running)))
     newest.write.mode("overwrite").partitionBy("folded_to").parquet(out)
     return spark.read.schema(newest.schema).parquet(out).drop("folded_to")
 
